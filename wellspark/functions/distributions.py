@@ -13,6 +13,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # The UDFs travel to the executors as code, so these need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -79,24 +80,24 @@ def _missing(*values: float) -> bool:
     return any(v is None or math.isnan(v) for v in values)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda v: None if _missing(v) else math.erfc(abs(v) / math.sqrt(2.0))).astype(float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_cdf(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if _missing(v) else 0.5 * math.erfc(-v / math.sqrt(2.0))).astype(float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(
         [None if _missing(a, b) else t_two_sided(a, b) for a, b in zip(t, df)], dtype="float64"
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_critical(alpha: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(
         [None if _missing(a, b) else t_critical(a, b) for a, b in zip(alpha, df)], dtype="float64"

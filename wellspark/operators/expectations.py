@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellspark.operators.aggregates import share_of_total
 from wellspark.operators.reshape import spine
@@ -155,9 +156,8 @@ def missing_grain(
     )
     expected = spine(short, first, last, ["user_id"]).withColumnRenamed("date_day", date)
     if hours:
-        expected = expected.withColumn(
-            "hour", F.explode(F.sequence(F.lit(0), F.lit(23))).cast(df.schema["hour"].dataType)
-        )
+        day = F.sequence(F.lit(0), F.lit(23)).cast(T.ArrayType(df.schema["hour"].dataType))
+        expected = expected.withColumn("hour", F.explode(day))
     return expected.join(present, grain, "left_anti")
 
 

@@ -30,6 +30,10 @@ def _bernoulli(p: Column) -> Column:
     return p * (1 - p)
 
 
+def _is_rate(p: Column) -> Column:
+    return p.between(0, 1)
+
+
 def arms_wide(arms: DataFrame, *measures: str) -> DataFrame:
     """One row per experiment with ``<measure>_a`` and ``<measure>_b``."""
     return arms.groupBy("experiment_name").agg(
@@ -48,16 +52,19 @@ def ztest(summary: DataFrame, alpha: float = ALPHA) -> DataFrame:
     pooled error gives z = 0.
     """
     n_a, n_b, x_a, x_b = (F.col(c) for c in ("n_a", "n_b", "engaged_a", "engaged_b"))
-    p_a, p_b = x_a / n_a, x_b / n_b
-    pooled = (x_a + x_b) / (n_a + n_b)
+    p_a, p_b = F.try_divide(x_a, n_a), F.try_divide(x_b, n_b)
+    pooled = F.try_divide(x_a + x_b, n_a + n_b)
+    spread = F.try_divide(F.lit(1), n_a) + F.try_divide(F.lit(1), n_b)
     wide = (
         arms_wide(summary, "engaged", "n")
         .withColumn("p_a", p_a)
         .withColumn("p_b", p_b)
         .withColumn("effect", p_b - p_a)
-        .withColumn("_se0", F.sqrt(_bernoulli(pooled) * (1 / n_a + 1 / n_b)))
+        .withColumn("_se0", F.sqrt(_bernoulli(pooled) * spread))
         .withColumn(
-            "_margin", F.sqrt(_bernoulli(p_a) / n_a + _bernoulli(p_b) / n_b) * z_quantile(1 - alpha / 2)
+            "_margin",
+            F.sqrt(F.try_divide(_bernoulli(p_a), n_a) + F.try_divide(_bernoulli(p_b), n_b))
+            * z_quantile(1 - alpha / 2),
         )
     )
     z = F.when(F.col("_se0") > 0, F.col("effect") / F.col("_se0")).when(F.col("_se0") == 0, F.lit(0.0))
@@ -102,7 +109,10 @@ def welch(arms: DataFrame, alpha: float = ALPHA) -> DataFrame:
 def sample_size(
     control: Column, mde: Column | float = MDE, alpha: float = ALPHA, power: float = POWER
 ) -> Column:
-    """Subjects per arm to detect an absolute lift ``mde`` over the control rate."""
+    """Subjects per arm to detect an absolute lift ``mde`` over the control rate.
+
+    Null where the lifted rate is no proportion, or the lift is zero.
+    """
     mde = mde if isinstance(mde, Column) else F.lit(mde)
     treated = control + mde
     middle = (control + treated) / 2
@@ -110,16 +120,20 @@ def sample_size(
         _bernoulli(control) + _bernoulli(treated)
     ) * z_quantile(power)
     lift = treated - control
-    return F.ceil(root * root / (lift * lift)).cast("bigint")
+    size = F.ceil(F.try_divide(root * root, lift * lift)).cast("bigint")
+    return F.when(_is_rate(control) & _is_rate(treated), size)
 
 
 def power(control: Column, treated: Column, n: Column, alpha: float = ALPHA) -> Column:
-    """Power of the two-sided two-proportion test with n subjects per arm."""
+    """Power of the two-sided two-proportion test with n subjects per arm.
+
+    Null where a rate is no proportion, or both arms are certain.
+    """
     middle = (control + treated) / 2
     se0 = F.sqrt(2 * _bernoulli(middle) / n)
     se1 = F.sqrt(_bernoulli(control) / n + _bernoulli(treated) / n)
-    shortfall = (se0 * z_quantile(1 - alpha / 2) - F.abs(treated - control)) / se1
-    return 1 - normal_cdf(shortfall)
+    shortfall = F.try_divide(se0 * z_quantile(1 - alpha / 2) - F.abs(treated - control), se1)
+    return 1 - normal_cdf(F.when(_is_rate(control) & _is_rate(treated), shortfall))
 
 
 def power_curve(rates: DataFrame, mde: float = MDE, control: str = "p_a") -> DataFrame:

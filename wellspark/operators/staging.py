@@ -4,66 +4,92 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+from wellspark.sources.schemas import DATE, INT, TEXT, columns
+
+
+def numeric(precision: int, scale: int = 1) -> T.DecimalType:
+    return T.DecimalType(precision, scale)
+
 
 # Staged column types, in output order.
-STAGED = {
-    "stg_users": (
-        "user_id int, full_name string, sex string, age int, height_cm decimal(5,1), "
-        "country string, primary_device_id int, signup_date date"
-    ),
-    "stg_devices": "device_id int, brand string, model string, category string",
-    "stg_user_attr_history": (
-        "user_id int, membership_tier string, company string, effective_from date"
-    ),
-    "stg_daily_activity": (
-        "user_id int, activity_date date, device_id int, steps int, active_minutes int, "
-        "resting_hr decimal(5,1), sleep_minutes int, sleep_deep_minutes int, "
-        "sleep_rem_minutes int, sleep_light_minutes int, calories int"
-    ),
-    "stg_body_scan": (
-        "user_id int, scan_date date, device_id int, weight_kg decimal(6,1), bmi decimal(4,1), "
-        "body_fat_pct decimal(4,1), muscle_mass_kg decimal(5,1), visceral_fat decimal(4,1)"
-    ),
-    "stg_nutrition_log": (
-        "user_id int, log_date date, meal_type string, calories decimal(7,1), "
-        "protein_g decimal(6,1), carbs_g decimal(6,1), fat_g decimal(6,1)"
-    ),
-    "stg_experiment_assignment": (
-        "user_id int, experiment_name string, variant string, engaged_next_day int"
-    ),
-}
-
-
-def _stage(df: DataFrame, model: str) -> DataFrame:
-    fields = StructType.fromDDL(STAGED[model])
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+USERS = columns(
+    user_id=INT,
+    full_name=TEXT,
+    sex=TEXT,
+    age=INT,
+    height_cm=numeric(5),
+    country=TEXT,
+    primary_device_id=INT,
+    signup_date=DATE,
+)
+DEVICES = columns(device_id=INT, brand=TEXT, model=TEXT, category=TEXT)
+ATTR_HISTORY = columns(user_id=INT, membership_tier=TEXT, company=TEXT, effective_from=DATE)
+ACTIVITY = columns(
+    user_id=INT,
+    activity_date=DATE,
+    device_id=INT,
+    steps=INT,
+    active_minutes=INT,
+    resting_hr=numeric(5),
+    sleep_minutes=INT,
+    sleep_deep_minutes=INT,
+    sleep_rem_minutes=INT,
+    sleep_light_minutes=INT,
+    calories=INT,
+)
+SCANS = columns(
+    user_id=INT,
+    scan_date=DATE,
+    device_id=INT,
+    weight_kg=numeric(6),
+    bmi=numeric(4),
+    body_fat_pct=numeric(4),
+    muscle_mass_kg=numeric(5),
+    visceral_fat=numeric(4),
+)
+MEALS = columns(
+    user_id=INT,
+    log_date=DATE,
+    meal_type=TEXT,
+    calories=numeric(7),
+    protein_g=numeric(6),
+    carbs_g=numeric(6),
+    fat_g=numeric(6),
+)
+ASSIGNMENTS = columns(user_id=INT, experiment_name=TEXT, variant=TEXT, engaged_next_day=INT)
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, cast to its types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def stg_users(df: DataFrame) -> DataFrame:
-    return _stage(df, "stg_users")
+    return typed(df, USERS)
 
 
 def stg_devices(df: DataFrame) -> DataFrame:
-    return _stage(df, "stg_devices")
+    return typed(df, DEVICES)
 
 
 def stg_user_attr_history(df: DataFrame) -> DataFrame:
-    return _stage(df, "stg_user_attr_history")
+    return typed(df, ATTR_HISTORY)
 
 
 def stg_daily_activity(df: DataFrame) -> DataFrame:
-    return _stage(df, "stg_daily_activity")
+    return typed(df, ACTIVITY)
 
 
 def stg_body_scan(df: DataFrame) -> DataFrame:
-    return _stage(df, "stg_body_scan")
+    return typed(df, SCANS)
 
 
 def stg_nutrition_log(df: DataFrame) -> DataFrame:
     """Meal names in lower case, so that grouping does not depend on their spelling."""
-    return _stage(df, "stg_nutrition_log").withColumn("meal_type", F.lower("meal_type"))
+    return typed(df, MEALS).withColumn("meal_type", F.lower("meal_type"))
 
 
 def stg_experiment(df: DataFrame) -> DataFrame:
-    return _stage(df, "stg_experiment_assignment")
+    return typed(df, ASSIGNMENTS)

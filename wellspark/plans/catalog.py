@@ -23,7 +23,16 @@ from wellspark.operators import joins, loads, metrics, reshape, windows
 from wellspark.plans import health_score, marts, pipeline, quality
 from wellspark.sources import bindings as b
 from wellspark.sources import storage
-from wellspark.sources.schemas import DATE_SEED, EVENT, RAW_SCHEMAS, RAW_TABLES
+from wellspark.sources.schemas import (
+    BIGINT,
+    DATE_SEED,
+    DOUBLE,
+    EVENT,
+    RAW_SCHEMAS,
+    RAW_TABLES,
+    TEXT,
+    columns,
+)
 from wellspark.streaming import events as ev
 from wellspark.streaming import sinks
 
@@ -1006,8 +1015,8 @@ def weighted_assign(spark, sf):
 
 # Streaming. Each query runs a stream over the event table to its end.
 
-EVENTS = T.StructType.fromDDL(
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+EVENTS = columns(
+    event_id=BIGINT, ts=T.TimestampNTZType(), user_id=BIGINT, event_type=TEXT, value=DOUBLE, props=TEXT
 )
 
 

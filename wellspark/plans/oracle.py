@@ -230,7 +230,7 @@ def _student_two_sided(t: str, df: str, panels: int = 4000) -> str:
 
 
 def _student_critical(df: str) -> str:
-    """The 97.5% t quantile by its expansion around the normal quantile."""
+    """The 97.5% t quantile: its expansion around the normal quantile, then a Newton step."""
     z = 1.959963984540054
     terms = [
         (z**3 + z) / 4,
@@ -238,14 +238,19 @@ def _student_critical(df: str) -> str:
         (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
         (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
     ]
-    return f"({z!r} + " + " + ".join(f"{c!r} / pow({df}, {i})" for i, c in enumerate(terms, 1)) + ")"
+    near = f"({z!r} + " + " + ".join(f"{c!r} / pow({df}, {i})" for i, c in enumerate(terms, 1)) + ")"
+    density = (
+        f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi())"
+        f" * pow(1 + {near} * {near} / {df}, -({df} + 1) / 2)"
+    )
+    return f"({near} + ({_student_two_sided(near, df)} - 0.05) / (2 * {density}))"
 
 
 def _power(n: str, alpha_z: str = "1.959963984540054") -> str:
     p2, bar = "(p_a + 0.03)", "((p_a + p_a + 0.03) / 2)"
     se1 = f"sqrt(p_a * (1 - p_a) / {n} + {p2} * (1 - {p2}) / {n})"
     value = f"(({alpha_z} * sqrt(2 * {bar} * (1 - {bar}) / {n}) - 0.03) / {se1})"
-    return f"1 - ({_normal_cdf(value)})"
+    return f"case when {p2} <= 1 then 1 - ({_normal_cdf(value)}) end"
 
 
 def _needed(mde: str, alpha_z: str, power_z: str) -> str:
@@ -253,7 +258,7 @@ def _needed(mde: str, alpha_z: str, power_z: str) -> str:
     root = (
         f"{alpha_z} * sqrt(2 * {bar} * (1 - {bar})) + {power_z} * sqrt(p_a * (1 - p_a) + {p2} * (1 - {p2}))"
     )
-    return f"cast(ceil(pow({root}, 2) / pow({mde}, 2)) as bigint)"
+    return f"case when {p2} <= 1 then cast(ceil(pow({root}, 2) / pow({mde}, 2)) as bigint) end"
 
 
 Z_95, Z_99, Z_POWER_80, Z_POWER_90 = (

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.functions.scalars import clip
+from wellspark.operators.staging import typed
 from wellspark.sources.schemas import RAW_SCHEMAS
 from wellspark.sources.storage import scan
 
@@ -19,7 +20,7 @@ MONEY = "decimal(12,2)"
 
 
 def _typed(df: DataFrame, name: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[name]])
+    return typed(df, RAW_SCHEMAS[name])
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,47 +4,76 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+BIGINT, INT, DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
+TEXT, DATE, BOOLEAN = T.StringType(), T.DateType(), T.BooleanType()
+
+
+def columns(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
 # Raw tables in load order: dimensions come before the facts that refer to them.
 RAW_SCHEMAS: dict[str, T.StructType] = {
-    name: T.StructType.fromDDL(ddl)
-    for name, ddl in {
-        "dim_device": "device_id bigint, brand string, model string, category string",
-        "dim_user": (
-            "user_id bigint, full_name string, sex string, age bigint, height_cm double, "
-            "country string, primary_device_id bigint, signup_date date"
-        ),
-        "user_attr_history": (
-            "user_id bigint, membership_tier string, company string, effective_from date"
-        ),
-        "daily_activity": (
-            "user_id bigint, activity_date date, device_id bigint, steps bigint, "
-            "active_minutes bigint, resting_hr double, sleep_minutes bigint, "
-            "sleep_deep_minutes bigint, sleep_rem_minutes bigint, sleep_light_minutes bigint, "
-            "calories bigint"
-        ),
-        "intraday_hr": "user_id bigint, activity_date date, hour bigint, heart_rate bigint",
-        "body_scan": (
-            "user_id bigint, scan_date date, device_id bigint, weight_kg double, bmi double, "
-            "body_fat_pct double, muscle_mass_kg double, visceral_fat double"
-        ),
-        "nutrition_log": (
-            "user_id bigint, log_date date, meal_type string, calories double, "
-            "protein_g double, carbs_g double, fat_g double"
-        ),
-        "experiment_assignment": (
-            "user_id bigint, experiment_name string, variant string, engaged_next_day bigint"
-        ),
-    }.items()
+    "dim_device": columns(device_id=BIGINT, brand=TEXT, model=TEXT, category=TEXT),
+    "dim_user": columns(
+        user_id=BIGINT,
+        full_name=TEXT,
+        sex=TEXT,
+        age=BIGINT,
+        height_cm=DOUBLE,
+        country=TEXT,
+        primary_device_id=BIGINT,
+        signup_date=DATE,
+    ),
+    "user_attr_history": columns(
+        user_id=BIGINT, membership_tier=TEXT, company=TEXT, effective_from=DATE
+    ),
+    "daily_activity": columns(
+        user_id=BIGINT,
+        activity_date=DATE,
+        device_id=BIGINT,
+        steps=BIGINT,
+        active_minutes=BIGINT,
+        resting_hr=DOUBLE,
+        sleep_minutes=BIGINT,
+        sleep_deep_minutes=BIGINT,
+        sleep_rem_minutes=BIGINT,
+        sleep_light_minutes=BIGINT,
+        calories=BIGINT,
+    ),
+    "intraday_hr": columns(user_id=BIGINT, activity_date=DATE, hour=BIGINT, heart_rate=BIGINT),
+    "body_scan": columns(
+        user_id=BIGINT,
+        scan_date=DATE,
+        device_id=BIGINT,
+        weight_kg=DOUBLE,
+        bmi=DOUBLE,
+        body_fat_pct=DOUBLE,
+        muscle_mass_kg=DOUBLE,
+        visceral_fat=DOUBLE,
+    ),
+    "nutrition_log": columns(
+        user_id=BIGINT,
+        log_date=DATE,
+        meal_type=TEXT,
+        calories=DOUBLE,
+        protein_g=DOUBLE,
+        carbs_g=DOUBLE,
+        fat_g=DOUBLE,
+    ),
+    "experiment_assignment": columns(
+        user_id=BIGINT, experiment_name=TEXT, variant=TEXT, engaged_next_day=BIGINT
+    ),
 }
 
 RAW_TABLES = tuple(RAW_SCHEMAS)
 
-DATE_SEED = T.StructType.fromDDL("date_key int, date_day date, is_weekend boolean")
+DATE_SEED = columns(date_key=INT, date_day=DATE, is_weekend=BOOLEAN)
 
 # One wearable reading as published on the stream.
-EVENT = T.StructType.fromDDL(
-    "event_id bigint, user_id int, ts double, heart_rate int, steps_delta int, device string"
+EVENT = columns(
+    event_id=BIGINT, user_id=INT, ts=DOUBLE, heart_rate=INT, steps_delta=INT, device=TEXT
 )
 
 # A record as a message source hands it over.
-RECORD = T.StructType.fromDDL("key string, value string, partition int, offset bigint")
+RECORD = columns(key=TEXT, value=TEXT, partition=INT, offset=BIGINT)

@@ -91,8 +91,8 @@ def event_time(ts: Column | str) -> Column:
     return F.timestamp_micros(F.round(ts * 1000000).cast("bigint"))
 
 
-def split_errors(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decoded events, and the records that cannot be stored with the reason why."""
+def classify(records: DataFrame) -> DataFrame:
+    """Records with their decoded event and, where it cannot be stored, the reason why."""
     event = F.col("_event")
     reason = (
         F.when(F.col("value").isNull(), "no value")
@@ -101,12 +101,16 @@ def split_errors(records: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.array_contains(F.array(*[event[c].isNull() for c in REQUIRED]), True), "missing field"
         )
     )
-    parsed = _parsed(records).withColumn("reason", reason)
-    good = parsed.where(F.col("reason").isNull()).select(
+    return _parsed(records).withColumn("reason", reason)
+
+
+def split_errors(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of classified records the events to store, and the rejected records."""
+    good = classified.where(F.col("reason").isNull()).select(
         *[f"_event.{f.name}" for f in EVENT], "partition", "offset"
     )
-    bad = parsed.where(F.col("reason").isNotNull()).select("value", "partition", "offset", "reason")
-    return good, bad
+    bad = classified.where(F.col("reason").isNotNull())
+    return good, bad.select("value", "partition", "offset", "reason")
 
 
 def users_spanning(stored: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.streaming.events import split_errors
+from wellspark.streaming.events import classify, split_errors
 
 SPAN = "id_span"
 SPAN_SIZE = 10_000_000
@@ -90,10 +90,15 @@ def run_available(
     """
 
     def land(batch: DataFrame, _: int) -> None:
-        good, bad = split_errors(batch)
-        upsert_ignore(good, path)
-        if errors_path is not None:
-            store_errors(bad, errors_path)
+        # Both outcomes come from one read of the source and one decoding.
+        classified = classify(batch).persist()
+        try:
+            good, bad = split_errors(classified)
+            upsert_ignore(good, path)
+            if errors_path is not None:
+                store_errors(bad, errors_path)
+        finally:
+            classified.unpersist()
 
     query = (
         records.writeStream.foreachBatch(land)
