@@ -33,8 +33,7 @@ def test_versions_from_spans(spark):
     assert x.unique(versions, "user_version_key").isEmpty()
 
 
-def test_versions_across_stretches(spark):
-    """Spans further apart than a stretch of the split window."""
+def test_versions_far_apart(spark):
     versions = history.scd2_from_spans(
         spans(spark, (1, "a", "x", D(1950, 1, 1)), (1, "b", "x", D(1999, 5, 5)), (1, "c", "x", D(2024, 1, 1)))
     )

@@ -48,11 +48,15 @@ def brute(data, pick):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("width", [1, 7, 10, 366])
-@pytest.mark.parametrize("n", [1, 2, 7, 30])
-def test_row_frames_equal_brute_force(spark, n, width):
+# No key split, the long ones split, all split.
+SPLITS = [(366, 10**6), (1, 60), (7, 60), (1, None), (10, None), (366, None)]
+
+
+@pytest.mark.parametrize(("width", "limit"), SPLITS)
+@pytest.mark.parametrize("n", [1, 7, 30])
+def test_row_frames_equal_brute_force(spark, n, width, limit):
     data = histories(n)
-    got = rows(windows.rolling_score(frame(spark, data), n, width=width))
+    got = rows(windows.rolling_score(frame(spark, data), n, width=width, limit=limit))
     assert got == brute(data, lambda mine, i, day: [v for _, v in mine[max(0, i - n + 1) : i + 1]])
 
 
@@ -68,7 +72,7 @@ def test_calendar_frames_equal_brute_force(spark, n, width):
 def test_dates_before_the_epoch(spark):
     data = [(1, dt.date(1969, 12, 30) + dt.timedelta(i), float(i)) for i in range(5)]
     for width in (2, 3, 366):
-        got = rows(windows.rolling_score(frame(spark, data), 2, width=width), "rolling_2d_score")
+        got = rows(windows.rolling_score(frame(spark, data), 2, width=width, limit=3), "rolling_2d_score")
         assert got == [(0.0,), (0.5,), (1.5,), (2.5,), (3.5,)]
 
 
@@ -84,16 +88,16 @@ def test_row_and_calendar_frames_differ_after_a_gap(spark):
 def test_window_fills_to_thirty(spark):
     data = frame(spark, [(1, START + dt.timedelta(i), 50.0) for i in range(35)])
     for width in (8, 366):
-        counts = rows(windows.rolling_score(data, width=width), "days_in_window")
+        counts = rows(windows.rolling_score(data, width=width, limit=None), "days_in_window")
         assert sorted(c for (c,) in counts) == [*range(1, 31), *[30] * 5]
 
 
-@pytest.mark.parametrize("width", [1, 5, 366])
-def test_running_sum(spark, width):
+@pytest.mark.parametrize(("width", "limit"), SPLITS)
+def test_running_sum(spark, width, limit):
     data = histories(3)
     cents = frame(spark, data).selectExpr("user_id", "activity_date", "cast(daily_score as decimal(8,2)) v")
     got = rows(
-        windows.running_sum(cents, "user_id", "activity_date", "v", "total", width),
+        windows.running_sum(cents, "user_id", "activity_date", "v", "total", width, limit),
         "user_id",
         "activity_date",
         "total",
@@ -109,11 +113,11 @@ def test_running_sum(spark, width):
 
 
 @pytest.mark.parametrize("forward", [True, False])
-@pytest.mark.parametrize("width", [1, 6, 366])
-def test_neighbour(spark, forward, width):
+@pytest.mark.parametrize(("width", "limit"), SPLITS)
+def test_neighbour(spark, forward, width, limit):
     data = histories(9)
     got = rows(
-        windows.neighbour(frame(spark, data).drop("daily_score"), ["user_id"], "activity_date", "other", forward, width)
+        windows.neighbour(frame(spark, data).drop("daily_score"), ["user_id"], "activity_date", "other", forward, width, limit)
     )
     expected = []
     for user in {u for u, _, _ in data}:
@@ -126,7 +130,7 @@ def test_neighbour(spark, forward, width):
 def test_neighbour_of_large_numbers(spark):
     big = 2**60
     df = spark.createDataFrame([(1, big), (1, big + 1), (1, big + 5)], "p int, o bigint")
-    got = rows(windows.neighbour(df, ["p"], "o", "before", False, 2), "o", "before")
+    got = rows(windows.neighbour(df, ["p"], "o", "before", False, 2, None), "o", "before")
     assert got == [(big, None), (big + 1, big), (big + 5, big + 1)]
 
 

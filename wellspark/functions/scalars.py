@@ -63,9 +63,10 @@ def exact_mean(total: Column, count: Column, scale: int) -> Column:
     """Decimal total / count rounded half up, as double; null for an empty count.
 
     Works on exact decimal totals, so the result does not depend on the order in which
-    tasks added the values.
+    tasks added the values. The quotient keeps some 20 decimals, enough not to round twice.
     """
-    return F.round(total / F.nullif(count, F.lit(0)), scale).cast("double")
+    ratio = total.cast("decimal(24,6)") / F.nullif(count, F.lit(0)).cast("decimal(15,0)")
+    return F.round(ratio, scale).cast("double")
 
 
 def stable_round(value: Column | str, scale: int, digits: int = 6) -> Column:

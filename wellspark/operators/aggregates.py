@@ -125,7 +125,7 @@ def balance_histogram(fact: DataFrame, width: int) -> DataFrame:
 
 def score_series(scores: DataFrame, score: str = "rolling_30d_score") -> DataFrame:
     """Mean rolling score over all users per date."""
-    value = F.col(score).cast("decimal(20,2)")
+    value = F.col(score).cast("decimal(18,6)")
     return scores.groupBy("activity_date").agg(
         F.count(score).alias("users"), exact_mean(F.sum(value), F.count(score), 2).alias("avg_score")
     )

@@ -125,7 +125,7 @@ def sleep_stages(df: DataFrame) -> DataFrame:
 
 def no_overlap(scd2: DataFrame) -> DataFrame:
     """Versions reaching into the user's next one."""
-    ahead = neighbour(scd2, ["user_id"], "valid_from", "next_from", width=3660)
+    ahead = neighbour(scd2, ["user_id"], "valid_from", "next_from")
     return ahead.where(F.col("next_from") <= F.col("valid_to")).select(
         "user_id", "valid_from", "valid_to", "next_from"
     )

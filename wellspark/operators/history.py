@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 from wellspark.functions.scalars import OPEN_END, surrogate_key
 from wellspark.operators.windows import neighbour
 
-TEN_YEARS = 3660
-
 
 def scd2_from_spans(history: DataFrame) -> DataFrame:
     """Type-2 versions: each span ends the day before the next, the last one is open-ended."""
     open_end = F.lit(OPEN_END).cast("date")
-    spans = neighbour(history, ["user_id"], "effective_from", "_next", width=TEN_YEARS)
+    spans = neighbour(history, ["user_id"], "effective_from", "_next")
     valid_to = F.coalesce(F.date_sub("_next", 1), open_end)
     return spans.select(
         surrogate_key(["user_id", "effective_from"]).alias("user_version_key"),
@@ -30,7 +28,6 @@ def scd2_from_spans(history: DataFrame) -> DataFrame:
         (valid_to == open_end).alias("is_current"),
     )
 
-
 def scd2_merge(
     prev: DataFrame | None,
     current: DataFrame,

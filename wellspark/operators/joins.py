@@ -7,9 +7,13 @@ beyond it, where AQE splits skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wellspark.operators.windows import STRETCH, YEAR, neighbour, stretch_of
+
+FOREVER = 2**62
+
 
 def enrich(scored: DataFrame, users: DataFrame) -> DataFrame:
     """Daily rows with sex, age and country of their user; unknown users keep nulls."""
@@ -29,38 +33,49 @@ def as_of_join(
     key: str = "user_id",
     start: str = "valid_from",
     end: str | None = "valid_to",
+    width: int = YEAR,
 ) -> DataFrame:
     """Fact rows with the dimension version in force on their date; none gives nulls.
 
-    The version depends on (key, date) alone, so it is looked up once per distinct pair:
-    facts are reduced to their pairs with partial aggregation, the pairs and the version
-    starts are merged in one window per key (at most one row per calendar day and version),
-    and the facts join the answer on (key, date). Work is linear in facts plus versions: no
-    fact meets a version it does not match, and a key with many facts is spread by date.
-    Without ``end`` a version stays in force until the next one starts.
+    A range join made an equi join: time is cut into stretches of ``width`` days, a version
+    is listed once for each stretch it reaches, and facts look among the versions of their
+    user *and* stretch, so a fact meets the one or two versions around its date and never a
+    user's whole history. Facts are read and shuffled once, or not at all where the versions
+    are small enough to be broadcast; AQE splits the partitions of a user with very many
+    facts. Dates after the last version start share its stretch, which keeps open-ended
+    versions from being listed for ever. Without ``end`` a version lasts until the next.
     """
     payload = [c for c in dim.columns if c != key]
-    asked = fact.select(key, F.col(date).alias("_at")).dropna().distinct()
-    marks = asked.withColumn("_version", F.lit(None)).unionByName(
-        dim.dropna(subset=[key, start]).select(
-            key, F.col(start).alias("_at"), F.struct(*payload).alias("_version")
-        )
+    versions = dim.dropna(subset=[key, start])
+    if end is None:
+        versions = neighbour(versions, [key], start, "_next")
+        until = F.unix_date("_next") - 1
+    else:
+        until = F.unix_date(end)
+    versions = versions.select(
+        F.col(key).alias("_key"),
+        F.struct(*payload).alias("_version"),
+        F.unix_date(start).cast("bigint").alias("_from"),
+        F.coalesce(until.cast("bigint"), F.lit(FOREVER)).alias("_until"),
+    ).where("_from <= _until")
+    last = stretch_of(versions.agg(F.max("_from")).scalar(), width)
+    reached = F.sequence(
+        stretch_of(F.col("_from"), width),
+        F.least(stretch_of(F.col("_until"), width), last),
+        F.lit(width).cast("bigint"),
     )
-    # A version starting on the day itself counts, hence versions sort before questions.
-    so_far = (
-        Window.partitionBy(key)
-        .orderBy("_at", F.col("_version").isNull(), "_version")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    listed = versions.withColumn("_part", F.explode(reached))
+    day = F.unix_date(date).cast("bigint")
+    asked = fact.withColumn("_day", day).withColumn(
+        STRETCH, F.least(stretch_of(F.col("_day"), width), last)
     )
-    held = (
-        marks.withColumn("_held", F.last("_version", ignorenulls=True).over(so_far))
-        .where(F.col("_version").isNull())
-        .select(key, F.col("_at").alias(date), "_held")
+    in_force = (
+        (F.col(key) == F.col("_key"))
+        & (F.col(STRETCH) == F.col("_part"))
+        & F.col("_day").between(F.col("_from"), F.col("_until"))
     )
-    if end is not None:
-        held = held.where(F.col(date) <= F.col(f"_held.{end}"))
-    return fact.join(held, [key, date], "left").select(
-        *fact.columns, *[F.col(f"_held.{c}").alias(c) for c in payload]
+    return asked.join(listed, in_force, "left").select(
+        *fact.columns, *[F.col(f"_version.{c}").alias(c) for c in payload]
     )
 
 

@@ -1,13 +1,14 @@
 """Per-user windows over time that stay balanced when one user has a very long history.
 
 A plain ``partitionBy(user)`` window gives a user's whole history to one task. The ordered
-operators here cut each history into stretches of ``width`` positions (days or offsets) and
-window inside (user, stretch). What a frame needs from outside its stretch is either sent
-along (a fixed number of days) or carried over from a small table with one row per (user,
-stretch). Results equal the plain window's; only the size of a task changes. The unordered
-operators aggregate first, with partial sums per task, and join the result back.
-
-Rows are expected to have a user and a position; both are declared not null upstream.
+operators here find the users with more than ``limit`` rows, cut only their histories into
+stretches of ``width`` positions (days or offsets) and window inside (user, stretch). What a
+frame needs from outside its stretch comes from a small table with one row per (user,
+stretch) of those users. Without such users that table is empty, AQE drops it from the plan,
+and what remains is the plain window. Results are the plain window's either way.
+
+The unordered operators aggregate first, with partial sums per task, and join the result
+back. Rows are expected to have a user and a position, as checked upstream.
 """
 
 from __future__ import annotations
@@ -21,24 +22,45 @@ from pyspark.sql import types as T
 from wellspark.functions.scalars import exact_mean
 
 YEAR = 366
-POS, STRETCH = "_pos", "_stretch"
+# Scores are added as decimals: exact, whatever the order.
+EXACT, TOTAL = "decimal(18,6)", "decimal(24,6)"
+MONTH = 31
+LIMIT = 1_000_000
+POS, STRETCH, LONG = "_pos", "_stretch", "_long"
 
 
-def _stretch_of(pos: Column, width: int) -> Column:
+def stretch_of(pos: Column, width: int) -> Column:
     """First position of the stretch holding ``pos``; exact for any bigint."""
     return pos - F.pmod(pos, F.lit(width))
 
 
-def split_history(df: DataFrame, order: str, width: int) -> DataFrame:
-    """Add the numeric position of a row and its stretch."""
+def with_position(df: DataFrame, order: str) -> DataFrame:
+    """Add the numeric position of a row: day number of a date, else the value itself."""
     is_date = isinstance(df.schema[order].dataType, T.DateType)
     pos = F.unix_date(order) if is_date else F.col(order)
-    return df.withColumn(POS, pos.cast("bigint")).withColumn(
-        STRETCH, _stretch_of(F.col(POS), width)
+    return df.withColumn(POS, pos.cast("bigint"))
+
+
+def split_history(
+    df: DataFrame, keys: Sequence[str], order: str, width: int, limit: int | None
+) -> DataFrame:
+    """Add position and stretch; the stretch is null for keys with at most ``limit`` rows.
+
+    The keys above the limit are broadcast: there are at most rows / limit of them, a
+    million for 10^12 rows. With ``limit=None`` every key is split and nothing is counted.
+    """
+    placed = with_position(df, order)
+    stretch = stretch_of(F.col(POS), width)
+    if limit is None:
+        return placed.withColumn(LONG, F.lit(True)).withColumn(STRETCH, stretch)
+    long = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    long = F.broadcast(long.select(*keys, F.lit(True).alias(LONG)))
+    return placed.join(long, list(keys), "left").withColumn(
+        STRETCH, F.when(F.col(LONG), stretch)
     )
 
 
-def _carry(stretches: DataFrame, keys: Sequence[str]) -> Window:
+def _across(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(STRETCH)
 
 
@@ -48,7 +70,8 @@ def rolling_score(
     key: str = "user_id",
     date: str = "activity_date",
     score: str = "daily_score",
-    width: int = YEAR,
+    width: int = MONTH,
+    limit: int | None = LIMIT,
 ) -> DataFrame:
     """Trailing mean of the last ``rows`` rows per user and the number of scores in it.
 
@@ -56,8 +79,8 @@ def rolling_score(
     rows: after a missing day it reaches further back.
     """
     reach = rows - 1
-    history = split_history(df, date, width).withColumn(
-        "_value", F.col(score).cast("decimal(20,2)")
+    history = split_history(df, [key], date, width, limit).withColumn(
+        "_value", F.col(score).cast(EXACT)
     )
     within = Window.partitionBy(key, STRETCH).orderBy(POS)
     frame = within.rowsBetween(-reach, 0)
@@ -66,13 +89,14 @@ def rolling_score(
     # row_number <= reach is cut to that many rows per group before the shuffle.
     newest_first = Window.partitionBy(key, STRETCH).orderBy(F.col(POS).desc())
     tails = (
-        history.select(key, STRETCH, POS, "_value")
+        history.where(LONG)
+        .select(key, STRETCH, POS, "_value")
         .withColumn("_from_end", F.row_number().over(newest_first))
         .where(F.col("_from_end") <= reach)
         .groupBy(key, STRETCH)
         .agg(F.sort_array(F.collect_list(F.struct(POS, "_value"))).alias("_tail"))
     )
-    earlier = Window.partitionBy(key).orderBy(STRETCH).rowsBetween(-max(reach, 1), -1)
+    earlier = _across([key]).rowsBetween(-max(reach, 1), -1)
     carried = tails.select(
         key,
         STRETCH,
@@ -90,20 +114,16 @@ def rolling_score(
         F.greatest(F.size("_before") - lacking + 1, F.lit(1)),
         F.least(lacking, F.size("_before")),
     )
-    zero = F.lit(0).cast("decimal(38,2)")
+    zero = F.lit(0).cast(TOTAL)
     added = F.aggregate(
-        "_borrowed",
-        zero,
-        lambda acc, x: (acc + F.coalesce(x["_value"], F.lit(0).cast("decimal(20,2)"))).cast(
-            "decimal(38,2)"
-        ),
+        "_borrowed", zero, lambda acc, x: (acc + F.coalesce(x["_value"], zero)).cast(TOTAL)
     )
     n_added = F.size(F.filter("_borrowed", lambda x: x["_value"].isNotNull()))
     has_carry = F.col("_before").isNotNull() & (F.col("_row") < rows)
     joined = numbered.join(carried, [key, STRETCH], "left").withColumn(
         "_borrowed", F.when(has_carry, borrowed)
     )
-    total = F.coalesce("_sum", zero) + F.coalesce(added, zero)
+    total = F.coalesce(F.col("_sum").cast(TOTAL), zero) + F.coalesce(added, zero)
     count = F.col("_count") + F.when(has_carry, n_added).otherwise(0)
     return joined.select(
         *[F.col(c) for c in df.columns],
@@ -126,14 +146,12 @@ def rolling_score_days(
     serves that stretch's frames and is then left out.
     """
     reach = days - 1
-    history = split_history(df, date, width)
-    home = F.col(STRETCH)
-    last = _stretch_of(F.col(POS) + reach, width)
-    spread = history.withColumn("_home", home).withColumn(
-        STRETCH, F.explode(F.sequence(home, last, F.lit(width).cast("bigint")))
+    home, last = (stretch_of(F.col(POS) + ahead, width) for ahead in (0, reach))
+    spread = with_position(df, date).withColumn("_home", home).withColumn(
+        STRETCH, F.explode(F.sequence("_home", last, F.lit(width).cast("bigint")))
     )
     frame = Window.partitionBy(key, STRETCH).orderBy(POS).rangeBetween(-reach, 0)
-    total = F.sum(F.col(score).cast("decimal(20,2)")).over(frame)
+    total = F.sum(F.col(score).cast(EXACT)).over(frame)
     count = F.count(score).over(frame)
     return (
         spread.withColumn(f"rolling_{days}d_score", exact_mean(total, count, 2))
@@ -144,24 +162,30 @@ def rolling_score_days(
 
 
 def running_sum(
-    df: DataFrame, key: str, order: str, value: str, out: str, width: int = YEAR
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    out: str,
+    width: int = MONTH,
+    limit: int | None = LIMIT,
 ) -> DataFrame:
     """Cumulative sum per user; rows of one position are added together."""
-    history = split_history(df, order, width)
+    history = split_history(df, [key], order, width, limit)
     within = Window.partitionBy(key, STRETCH).orderBy(POS)
-    before = _carry(history, [key]).rowsBetween(Window.unboundedPreceding, -1)
+    before = _across([key]).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        history.groupBy(key, STRETCH)
+        history.where(LONG)
+        .groupBy(key, STRETCH)
         .agg(F.sum(value).alias("_total"))
         .select(key, STRETCH, F.sum("_total").over(before).alias("_before"))
     )
-    inner = F.sum(value).over(within)
     running = F.when(
         F.col("_inner").isNotNull() | F.col("_before").isNotNull(),
         F.coalesce("_inner", F.lit(0)) + F.coalesce("_before", F.lit(0)),
     )
     return (
-        history.withColumn("_inner", inner)
+        history.withColumn("_inner", F.sum(value).over(within))
         .join(carried, [key, STRETCH], "left")
         .select(*df.columns, running.alias(out))
     )
@@ -173,18 +197,19 @@ def neighbour(
     order: str,
     out: str,
     forward: bool = True,
-    width: int = YEAR,
+    width: int = MONTH,
+    limit: int | None = LIMIT,
 ) -> DataFrame:
     """The next (or previous) value of ``order`` within a key: lead/lag of the order itself."""
     keys = list(keys)
-    history = split_history(df, order, width)
+    history = split_history(df, keys, order, width, limit)
     within = Window.partitionBy(*keys, STRETCH).orderBy(order)
-    across = _carry(history, keys)
     edge, step = (F.min, F.lead) if forward else (F.max, F.lag)
     edges = (
-        history.groupBy(*keys, STRETCH)
+        history.where(LONG)
+        .groupBy(*keys, STRETCH)
         .agg(edge(order).alias("_edge"))
-        .select(*keys, STRETCH, step("_edge").over(across).alias("_beyond"))
+        .select(*keys, STRETCH, step("_edge").over(_across(keys)).alias("_beyond"))
     )
     return (
         history.withColumn("_inner", step(order).over(within))

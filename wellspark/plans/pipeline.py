@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +30,21 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build(spark: SparkSession, raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+def materialize_all(tables: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """Write independent tables side by side, so small ones do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        stored = pool.map(lambda item: materialize(item[1], f"{out}/{item[0]}"), tables.items())
+        return dict(zip(tables, stored))
+
+
+def build(raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Write staging models and marts below ``out`` and return them as read from there.
 
     Staged rows are written before the marts that read them several times, and every check
     then reads the stored tables, so no source is scanned twice.
     """
-    staged = {n: materialize(df, f"{out}/{n}") for n, df in stage(raw).items()}
-    marts = {n: materialize(df, f"{out}/{n}") for n, df in build_marts(staged).items()}
-    return {**staged, **marts}
+    staged = materialize_all(stage(raw), out)
+    return {**staged, **materialize_all(build_marts(staged), out)}
 
 
 def run(
@@ -53,7 +60,7 @@ def run(
     otherwise the caller takes them from ``Run.tables``.
     """
     out = out or shared_dir(spark, "marts")
-    tables = build(spark, raw, f"{out}/candidate")
+    tables = build(raw, f"{out}/candidate")
     checks = standing_checks() if checks is None else list(checks)
     report = materialize(run_checks(checks, tables).coalesce(1), f"{out}/report")
     passed = report.where(~F.col("passed")).isEmpty()

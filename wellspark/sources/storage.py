@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import warnings
 from collections.abc import Iterable, Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ from wellspark.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 FORMATS = ("parquet", "csv")
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="wellspark-")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the one the cluster shares for checkpoints.
 
@@ -27,7 +33,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="wellspark-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

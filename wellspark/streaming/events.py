@@ -148,7 +148,7 @@ def offset_gaps(
     predecessor in stretches of ``width``, so a few huge partitions use the whole cluster.
     """
     counted = stored.groupBy(partition, offset).agg(F.count(F.lit(1)).alias("_n"))
-    compared = neighbour(counted, [partition], offset, "after_offset", forward=False, width=width)
+    compared = neighbour(counted, [partition], offset, "after_offset", False, width, limit=None)
     missing = F.coalesce(F.col(offset) - F.col("after_offset") - 1, F.lit(0)).cast("bigint")
     return (
         compared.select(
