@@ -58,7 +58,8 @@ def as_of_join(
         F.unix_date(start).cast("bigint").alias("_from"),
         F.coalesce(until.cast("bigint"), F.lit(FOREVER)).alias("_until"),
     ).where("_from <= _until")
-    last = stretch_of(versions.agg(F.max("_from")).scalar(), width)
+    newest = dim.agg(F.max(F.unix_date(start)).cast("bigint")).scalar()
+    last = stretch_of(newest, width)
     reached = F.sequence(
         stretch_of(F.col("_from"), width),
         F.least(stretch_of(F.col("_until"), width), last),
