@@ -97,8 +97,8 @@ def test_layouts(spark, tmp_path):
     storage.write_scores(df, f"{tmp_path}/year", "day")
     folders = {n: sorted(f for f in os.listdir(tmp_path / n) if "=" in f) for n in ("day", "month", "year")}
     assert folders == {
-        "day": ["part_day=2024-01-01", "part_day=2024-01-02"],
-        "month": ["part_month=2024-01-01"],
+        "day": ["day=2024-01-01", "day=2024-01-02"],
+        "month": ["day_month=2024-01-01"],
         "year": ["year=2024"],
     }
     with pytest.raises(ValueError):
@@ -172,8 +172,36 @@ def test_overwrite_partitions_and_interval(spark, tmp_path):
 def test_publish_version_switches_the_view(spark):
     for value in (1, 2):
         path = storage.shared_dir(spark, "published")
-        loads.publish_version(fact(spark, (1, 1, value)), "live_fact", path)
-        assert rows(spark.table("live_fact"), "v") == [(value,)]
+        storage.write_fact(fact(spark, (1, 1, value), (1, 2, value)), path, "day")
+        loads.publish(spark, "live_fact", path)
+        assert rows(spark.table("live_fact"), "v") == [(value,), (value,)]
+    plan = plan_of(spark.table("live_fact").where("day = date'2024-01-02'"))
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+@pytest.mark.parametrize("strategy", ["append", "delete_insert", "insert_overwrite"])
+def test_incremental_runs(spark, tmp_path, strategy):
+    path, keys = f"{tmp_path}/t", ["user_id", "day"]
+    early = fact(spark, (1, 1, 1), (2, 1, 1), (1, 2, 1))
+    late = fact(spark, (1, 1, 1), (2, 1, 1), (1, 2, 5), (9, 2, 5), (1, 3, 5))
+    stored = lambda: rows(spark.read.parquet(path), "user_id", "day", "v")
+    loads.load_incremental(spark, early, path, "day", keys, strategy)
+    assert stored() == rows(early)
+    for _ in range(2):
+        loads.load_incremental(spark, late, path, "day", keys, strategy)
+        assert stored() == rows(early.unionByName(fact(spark, (1, 3, 5))))
+    if strategy != "append":
+        loads.load_incremental(spark, late, path, "day", keys, strategy, lookback_days=2)
+        assert stored() == rows(late)
+    loads.load_incremental(spark, early, path, "day", keys, strategy, full=True)
+    assert stored() == rows(early)
+
+
+def test_incremental_refuses_what_would_duplicate(spark, tmp_path):
+    with pytest.raises(ValueError):
+        loads.load_incremental(spark, fact(spark), str(tmp_path), "day", [], "append", lookback_days=1)
+    with pytest.raises(ValueError):
+        loads.load_incremental(spark, fact(spark), str(tmp_path), "day", [], "merge")
 
 
 def test_jdbc_load_options():

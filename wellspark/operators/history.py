@@ -16,7 +16,13 @@ from wellspark.operators.windows import neighbour
 def scd2_from_spans(history: DataFrame) -> DataFrame:
     """Type-2 versions: each span ends the day before the next, the last one is open-ended."""
     open_end = F.lit(OPEN_END).cast("date")
-    spans = neighbour(history, ["user_id"], "effective_from", "_next")
+    spans = neighbour(
+        history,
+        ["user_id"],
+        "effective_from",
+        "_next",
+        ties=["membership_tier", "company"],
+    )
     valid_to = F.coalesce(F.date_sub("_next", 1), open_end)
     return spans.select(
         surrogate_key(["user_id", "effective_from"]).alias("user_version_key"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.operators.aggregates import high_water
-from wellspark.sources.storage import shared_dir, write_partitioned
+from wellspark.sources.storage import read_if_there, shared_dir, write_fact, write_partitioned
 
 
 def new_rows(src: DataFrame, target: DataFrame, date: str, lookback_days: int = 0) -> DataFrame:
@@ -75,12 +75,45 @@ def run_interval(
     overwrite_partitions(src.where(F.col(date).between(F.lit(start), F.lit(end))), path, part)
 
 
-def publish_version(df: DataFrame, view: str, path: str) -> None:
-    """Write a new version of a table to ``path`` and point the view at it as the last step.
+def load_incremental(
+    spark: SparkSession,
+    src: DataFrame,
+    path: str,
+    date: str,
+    keys: Sequence[str],
+    strategy: str = "delete_insert",
+    lookback_days: int = 0,
+    full: bool = False,
+) -> None:
+    """One run of an incremental fact stored in a folder per day of ``date``.
 
-    Readers see the old version until the new one is complete; a failed run leaves the view
-    untouched and can be repeated with another path.
+    The first run and a ``full`` one build the table from the whole source. Later runs take
+    the rows after the newest loaded date, or from ``lookback_days`` before it, and append
+    them, replace equal keys (``delete_insert``), or replace their days
+    (``insert_overwrite``). The newest date is looked up first, a single value, so that it
+    prunes the source scan and the target is not read while being written.
+    """
+    if strategy not in ("append", "delete_insert", "insert_overwrite"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "append" and lookback_days:
+        raise ValueError("appending days that are already loaded would duplicate their rows")
+    target = read_if_there(spark, path)
+    if full or target is None:
+        write_fact(src, path, date)
+        return
+    mark = high_water(target, date).first()["high_water"]
+    batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
+    if strategy == "append":
+        write_fact(batch, path, date, mode="append")
+    elif strategy == "insert_overwrite":
+        overwrite_partitions(batch, path, date)
+    else:
+        apply_delete_insert(spark, path, batch, keys, date)
+
+
+def publish(spark: SparkSession, view: str, path: str) -> None:
+    """Point a view at the parquet table in ``path``: the switch to a new version.
+
+    Readers see the old version until then; no rows are copied.
     """
-    table = f"{view}_{path.rstrip('/').rsplit('-', 1)[-1]}"
-    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")

@@ -199,11 +199,15 @@ def neighbour(
     forward: bool = True,
     width: int = MONTH,
     limit: int | None = LIMIT,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """The next (or previous) value of ``order`` within a key: lead/lag of the order itself."""
+    """The next (or previous) value of ``order`` within a key: lead/lag of the order itself.
+
+    ``ties`` orders rows of one position, which are each other's neighbours.
+    """
     keys = list(keys)
     history = split_history(df, keys, order, width, limit)
-    within = Window.partitionBy(*keys, STRETCH).orderBy(order)
+    within = Window.partitionBy(*keys, STRETCH).orderBy(order, *ties)
     edge, step = (F.min, F.lead) if forward else (F.max, F.lag)
     edges = (
         history.where(LONG)

@@ -204,7 +204,7 @@ def layout_fact_tables(spark, sf):
         spark.read.parquet(f"{path}/{name}")
         .groupBy(F.lit(name).alias("table_name"), F.col(part).alias("partition_date"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        for name, part in (("activity", "part_day"), ("scan", "part_month"))
+        for name, part in (("activity", "activity_date"), ("scan", "scan_date_month"))
     ]
     return reshape.union_all(*parts)
 
@@ -706,12 +706,11 @@ def _loaded(spark, sf, label):
 
 @query
 def incremental_append(spark, sf):
+    """A first load up to a day, the rest appended, and a run that finds nothing new."""
     source = _daily_totals(spark, sf)
     path = storage.shared_dir(spark, "append")
-    loaded = source.where(F.col("activity_date") <= F.lit(LOADED_TO))
-    storage.write_partitioned(loaded, path, "activity_date", "user_id")
-    fresh = loads.new_rows(source, spark.read.parquet(path), "activity_date")
-    storage.write_partitioned(fresh, path, "activity_date", "user_id", mode="append")
+    for known in (source.where(F.col("activity_date") <= F.lit(LOADED_TO)), source, source):
+        loads.load_incremental(spark, known, path, "activity_date", DAILY[:2], "append")
     return spark.read.parquet(path).select(*DAILY)
 
 
@@ -1001,7 +1000,7 @@ def ab_decision_report(spark, sf):
 
 @query
 def ab_assign(spark, sf):
-    return ab.assign(users(spark, sf), "notif_template_v1", 0.5)
+    return ab.assign(users(spark, sf), "template_test", 0.5)
 
 
 # Selection weights of the wearable devices (the scale is not eligible).

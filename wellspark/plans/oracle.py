@@ -926,8 +926,8 @@ select experiment_name, engaged_a, engaged_b, n_a, n_b, {_decimal_round('p_a', 5
        case when z_p < 0.05 then 'reject' else 'fail to reject' end as decision
 from r"""
 SQL["ab_assign"] = """
-select user_id, 'notif_template_v1' as experiment_name,
-       case when ('0x' || substr(md5('notif_template_v1:' || user_id), 1, 8))::bigint % 10000 < 5000
+select user_id, 'template_test' as experiment_name,
+       case when ('0x' || substr(md5('template_test:' || user_id), 1, 8))::bigint % 10000 < 5000
             then 'B' else 'A' end as variant
 from users"""
 SQL["weighted_assign"] = """

@@ -45,6 +45,19 @@ def scan(
     return reader.parquet(f"{directory}/{name}.parquet")
 
 
+def read_if_there(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The parquet table at ``path``, or None where nothing has been written yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and declared types; a row that does not fit fails the read."""
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
@@ -61,11 +74,8 @@ def load_sources(
     for name in RAW_TABLES:
         if name not in wanted:
             continue
-        try:
-            table = scan(spark, directory, name, RAW_SCHEMAS[name])
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        table = read_if_there(spark, f"{directory}/{name}.parquet", RAW_SCHEMAS[name])
+        if table is None:
             warnings.warn(f"skipping {name}: no file in {directory}", stacklevel=2)
             continue
         table.createOrReplaceTempView(name)
@@ -161,11 +171,18 @@ def write_scores(df: DataFrame, path: str, date: str = "activity_date") -> None:
 def write_fact(
     df: DataFrame, path: str, date: str, granularity: str = "day", mode: str = "overwrite"
 ) -> None:
-    """Fact layout: one folder per day or month of ``date``, rows clustered by user."""
-    if granularity not in ("day", "month"):
+    """Fact layout: one folder per day or month of ``date``, rows clustered by user.
+
+    Days are the date column itself, so a filter on it skips folders; months get a column
+    ``<date>_month``.
+    """
+    if granularity == "day":
+        write_partitioned(df, path, date, "user_id", mode)
+    elif granularity == "month":
+        part = f"{date}_month"
+        write_partitioned(df.withColumn(part, F.trunc(date, "month")), path, part, "user_id", mode)
+    else:
         raise ValueError(f"unsupported granularity {granularity!r}")
-    part = F.col(date) if granularity == "day" else F.trunc(date, "month")
-    write_partitioned(df.withColumn(f"part_{granularity}", part), path, f"part_{granularity}", "user_id", mode)
 
 
 def write_partitioned(

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wellspark.sources.storage import read_if_there
 from wellspark.streaming.events import classify, split_errors
 
 SPAN = "id_span"
@@ -50,16 +50,12 @@ def append_unseen(
         low, high = rows.agg(F.min(SPAN), F.max(SPAN)).first()
         if low is None:
             return
-        try:
-            stored = spark.read.schema(rows.schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            unseen = rows
-        else:
+        stored = read_if_there(spark, path, rows.schema)
+        unseen = rows
+        if stored is not None:
             held = stored.where(F.col(SPAN).between(low, high)).select(*keys)
             unseen = rows.join(held, keys, "left_anti")
-        unseen.write.mode("append").partitionBy(SPAN).parquet(path)
+        unseen.hint("rebalance", F.col(SPAN)).write.mode("append").partitionBy(SPAN).parquet(path)
     finally:
         rows.unpersist()
 
