@@ -69,6 +69,14 @@ def test_calendar_frames_equal_brute_force(spark, n, width):
     assert got == brute(data, lambda mine, i, day: [v for d, v in mine if day - low <= d <= day])
 
 
+def test_repeated_days_do_not_depend_on_the_split(spark):
+    rng = random.Random(1)
+    data = [(1, START + dt.timedelta(rng.randrange(20)), float(rng.randrange(100))) for _ in range(80)]
+    plain = rows(windows.rolling_score(frame(spark, data), 7))
+    for width in (1, 3):
+        assert rows(windows.rolling_score(frame(spark, data), 7, width=width, limit=None)) == plain
+
+
 def test_dates_before_the_epoch(spark):
     data = [(1, dt.date(1969, 12, 30) + dt.timedelta(i), float(i)) for i in range(5)]
     for width in (2, 3, 366):

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wellspark.functions.scalars import EPOCH_START
 from wellspark.operators.aggregates import high_water
 from wellspark.sources.storage import read_if_there, shared_dir, write_fact, write_partitioned
 
@@ -92,23 +93,45 @@ def load_incremental(
     them, replace equal keys (``delete_insert``), or replace their days
     (``insert_overwrite``). The newest date is looked up first, a single value, so that it
     prunes the source scan and the target is not read while being written.
+
+    The date is kept beside the table and moved on after a run has finished. A run that broke
+    off while folders were being put in place is therefore repeated in full, and as every
+    strategy replaces what it finds for its days or keys, the repetition adds nothing twice.
     """
     if strategy not in ("append", "delete_insert", "insert_overwrite"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "append" and lookback_days:
         raise ValueError("appending days that are already loaded would duplicate their rows")
-    target = read_if_there(spark, path)
-    if full or target is None:
+    mark = None if full else _newest_loaded(spark, path, date)
+    if mark is None:
+        _set_newest_loaded(spark, path, EPOCH_START)
         write_fact(src, path, date)
-        return
-    mark = high_water(target, date).first()["high_water"]
-    batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
-    if strategy == "append":
-        write_fact(batch, path, date, mode="append")
-    elif strategy == "insert_overwrite":
-        overwrite_partitions(batch, path, date)
     else:
-        apply_delete_insert(spark, path, batch, keys, date)
+        batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
+        if strategy == "delete_insert":
+            apply_delete_insert(spark, path, batch, keys, date)
+        else:  # days after the newest loaded one are new folders, so appending replaces none
+            overwrite_partitions(batch, path, date)
+    loaded = high_water(spark.read.parquet(path), date)
+    _set_newest_loaded(spark, path, loaded.first()["high_water"])
+
+
+def _marks(path: str) -> str:
+    return path.rstrip("/") + "-loaded"
+
+
+def _newest_loaded(spark: SparkSession, path: str, date: str) -> dt.date | None:
+    """The newest date of the last finished run, of the table if none is recorded, or None."""
+    marks = read_if_there(spark, _marks(path))
+    if marks is not None:
+        return marks.first()["high_water"]
+    target = read_if_there(spark, path)
+    return None if target is None else high_water(target, date).first()["high_water"]
+
+
+def _set_newest_loaded(spark: SparkSession, path: str, day: dt.date) -> None:
+    mark = spark.range(1).select(F.lit(day).alias("high_water"))
+    mark.write.mode("overwrite").parquet(_marks(path))
 
 
 def publish(spark: SparkSession, view: str, path: str) -> None:

@@ -82,12 +82,15 @@ def rolling_score(
     history = split_history(df, [key], date, width, limit).withColumn(
         "_value", F.col(score).cast(EXACT)
     )
-    within = Window.partitionBy(key, STRETCH).orderBy(POS)
+    # Equal dates are no daily grain; the value decides their order, so that it is settled.
+    within = Window.partitionBy(key, STRETCH).orderBy(POS, "_value")
     frame = within.rowsBetween(-reach, 0)
 
     # The last rows of every stretch, and from them what the following stretches lack.
     # row_number <= reach is cut to that many rows per group before the shuffle.
-    newest_first = Window.partitionBy(key, STRETCH).orderBy(F.col(POS).desc())
+    newest_first = Window.partitionBy(key, STRETCH).orderBy(
+        F.col(POS).desc(), F.col("_value").desc()
+    )
     tails = (
         history.where(LONG)
         .select(key, STRETCH, POS, "_value")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.functions.scalars import clip
@@ -227,12 +227,18 @@ def shipments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _micros(ts: str) -> Column:
+    """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
+    seconds = F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+    return seconds * 1000000 + (F.extract(F.lit("SECOND"), ts) * 1000000).cast("bigint")
+
+
 def wearable_events(spark: SparkSession, sf: str) -> DataFrame:
     """Single readings in the shape the stream publishes."""
     return events(spark, sf).select(
         "event_id",
         F.col("user_id").cast("int").alias("user_id"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).alias("ts"),
+        (_micros("ts") / 1000000).alias("ts"),
         clip(40 + F.floor("amount").cast("int"), 40, 195).cast("int").alias("heart_rate"),
         F.get_json_object("props", "$.k").cast("int").alias("steps_delta"),
         F.col("event_type").alias("device"),
