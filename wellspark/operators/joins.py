@@ -7,7 +7,7 @@ beyond it, where AQE splits skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.operators.windows import STRETCH, YEAR, neighbour, stretch_of
@@ -26,6 +26,10 @@ def stamp_device(activity: DataFrame, users: DataFrame) -> DataFrame:
     return activity.drop("device_id").join(devices, "user_id", "left")
 
 
+def _day(date: str) -> Column:
+    return F.unix_date(F.to_date(date)).cast("bigint")
+
+
 def as_of_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -49,16 +53,16 @@ def as_of_join(
     versions = dim.dropna(subset=[key, start])
     if end is None:
         versions = neighbour(versions, [key], start, "_next")
-        until = F.unix_date("_next") - 1
+        until = _day("_next") - 1
     else:
-        until = F.unix_date(end)
+        until = _day(end)
     versions = versions.select(
         F.col(key).alias("_key"),
         F.struct(*payload).alias("_version"),
-        F.unix_date(start).cast("bigint").alias("_from"),
-        F.coalesce(until.cast("bigint"), F.lit(FOREVER)).alias("_until"),
+        _day(start).alias("_from"),
+        F.coalesce(until, F.lit(FOREVER)).alias("_until"),
     ).where("_from <= _until")
-    newest = dim.agg(F.max(F.unix_date(start)).cast("bigint")).scalar()
+    newest = dim.agg(F.max(_day(start))).scalar()
     last = stretch_of(newest, width)
     reached = F.sequence(
         stretch_of(F.col("_from"), width),
@@ -66,8 +70,7 @@ def as_of_join(
         F.lit(width).cast("bigint"),
     )
     listed = versions.withColumn("_part", F.explode(reached))
-    day = F.unix_date(date).cast("bigint")
-    asked = fact.withColumn("_day", day).withColumn(
+    asked = fact.withColumn("_day", _day(date)).withColumn(
         STRETCH, F.least(stretch_of(F.col("_day"), width), last)
     )
     in_force = (

@@ -203,17 +203,21 @@ def neighbour(
     width: int = MONTH,
     limit: int | None = LIMIT,
     ties: Sequence[str] = (),
+    seen_in: DataFrame | None = None,
 ) -> DataFrame:
     """The next (or previous) value of ``order`` within a key: lead/lag of the order itself.
 
-    ``ties`` orders rows of one position, which are each other's neighbours.
+    ``ties`` orders rows of one position, which are each other's neighbours. ``seen_in`` may
+    name a cheaper table with the same keys and positions, for the ends of the
+    stretches.
     """
     keys = list(keys)
     history = split_history(df, keys, order, width, limit)
+    ends = history if seen_in is None else split_history(seen_in, keys, order, width, limit)
     within = Window.partitionBy(*keys, STRETCH).orderBy(order, *ties)
     edge, step = (F.min, F.lead) if forward else (F.max, F.lag)
     edges = (
-        history.where(LONG)
+        ends.where(LONG)
         .groupBy(*keys, STRETCH)
         .agg(edge(order).alias("_edge"))
         .select(*keys, STRETCH, step("_edge").over(_across(keys)).alias("_beyond"))

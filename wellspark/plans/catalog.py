@@ -874,16 +874,21 @@ def check_span_overlap(spark, sf):
     return x.no_overlap(versions)
 
 
+def _missing(days: DataFrame, hours: bool) -> DataFrame:
+    """Absent rows of the users in a table, over the days it spans."""
+    first = days.agg(F.min("activity_date")).scalar()
+    last = days.agg(F.max("activity_date")).scalar()
+    return x.missing_grain(days, days.select("user_id"), first, last, hours=hours)
+
+
 @query
 def check_grain_complete(spark, sf):
-    days = activity(spark, sf)
-    bounds = days.agg(F.min("activity_date").alias("first"), F.max("activity_date").alias("last"))
-    return x.missing_grain(
-        days,
-        days.select("user_id"),
-        bounds.select("first").scalar(),
-        bounds.select("last").scalar(),
-    )
+    return _missing(activity(spark, sf), hours=False)
+
+
+@query
+def check_grain_hours(spark, sf):
+    return _missing(b.intraday_hr(spark, sf), hours=True)
 
 
 @query
@@ -1101,10 +1106,13 @@ def stream_at_least_once(spark, sf):
 @query
 def stream_bounded_run(spark, sf):
     """A run stopped after its first rows is completed by the next one."""
-    path = storage.shared_dir(spark, "bounded")
-    _records(spark, sf).repartition(4, "key").write.parquet(f"{path}/in")
+    path, records = storage.shared_dir(spark, "bounded"), _records(spark, sf)
+    users = F.col("key").cast("bigint")
+    for part in (users % 2 == 0, users % 2 == 1):  # two sendings, hence two files or more
+        records.where(part).write.mode("append").parquet(f"{path}/in")
+    half = -(-len(spark.read.parquet(f"{path}/in").inputFiles()) // 2)
     for limit in (1, None):
-        stream = ev.read_files(spark, f"{path}/in", maxFilesPerTrigger="1")
+        stream = ev.read_files(spark, f"{path}/in", maxFilesPerTrigger=str(half))
         sinks.run_available(stream, f"{path}/events", f"{path}/checkpoint", max_rows=limit)
     return _stored(spark, path).groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
 

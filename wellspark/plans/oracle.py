@@ -845,6 +845,13 @@ from (select distinct user_id from activity) u
      cross join (select cast(unnest(generate_series(min(activity_date), max(activity_date), interval 1 day)) as date)
                         as activity_date from activity) d
 except select user_id, activity_date from activity"""
+SQL["check_grain_hours"] = """
+select u.user_id, d.activity_date, h.hour
+from (select distinct user_id from raw_intraday) u
+     cross join (select cast(unnest(generate_series(min(activity_date), max(activity_date), interval 1 day)) as date)
+                        as activity_date from raw_intraday) d
+     cross join (select cast(unnest(range(24)) as bigint) as hour) h
+except select user_id, activity_date, hour from raw_intraday"""
 SQL["check_schema"] = """
 select n.n_rows, t.table_name, t.column_name
 from (values ('wearable_events', 'heart_rate'), ('wearable_events', 'steps_delta'),

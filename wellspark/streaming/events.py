@@ -15,6 +15,7 @@ from wellspark.operators.windows import neighbour
 from wellspark.sources.schemas import EVENT, RECORD
 
 PARTITIONS = 3
+FILES_PER_BATCH = "1000"
 BROKEN = "_broken"
 REQUIRED = ("event_id", "user_id", "ts")
 
@@ -22,7 +23,12 @@ REQUIRED = ("event_id", "user_id", "ts")
 def read_files(
     spark: SparkSession, path: str, schema: T.StructType = RECORD, **options: str
 ) -> DataFrame:
-    """Files below a path as a stream, from the first file on."""
+    """Files below a path as a stream, from the first file on.
+
+    ``maxFilesPerTrigger`` bounds a micro-batch, so that a long backlog is worked off in
+    pieces.
+    """
+    options = {"maxFilesPerTrigger": FILES_PER_BATCH, **options}
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
@@ -147,8 +153,11 @@ def offset_gaps(
     rows carry ``at_offset``. Offsets are counted first and then compared with their
     predecessor in stretches of ``width``, so a few huge partitions use the whole cluster.
     """
+    stored = stored.select(partition, offset)
     counted = stored.groupBy(partition, offset).agg(F.count(F.lit(1)).alias("_n"))
-    compared = neighbour(counted, [partition], offset, "after_offset", False, width, limit=None)
+    compared = neighbour(
+        counted, [partition], offset, "after_offset", False, width, limit=None, seen_in=stored
+    )
     missing = F.coalesce(F.col(offset) - F.col("after_offset") - 1, F.lit(0)).cast("bigint")
     return (
         compared.select(

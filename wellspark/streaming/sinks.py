@@ -41,7 +41,8 @@ def append_unseen(
 
     The table is partitioned by spans of ``span_of``, one of the keys: equal keys share a
     span, so only the spans the batch reaches are read for the comparison, however large
-    the table has become.
+    the table has become. Ids given out in sequence make these few; with random ids every
+    batch meets every span and only the key columns are read.
     """
     spark, keys = rows.sparkSession, list(keys)
     value = F.col(span_of)
