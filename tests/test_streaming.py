@@ -150,3 +150,24 @@ def test_offset_gaps(spark, width):
     offsets = [(0, 0), (0, 1), (0, 5), (0, 5), (0, 6), (1, 3), (1, 4)]
     df = spark.createDataFrame(offsets, "partition int, offset bigint")
     assert rows(ev.offset_gaps(df, width=width)) == [(0, 1, 5, 3, 1)]
+
+
+def test_crash_after_storing_repeats_the_batch_without_duplicates(topic, monkeypatch):
+    """The batch is stored but not recorded as done; the restarted run stores it again."""
+    topic.send(*[record(i) for i in range(6)], ("k", "{", 0, 50))
+    real, calls = sinks.store_errors, []
+
+    def failing(batch, path, **options):
+        real(batch, path, **options)
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "store_errors", failing)
+    with pytest.raises(Exception, match="lost"):
+        topic.run()
+    assert topic.stored("event_id") == [(i,) for i in range(6)]
+    topic.run()
+    assert len(calls) == 2  # the same batch, from the same checkpoint
+    assert topic.stored("event_id") == [(i,) for i in range(6)]
+    assert topic.errors("offset") == [(50,)]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ OPEN_END = dt.date(9999, 12, 31)
 EPOCH_START = dt.date(1900, 1, 1)
 KEY_NULL_MARKER = "_dbt_utils_surrogate_key_null_"
 STEP_GOAL = 10000
+SCORE_WEIGHTS = {"steps": 0.4, "sleep_minutes": 0.3, "resting_hr": 0.3}
+SCORE_STEPS, SCORE_SLEEP, SCORE_HEART_WORST, SCORE_HEART_RANGE = 10000.0, 450.0, 90.0, 35.0
 
 
 def as_col(value: Column | str) -> Column:
@@ -77,19 +81,30 @@ def stable_round(value: Column | str, scale: int, digits: int = 6) -> Column:
 def subscore(null_policy: str = "credit") -> Column:
     """0-100 daily score from steps, sleep_minutes and resting_hr, rounded to 2 decimals.
 
-    40% steps up to 10,000; 30% closeness of sleep to 450 minutes; 30% resting heart rate
-    from 90 down to 55. Steps have no lower bound. With ``credit`` a null steps or heart
-    rate counts as full marks and a null sleep as none, because least and greatest skip
-    nulls; with ``propagate`` any null input makes the score null.
+    Steps count up to a full day's goal and have no lower bound; sleep counts by its
+    closeness to the ideal; the resting heart rate between its worst and best value. With
+    ``credit`` a null steps or heart rate counts as full marks and a null sleep as none,
+    because least and greatest skip nulls; with ``propagate`` any null makes the score null.
     """
     if null_policy not in ("credit", "propagate"):
         raise ValueError(f"unknown null policy {null_policy!r}")
-    steps, sleep, rhr = F.col("steps"), F.col("sleep_minutes"), F.col("resting_hr").cast("double")
-    moving = F.least(F.lit(1.0), steps / F.lit(10000.0))
-    resting = F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(sleep - F.lit(450)) / F.lit(450.0))
-    heart = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.lit(90.0) - rhr) / F.lit(35.0)))
-    score = F.round((moving * 0.4 + resting * 0.3 + heart * 0.3) * 100.0, 2)
+    measured = [F.col(c).cast("double") for c in SCORE_WEIGHTS]
+    steps, sleep, heart = measured
+    marks = [
+        _at_most_one(steps / SCORE_STEPS),
+        _at_least_zero(1.0 - F.abs(sleep - SCORE_SLEEP) / SCORE_SLEEP),
+        _at_least_zero(_at_most_one((SCORE_HEART_WORST - heart) / SCORE_HEART_RANGE)),
+    ]
+    weighted = [mark * weight for mark, weight in zip(marks, SCORE_WEIGHTS.values())]
+    score = F.round(reduce(add, weighted) * 100.0, 2)
     if null_policy == "propagate":
-        known = steps.isNotNull() & sleep.isNotNull() & rhr.isNotNull()
-        return F.when(known, score)
+        return F.when(reduce(and_, [c.isNotNull() for c in measured]), score)
     return score
+
+
+def _at_most_one(share: Column) -> Column:
+    return F.least(share, F.lit(1.0))
+
+
+def _at_least_zero(share: Column) -> Column:
+    return F.greatest(share, F.lit(0.0))

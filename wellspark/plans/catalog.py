@@ -916,12 +916,10 @@ def check_reconcile_load(spark, sf):
 
 @query
 def dq_report(spark, sf):
-    tables = {
-        "activity": activity(spark, sf),
-        "users": users(spark, sf),
-        "meals": meals(spark, sf),
-        "lines": storage.scan(spark, sf, "lineitem"),
-    }
+    """Checks with findings; the derived tables are stored first, as in the pipeline."""
+    derived = {"activity": activity(spark, sf), "users": users(spark, sf), "meals": meals(spark, sf)}
+    tables = pipeline.store_all(derived, storage.shared_dir(spark, "report"))
+    tables["lines"] = storage.scan(spark, sf, "lineitem")
     return x.run_checks(
         [
             quality.between("activity", "steps", (500, 30000)),
@@ -1026,13 +1024,8 @@ EVENTS = columns(
 
 def _records(spark, sf):
     """The event table as records of a three-partition topic; event ids serve as offsets."""
-    readings = b.wearable_events(spark, sf)
-    return ev.place(
-        ev.to_records(readings).withColumn(
-            "id", F.get_json_object("value", "$.event_id").cast("bigint")
-        ),
-        "id",
-    ).drop("id")
+    records = ev.to_records(b.wearable_events(spark, sf), "event_id")
+    return ev.place(records, "event_id").drop("event_id")
 
 
 def _landed(spark, sf, label, records=None):

@@ -121,8 +121,8 @@ from users u left join newest_span s on u.user_id = s.user_id""",
 select md5(cast(user_id as varchar) || '-' || cast(valid_from as varchar)) as user_version_key, *,
        valid_to = date '9999-12-31' as is_current
 from (select user_id, membership_tier, company, effective_from as valid_from,
-             coalesce(cast(lead(effective_from) over (partition by user_id order by effective_from)
-                           - interval 1 day as date), date '9999-12-31') as valid_to
+             cast(lead(effective_from, 1, date '10000-01-01')
+                    over (partition by user_id order by effective_from) - 1 as date) as valid_to
       from spans)""",
     "enriched": """
 select *, cast(case when sleep_minutes = 0 then null else

@@ -52,11 +52,12 @@ def partition_of(user_id: Column | str, n: int = PARTITIONS) -> Column:
     return hash_bucket("user", user_id, n)
 
 
-def to_records(events: DataFrame) -> DataFrame:
-    """Events as key (user_id text) and JSON value."""
+def to_records(events: DataFrame, *keep: str) -> DataFrame:
+    """Events as key (user_id text) and JSON value, with the columns to ``keep``."""
     return events.select(
         F.col("user_id").cast("string").alias("key"),
         F.to_json(F.struct(*[f.name for f in EVENT])).alias("value"),
+        *keep,
     )
 
 
