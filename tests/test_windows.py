@@ -7,7 +7,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 
 from conftest import plan_of, rows
-from wellspark.operators import windows
+from wellspark.operators import metrics, windows
 from wellspark.plans import health_score
 
 START = dt.date(2024, 1, 1)
@@ -193,3 +193,21 @@ def test_backfill_reads_only_the_days_it_needs(spark, tmp_path):
     whole = health_score.rolling_calendar_score(stored).where(f"activity_date between '{start}' and '{end}'")
     assert rows(part) == rows(whole)
     assert "GreaterThanOrEqual(activity_date,2024-01-12)" in plan_of(part)
+
+
+def test_row_backfill_reaches_over_missing_days(spark):
+    rng = random.Random(8)
+    data = [
+        (u, START + dt.timedelta(i), rng.randrange(20000), 400, 60.0)
+        for u in range(4)
+        for i in range(60)
+        if rng.random() < (0.2 if u else 1.0)
+    ]
+    schema = "user_id int, activity_date date, steps int, sleep_minutes int, resting_hr double"
+    days = spark.createDataFrame(data, schema)
+    start, end = START + dt.timedelta(40), START + dt.timedelta(50)
+    part = health_score.rolling_row_interval(days, start, end, 7)
+    scored = metrics.daily_subscore(days).select("user_id", "activity_date", "daily_score")
+    whole = windows.rolling_score(scored, 7).where(f"activity_date between '{start}' and '{end}'")
+    assert rows(part) == rows(whole)
+    assert "WindowGroupLimit" in plan_of(part)

@@ -21,11 +21,10 @@ from pyspark.sql import types as T
 
 from wellspark.functions.scalars import exact_mean
 
-YEAR = 366
+# Days per stretch, and the rows above which a history is split.
+YEAR, MONTH, LIMIT = 366, 31, 1_000_000
 # Scores are added as decimals: exact, whatever the order.
 EXACT, TOTAL = "decimal(18,6)", "decimal(24,6)"
-MONTH = 31
-LIMIT = 1_000_000
 POS, STRETCH, LONG = "_pos", "_stretch", "_long"
 
 
@@ -100,11 +99,13 @@ def rolling_score(
         .agg(F.sort_array(F.collect_list(F.struct(POS, "_value"))).alias("_tail"))
     )
     earlier = _across([key]).rowsBetween(-max(reach, 1), -1)
-    carried = tails.select(
-        key,
-        STRETCH,
-        F.flatten(F.collect_list("_tail").over(earlier)).alias("_before"),
-    ).where(F.size("_before") > 0)
+    reachable = tails.select(
+        key, STRETCH, F.flatten(F.collect_list("_tail").over(earlier)).alias("_before")
+    )
+    first = F.greatest(F.size("_before") - reach + 1, F.lit(1))
+    carried = reachable.where(F.size("_before") > 0).withColumn(
+        "_before", F.slice("_before", first, F.lit(reach))
+    )
 
     numbered = (
         history.withColumn("_row", F.row_number().over(within))

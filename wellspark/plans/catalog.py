@@ -773,6 +773,11 @@ def rolling_backfill(spark, sf):
     return health_score.rolling_interval(activity(spark, sf), REPLACED_FROM, LOADED_TO, 7)
 
 
+@query
+def rolling_backfill_rows(spark, sf):
+    return health_score.rolling_row_interval(activity(spark, sf), REPLACED_FROM, LOADED_TO, 7)
+
+
 @query
 def run_pipeline(spark, sf):
     outcome = pipeline.run(spark, b.raw_tables(spark, sf))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspark.operators.joins import enrich
@@ -40,6 +40,27 @@ def rolling_interval(activity: DataFrame, start: dt.date, end: dt.date, days: in
     return rolling_calendar_score(needed, days).where(date >= F.lit(start))
 
 
+def rolling_row_interval(
+    activity: DataFrame, start: dt.date, end: dt.date, rows: int = 30
+) -> DataFrame:
+    """Row-frame rolling scores of the dates start..end only, whatever days are missing.
+
+    The first frames need each user's last ``rows - 1`` days before the interval, however
+    far back; a rank limit leaves that many rows per user and task before the shuffle.
+    """
+    date = F.col("activity_date")
+    scored = daily_subscore(activity).select("user_id", "activity_date", "daily_score")
+    newest_first = Window.partitionBy("user_id").orderBy(date.desc(), F.col("daily_score").desc())
+    before = (
+        scored.where(date < F.lit(start))
+        .withColumn("_rank", F.row_number().over(newest_first))
+        .where(F.col("_rank") < rows)
+        .drop("_rank")
+    )
+    needed = scored.where(date.between(F.lit(start), F.lit(end))).unionByName(before)
+    return rolling_score(needed, rows).where(date >= F.lit(start))
+
+
 def compute(spark: SparkSession, directory: str, rows: int = 30) -> DataFrame:
     """The score from the raw tables of a directory."""
     return rolling_health_score(

@@ -629,6 +629,9 @@ from changes"""
 SQL["rolling_backfill"] = f"""
 select * from ({SQL['rolling_7d_calendar']})
 where activity_date between date '2024-01-10' and date '2024-01-20'"""
+SQL["rolling_backfill_rows"] = f"""
+select * from ({SQL['rolling_7d_score']})
+where activity_date between date '2024-01-10' and date '2024-01-20'"""
 
 # Data quality. A counted check: (name, table, SQL giving the number of offending rows).
 

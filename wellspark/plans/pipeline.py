@@ -15,7 +15,6 @@ from wellspark.plans.marts import build_marts, stage
 from wellspark.plans.quality import standing_checks
 from wellspark.sources.storage import shared_dir, write_fact
 
-
 # The date a fact is partitioned by, and how finely.
 FACT_LAYOUT = {
     "fct_daily_activity": ("activity_date", "day"),
