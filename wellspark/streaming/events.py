@@ -99,7 +99,7 @@ def event_time(ts: Column | str) -> Column:
 
 
 def classify(records: DataFrame) -> DataFrame:
-    """Records with their decoded event and, where it cannot be stored, the reason why."""
+    """Decoded events and, where one cannot be stored, the reason why and the record's text."""
     event = F.col("_event")
     reason = (
         F.when(F.col("value").isNull(), "no value")
@@ -108,7 +108,13 @@ def classify(records: DataFrame) -> DataFrame:
             F.array_contains(F.array(*[event[c].isNull() for c in REQUIRED]), True), "missing field"
         )
     )
-    return _parsed(records).withColumn("reason", reason)
+    return _parsed(records).select(
+        "_event",
+        "partition",
+        "offset",
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("value")).alias("value"),
+    )
 
 
 def split_errors(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ holds for rejected records, which are known by (partition, offset).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,41 +35,43 @@ def first_wins(events: DataFrame) -> DataFrame:
 
 
 def append_unseen(
-    rows: DataFrame, path: str, keys: Sequence[str], span_of: str, span_size: int = SPAN_SIZE
+    batch: DataFrame,
+    one_per_key: Callable[[DataFrame], DataFrame],
+    path: str,
+    keys: Sequence[str],
+    span_of: str,
+    span_size: int,
 ) -> None:
-    """Append the rows whose keys the table does not hold yet.
+    """Append one row per key of the batch, for the keys the table does not hold yet.
 
     The table is partitioned by spans of ``span_of``, one of the keys: equal keys share a
     span, so only the spans the batch reaches are read for the comparison, however large
     the table has become. Ids given out in sequence make these few; with random ids every
-    batch meets every span and only the key columns are read.
+    batch meets every span and only the key columns are read. The batch is read twice, for
+    its spans and its rows: hand over a cached one.
     """
-    spark, keys = rows.sparkSession, list(keys)
-    value = F.col(span_of)
-    rows = rows.withColumn(SPAN, value - F.pmod(value, F.lit(span_size))).persist()
-    try:
-        low, high = rows.agg(F.min(SPAN), F.max(SPAN)).first()
-        if low is None:
-            return
-        stored = read_if_there(spark, path, rows.schema)
-        unseen = rows
-        if stored is not None:
-            held = stored.where(F.col(SPAN).between(low, high)).select(*keys)
-            unseen = rows.join(held, keys, "left_anti")
-        unseen.hint("rebalance", F.col(SPAN)).write.mode("append").partitionBy(SPAN).parquet(path)
-    finally:
-        rows.unpersist()
+    spark, keys = batch.sparkSession, list(keys)
+    span = F.col(span_of) - F.pmod(F.col(span_of), F.lit(span_size))
+    low, high = batch.agg(F.min(span), F.max(span)).first()
+    if low is None:
+        return
+    unseen = one_per_key(batch).withColumn(SPAN, span)
+    stored = read_if_there(spark, path, unseen.schema)
+    if stored is not None:
+        held = stored.where(F.col(SPAN).between(low, high)).select(*keys)
+        unseen = unseen.join(held, keys, "left_anti")
+    unseen.hint("rebalance", F.col(SPAN)).write.mode("append").partitionBy(SPAN).parquet(path)
 
 
 def upsert_ignore(batch: DataFrame, path: str, span_size: int = SPAN_SIZE) -> None:
     """Store each event id once; the first one wins, within the batch and against the table."""
-    append_unseen(first_wins(batch), path, ["event_id"], "event_id", span_size)
+    append_unseen(batch, first_wins, path, ["event_id"], "event_id", span_size)
 
 
 def store_errors(batch: DataFrame, path: str, span_size: int = SPAN_SIZE) -> None:
-    append_unseen(
-        batch.dropDuplicates(["partition", "offset"]), path, ["offset", "partition"], "offset", span_size
-    )
+    """Store each rejected record once."""
+    place = ["offset", "partition"]
+    append_unseen(batch, lambda b: b.dropDuplicates(place), path, place, "offset", span_size)
 
 
 def run_available(
