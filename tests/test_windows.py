@@ -211,3 +211,13 @@ def test_row_backfill_reaches_over_missing_days(spark):
     whole = windows.rolling_score(scored, 7).where(f"activity_date between '{start}' and '{end}'")
     assert rows(part) == rows(whole)
     assert "WindowGroupLimit" in plan_of(part)
+
+
+def test_a_long_history_is_cut_and_short_ones_are_not(spark):
+    """A third of all rows at one user: no group of the window exceeds a stretch."""
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, -1, id % 600) as user_id", "id as pos")
+    split = windows.split_history(df, ["user_id"], "pos", width=300, limit=1000)
+    groups = split.groupBy("user_id", windows.STRETCH).count()
+    assert groups.agg({"count": "max"}).first()[0] <= 100
+    assert groups.where("user_id = -1").count() == 30
+    assert groups.where(f"user_id >= 0 and {windows.STRETCH} is not null").isEmpty()

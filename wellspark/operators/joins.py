@@ -48,6 +48,7 @@ def as_of_join(
     are small enough to be broadcast; AQE splits the partitions of a user with very many
     facts. Dates after the last version start share its stretch, which keeps open-ended
     versions from being listed for ever. Without ``end`` a version lasts until the next.
+    A fact appears once per version in force, so versions of a key should not overlap.
     """
     payload = [c for c in dim.columns if c != key]
     versions = dim.dropna(subset=[key, start])

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellspark.sources.schemas import DATE, INT, TEXT, columns
+from wellspark.sources.schemas import BIGINT, DATE, INT, TEXT, columns
 
 
 def numeric(precision: int, scale: int = 1) -> T.DecimalType:
     return T.DecimalType(precision, scale)
 
 
-# Staged column types, in output order.
+# Staged column types, in output order. User ids are bigint, not int: a large
+# population does not fit an int.
 USERS = columns(
-    user_id=INT,
+    user_id=BIGINT,
     full_name=TEXT,
     sex=TEXT,
     age=INT,
@@ -25,9 +26,9 @@ USERS = columns(
     signup_date=DATE,
 )
 DEVICES = columns(device_id=INT, brand=TEXT, model=TEXT, category=TEXT)
-ATTR_HISTORY = columns(user_id=INT, membership_tier=TEXT, company=TEXT, effective_from=DATE)
+ATTR_HISTORY = columns(user_id=BIGINT, membership_tier=TEXT, company=TEXT, effective_from=DATE)
 ACTIVITY = columns(
-    user_id=INT,
+    user_id=BIGINT,
     activity_date=DATE,
     device_id=INT,
     steps=INT,
@@ -40,7 +41,7 @@ ACTIVITY = columns(
     calories=INT,
 )
 SCANS = columns(
-    user_id=INT,
+    user_id=BIGINT,
     scan_date=DATE,
     device_id=INT,
     weight_kg=numeric(6),
@@ -50,7 +51,7 @@ SCANS = columns(
     visceral_fat=numeric(4),
 )
 MEALS = columns(
-    user_id=INT,
+    user_id=BIGINT,
     log_date=DATE,
     meal_type=TEXT,
     calories=numeric(7),
@@ -58,7 +59,7 @@ MEALS = columns(
     carbs_g=numeric(6),
     fat_g=numeric(6),
 )
-ASSIGNMENTS = columns(user_id=INT, experiment_name=TEXT, variant=TEXT, engaged_next_day=INT)
+ASSIGNMENTS = columns(user_id=BIGINT, experiment_name=TEXT, variant=TEXT, engaged_next_day=INT)
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:

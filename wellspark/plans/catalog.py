@@ -394,11 +394,7 @@ def join_anti_fk(spark, sf):
 @query
 def join_asof_scd2(spark, sf):
     versions = h.scd2_from_spans(spans(spark, sf)).select(
-        F.col("user_id").cast("bigint").alias("user_id"),
-        "membership_tier",
-        "company",
-        "valid_from",
-        "valid_to",
+        "user_id", "membership_tier", "company", "valid_from", "valid_to"
     )
     # Line numbers repeat within an order; counting equal rows keeps every one of them.
     return (

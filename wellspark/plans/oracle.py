@@ -46,7 +46,7 @@ select user_id, activity_date, 1 + user_id % 3 as device_id,
        least(660, quiet * 120) * 22 // 100 as sleep_rem_minutes,
        least(660, quiet * 120) - least(660, quiet * 120) * 20 // 100
          - least(660, quiet * 120) * 22 // 100 as sleep_light_minutes,
-       1200 + cast(floor(total * 10) as bigint) as calories
+       least(1200 + cast(floor(total * 10) as bigint), 20000) as calories
 from day_totals""",
     "raw_intraday": """
 select user_id, event_date as activity_date, cast(hour(ts) as bigint) as hour,
@@ -82,14 +82,14 @@ select o_custkey as user_id, cast(l_shipdate as date) as ship_date, l_orderkey,
        cast(l_quantity as decimal(12,2)) as quantity, cast(l_extendedprice as decimal(12,2)) as price
 from lineitem join orders on l_orderkey = o_orderkey""",
     "users": """
-select cast(user_id as integer) as user_id, full_name, sex, cast(age as integer) as age,
+select user_id, full_name, sex, cast(age as integer) as age,
        cast(height_cm as decimal(5,1)) as height_cm, country,
        cast(primary_device_id as integer) as primary_device_id, signup_date
 from raw_user""",
     "spans": """
-select cast(user_id as integer) as user_id, membership_tier, company, effective_from from raw_history""",
+select user_id, membership_tier, company, effective_from from raw_history""",
     "activity": """
-select cast(user_id as integer) as user_id, activity_date, cast(device_id as integer) as device_id,
+select user_id, activity_date, cast(device_id as integer) as device_id,
        cast(steps as integer) as steps, cast(active_minutes as integer) as active_minutes,
        cast(resting_hr as decimal(5,1)) as resting_hr, cast(sleep_minutes as integer) as sleep_minutes,
        cast(sleep_deep_minutes as integer) as sleep_deep_minutes,
@@ -97,19 +97,19 @@ select cast(user_id as integer) as user_id, activity_date, cast(device_id as int
        cast(sleep_light_minutes as integer) as sleep_light_minutes, cast(calories as integer) as calories
 from raw_activity""",
     "scans": """
-select cast(user_id as integer) as user_id, scan_date, cast(device_id as integer) as device_id,
+select user_id, scan_date, cast(device_id as integer) as device_id,
        cast(weight_kg as decimal(6,1)) as weight_kg, cast(bmi as decimal(4,1)) as bmi,
        cast(body_fat_pct as decimal(4,1)) as body_fat_pct,
        cast(muscle_mass_kg as decimal(5,1)) as muscle_mass_kg,
        cast(visceral_fat as decimal(4,1)) as visceral_fat
 from raw_scan""",
     "meals": """
-select cast(user_id as integer) as user_id, log_date, lower(meal_type) as meal_type,
+select user_id, log_date, lower(meal_type) as meal_type,
        cast(calories as decimal(7,1)) as calories, cast(protein_g as decimal(6,1)) as protein_g,
        cast(carbs_g as decimal(6,1)) as carbs_g, cast(fat_g as decimal(6,1)) as fat_g
 from raw_meal""",
     "assignments": """
-select cast(user_id as integer) as user_id, experiment_name, variant,
+select user_id, experiment_name, variant,
        cast(engaged_next_day as integer) as engaged_next_day
 from raw_experiment""",
     "newest_span": """
@@ -188,7 +188,7 @@ from log group by user_id, event_date""",
 select user_id, event_date as activity_date, count(*) as n, sum(amount) as amount
 from log where event_type <> 'signup' group by user_id, event_date""",
     "readings": """
-select event_id, cast(user_id as integer) as user_id, epoch_us(ts) / 1000000 as ts,
+select event_id, user_id, epoch_us(ts) / 1000000 as ts,
        cast(greatest(least(40 + cast(floor(amount) as integer), 195), 40) as integer) as heart_rate,
        cast(json_extract_string(props, '$.k') as integer) as steps_delta, event_type as device,
        cast(('0x' || substr(md5('user:' || user_id), 1, 8))::bigint % 3 as integer) as "partition",

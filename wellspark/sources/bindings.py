@@ -122,7 +122,7 @@ def daily_activity(spark: SparkSession, sf: str) -> DataFrame:
             (
                 F.col("sleep_minutes") - F.col("sleep_deep_minutes") - F.col("sleep_rem_minutes")
             ).alias("sleep_light_minutes"),
-            (1200 + F.floor(F.col("total") * 10).cast("bigint")).alias("calories"),
+            clip(1200 + F.floor(F.col("total") * 10).cast("bigint"), 1200, 20000).alias("calories"),
         ),
         "daily_activity",
     )
@@ -237,7 +237,7 @@ def wearable_events(spark: SparkSession, sf: str) -> DataFrame:
     """Single readings in the shape the stream publishes."""
     return events(spark, sf).select(
         "event_id",
-        F.col("user_id").cast("int").alias("user_id"),
+        "user_id",
         (_micros("ts") / 1000000).alias("ts"),
         clip(40 + F.floor("amount").cast("int"), 40, 195).cast("int").alias("heart_rate"),
         F.get_json_object("props", "$.k").cast("int").alias("steps_delta"),

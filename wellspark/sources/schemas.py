@@ -72,7 +72,7 @@ DATE_SEED = columns(date_key=INT, date_day=DATE, is_weekend=BOOLEAN)
 
 # One wearable reading as published on the stream.
 EVENT = columns(
-    event_id=BIGINT, user_id=INT, ts=DOUBLE, heart_rate=INT, steps_delta=INT, device=TEXT
+    event_id=BIGINT, user_id=BIGINT, ts=DOUBLE, heart_rate=INT, steps_delta=INT, device=TEXT
 )
 
 # A record as a message source hands it over.
