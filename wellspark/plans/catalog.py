@@ -614,7 +614,7 @@ def union_frames(spark, sf):
 
 @query
 def table_diff(spark, sf):
-    """Meals against activity by type: two builds of the event log that differ in one rule."""
+    """Two builds of the event log that differ in one rule."""
     log = storage.scan(spark, sf, "events").select("user_id", "event_type")
     later = log.withColumn(
         "event_type", F.when(F.col("event_type") == "signup", "view").otherwise(F.col("event_type"))
