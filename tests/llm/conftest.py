@@ -1,0 +1,6 @@
+"""The shared session comes from the folder above; helpers.py is imported from here."""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).parent))
