@@ -7,10 +7,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.llm import decontamination, isolation
+from wellspark.llm import boilerplate, decontamination, isolation, quotations, secret_scan, splitters
 from wellspark.llm.rows import table
 
 
+def mails(conversations: DataFrame) -> DataFrame:
+    """The conversations as mail: every turn but the first quotes in full what it answers, and,
+    two levels deep, the first line of what that had answered.
+
+    A turn answers the turn before it, or every fifth turn the one three before. The given
+    table has no quotes, so without this there would be nothing to link.
+    """
+    said = (
+        conversations.where("conv_id is not null and turn is not null")
+        .groupBy("conv_id", "turn")
+        .agg(F.min("role").alias("q_role"), F.min("text").alias("q_text"))
+    )
+    answered = F.when(F.col("turn") % 5 == 4, F.col("turn") - 3).otherwise(F.col("turn") - 1)
+    up = said.select("conv_id", F.col("turn").alias("up"), "q_role", "q_text", answered.alias("up2"))
+    up2 = said.select(
+        "conv_id",
+        F.col("turn").alias("up2"),
+        F.concat(F.lit("\n>> "), F.split_part("q_text", F.lit("\n"), F.lit(1))).alias("older"),
+    )
+    quoted = F.concat(
+        F.lit("On turn "),
+        F.col("up").cast("string"),
+        F.lit(" "),
+        F.col("q_role"),
+        F.lit(" wrote:\n> "),
+        F.replace("q_text", F.lit("\n"), F.lit("\n> ")),
+        F.coalesce("older", F.lit("")),
+        F.lit("\n"),
+    )
+    return (
+        conversations.withColumn("up", answered)
+        .join(up, ["conv_id", "up"], "left")
+        .join(up2, ["conv_id", "up2"], "left")
+        .select("conv_id", "turn", "role", F.concat(F.coalesce(quoted, F.lit("")), "text").alias("text"))
+    )
+
+
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.conversations(mails(table(spark, sf_dir, "conversations")))
+
+
+def op2_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        boilerplate.host_of(F.col("url")).alias("host"),
+        boilerplate.html_lines(F.col("html")).alias("text"),
+    )
+    cleaned = boilerplate.without_boilerplate(pages, host="host", counts=("n_lines", "n_dropped"))
+    return cleaned.select("page_id", "host", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 def op4_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = isolation.judged(docs, table(spark, sf_dir, "labels"), into="r", keep=["doc_id"])
@@ -19,6 +70,18 @@ def op4_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitters.sharded(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.decontaminated(docs, benchmark, into="r", keep=["doc_id"]).select(
@@ -26,7 +89,73 @@ def op7_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_assignment_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scanned(table(spark, sf_dir, "documents"), into="r", keep=["doc_id"])
+    spans = F.col("r.findings")
+    base = secret_scan.of_kinds(spans, *secret_scan.BASE_KINDS)
+    counts = [
+        F.size(secret_scan.of_kinds(spans, kind)).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_isolation_forest, op7_training_suffix_arrays)
+    f.__name__: f
+    for f in (
+        op1_quotation_linking,
+        op2_site_line_frequency,
+        op4_isolation_forest,
+        op5_sampled_splitters,
+        op7_training_suffix_arrays,
+        op8_assignment_lexer,
+    )
+}
+
+ORACLE: dict[str, str] = {
+    "op2_site_line_frequency": rf"""
+        with shown as (
+            select row_number() over () as row, page_id,
+                nullif(lower(regexp_extract(url, '{boilerplate.HOST}', 1)), '') as host,
+                regexp_replace(regexp_replace(regexp_replace(html,
+                    '{boilerplate.UNSEEN}', chr(10), 'g'),
+                    '{boilerplate.INLINE}', '', 'g'),
+                    '<[^>]*>', chr(10), 'g') as text
+            from pages
+        ), seen as (
+            select row, page_id, host, replace(replace(replace(replace(replace(replace(text,
+                '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '),
+                '&amp;', '&') as text
+            from shown
+        ), lines as (
+            select row, host, unnest(string_split(text, chr(10))) as line,
+                generate_subscripts(string_split(text, chr(10)), 1) as place
+            from seen
+        ), bare as (
+            select *, trim(line, ' ' || chr(9) || chr(13)) as said from lines
+        ), frequent as (
+            select host, said from (
+                select host, said, count(distinct row) as n from bare
+                where said <> '' and host is not null group by host, said
+            ) join (
+                select host, count(*) as pages from seen where host is not null group by host
+            ) using (host)
+            where n >= {boilerplate.LEAST_PAGES} and n > {boilerplate.RATIO} * pages
+        ), marked as (
+            select bare.*, frequent.said is not null as dropped
+            from bare left join frequent on bare.host = frequent.host and bare.said = frequent.said
+        ), kept as (
+            select row, count(*) filter (said <> '') as n_lines, count(*) filter (dropped) as n_dropped,
+                md5(coalesce(string_agg(line, chr(10) order by place) filter (not dropped), '')) as text_md5
+            from marked group by row
+        )
+        select page_id, host, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped,
+            text_md5
+        from seen left join kept using (row)
+    """,
 }
-ORACLE: dict[str, str] = {}
