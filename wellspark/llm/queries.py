@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.llm import boilerplate, decontamination, isolation, quotations, secret_scan, splitters
+from wellspark.llm import (
+    boilerplate,
+    decontamination,
+    isolation,
+    order_minhash,
+    quotations,
+    secret_scan,
+    splitters,
+)
 from wellspark.llm.rows import table
 
 
@@ -105,6 +113,13 @@ def op8_assignment_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.classes(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"), F.hex("node").alias("text_md5")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_sampled_splitters,
         op7_training_suffix_arrays,
         op8_assignment_lexer,
+        op10_order_minhash,
     )
 }
 
