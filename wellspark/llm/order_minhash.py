@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from wellspark.llm import words as W
 from wellspark.llm.components import components
 from wellspark.llm.decontamination import word_hashes
-from wellspark.llm.rows import named, pieces, stored, with_result
+from wellspark.llm.rows import bitmap, in_bitmap, named, pieces, stored, with_result
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -203,29 +203,12 @@ def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    maps = (
-        ends.select(bit.alias("bit"))
-        .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-        .collect()
-    )
-    held = {r.bucket: bytes(r.bits) for r in maps}
-    flags = np.zeros(FILTER_BITS + (1 << 16), dtype=bool)
-    for bucket, bits in held.items():
-        on = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little")
-        # Bucket 1 begins with the number 1, bucket 0 holds the numbers up to 0.
-        first = (bucket - 1) * len(on) + 1
-        at = np.flatnonzero(on) + first
-        flags[at[(at >= 0) & (at < len(flags))]] = True
-        if bucket == 0:
-            flags[0] = True
     context = texts.sparkSession.sparkContext
-    sent = context.broadcast(np.packbits(flags).tobytes())
+    sent = context.broadcast(bitmap(ends.select(bit.alias("bit")), "bit", FILTER_BITS))
 
     def some(batches):
-        wanted = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8))
         for batch in batches:
-            batch = batch.filter(pa.array(wanted[batch.column(2).to_numpy()] > 0))
+            batch = batch.filter(pa.array(in_bitmap(sent.value, batch.column(2).to_numpy())))
             said = pa.compute.fill_null(batch.column(1), "")
             for first, last in pieces(said):
                 packed = packed_words(said.slice(first, last - first))

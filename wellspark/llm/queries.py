@@ -14,6 +14,7 @@ from wellspark.llm import (
     order_minhash,
     quotations,
     secret_scan,
+    sparse_suffixes,
     splitters,
 )
 from wellspark.llm.rows import table
@@ -113,6 +114,10 @@ def op8_assignment_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffixes.passages(table(spark, sf_dir, "documents"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.classes(table(spark, sf_dir, "documents"))
     return found.select(
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_sampled_splitters,
         op7_training_suffix_arrays,
         op8_assignment_lexer,
+        op9_sparse_suffix_arrays,
         op10_order_minhash,
     )
 }

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wellspark.llm.rows import checkpoint_folder, named, stored
+from wellspark.llm.rows import checkpoint_folder, let, stored
 
 #: A line that announces a quote; dropped where the next line is quoted.
 HEADER = r"(?i)^\s*(on\s.*\swrote|am\s.*\sschrieb.*|le\s.*\sa écrit|el\s.*\sescribió)\s*:\s*$"
@@ -39,11 +39,6 @@ def normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, also where the body is a loop over an array."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def runs(text: Column) -> Column:
     """Runs of lines of one level as (level, text); headers of quotes have the level -1."""
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,11 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where the body is a loop over an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,6 +65,29 @@ def checkpoint_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(base)
 
 
+def bitmap(numbers: DataFrame, column: str, bits: int) -> bytes:
+    """A map of ``bits`` bits of which numbers from 0 to ``bits`` - 1 occur in ``column``.
+
+    Its size is fixed, whatever the number of rows; built in parts of 4 KB, in parallel.
+    """
+    from_one = named(column) + 1
+    parts = (
+        numbers.groupBy(F.bitmap_bucket_number(from_one).alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(from_one)).alias("bits"))
+        .collect()
+    )
+    out = np.zeros((max(bits, 1 << 15) >> 15, 1 << 12), dtype=np.uint8)
+    for row in parts:
+        out[row.part - 1] = np.frombuffer(row.bits, dtype=np.uint8)
+    return out.tobytes()
+
+
+def in_bitmap(held: bytes, numbers: np.ndarray) -> np.ndarray:
+    """Which of the numbers are in a map made by ``bitmap``."""
+    flags = np.frombuffer(held, dtype=np.uint8)
+    return (flags[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 > 0
+
+
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes of text, or of one row."""
     sizes = pa.compute.binary_length(texts).to_numpy(zero_copy_only=False)

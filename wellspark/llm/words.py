@@ -122,3 +122,12 @@ def repeated(values: np.ndarray) -> np.ndarray:
     out[order[1:]] = same
     out[order[:-1]] |= same
     return out
+
+
+def range_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash for each range of words, at a cost that does not depend on the ranges' lengths."""
+    size = 1 << max(20, int(len(words)).bit_length())
+    up, down = _powers(size)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[np.minimum(starts, size - 1)])
