@@ -16,6 +16,7 @@ from wellspark.llm import (
     secret_scan,
     sparse_suffixes,
     splitters,
+    unigram,
 )
 from wellspark.llm.rows import table
 
@@ -91,6 +92,19 @@ def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("said", F.md5(F.coalesce("text", F.lit(""))))
+    encoded = unigram.encoded(docs, into="r", keep=["doc_id", "said"]).select("doc_id", "said", "r.*")
+    return unigram.decoded(encoded).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "n_byte_pieces",
+        "log_score",
+        F.xxhash64("ids").alias("ids_hash"),
+        (F.md5("text") == F.col("said")).alias("round_trip"),
+    )
+
+
 def op7_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.decontaminated(docs, benchmark, into="r", keep=["doc_id"]).select(
@@ -132,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_site_line_frequency,
         op4_isolation_forest,
         op5_sampled_splitters,
+        op6_unigram_pieces,
         op7_training_suffix_arrays,
         op8_assignment_lexer,
         op9_sparse_suffix_arrays,
