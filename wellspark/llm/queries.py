@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wellspark.llm import (
     boilerplate,
+    brown,
     decontamination,
     isolation,
     order_minhash,
@@ -72,6 +73,10 @@ def op2_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("page_id", "host", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op3_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scored(table(spark, sf_dir, "documents"))
+
+
 def op4_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = isolation.judged(docs, table(spark, sf_dir, "labels"), into="r", keep=["doc_id"])
@@ -144,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quotation_linking,
         op2_site_line_frequency,
+        op3_brown_classes,
         op4_isolation_forest,
         op5_sampled_splitters,
         op6_unigram_pieces,
