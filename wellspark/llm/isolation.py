@@ -3,7 +3,8 @@
 Every whole text gives a row of rule statistics (lengths, symbols, repeated lines and words,
 capitals, marks). A forest of random splits, grown on a bounded sample of labelled rows, gives
 each document a path length; short paths mean unusual statistics. The threshold on the score
-comes from all labelled rows: it is the lowest that keeps a stated share of the good ones.
+comes from all labelled rows: it is the lowest that keeps a stated share of the good ones. As in
+any isolation forest, what is to be found must be the lesser part of the rows it is grown on.
 
 Defined results: a null text is the empty text, has no words and fails the base rules. Rows are
 judged one by one, so repeated rows get equal verdicts and null ids do no harm; a null id has no
