@@ -1,11 +1,17 @@
-"""From raw documents to pieces: the stages of a training corpus, each a DataFrame to the next."""
+"""From raw documents to pieces: the stages of a training corpus, each a DataFrame to the next.
+
+Every stage but the last keeps the columns of ``documents``: two reject documents that fail a
+rule or hold benchmark passages, one drops lines, one keeps a document of each group of near
+copies. The last one adds the piece ids of each text, and the text that they decode to.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wellspark.llm import decontamination, isolation
-from wellspark.llm.rows import named, table
+from wellspark.llm import boilerplate, decontamination, isolation, order_minhash, unigram
+from wellspark.llm.rows import named, stored, table
 
 #: Isolation forests, suffix arrays and piece lattices have no SQL form.
 ORACLE_SQL = None
@@ -17,17 +23,48 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("__quality.kept").select(*[named(c) for c in docs.columns])
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that too many documents of their source have."""
+    return boilerplate.without_boilerplate(docs, host="source")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies, that of the lowest id."""
+    return order_minhash.one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold a benchmark's passages."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality rules", quality), ("benchmark decontamination", decontaminate)]
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's piece ids, the log score of its segmentation, and whether decoding the
+    ids gives its text back."""
+    encoded = unigram.encoded(docs, into="__pieces").select(
+        *[named(c) for c in docs.columns if c != "text"],
+        F.md5(F.coalesce("text", F.lit(""))).alias("__md5"),
+        F.col("__pieces.ids").alias("piece_ids"),
+        F.col("__pieces.log_score").alias("log_score"),
+    )
+    decoded = unigram.decoded(encoded, ids="piece_ids", into="text")
+    return decoded.withColumn("round_trip", F.md5("text") == F.col("__md5")).drop("__md5")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near-duplicates", near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("pieces", pieces),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage keeps is written before the next reads it."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if place + 1 < len(STAGES):
+            docs = stored(docs, "stage")
     return docs
