@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.llm.rows import named
+from wellspark.llm.rows import named, stored
 
 #: A line is boilerplate on more than this share of the host's pages, and on this many at least.
 RATIO = 0.05
@@ -92,7 +92,8 @@ def without_boilerplate(
 
     ``counts`` names two columns for the numbers of lines (that are not blank) and of those dropped.
     """
-    sites = boilerplate(pages, host, text, ratio, least_pages)
+    # Written first, so that Spark knows its size and need not shuffle pages for a small one.
+    sites = stored(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
     lines = F.split(named(text), "\n")
     keys = _keys(named(host), lines)
     dropped = F.array_intersect(keys, F.col("__keys"))

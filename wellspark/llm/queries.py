@@ -19,7 +19,7 @@ from wellspark.llm import (
     splitters,
     unigram,
 )
-from wellspark.llm.rows import table
+from wellspark.llm.rows import stored, table
 
 
 def mails(conversations: DataFrame) -> DataFrame:
@@ -64,10 +64,14 @@ def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id",
-        boilerplate.host_of(F.col("url")).alias("host"),
-        boilerplate.html_lines(F.col("html")).alias("text"),
+    # Read twice below, so tags are taken out once.
+    pages = stored(
+        table(spark, sf_dir, "pages").select(
+            "page_id",
+            boilerplate.host_of(F.col("url")).alias("host"),
+            boilerplate.html_lines(F.col("html")).alias("text"),
+        ),
+        "pages",
     )
     cleaned = boilerplate.without_boilerplate(pages, host="host", counts=("n_lines", "n_dropped"))
     return cleaned.select("page_id", "host", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
