@@ -53,7 +53,8 @@ def test_scores_equal_brute_force(pieces):
     rng = random.Random(13)
     texts = TEXTS + [prose(rng, rng.randint(1, 30)) for _ in range(60)]
     texts += ["".join(rng.choices("ab é\n日▁🎈x", k=rng.randint(1, 30))) for _ in range(200)]
-    ids, n_bytes, score = unigram.encode(pieces, pa.array(texts, pa.string()))
+    ids, n_bytes, score, back = unigram.encode(pieces, pa.array(texts, pa.string()))
+    assert all(back)
     assert np.allclose(score, [brute(pieces, names, t) for t in texts])
     for i, row in enumerate(ids.to_pylist()):
         assert n_bytes[i] == sum(model.is_byte(x) for x in row)

@@ -102,15 +102,14 @@ def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("said", F.md5(F.coalesce("text", F.lit(""))))
-    encoded = unigram.encoded(docs, into="r", keep=["doc_id", "said"]).select("doc_id", "said", "r.*")
-    return unigram.decoded(encoded).select(
+    encoded = unigram.encoded(table(spark, sf_dir, "documents"), into="r", keep=["doc_id"])
+    return encoded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        "n_byte_pieces",
-        "log_score",
-        F.xxhash64("ids").alias("ids_hash"),
-        (F.md5("text") == F.col("said")).alias("round_trip"),
+        F.size("r.ids").cast("long").alias("n_pieces"),
+        "r.n_byte_pieces",
+        "r.log_score",
+        F.xxhash64("r.ids").alias("ids_hash"),
+        "r.round_trip",
     )
 
 

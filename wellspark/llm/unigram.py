@@ -42,15 +42,16 @@ ZIPF_SHIFT = 2.7
 #: Slots of the trie that are looked at together when a node is placed.
 SEARCH = 256
 #: Bytes of text whose distinct chunks are solved together.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 #: Rows that are decoded together.
-DECODE_ROWS = 1000
+DECODE_ROWS = 100
 
 ENCODED = T.StructType(
     [
         T.StructField("ids", T.ArrayType(T.IntegerType())),
         T.StructField("n_byte_pieces", T.LongType()),
         T.StructField("log_score", T.DoubleType()),
+        T.StructField("round_trip", T.BooleanType()),
     ]
 )
 
@@ -301,27 +302,29 @@ def encode(p: Pieces, texts: pa.Array) -> list:
         pa.ListArray.from_arrays(pa.array(piece_at.astype(np.int32)), pa.array(out)),
         np.diff(byte_before[piece_at]),
         np.diff(scores[text_chunks]),
+        [a == b for a, b in zip(said_bytes(p, piece_at, out), texts.cast(pa.binary()).to_pylist())],
     ]
 
 
-def decode(p: Pieces, ids: pa.ListArray) -> list[str]:
-    """The text of each row of ids."""
-    first = ids.offsets.to_numpy().astype(np.int64)
-    values = ids.values.to_numpy()
+def said_bytes(p: Pieces, first: np.ndarray, values: np.ndarray) -> list[bytes]:
+    """The bytes that each row of ids stands for, without the blank in front."""
     inside = (values >= 0) & (values < len(p.borders) - 1)
     values = np.where(inside, values, 0)
-    piece_first = p.borders
-    data, sizes = gathered(p.data, piece_first, values)
+    data, sizes = gathered(p.data, p.borders, values)
     if not inside.all():
         data = data[np.repeat(inside, sizes)]
         sizes = np.where(inside, sizes, 0)
     at = np.concatenate([[0], np.cumsum(sizes)])[first]
     said = data.tobytes()
-    out = []
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-        text = said[a:b].decode("utf-8", "replace")
-        out.append(text[1:] if text.startswith(" ") else text)
-    return out
+    return [said[a + (said[a : a + 1] == b" " and a < b) : b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def decode(p: Pieces, ids: pa.ListArray) -> list[str]:
+    """The text of each row of ids; null rows and null ids stand for nothing."""
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy()
+    values = pa.compute.fill_null(ids.flatten(), -1).to_numpy()
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    return [said.decode("utf-8", "replace") for said in said_bytes(p, first, values)]
 
 
 def encoded(
@@ -333,7 +336,7 @@ def encoded(
     keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the struct ``into``: piece ids, how many of them
-    are bytes, and the log score of the best segmentation."""
+    are bytes, the log score of the best segmentation, and whether decoding gives the text."""
     sent = docs.sparkSession.sparkContext.broadcast(load(model))
 
     def compute(texts: pa.Array) -> list:
@@ -355,10 +358,7 @@ def decoded(
         for batch in batches:
             for first in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(first, DECODE_ROWS)
-                rows = part.column(place)
-                rows = pa.array(rows.to_pylist(), rows.type) if rows.offset or rows.null_count else rows
-                rows = pa.compute.fill_null(rows, pa.scalar([], rows.type)) if rows.null_count else rows
-                said = pa.array(decode(sent.value, rows), pa.string())
+                said = pa.array(decode(sent.value, part.column(place)), pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, said], [*kept, into])
 
     return frame.select(*[named(c).alias(f"c{i}") for i, c in enumerate(kept)]).mapInArrow(run, schema)
