@@ -47,7 +47,7 @@ def test_each_stage_takes_effect(spark, sf):
         assert len({1000 + i, 5000 + i, 6000 + i} & near.keys()) <= 1
     assert [i for i in near if i is not None and 4000 <= i < 5000]
     assert not [i for i in clean if i is not None and 4000 <= i < 5000]
-    assert pieces == {i: t or "" for i, t in clean.items()}
+    assert pieces == clean
     assert docs.where("not round_trip").count() == 0
 
 

@@ -7,7 +7,6 @@ number of bytes (or one text, if that alone is longer).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wellspark.sources.storage import shared_dir
+
 #: Bytes of text that one call of a row function gets, unless a single text is longer.
 PIECE_BYTES = 1 << 20
 SENT = "__text"
@@ -36,33 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the folder that all executors share.
-
-    An earlier run's or a lost task's files are never met, because each path is new.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The DataFrame written to the shared folder and read again: computed once, and safe from
     lost executors."""
-    path = shared_folder(df.sparkSession, label)
+    path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checkpoint_folder(spark: SparkSession) -> None:
-    """Lets ``checkpoint()`` use spark.checkpoint.dir where the session has not been told yet."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
+    """Lets ``checkpoint()`` use the shared folder where the session has not been told yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
         base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        context.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(base or shared_dir(spark, "checkpoints"))
 
 
 def bitmap(numbers: DataFrame, column: str, bits: int) -> bytes:
