@@ -2,7 +2,7 @@
 
 Every stage but the last keeps the columns of ``documents``: two reject documents that fail a
 rule or hold benchmark passages, one drops lines, one keeps a document of each group of near
-copies. The last one adds the piece ids of each text, and the text that they decode to.
+copies. The last one adds the piece ids of each text, checked by decoding them.
 """
 
 from __future__ import annotations
@@ -41,14 +41,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's piece ids, the log score of its segmentation, and whether decoding the
     ids gives its text back."""
-    encoded = unigram.encoded(docs, into="__pieces").select(
-        *[named(c) for c in docs.columns if c != "text"],
-        F.md5(F.coalesce("text", F.lit(""))).alias("__md5"),
+    encoded = unigram.encoded(docs, into="__pieces")
+    return encoded.select(
+        *[named(c) for c in docs.columns],
         F.col("__pieces.ids").alias("piece_ids"),
         F.col("__pieces.log_score").alias("log_score"),
+        F.col("__pieces.round_trip").alias("round_trip"),
     )
-    decoded = unigram.decoded(encoded, ids="piece_ids", into="text")
-    return decoded.withColumn("round_trip", F.md5("text") == F.col("__md5")).drop("__md5")
 
 
 STAGES = [
