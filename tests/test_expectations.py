@@ -129,3 +129,44 @@ def test_report_counts_rows_and_groups(spark, people):
 def test_standing_checks_are_complete():
     checks = standing_checks()
     assert len(checks) == 67 and len({c.name for c in checks}) == 67
+
+
+def test_one_pass_equals_the_single_expectations(spark):
+    """Unique, composite and foreign keys with nulls, repeated values and two parents of a column."""
+    child = spark.createDataFrame(
+        [(1, 1, "a", D(2024, 1, 1)), (1, 2, "a", D(2024, 1, 1)), (2, 7, None, None), (None, 7, "b", D(2024, 1, 2)),
+         (None, None, "c", None), (3, 9, "z", D(2024, 1, 2)), (3, 9, "z", D(2024, 1, 2)), (2, 9, None, None)],
+        "k int, p bigint, s string, d date",
+    )
+    tables = {
+        "child": child,
+        "one": spark.createDataFrame([(1,), (2,), (7,), (7,), (None,)], "p int"),
+        "two": spark.createDataFrame([("a", D(2024, 1, 1)), ("z", None)], "s string, d date"),
+    }
+    unique = [("k",), ("p",), ("s",), ("d",), ("k", "p"), ("s", "d"), ("d", "s", "k")]
+    related = [("p", "one", "p"), ("k", "one", "p"), ("s", "two", "s"), ("d", "two", "d")]
+    checks = [quality.unique("child", *u) if len(u) == 1 else quality.unique_combination("child", *u) for u in unique]
+    checks += [quality.related("child", *r) for r in related]
+    checks += [quality.not_null("child", "k"), quality.unique("two", "s"), quality.not_null("one", "p")]
+    report = x.run_checks(checks, tables)
+    found = dict(rows(report, "check_name", "offenders"))
+    for columns, check in zip(unique, checks):
+        single = x.unique(child, columns[0]) if len(columns) == 1 else x.unique_combination(child, columns)
+        assert found[check.name] == single.count(), check.name
+    for (column, parent, parent_column), check in zip(related, checks[len(unique) :]):
+        lost = x.relationships(child, column, tables[parent], parent_column).agg(F.sum("n_rows")).first()[0]
+        assert found[check.name] == (lost or 0), check.name
+    assert found["not_null_child_k"] == 2 and found["unique_two_s"] == 0 and found["not_null_one_p"] == 1
+
+
+def test_report_reads_each_table_once(spark, sf_dir, tmp_path):
+    from wellspark.plans import pipeline
+    from wellspark.sources import bindings
+
+    tables = pipeline.build(bindings.raw_tables(spark, sf_dir), f"{tmp_path}/out")
+    report = x.run_checks(standing_checks(), tables)
+    assert report.count() == 67 and len(report.collect()) == 67
+    plan = plan_of(report)
+    assert "Final Plan" in plan and "CartesianProduct" not in plan
+    # The keys of the parents are read for one table, and their shuffle serves the others.
+    assert plan.split("Initial Plan")[0].count("FileScan parquet") <= 24

@@ -21,11 +21,13 @@ def subjects(spark, **experiments):
 
 
 def test_two_proportion_z(spark):
-    df = subjects(spark, lift=(200, 1000, 240, 1000), same=(100, 1000, 100, 1000), none=(0, 10, 0, 10))
+    df = subjects(spark, lift=(330, 1200, 405, 1250), same=(120, 900, 120, 900), none=(0, 10, 0, 10))
     z = {r["experiment_name"]: r for r in ab.ztest(variant_summary(df)).collect()}
-    assert math.isclose(z["lift"]["effect"], 0.04, abs_tol=1e-12)
-    assert math.isclose(z["lift"]["z"], 0.04 / math.sqrt(0.22 * 0.78 * 0.002), rel_tol=1e-12)
-    assert z["lift"]["ci_low"] < 0.04 < z["lift"]["ci_high"]
+    effect, pooled = 405 / 1250 - 330 / 1200, 735 / 2450
+    error = math.sqrt(pooled * (1 - pooled) * (1 / 1200 + 1 / 1250))
+    assert math.isclose(z["lift"]["effect"], effect, abs_tol=1e-12)
+    assert math.isclose(z["lift"]["z"], effect / error, rel_tol=1e-12)
+    assert z["lift"]["ci_low"] < effect < z["lift"]["ci_high"]
     assert (z["same"]["z"], z["same"]["p_value"]) == (0.0, 1.0)
     assert (z["none"]["z"], z["none"]["p_value"]) == (0.0, 1.0)
 
@@ -48,18 +50,18 @@ def test_clear_effect_is_rejected(spark):
     assert ab.ab_report(subjects(spark, big=(100, 1000, 300, 1000))).first()["decision"] == "reject"
 
 
-def test_welch_on_bernoulli_arrays(spark):
-    rng = random.Random(0)
-    a = [int(rng.random() < 0.20) for _ in range(800)]
-    b = [int(rng.random() < 0.26) for _ in range(750)]
+def test_welch_on_unequal_arms(spark):
+    rng = random.Random(31)
+    a = [rng.gauss(5, 2) for _ in range(620)]
+    b = [rng.gauss(5.3, 3) for _ in range(480)]
     df = spark.createDataFrame(
-        [("e", "A", v) for v in a] + [("e", "B", v) for v in b], "experiment_name string, variant string, v int"
+        [("e", "A", v) for v in a] + [("e", "B", v) for v in b], "experiment_name string, variant string, v double"
     )
     got = ab.welch(arm_stats(df, "v")).first()
-    q_a, q_b = statistics.variance(a) / 800, statistics.variance(b) / 750
+    q_a, q_b = statistics.variance(a) / 620, statistics.variance(b) / 480
     t = (statistics.mean(b) - statistics.mean(a)) / math.sqrt(q_a + q_b)
     assert math.isclose(got["t"], t, rel_tol=1e-9)
-    assert math.isclose(got["df"], (q_a + q_b) ** 2 / (q_a**2 / 799 + q_b**2 / 749), rel_tol=1e-9)
+    assert math.isclose(got["df"], (q_a + q_b) ** 2 / (q_a**2 / 619 + q_b**2 / 479), rel_tol=1e-9)
     margin = dist.t_critical(0.05, got["df"]) * math.sqrt(q_a + q_b)
     assert math.isclose(got["ci_high"] - got["ci_low"], 2 * margin, rel_tol=1e-9)
 
@@ -90,6 +92,30 @@ def test_student_limits():
     assert math.isclose(dist.t_critical(0.05, 1e7), dist.z_quantile(0.975), rel_tol=1e-6)
 
 
+@pytest.mark.parametrize("df", [1e8, 1e10, 1e12, 1e14, 1e300])
+def test_student_nears_the_normal(df):
+    for t in (0.01, 1.0, 1.96, 5.0):
+        # The first term by which the t distribution differs from its limit.
+        density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        expected = math.erfc(t / math.sqrt(2)) + density * (t**3 + t) / (2 * df)
+        assert abs(dist.t_two_sided(t, df) - expected) < 1e-11
+    assert abs(dist.t_critical(0.05, df) - dist.z_quantile(0.975)) < 1e-7
+
+
+def test_series_meets_the_fraction(monkeypatch):
+    for df in (2e5, 1e6):
+        series = [dist.t_two_sided(t, df) for t in (0.1, 1.0, 1.96, 3.0, 6.0)]
+        monkeypatch.setattr(dist, "SERIES_FROM", 1e9)
+        assert all(abs(dist.t_two_sided(t, df) - p) < 1e-9 for t, p in zip((0.1, 1.0, 1.96, 3.0, 6.0), series))
+        monkeypatch.undo()
+
+
+def test_fraction_that_does_not_converge_raises(monkeypatch):
+    monkeypatch.setattr(dist, "TERMS", 2)
+    with pytest.raises(ArithmeticError):
+        dist.t_two_sided(1.0, 50.0)
+
+
 def one(spark, column):
     return spark.range(1).select(column.alias("v")).first()["v"]
 
@@ -130,7 +156,7 @@ def test_assignment_is_stable_and_balanced(spark):
 
 def test_weighted_assignment_follows_weights(spark):
     users = spark.range(20_000).withColumnRenamed("id", "user_id")
-    counts = dict(rows(ab.weighted_assign(users, [(1, 0.34), (2, 0.26), (3, 0.22)], "d").groupBy("option_id").count()))
-    for option, weight in ((1, 0.34), (2, 0.26), (3, 0.22)):
-        assert abs(counts[option] / 20_000 - weight / 0.82) < 0.015
+    counts = dict(rows(ab.weighted_assign(users, [(4, 0.5), (7, 0.2), (9, 0.1)], "d").groupBy("option_id").count()))
+    for option, weight in ((4, 0.5), (7, 0.2), (9, 0.1)):
+        assert abs(counts[option] / 20_000 - weight / 0.8) < 0.015
     assert sum(counts.values()) == 20_000

@@ -247,3 +247,31 @@ def test_jdbc_load_options():
         "format": "jdbc", "url": "jdbc:x", "dbtable": "raw.t", "batchsize": "50000",
         "truncate": "true", "user": "u", "mode": "overwrite", "saved": True,
     }
+
+
+def test_rows_without_a_date_or_key_are_replaced_like_others(spark, tmp_path):
+    schema = "user_id int, day date, v int"
+    day = dt.date(2024, 1, 1)
+    target = spark.createDataFrame([(1, None, 1), (2, None, 2), (1, day, 3), (None, day, 4)], schema)
+    storage.write_fact(target, f"{tmp_path}/t", "day")
+    batch = spark.createDataFrame([(9, None, 9), (2, None, 7), (None, day, 8)], schema)
+    loads.apply_delete_insert(spark, f"{tmp_path}/t", batch, ["user_id", "day"], "day")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert rows(stored, "user_id", "v") == sorted([(1, 1), (2, 7), (9, 9), (1, 3), (None, 8)], key=repr)
+
+
+def test_refresh_that_fails_leaves_the_table(spark, tmp_path):
+    days = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "user_id int, day date")
+    loads.full_refresh(lambda: days, f"{tmp_path}/t", "day")
+    broken = days.withColumn("user_id", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        loads.full_refresh(lambda: broken, f"{tmp_path}/t", "day")
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "user_id") == [(1,)]
+
+
+def test_many_copies_are_written_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(reshape, "STEP", 3)
+    one = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    many = spark.range(40).select(F.lit(1).alias("k"), F.lit("a").alias("v")).unionByName(one.where("k = 2"))
+    assert rows(reshape.table_diff(one, many)) == [("after", 1, "a")] * 39
+    assert rows(reshape.table_diff(many, one)) == [("before", 1, "a")] * 39

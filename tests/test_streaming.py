@@ -98,7 +98,9 @@ def test_bounded_run_stops_and_resumes(topic):
     for start in range(0, 12, 3):
         topic.send(*[record(i) for i in range(start, start + 3)])
     first = topic.run(max_rows=1, maxFilesPerTrigger="1")
-    assert first >= 1
+    assert first == 3 and len(topic.stored("event_id")) == 3
+    assert topic.run(max_rows=4, maxFilesPerTrigger="1") == 6
+    assert len(topic.stored("event_id")) == 9
     topic.run(maxFilesPerTrigger="1")
     assert topic.stored("event_id") == [(i,) for i in sorted(range(12), key=repr)]
 

@@ -48,15 +48,15 @@ def brute(data, pick):
     return sorted(out, key=repr)
 
 
-# No key split, the long ones split, all split.
-SPLITS = [(366, 10**6), (1, 60), (7, 60), (1, None), (10, None), (366, None)]
+# Daily grain, and histories cut into stretches of so many days.
+WIDTHS = [None, 1, 7, 10, 366]
 
 
-@pytest.mark.parametrize(("width", "limit"), SPLITS)
+@pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("n", [1, 7, 30])
-def test_row_frames_equal_brute_force(spark, n, width, limit):
+def test_row_frames_equal_brute_force(spark, n, width):
     data = histories(n)
-    got = rows(windows.rolling_score(frame(spark, data), n, width=width, limit=limit))
+    got = rows(windows.rolling_score(frame(spark, data), n, width=width))
     assert got == brute(data, lambda mine, i, day: [v for _, v in mine[max(0, i - n + 1) : i + 1]])
 
 
@@ -74,13 +74,13 @@ def test_repeated_days_do_not_depend_on_the_split(spark):
     data = [(1, START + dt.timedelta(rng.randrange(20)), float(rng.randrange(100))) for _ in range(80)]
     plain = rows(windows.rolling_score(frame(spark, data), 7))
     for width in (1, 3):
-        assert rows(windows.rolling_score(frame(spark, data), 7, width=width, limit=None)) == plain
+        assert rows(windows.rolling_score(frame(spark, data), 7, width=width)) == plain
 
 
 def test_dates_before_the_epoch(spark):
     data = [(1, dt.date(1969, 12, 30) + dt.timedelta(i), float(i)) for i in range(5)]
-    for width in (2, 3, 366):
-        got = rows(windows.rolling_score(frame(spark, data), 2, width=width, limit=3), "rolling_2d_score")
+    for width in (None, 2, 3, 366):
+        got = rows(windows.rolling_score(frame(spark, data), 2, width=width), "rolling_2d_score")
         assert got == [(0.0,), (0.5,), (1.5,), (2.5,), (3.5,)]
 
 
@@ -95,17 +95,17 @@ def test_row_and_calendar_frames_differ_after_a_gap(spark):
 
 def test_window_fills_to_thirty(spark):
     data = frame(spark, [(1, START + dt.timedelta(i), 50.0) for i in range(35)])
-    for width in (8, 366):
-        counts = rows(windows.rolling_score(data, width=width, limit=None), "days_in_window")
+    for width in (None, 8, 366):
+        counts = rows(windows.rolling_score(data, width=width), "days_in_window")
         assert sorted(c for (c,) in counts) == [*range(1, 31), *[30] * 5]
 
 
-@pytest.mark.parametrize(("width", "limit"), SPLITS)
-def test_running_sum(spark, width, limit):
+@pytest.mark.parametrize("width", WIDTHS)
+def test_running_sum(spark, width):
     data = histories(3)
     cents = frame(spark, data).selectExpr("user_id", "activity_date", "cast(daily_score as decimal(8,2)) v")
     got = rows(
-        windows.running_sum(cents, "user_id", "activity_date", "v", "total", width, limit),
+        windows.running_sum(cents, "user_id", "activity_date", "v", "total", width),
         "user_id",
         "activity_date",
         "total",
@@ -121,11 +121,11 @@ def test_running_sum(spark, width, limit):
 
 
 @pytest.mark.parametrize("forward", [True, False])
-@pytest.mark.parametrize(("width", "limit"), SPLITS)
-def test_neighbour(spark, forward, width, limit):
+@pytest.mark.parametrize("width", WIDTHS)
+def test_neighbour(spark, forward, width):
     data = histories(9)
     got = rows(
-        windows.neighbour(frame(spark, data).drop("daily_score"), ["user_id"], "activity_date", "other", forward, width, limit)
+        windows.neighbour(frame(spark, data).drop("daily_score"), ["user_id"], "activity_date", "other", forward, width)
     )
     expected = []
     for user in {u for u, _, _ in data}:
@@ -138,7 +138,7 @@ def test_neighbour(spark, forward, width, limit):
 def test_neighbour_of_large_numbers(spark):
     big = 2**60
     df = spark.createDataFrame([(1, big), (1, big + 1), (1, big + 5)], "p int, o bigint")
-    got = rows(windows.neighbour(df, ["p"], "o", "before", False, 2, None), "o", "before")
+    got = rows(windows.neighbour(df, ["p"], "o", "before", False, 2), "o", "before")
     assert got == [(big, None), (big + 1, big), (big + 5, big + 1)]
 
 
@@ -167,20 +167,43 @@ def test_latest_by_settles_ties_the_same_way(spark):
 
 
 def test_flagship_on_stored_tables(spark, tmp_path):
-    days = [(1, START + dt.timedelta(i), 8000, 450, 60.0) for i in range(35)]
+    """Three users, one unknown to the dimension, against the score computed by hand."""
+    rng = random.Random(21)
+    days = []
+    for user, n in ((3, 41), (5, 12), (8, 3)):
+        for i in range(n):
+            days.append((user, START + dt.timedelta(2 * i), rng.randrange(12_000), rng.randrange(300, 600), 50.0 + i))
     schema = "user_id bigint, activity_date date, steps bigint, sleep_minutes bigint, resting_hr double"
     spark.createDataFrame(days, schema).write.parquet(f"{tmp_path}/daily_activity.parquet")
-    people = spark.createDataFrame([(1, "M", 40, "US")], "user_id bigint, sex string, age bigint, country string")
-    people.write.parquet(f"{tmp_path}/dim_user.parquet")
+    people = [(3, "F", 52, "PT"), (5, "M", 23, "NO")]
+    person = "user_id bigint, sex string, age bigint, country string"
+    spark.createDataFrame(people, person).write.parquet(f"{tmp_path}/dim_user.parquet")
     scores = health_score.compute(spark, str(tmp_path))
-    assert scores.columns == [
-        "user_id", "activity_date", "sex", "age", "country",
-        "daily_score", "rolling_30d_score", "days_in_window",
-    ]
-    assert [r["days_in_window"] for r in scores.orderBy("activity_date").collect()][29:] == [30] * 6
-    plan = plan_of(scores)
-    assert "BroadcastHashJoin" in plan and "Window" in plan
-    assert "Python" not in plan
+
+    def score(steps, sleep, heart):
+        marks = (min(steps / 1e4, 1), max(1 - abs(sleep - 450) / 450, 0), max(min((90 - heart) / 35, 1), 0))
+        return round((0.4 * marks[0] + 0.3 * marks[1] + 0.3 * marks[2]) * 100, 2)
+
+    daily = [(u, d, score(*rest)) for u, d, *rest in days]
+    expected = brute(daily, lambda mine, i, day: [v for _, v in mine[max(0, i - 29) : i + 1]])
+    columns = ("user_id", "activity_date", "daily_score", "rolling_30d_score", "days_in_window")
+    assert rows(scores, *columns) == expected
+    assert set(rows(scores, "user_id", "sex", "age", "country")) == {*people, (8, None, None, None)}
+    assert plan_of(scores).count("FileScan parquet") == 2
+
+
+def test_daily_grain_reads_and_shuffles_once(spark, tmp_path):
+    frame(spark, histories(22)).write.parquet(f"{tmp_path}/d")
+    stored = spark.read.parquet(f"{tmp_path}/d")
+    for df in (
+        windows.rolling_score(stored),
+        windows.running_sum(stored, "user_id", "activity_date", "daily_score", "total"),
+        windows.neighbour(stored, ["user_id"], "activity_date", "next"),
+    ):
+        plan = plan_of(df)
+        assert plan.count("FileScan parquet") == 1
+        assert plan.count("Exchange ") == 1
+        assert "BroadcastExchange" not in plan
 
 
 def test_backfill_reads_only_the_days_it_needs(spark, tmp_path):
@@ -213,11 +236,9 @@ def test_row_backfill_reaches_over_missing_days(spark):
     assert "WindowGroupLimit" in plan_of(part)
 
 
-def test_a_long_history_is_cut_and_short_ones_are_not(spark):
+def test_stretches_bound_every_group(spark):
     """A third of all rows at one user: no group of the window exceeds a stretch."""
     df = spark.range(9000).selectExpr("if(id % 3 = 0, -1, id % 600) as user_id", "id as pos")
-    split = windows.split_history(df, ["user_id"], "pos", width=300, limit=1000)
-    groups = split.groupBy("user_id", windows.STRETCH).count()
+    groups = windows.split_history(df, "pos", width=300).groupBy("user_id", windows.STRETCH).count()
     assert groups.agg({"count": "max"}).first()[0] <= 100
     assert groups.where("user_id = -1").count() == 30
-    assert groups.where(f"user_id >= 0 and {windows.STRETCH} is not null").isEmpty()

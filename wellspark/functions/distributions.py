@@ -19,6 +19,12 @@ from pyspark.sql.types import DoubleType
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# From here on the first terms of the series in 1 / df are exact to 1e-12.
+SERIES_FROM = 1e5
+# Terms after which a continued fraction counts as not converging.
+TERMS = 10_000
+
+
 def z_quantile(p: float) -> float:
     """Standard normal quantile of a plan-time constant such as 1 - alpha/2."""
     return NormalDist().inv_cdf(p)
@@ -30,7 +36,7 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     value = d
-    for m in range(1, 500):
+    for m in range(1, TERMS):
         for term in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -41,8 +47,30 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"no convergence for a={a}, b={b}, x={x}")
+
+
+def _log_gamma_ratio(a: float) -> float:
+    """log(gamma(a + 1/2) / gamma(a)).
+
+    For large ``a`` the difference of two huge logarithms keeps no digits; Stirling's series
+    for the ratio does.
+    """
+    if a < 100.0:
+        return math.lgamma(a + 0.5) - math.lgamma(a)
+    u = 1.0 / a
+    return 0.5 * math.log(a) - u / 8.0 + u**3 / 192.0 - u**5 / 640.0
+
+
+def _near_normal(t: float, df: float) -> float:
+    """The tail by its difference from the normal one; the fraction would lose digits here."""
+    if t > 40.0:
+        return 0.0
+    density = math.exp(-t * t / 2.0) / math.sqrt(2.0 * math.pi)
+    first = (t**3 + t) / 2.0
+    second = (3.0 * t**7 - 7.0 * t**5 - 5.0 * t**3 - 3.0 * t) / 48.0
+    return math.erfc(t / math.sqrt(2.0)) + density * (first + second / df) / df
 
 
 def t_two_sided(t: float, df: float) -> float:
@@ -51,9 +79,10 @@ def t_two_sided(t: float, df: float) -> float:
     x, y = df / (df + t * t), t * t / (df + t * t)
     if y == 0.0:
         return 1.0
-    log_front = (
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(y)
-    )
+    if df > SERIES_FROM:
+        return _near_normal(abs(t), df)
+    # x ** a by way of log1p, because x is next to 1 for large df.
+    log_front = _log_gamma_ratio(a) - 0.5 * math.log(math.pi) - a * math.log1p(t * t / df) + b * math.log(y)
     front = math.exp(log_front)
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _beta_fraction(a, b, x) / a

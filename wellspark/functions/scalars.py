@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,8 +13,6 @@ OPEN_END = dt.date(9999, 12, 31)
 EPOCH_START = dt.date(1900, 1, 1)
 KEY_NULL_MARKER = "_dbt_utils_surrogate_key_null_"
 STEP_GOAL = 10000
-SCORE_WEIGHTS = {"steps": 0.4, "sleep_minutes": 0.3, "resting_hr": 0.3}
-SCORE_STEPS, SCORE_SLEEP, SCORE_HEART_WORST, SCORE_HEART_RANGE = 10000.0, 450.0, 90.0, 35.0
 
 
 def as_col(value: Column | str) -> Column:
@@ -86,25 +82,15 @@ def subscore(null_policy: str = "credit") -> Column:
     ``credit`` a null steps or heart rate counts as full marks and a null sleep as none,
     because least and greatest skip nulls; with ``propagate`` any null makes the score null.
     """
+    # Weights 0.4, 0.3, 0.3; 10000 steps; 450 minutes; 90 to 55 beats.
     if null_policy not in ("credit", "propagate"):
         raise ValueError(f"unknown null policy {null_policy!r}")
-    measured = [F.col(c).cast("double") for c in SCORE_WEIGHTS]
-    steps, sleep, heart = measured
-    marks = [
-        _at_most_one(steps / SCORE_STEPS),
-        _at_least_zero(1.0 - F.abs(sleep - SCORE_SLEEP) / SCORE_SLEEP),
-        _at_least_zero(_at_most_one((SCORE_HEART_WORST - heart) / SCORE_HEART_RANGE)),
-    ]
-    weighted = [mark * weight for mark, weight in zip(marks, SCORE_WEIGHTS.values())]
-    score = F.round(reduce(add, weighted) * 100.0, 2)
+    steps, sleep, heart = (F.col(c).cast("double") for c in ("steps", "sleep_minutes", "resting_hr"))
+    zero, one = F.lit(0.0), F.lit(1.0)
+    step_mark = F.least(steps / 10000.0, one)
+    sleep_mark = F.greatest(1.0 - F.abs(sleep - 450.0) / 450.0, zero)
+    heart_mark = F.greatest(F.least((90.0 - heart) / 35.0, one), zero)
+    score = F.round((step_mark * 0.4 + sleep_mark * 0.3 + heart_mark * 0.3) * 100.0, 2)
     if null_policy == "propagate":
-        return F.when(reduce(and_, [c.isNotNull() for c in measured]), score)
+        return F.when(steps.isNotNull() & sleep.isNotNull() & heart.isNotNull(), score)
     return score
-
-
-def _at_most_one(share: Column) -> Column:
-    return F.least(share, F.lit(1.0))
-
-
-def _at_least_zero(share: Column) -> Column:
-    return F.greatest(share, F.lit(0.0))

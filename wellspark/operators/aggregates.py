@@ -44,10 +44,11 @@ def having(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column], ke
 def share_of_total(df: DataFrame, key: str) -> DataFrame:
     """Rows per key, the total, and the key's share of it.
 
-    The total is a scalar subquery over the group counts: one value, no join of rows.
+    The total is a scalar subquery over the group counts, whose shuffle serves both: the
+    source is read once, and no rows are joined.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total_n")).scalar()
+    total = counts.agg(F.sum("n").alias("total_n")).scalar()
     return counts.withColumn("total_n", total).withColumn("share", F.col("n") / F.col("total_n"))
 
 

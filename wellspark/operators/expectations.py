@@ -12,12 +12,10 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wellspark.operators.aggregates import share_of_total
-from wellspark.operators.reshape import spine
 from wellspark.operators.windows import neighbour
 
 N_ROWS = "n_rows"
@@ -141,24 +139,33 @@ def missing_grain(
 ) -> DataFrame:
     """Expected (user, day) or (user, day, hour) rows that are absent.
 
-    Users whose distinct days (hours) in the range are complete are set aside by count, so
-    only incomplete users are expanded to their calendar; no users x days cross join.
+    Days (hours) of the range are numbered, and each present one is compared with the user's
+    next one: the numbers between them are missing. A place before the range stands for each
+    user, so users without any row count as well. One window by user over the stated grain;
+    what is written out is the gaps alone.
     """
-    grain = ["user_id", date, *(["hour"] if hours else [])]
-    present = df.where(F.col(date).between(first, last)).select(*grain).distinct()
-    seen = present.groupBy("user_id").agg(F.count(F.lit(1)).alias("_seen"))
-    expected_n = (F.datediff(last, first) + 1) * (24 if hours else 1)
-    short = (
-        users.select("user_id")
-        .distinct()
-        .join(seen, "user_id", "left")
-        .where(F.coalesce("_seen", F.lit(0)) < expected_n)
+    per_day = 24 if hours else 1
+    total = ((F.datediff(last, first) + 1) * per_day).cast("long")
+    place = F.datediff(F.col(date), first).cast("long") * per_day
+    place = place + F.col("hour") if hours else place
+    present = df.where(F.col(date).between(first, last)).select(
+        "user_id", place.alias("_at"), F.lit(False).alias("_known")
     )
-    expected = spine(short, first, last, ["user_id"]).withColumnRenamed("date_day", date)
-    if hours:
-        day = F.sequence(F.lit(0), F.lit(23)).cast(T.ArrayType(df.schema["hour"].dataType))
-        expected = expected.withColumn("hour", F.explode(day))
-    return expected.join(present, grain, "left_anti")
+    known = users.select("user_id", F.lit(-1).cast("long").alias("_at"), F.lit(True).alias("_known"))
+    # Repeated rows of a place, and of a user, are one.
+    places = present.unionByName(known).groupBy("user_id", "_at").agg(F.max("_known").alias("_known"))
+    own = Window.partitionBy("user_id")
+    gaps = (
+        places.withColumn("_next", F.coalesce(F.lead("_at").over(own.orderBy("_at")), total))
+        .withColumn("_user", F.max("_known").over(own))
+        .where(F.col("_user") & (F.col("_next") > F.col("_at") + 1))
+        .select("user_id", F.explode(F.sequence(F.col("_at") + 1, F.col("_next") - 1)).alias("_missing"))
+    )
+    day = F.date_add(first, F.expr(f"cast(_missing div {per_day} as int)")).alias(date)
+    if not hours:
+        return gaps.select("user_id", day)
+    hour = (F.col("_missing") % 24).cast(df.schema["hour"].dataType).alias("hour")
+    return gaps.select("user_id", day, hour)
 
 
 def has_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -181,17 +188,21 @@ def reconcile(src: DataFrame, loaded: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """A named expectation on one of a set of tables.
+    """A named expectation on one of a set of tables, in one of four forms.
 
-    Either ``bad_row`` marks offending rows, or ``offenders`` builds them from all tables;
-    ``weighted`` says that an offender stands for ``n_rows`` rows.
+    ``bad_row`` marks offending rows; ``unique`` names the columns that no two rows may share;
+    ``parent`` is a (column, table, column of that table) in which the values must occur; or
+    ``offenders`` builds the offending rows from all tables. ``nulls`` says whether a null in a
+    single unique column counts as a value.
     """
 
     name: str
     table: str
     bad_row: Callable[[], Column] | None = None
+    unique: tuple[str, ...] = ()
+    nulls: bool = False
+    parent: tuple[str, str, str] | None = None
     offenders: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
-    weighted: bool = False
 
 
 CUSTOM: dict[str, Callable[..., DataFrame]] = {}
@@ -217,34 +228,118 @@ def custom_check(expectation: str, table: str, **arguments) -> Check:
 def run_checks(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """(check_name, table_name, offenders, passed), one row per check, in one job.
 
-    All row predicates on a table are counted in a single pass over it; a check that needs a
-    shuffle contributes one aggregate of its own.
+    A table is read once for all its row predicates, unique columns and foreign keys: it is
+    grouped by each of those columns, and by none, in one pass. The values of foreign keys,
+    counted, meet the keys of all parents in one join. Other checks have an aggregate each.
     """
     checks = list(checks)
-    parts = []
-    for table in dict.fromkeys(c.table for c in checks if c.bad_row is not None):
-        named = [c for c in checks if c.table == table and c.bad_row is not None]
-        counts = tables[table].agg(
-            *[F.count_if(c.bad_row()).alias(f"c{i}") for i, c in enumerate(named)]
-        )
-        lines = [
-            F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("offenders"))
-            for i, c in enumerate(named)
-        ]
-        parts.append(
-            counts.select(F.explode(F.array(*lines)).alias("line")).select(
-                "line.check_name", F.lit(table).alias("table_name"), "line.offenders"
-            )
-        )
+    declared = [c for c in checks if c.offenders is None]
+    parents = _parent_keys(declared, tables)
+    parts = [
+        _lines(table, [c for c in declared if c.table == table], tables[table], parents)
+        for table in dict.fromkeys(c.table for c in declared)
+    ]
     for c in checks:
         if c.offenders is not None:
-            n = F.coalesce(F.sum(N_ROWS), F.lit(0)) if c.weighted else F.count(F.lit(1))
             parts.append(
                 c.offenders(tables)
-                .agg(n.cast("bigint").alias("offenders"))
+                .agg(F.count(F.lit(1)).alias("offenders"))
                 .select(
                     F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"), "offenders"
                 )
             )
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("passed", F.col("offenders") == 0)
+
+
+def _parent_keys(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """(_parent, _value) for every column that a foreign key refers to, values as text."""
+    wanted = dict.fromkeys(c.parent[1:] for c in checks if c.parent)
+    keys = [
+        tables[table].select(
+            F.lit(f"{table}.{column}").alias("_parent"), F.col(column).cast("string").alias("_value")
+        )
+        for table, column in wanted
+    ]
+    return reduce(DataFrame.unionByName, keys).distinct() if keys else None
+
+
+def _lines(
+    table: str, checks: Sequence[Check], df: DataFrame, parents: DataFrame | None
+) -> DataFrame:
+    """(check_name, table_name, offenders) of the checks on one table, from one read of it."""
+    sets = [()]
+    for c in checks:
+        columns = c.unique or ((c.parent[0],) if c.parent else ())
+        if columns not in sets:
+            sets.append(columns)
+    every = list(dict.fromkeys(column for columns in sets for column in columns))
+    rules = [F.count_if(c.bad_row()).alias(f"_c{i}") for i, c in enumerate(checks) if c.bad_row]
+    if every:
+        # One bit for each column, set where the column is not in the set of this row.
+        bits = {
+            columns: sum(1 << (len(every) - 1 - k) for k, c in enumerate(every) if c not in columns)
+            for columns in sets
+        }
+        grouped = df.groupingSets([[F.col(c) for c in columns] for columns in sets], *every).agg(
+            _row_count(), F.grouping_id().alias("_set"), *rules
+        )
+    else:
+        bits = {(): 0}
+        grouped = df.agg(_row_count(), F.lit(0).alias("_set"), *rules)
+
+    related = [c for c in checks if c.parent]
+    # A column may refer to several parents, so a counted value is asked for each of them.
+    if related:
+        asked = F.array_compact(
+            F.array(
+                *[
+                    F.when(
+                        (F.col("_set") == bits[c.parent[0],]) & F.col(c.parent[0]).isNotNull(),
+                        F.struct(
+                            F.lit(f"{c.parent[1]}.{c.parent[2]}").alias("_parent"),
+                            F.col(c.parent[0]).cast("string").alias("_value"),
+                            F.lit(c.name).alias("_check"),
+                        ),
+                    )
+                    for c in related
+                ]
+            )
+        )
+        grouped = (
+            grouped.withColumn("_asked", F.explode_outer(asked))
+            .withColumn("_parent", F.col("_asked._parent"))
+            .withColumn("_value", F.col("_asked._value"))
+            .join(parents.withColumn("_found", F.lit(True)), ["_parent", "_value"], "left")
+        )
+    counts = []
+    for i, c in enumerate(checks):
+        if c.bad_row:
+            n = F.max(F.when(F.col("_set") == bits[()], F.col(f"_c{i}")))
+        elif c.unique:
+            # Of a value that is asked for several parents only one row counts.
+            once = F.col("_set") == bits[c.unique]
+            if related:
+                first = [r.name for r in related if (r.parent[0],) == c.unique][:1]
+                once &= F.col("_asked").isNull() | (F.col("_asked._check") == F.lit(first[0] if first else ""))
+            repeated = once & (F.col(N_ROWS) > 1)
+            if len(c.unique) == 1 and not c.nulls:
+                repeated &= F.col(c.unique[0]).isNotNull()
+            n = F.count_if(repeated)
+        else:
+            lost = (F.col("_asked._check") == F.lit(c.name)) & F.col("_found").isNull()
+            n = F.coalesce(F.sum(F.when(lost, F.col(N_ROWS))), F.lit(0))
+        counts.append(F.coalesce(n, F.lit(0)).cast("bigint").alias(f"n{i}"))
+    line = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("offenders"))
+                for i, c in enumerate(checks)
+            ]
+        )
+    )
+    return (
+        grouped.agg(*counts)
+        .select(line.alias("line"))
+        .select("line.check_name", F.lit(table).alias("table_name"), "line.offenders")
+    )

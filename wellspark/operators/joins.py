@@ -53,7 +53,9 @@ def as_of_join(
     payload = [c for c in dim.columns if c != key]
     versions = dim.dropna(subset=[key, start])
     if end is None:
-        versions = neighbour(versions, [key], start, "_next")
+        # Of versions that start together the last in the order of the other columns holds.
+        ties = [c for c in payload if c != start]
+        versions = neighbour(versions, [key], start, "_next", ties=ties)
         until = _day("_next") - 1
     else:
         until = _day(end)

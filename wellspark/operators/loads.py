@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.functions.scalars import EPOCH_START
@@ -24,10 +26,15 @@ def new_rows(src: DataFrame, target: DataFrame, date: str, lookback_days: int =
     return src.where(F.col(date) > F.date_sub(mark, lookback_days))
 
 
+def _same(columns: Sequence[str]) -> Column:
+    """Equality of the columns of ``t`` and ``b``; nulls are equal."""
+    return reduce(and_, [F.col(f"t.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns])
+
+
 def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target without the rows whose keys are in the batch, plus the batch."""
-    keys = list(keys)
-    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+    """Target without the rows whose keys are in the batch, plus the batch; a null key is a key."""
+    replaced = batch.select(*keys).alias("b")
+    return target.alias("t").join(replaced, _same(keys), "left_anti").unionByName(batch)
 
 
 def apply_delete_insert(
@@ -43,7 +50,10 @@ def apply_delete_insert(
     stage = shared_dir(spark, "delete-insert")
     batch.write.parquet(f"{stage}/batch")
     batch = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
-    touched = spark.read.parquet(path).join(batch.select(part).distinct(), part, "left_semi")
+    stored = spark.read.parquet(path)
+    # Rows without a date have a folder, too, which is replaced like any other.
+    parts = batch.select(part).distinct().alias("b")
+    touched = stored.alias("t").join(parts, _same([part]), "left_semi")
     merged = delete_insert(touched, batch.select(*touched.columns), keys)
     merged.write.parquet(f"{stage}/merged")
     overwrite_partitions(spark.read.schema(merged.schema).parquet(f"{stage}/merged"), path, part)
@@ -62,8 +72,15 @@ def overwrite_partitions(batch: DataFrame, path: str, part: str, cluster: str =
 
 
 def full_refresh(build: Callable[[], DataFrame], path: str, part: str, cluster: str = "user_id") -> None:
-    """Rebuild a table from its source, dropping what was stored."""
-    write_partitioned(build(), path, part, cluster)
+    """Rebuild a table from its source, dropping what was stored.
+
+    The new table is finished in a folder of its own before the stored one is touched, so a
+    build that fails leaves the old table as it was.
+    """
+    built = build()
+    stage = shared_dir(built.sparkSession, "full-refresh")
+    built.write.parquet(stage)
+    write_partitioned(built.sparkSession.read.schema(built.schema).parquet(stage), path, part, cluster)
 
 
 def run_interval(
@@ -103,17 +120,20 @@ def load_incremental(
     if strategy == "append" and lookback_days:
         raise ValueError("appending days that are already loaded would duplicate their rows")
     mark = None if full else _newest_loaded(spark, path, date)
+    batch = src
+    if mark is not None:
+        batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
+    newest = high_water(batch, date).first()["high_water"]
     if mark is None:
         _set_newest_loaded(spark, path, EPOCH_START)
         write_fact(src, path, date)
     else:
-        batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
         if strategy == "delete_insert":
             apply_delete_insert(spark, path, batch, keys, date)
         else:  # days after the newest loaded one are new folders, so appending replaces none
             overwrite_partitions(batch, path, date)
-    loaded = high_water(spark.read.parquet(path), date)
-    _set_newest_loaded(spark, path, loaded.first()["high_water"])
+    # A batch's newest date is the table's; an empty batch leaves the mark where it is.
+    _set_newest_loaded(spark, path, max(newest, mark or EPOCH_START))
 
 
 def _marks(path: str) -> str:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from wellspark.functions.scalars import date_key, is_weekend
 
 HOURS = 24
+# Copies of a row that are written out from one array.
+STEP = 100_000
 
 
 def sort_spans(history: DataFrame) -> DataFrame:
@@ -28,16 +30,31 @@ def table_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
     Both builds are counted together in a single aggregate over whole rows (map-side sums),
     duplicates included: a row three times in one build and once in the other comes twice.
+    Copies are written out in steps: first a row for each ``STEP`` copies, spread over the
+    cluster where there are many, then the copies of each step, so no array grows with the data.
     """
     columns = before.columns
     signed = before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
     surplus = signed.groupBy(*columns).agg(F.sum("_sign").alias("_n")).where(F.col("_n") != 0)
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n")))
-    return surplus.select(
-        F.when(F.col("_n") > 0, "after").otherwise("before").alias("only_in"),
-        *columns,
-        copies.alias("_copy"),
-    ).drop("_copy")
+    one = F.lit(1).cast("bigint")
+    steps = F.ceil(F.abs("_n") / F.lit(STEP))
+    # Two arrays, of at most n / STEP / STEP and of STEP elements, number the steps.
+    outer = F.explode(F.sequence(one, F.ceil(steps / F.lit(STEP))))
+    inner = F.explode(
+        F.sequence((F.col("_outer") - 1) * STEP + 1, F.least(F.col("_outer") * STEP, steps))
+    )
+    stepped = surplus.withColumn("_outer", outer).withColumn("_step", inner)
+    left = F.least(F.lit(STEP).cast("bigint"), F.abs("_n") - (F.col("_step") - 1) * STEP)
+    return (
+        stepped.withColumn("_left", left)
+        .hint("rebalance")
+        .select(
+            F.when(F.col("_n") > 0, "after").otherwise("before").alias("only_in"),
+            *columns,
+            F.explode(F.sequence(one, F.col("_left"))).alias("_copy"),
+        )
+        .drop("_copy")
+    )
 
 
 def to_long(df: DataFrame, values: str, index: str = "hour", value: str = "value") -> DataFrame:

@@ -1,11 +1,12 @@
-"""Per-user windows over time that stay balanced when one user has a very long history.
+"""Per-user windows over time, over a declared grain.
 
-A plain ``partitionBy(user)`` window gives a user's whole history to one task. The ordered
-operators here find the users with more than ``limit`` rows, cut only their histories into
-stretches of ``width`` positions (days or offsets) and window inside (user, stretch). What a
-frame needs from outside its stretch comes from a small table with one row per (user,
-stretch) of those users. Without such users that table is empty, AQE drops it from the plan,
-and what remains is the plain window. Results are the plain window's either way.
+On a daily grain a user has one row for each day, some 36,500 in a hundred years, so a plain
+``partitionBy(user)`` window reads its source once and shuffles it once. Where a key may have any
+number of rows (offsets of a partition, lines, readings), the caller gives ``width``: every
+history is then cut into stretches of that many positions (days or offsets) and windowed inside
+(key, stretch); what a frame needs from outside its stretch comes from a small table with one row
+for each (key, stretch). Which of the two is used depends on the declaration alone, never on the
+data, and results are the same.
 
 The unordered operators aggregate first, with partial sums per task, and join the result
 back. Rows are expected to have a user and a position, as checked upstream.
@@ -21,11 +22,11 @@ from pyspark.sql import types as T
 
 from wellspark.functions.scalars import exact_mean
 
-# Days per stretch, and the rows above which a history is split.
-YEAR, MONTH, LIMIT = 366, 31, 1_000_000
+# Days in a stretch of calendar frames.
+YEAR = 366
 # Scores are added as decimals: exact, whatever the order.
 EXACT, TOTAL = "decimal(18,6)", "decimal(24,6)"
-POS, STRETCH, LONG = "_pos", "_stretch", "_long"
+POS, STRETCH = "_pos", "_stretch"
 
 
 def stretch_of(pos: Column, width: int) -> Column:
@@ -40,23 +41,9 @@ def with_position(df: DataFrame, order: str) -> DataFrame:
     return df.withColumn(POS, pos.cast("bigint"))
 
 
-def split_history(
-    df: DataFrame, keys: Sequence[str], order: str, width: int, limit: int | None
-) -> DataFrame:
-    """Add position and stretch; the stretch is null for keys with at most ``limit`` rows.
-
-    The keys above the limit are broadcast: there are at most rows / limit of them, a
-    million for 10^12 rows. With ``limit=None`` every key is split and nothing is counted.
-    """
-    placed = with_position(df, order)
-    stretch = stretch_of(F.col(POS), width)
-    if limit is None:
-        return placed.withColumn(LONG, F.lit(True)).withColumn(STRETCH, stretch)
-    long = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    long = F.broadcast(long.select(*keys, F.lit(True).alias(LONG)))
-    return placed.join(long, list(keys), "left").withColumn(
-        STRETCH, F.when(F.col(LONG), stretch)
-    )
+def split_history(df: DataFrame, order: str, width: int) -> DataFrame:
+    """Add position and stretch."""
+    return with_position(df, order).withColumn(STRETCH, stretch_of(F.col(POS), width))
 
 
 def _across(keys: Sequence[str]) -> Window:
@@ -69,19 +56,36 @@ def rolling_score(
     key: str = "user_id",
     date: str = "activity_date",
     score: str = "daily_score",
-    width: int = MONTH,
-    limit: int | None = LIMIT,
+    width: int | None = None,
 ) -> DataFrame:
     """Trailing mean of the last ``rows`` rows per user and the number of scores in it.
 
     Adds ``rolling_<rows>d_score`` (2 decimals) and ``days_in_window``. The frame counts
-    rows: after a missing day it reaches further back.
+    rows: after a missing day it reaches further back. Without ``width`` rows are of daily
+    grain. Equal dates are none; the value decides their order, so that it is settled.
     """
-    reach = rows - 1
-    history = split_history(df, [key], date, width, limit).withColumn(
-        "_value", F.col(score).cast(EXACT)
+    if width is not None:
+        total, count, out = _rolling_in_stretches(df, rows, key, date, score, width)
+    else:
+        value = F.col(score).cast(EXACT)
+        frame = Window.partitionBy(key).orderBy(date, value).rowsBetween(-(rows - 1), 0)
+        out = df.withColumn("_sum", F.sum(value).over(frame)).withColumn(
+            "_count", F.count(value).over(frame)
+        )
+        total, count = F.col("_sum").cast(TOTAL), F.col("_count")
+    return out.select(
+        *[F.col(c) for c in df.columns],
+        exact_mean(total, count, 2).alias(f"rolling_{rows}d_score"),
+        count.alias("days_in_window"),
     )
-    # Equal dates are no daily grain; the value decides their order, so that it is settled.
+
+
+def _rolling_in_stretches(
+    df: DataFrame, rows: int, key: str, date: str, score: str, width: int
+) -> tuple[Column, Column, DataFrame]:
+    """Sum and count of each row's frame, and the frame they are columns of."""
+    reach = rows - 1
+    history = split_history(df, date, width).withColumn("_value", F.col(score).cast(EXACT))
     within = Window.partitionBy(key, STRETCH).orderBy(POS, "_value")
     frame = within.rowsBetween(-reach, 0)
 
@@ -91,8 +95,7 @@ def rolling_score(
         F.col(POS).desc(), F.col("_value").desc()
     )
     tails = (
-        history.where(LONG)
-        .select(key, STRETCH, POS, "_value")
+        history.select(key, STRETCH, POS, "_value")
         .withColumn("_from_end", F.row_number().over(newest_first))
         .where(F.col("_from_end") <= reach)
         .groupBy(key, STRETCH)
@@ -129,11 +132,7 @@ def rolling_score(
     )
     total = F.coalesce(F.col("_sum").cast(TOTAL), zero) + F.coalesce(added, zero)
     count = F.col("_count") + F.when(has_carry, n_added).otherwise(0)
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        exact_mean(total, count, 2).alias(f"rolling_{rows}d_score"),
-        count.alias("days_in_window"),
-    )
+    return total, count, joined
 
 
 def rolling_score_days(
@@ -166,21 +165,19 @@ def rolling_score_days(
 
 
 def running_sum(
-    df: DataFrame,
-    key: str,
-    order: str,
-    value: str,
-    out: str,
-    width: int = MONTH,
-    limit: int | None = LIMIT,
+    df: DataFrame, key: str, order: str, value: str, out: str, width: int | None = None
 ) -> DataFrame:
-    """Cumulative sum per user; rows of one position are added together."""
-    history = split_history(df, [key], order, width, limit)
+    """Cumulative sum per user; rows of one position are added together.
+
+    Without ``width`` rows are of daily grain.
+    """
+    if width is None:
+        return df.withColumn(out, F.sum(value).over(Window.partitionBy(key).orderBy(order)))
+    history = split_history(df, order, width)
     within = Window.partitionBy(key, STRETCH).orderBy(POS)
     before = _across([key]).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        history.where(LONG)
-        .groupBy(key, STRETCH)
+        history.groupBy(key, STRETCH)
         .agg(F.sum(value).alias("_total"))
         .select(key, STRETCH, F.sum("_total").over(before).alias("_before"))
     )
@@ -201,25 +198,23 @@ def neighbour(
     order: str,
     out: str,
     forward: bool = True,
-    width: int = MONTH,
-    limit: int | None = LIMIT,
+    width: int | None = None,
     ties: Sequence[str] = (),
-    seen_in: DataFrame | None = None,
 ) -> DataFrame:
     """The next (or previous) value of ``order`` within a key: lead/lag of the order itself.
 
-    ``ties`` orders rows of one position, which are each other's neighbours. ``seen_in`` may
-    name a cheaper table with the same keys and positions, for the ends of the
-    stretches.
+    ``ties`` orders rows of one position, which are each other's neighbours. Without ``width``
+    rows are of daily grain.
     """
     keys = list(keys)
-    history = split_history(df, keys, order, width, limit)
-    ends = history if seen_in is None else split_history(seen_in, keys, order, width, limit)
-    within = Window.partitionBy(*keys, STRETCH).orderBy(order, *ties)
     edge, step = (F.min, F.lead) if forward else (F.max, F.lag)
+    if width is None:
+        within = Window.partitionBy(*keys).orderBy(order, *ties)
+        return df.withColumn(out, step(order).over(within))
+    history = split_history(df, order, width)
+    within = Window.partitionBy(*keys, STRETCH).orderBy(order, *ties)
     edges = (
-        ends.where(LONG)
-        .groupBy(*keys, STRETCH)
+        history.groupBy(*keys, STRETCH)
         .agg(edge(order).alias("_edge"))
         .select(*keys, STRETCH, step("_edge").over(_across(keys)).alias("_beyond"))
     )

@@ -718,6 +718,24 @@ def incremental_delete_insert(spark, sf):
     return spark.read.parquet(path).select(*DAILY)
 
 
+def _undated(totals):
+    """The days of every seventh user are unknown."""
+    day = F.when(F.col("user_id") % 7 != 3, F.col("activity_date"))
+    return totals.withColumn("activity_date", day)
+
+
+@query
+def incremental_null_dates(spark, sf):
+    """Delete+insert where target and batch hold rows without a date."""
+    path = storage.shared_dir(spark, "null-dates")
+    target = _undated(_daily_totals(spark, sf, early=True))
+    storage.write_partitioned(target, path, "activity_date", "user_id")
+    late = F.col("activity_date").isNull() | (F.col("activity_date") >= F.lit(REPLACED_FROM))
+    batch = _undated(_daily_totals(spark, sf)).where(late)
+    loads.apply_delete_insert(spark, path, batch, ["user_id", "activity_date"], "activity_date")
+    return spark.read.parquet(path).select(*DAILY)
+
+
 @query
 def incremental_insert_overwrite(spark, sf):
     path = _loaded(spark, sf, "insert-overwrite")
@@ -1007,8 +1025,8 @@ def ab_assign(spark, sf):
     return ab.assign(users(spark, sf), "template_test", 0.5)
 
 
-# Selection weights of the wearable devices (the scale is not eligible).
-DEVICE_WEIGHTS = [(1, 0.34), (2, 0.26), (3, 0.22)]
+# Weights of the devices that a user may have; others are not eligible.
+DEVICE_WEIGHTS = [(1, 5), (2, 3), (3, 2)]
 
 
 @query
@@ -1099,16 +1117,22 @@ def stream_at_least_once(spark, sf):
 
 @query
 def stream_bounded_run(spark, sf):
-    """A run stopped after its first rows is completed by the next one."""
+    """What a bounded run has stored after the first sending, and the next run after all."""
     path, records = storage.shared_dir(spark, "bounded"), _records(spark, sf)
     users = F.col("key").cast("bigint")
-    for part in (users % 2 == 0, users % 2 == 1):  # two sendings, hence two files or more
+    files = []
+    for part in (users % 2 == 0, users % 2 == 1):
         records.where(part).write.mode("append").parquet(f"{path}/in")
-    half = -(-len(spark.read.parquet(f"{path}/in").inputFiles()) // 2)
-    for limit in (1, None):
-        stream = ev.read_files(spark, f"{path}/in", maxFilesPerTrigger=str(half))
+        files.append(len(spark.read.parquet(f"{path}/in").inputFiles()))
+    states = []
+    for limit, run in ((1, "bounded"), (None, "rest")):
+        # A micro-batch takes the files of the first sending, the older ones, or all others.
+        stream = ev.read_files(spark, f"{path}/in", maxFilesPerTrigger=str(files[0]))
         sinks.run_available(stream, f"{path}/events", f"{path}/checkpoint", max_rows=limit)
-    return _stored(spark, path).groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+        counts = _stored(spark, path).groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+        counts.withColumn("run", F.lit(run)).write.parquet(f"{path}/{run}")
+        states.append(spark.read.parquet(f"{path}/{run}"))
+    return reshape.union_all(*states)
 
 
 @query

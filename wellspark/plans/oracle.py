@@ -121,8 +121,8 @@ from users u left join newest_span s on u.user_id = s.user_id""",
 select md5(cast(user_id as varchar) || '-' || cast(valid_from as varchar)) as user_version_key, *,
        valid_to = date '9999-12-31' as is_current
 from (select user_id, membership_tier, company, effective_from as valid_from,
-             cast(lead(effective_from, 1, date '10000-01-01')
-                    over (partition by user_id order by effective_from) - 1 as date) as valid_to
+             coalesce(cast(lead(effective_from) over (partition by user_id order by effective_from) - 1 as date),
+                      date '9999-12-31') as valid_to
       from spans)""",
     "enriched": """
 select *, cast(case when sleep_minutes = 0 then null else
@@ -604,6 +604,14 @@ select {columns} from day_early where not ({late})"""
 SQL["incremental_append"] = "select * replace (cast(amount as double) as amount) from day_late"
 SQL["full_refresh"] = SQL["incremental_append"]
 SQL["incremental_delete_insert"] = _daily("activity_date >= date '2024-01-10'")
+SQL["incremental_null_dates"] = """
+with late as (select user_id, case when user_id % 7 <> 3 then activity_date end as activity_date, n,
+                     cast(amount as double) as amount from day_late),
+early as (select user_id, activity_date, n, cast(amount as double) as amount
+          from day_early where user_id % 7 <> 3)
+select * from late where activity_date is null or activity_date >= date '2024-01-10'
+union all
+select * from early where activity_date < date '2024-01-10'"""
 SQL["incremental_insert_overwrite"] = _daily("activity_date between date '2024-01-10' and date '2024-01-15'")
 SQL["backfill_interval"] = SQL["incremental_insert_overwrite"]
 SQL["incremental_late_upsert"] = """
@@ -941,8 +949,8 @@ select user_id, 'template_test' as experiment_name,
             then 'B' else 'A' end as variant
 from users"""
 SQL["weighted_assign"] = """
-select user_id, case when bucket < 0.34 / 0.82 * 1000000 then 1
-                     when bucket < 0.60 / 0.82 * 1000000 then 2 else 3 end as device_id
+select user_id, case when bucket < 500000 then 1
+                     when bucket < 800000 then 2 else 3 end as device_id
 from (select user_id, ('0x' || substr(md5('primary_device:' || user_id), 1, 8))::bigint % 1000000 as bucket
       from users)"""
 
@@ -956,7 +964,10 @@ SQL["stream_upsert_ignore"] = SQL["stream_decode"]
 SQL["stream_at_least_once"] = """
 select "partition", count(*) as events, cast(sum(heart_rate) as bigint) as heart_rate
 from readings group by "partition\""""
-SQL["stream_bounded_run"] = "select user_id, count(*) as events from readings group by user_id"
+SQL["stream_bounded_run"] = """
+select user_id, count(*) as events, 'bounded' as run from readings where user_id % 2 = 0 group by user_id
+union all
+select user_id, count(*), 'rest' from readings group by user_id"""
 SQL["stream_publish"] = """
 select cast(user_id as varchar) as key, event_id, cast(user_id as bigint) as user_id,
        cast(heart_rate as bigint) as heart_rate, cast(steps_delta as bigint) as steps_delta, device

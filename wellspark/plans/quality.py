@@ -16,17 +16,12 @@ def not_null(table: str, column: str) -> Check:
 
 
 def unique(table: str, column: str) -> Check:
-    return Check(
-        f"unique_{table}_{column}", table, offenders=lambda t: x.unique(t[table], column)
-    )
+    return Check(f"unique_{table}_{column}", table, unique=(column,))
 
 
 def unique_combination(table: str, *columns: str) -> Check:
-    return Check(
-        f"unique_combination_{table}_{'_'.join(columns)}",
-        table,
-        offenders=lambda t: x.unique_combination(t[table], columns),
-    )
+    name = f"unique_combination_{table}_{'_'.join(columns)}"
+    return Check(name, table, unique=columns, nulls=True)
 
 
 def accepted(table: str, column: str, values: list) -> Check:
@@ -42,12 +37,8 @@ def positive(table: str, column: str) -> Check:
 
 
 def related(table: str, column: str, parent: str, parent_column: str) -> Check:
-    return Check(
-        f"relationships_{table}_{column}_{parent}",
-        table,
-        offenders=lambda t: x.relationships(t[table], column, t[parent], parent_column),
-        weighted=True,
-    )
+    name = f"relationships_{table}_{column}_{parent}"
+    return Check(name, table, parent=(column, parent, parent_column))
 
 
 def key(table: str, column: str) -> list[Check]:

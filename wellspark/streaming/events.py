@@ -158,13 +158,12 @@ def offset_gaps(
 
     ``missing`` offsets lie between ``after_offset`` and ``at_offset``, or ``repeats`` extra
     rows carry ``at_offset``. Offsets are counted first and then compared with their
-    predecessor in stretches of ``width``, so a few huge partitions use the whole cluster.
+    predecessor in stretches of ``width``, so a few huge partitions use the whole cluster. The
+    ends of the stretches come from the counted offsets, whose shuffle serves both.
     """
     stored = stored.select(partition, offset)
     counted = stored.groupBy(partition, offset).agg(F.count(F.lit(1)).alias("_n"))
-    compared = neighbour(
-        counted, [partition], offset, "after_offset", False, width, limit=None, seen_in=stored
-    )
+    compared = neighbour(counted, [partition], offset, "after_offset", False, width)
     missing = F.coalesce(F.col(offset) - F.col("after_offset") - 1, F.lit(0)).cast("bigint")
     return (
         compared.select(

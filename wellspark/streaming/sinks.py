@@ -10,12 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.sources.storage import read_if_there
 from wellspark.streaming.events import classify, split_errors
 
+
+
+class BoundReached(Exception):
+    """Ends a bounded run."""
+
+
 SPAN = "id_span"
 SPAN_SIZE = 10_000_000
 
@@ -52,13 +59,14 @@ def append_unseen(
     """
     spark, keys = batch.sparkSession, list(keys)
     span = F.col(span_of) - F.pmod(F.col(span_of), F.lit(span_size))
-    low, high = batch.agg(F.min(span), F.max(span)).first()
-    if low is None:
+    # A batch has few spans, and no more than rows; one late id adds its own span alone.
+    reached = [r[0] for r in batch.select(span).where(span.isNotNull()).distinct().collect()]
+    if not reached:
         return
     unseen = one_per_key(batch).withColumn(SPAN, span)
     stored = read_if_there(spark, path, unseen.schema)
     if stored is not None:
-        held = stored.where(F.col(SPAN).between(low, high)).select(*keys)
+        held = stored.where(F.col(SPAN).isin(reached)).select(*keys)
         unseen = unseen.join(held, keys, "left_anti")
     unseen.hint("rebalance", F.col(SPAN)).write.mode("append").partitionBy(SPAN).parquet(path)
 
@@ -83,19 +91,27 @@ def run_available(
 ) -> int:
     """Land a stream of records until nothing is left, and return the rows read.
 
-    ``max_rows`` ends the run after the micro-batch that reaches it; the source's
-    maxFilesPerTrigger or maxOffsetsPerTrigger sets the size of a batch. The next run
-    continues from the checkpoint.
+    ``max_rows`` ends the run after the micro-batch that reaches it: the next one is refused
+    before anything of it is stored, and as it is not recorded either, the next run begins
+    with it. The source's maxFilesPerTrigger or maxOffsetsPerTrigger sets the size of a batch.
     """
+    read = 0
+    enough = False
 
     def land(batch: DataFrame, _: int) -> None:
+        nonlocal read, enough
+        if max_rows is not None and read >= max_rows:
+            enough = True
+            raise BoundReached(f"{read} rows read")
         # Both outcomes come from one read of the source and one decoding.
         classified = classify(batch).persist()
         try:
+            rows = classified.count()
             good, bad = split_errors(classified)
             upsert_ignore(good, path)
             if errors_path is not None:
                 store_errors(bad, errors_path)
+            read += rows
         finally:
             classified.unpersist()
 
@@ -105,13 +121,11 @@ def run_available(
         .trigger(availableNow=True)
         .start()
     )
-    read: dict[int, int] = {}
     try:
-        while not query.awaitTermination(0.2):
-            read.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
-            if max_rows is not None and sum(read.values()) >= max_rows:
-                query.stop()
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not enough:
+            raise
     finally:
         query.stop()
-    read.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
-    return sum(read.values())
+    return read
