@@ -161,3 +161,35 @@ def test_hours_to_long_and_back(spark):
     assert rows(long.where("heart_rate is not null")) == rows(intraday)
     summary = reshape.hr_daily(intraday).first()
     assert (summary["min_hr"], summary["avg_hr"], summary["max_hr"], summary["peak_hour"]) == (60, 80.0, 90, 7)
+
+
+def test_stored_snapshot_equals_merging_all_versions(spark, tmp_path):
+    """Runs add what they close; a repeated run and one that broke off change nothing."""
+    states = [
+        [(1, "a"), (2, "b"), (3, None)],
+        [(1, "a"), (2, "c"), (4, "d")],
+        [(1, "x"), (3, "y"), (4, "d")],
+        [(1, "a"), (2, "c")],
+    ]
+    merged = None
+    for i, state in enumerate(states):
+        day = dt.date(2024, 1, 1 + i)
+        current = spark.createDataFrame(state, "k int, v string")
+        merged = history.scd2_merge(merged, current, "k", ["v"], day)
+        if i == 2:
+            half = spark.createDataFrame([(9, "lost", day, day, day)], "k int, v string, valid_from date, valid_to date, run date")
+            half.write.partitionBy("run").mode("append").parquet(f"{tmp_path}/s/closed")
+            assert rows(history.snapshot(spark, f"{tmp_path}/s").where("k = 9")) == []
+        for _ in range(1 + (i == 1)):
+            history.apply_snapshot(spark, f"{tmp_path}/s", current, "k", ["v"], day)
+        columns = ("k", "v", "valid_from", "valid_to")
+        assert rows(history.snapshot(spark, f"{tmp_path}/s"), *columns) == rows(merged, *columns)
+
+
+def test_as_of_join_settles_ties_by_the_other_columns(spark):
+    fact = spark.createDataFrame([(1, dt.date(2024, 2, 1))], "user_id int, day date")
+    scans = [(1, dt.date(2024, 1, 5), 70.0), (1, dt.date(2024, 1, 5), 80.0), (1, dt.date(2024, 3, 1), 60.0)]
+    for order in (scans, scans[::-1]):
+        dim = spark.createDataFrame(order, "user_id int, since date, weight double").coalesce(1)
+        joined = joins.as_of_join(fact, dim, "day", start="since", end=None)
+        assert rows(joined, "weight") == [(80.0,)]

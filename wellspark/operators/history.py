@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellspark.functions.scalars import OPEN_END, surrogate_key
 from wellspark.operators.windows import neighbour
+from wellspark.sources.storage import read_if_there
 
 
 def scd2_from_spans(history: DataFrame) -> DataFrame:
@@ -34,6 +37,7 @@ def scd2_from_spans(history: DataFrame) -> DataFrame:
         (valid_to == open_end).alias("is_current"),
     )
 
+
 def scd2_merge(
     prev: DataFrame | None,
     current: DataFrame,
@@ -81,3 +85,52 @@ def scd2_merge(
     )
     merged = paired.select(key, F.explode(versions).alias("v")).select(key, "v.*")
     return prev.where(F.col("valid_to").isNotNull()).unionByName(merged)
+
+
+def apply_snapshot(
+    spark: SparkSession,
+    path: str,
+    current: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    run_at: dt.datetime | dt.date,
+) -> None:
+    """One run of a stored snapshot: closed versions are added, only the open ones rewritten.
+
+    Each run has its own folder of versions that it closed and of versions open after it. The
+    open ones are written last and make the run count, so a run that broke off, or is repeated,
+    starts from the run before it and replaces its own folders.
+    """
+    first = scd2_merge(None, current, key, check_cols, run_at).withColumn("run", F.lit(run_at))
+    held = _open_before(spark, path, F.col("run") < F.lit(run_at), first.schema)
+    stage = f"{path}/stage-{uuid.uuid4().hex}"
+    scd2_merge(held, current, key, check_cols, run_at).withColumn("run", F.lit(run_at)).write.parquet(stage)
+    merged = spark.read.schema(first.schema).parquet(stage)
+    for part, rows in (("closed", F.col("valid_to").isNotNull()), ("open", F.col("valid_to").isNull())):
+        (
+            merged.where(rows)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run")
+            .parquet(f"{path}/{part}")
+        )
+
+
+def snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of a stored snapshot as of its last finished run."""
+    stored = spark.read.parquet(f"{path}/open")
+    last = stored.agg(F.max("run")).scalar()
+    # A run that closes nothing leaves a folder without a file to take the schema from.
+    closed = spark.read.schema(stored.schema).parquet(f"{path}/closed").where(F.col("run") <= last)
+    return closed.unionByName(stored.where(F.col("run") == last)).drop("run")
+
+
+def _open_before(
+    spark: SparkSession, path: str, runs: Column, schema: T.StructType
+) -> DataFrame | None:
+    """The versions open after the last of the runs, or None if there was none."""
+    opened = read_if_there(spark, f"{path}/open", schema)
+    if opened is None:
+        return None
+    last = opened.where(runs).agg(F.max("run")).first()[0]
+    return None if last is None else opened.where(F.col("run") == F.lit(last)).drop("run")

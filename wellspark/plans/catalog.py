@@ -762,14 +762,13 @@ def full_refresh(spark, sf):
 
 @query
 def scd2_snapshot(spark, sf):
-    """Three snapshot runs of the users' current attributes, each stored before the next."""
-    path, held = storage.shared_dir(spark, "snapshot"), None
-    for day in SNAPSHOT_DAYS:
+    """Three snapshot runs of the users' current attributes, the second of them repeated."""
+    path = storage.shared_dir(spark, "snapshot")
+    for day in (*SNAPSHOT_DAYS[:2], *SNAPSHOT_DAYS[1:]):
         known = spans(spark, sf).where(F.col("effective_from") <= F.lit(day))
         current = windows.latest_by(known, "user_id", "effective_from").drop("effective_from")
-        merged = h.scd2_merge(held, current, "user_id", ["membership_tier", "company"], day)
-        held = pipeline.materialize(merged, f"{path}/{day}")
-    return held
+        h.apply_snapshot(spark, path, current, "user_id", ["membership_tier", "company"], day)
+    return h.snapshot(spark, path)
 
 
 @query
