@@ -83,23 +83,23 @@ def phrase_rows(texts: pa.Array, doc: np.ndarray) -> list[np.ndarray]:
     return [doc[rows], phrase.view(np.int64), in_own_text(rows, phrase)]
 
 
-def window_rows(texts: pa.Array, doc: np.ndarray, text_key: np.ndarray, held: bytes) -> list[np.ndarray]:
-    """(doc, text_key, start, window, twice) for each window whose phrase may be repeated."""
+def window_rows(texts: pa.Array, doc: np.ndarray, row: np.ndarray, held: bytes) -> list[np.ndarray]:
+    """(doc, row, start, window, twice) for each window whose phrase may be repeated."""
     rows, start, phrase, _, window = selected(texts)
     again = in_bitmap(held, (phrase & np.uint64(MAP_BITS - 1)).astype(np.int64))
     rows, start, window = rows[again], start[again], window[again]
-    return [doc[rows], text_key[rows], start.astype(np.int32), window.view(np.int64), in_own_text(rows, window)]
+    return [doc[rows], row[rows], start.astype(np.int32), window.view(np.int64), in_own_text(rows, window)]
 
 
 def flattened(docs: DataFrame, make, schema: str, names: list[str]) -> DataFrame:
-    """Rows that ``make`` gives for pieces of (text, doc, text_key)."""
+    """Rows that ``make`` gives for pieces of (text, doc, row)."""
 
     def run(batches):
         for batch in batches:
             texts = pa.compute.fill_null(batch.column(0), "")
-            doc, key = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            doc, row = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for first, last in pieces(texts):
-                made = make(texts.slice(first, last - first), doc[first:last], key[first:last])
+                made = make(texts.slice(first, last - first), doc[first:last], row[first:last])
                 yield pa.RecordBatch.from_arrays([pa.array(a) for a in made], names)
 
     return docs.mapInArrow(run, schema)
@@ -113,10 +113,10 @@ def passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     sent = docs.select(
         said.alias("text"),
         F.coalesce(named(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(said).alias("text_key"),
+        F.monotonically_increasing_id().alias("row"),
     )
     suffixes = flattened(
-        sent, lambda texts, doc, key: phrase_rows(texts, doc),
+        sent, lambda texts, doc, row: phrase_rows(texts, doc),
         "doc long, phrase long, twice boolean", ["doc", "phrase", "twice"],
     )
     heads = (
@@ -128,9 +128,9 @@ def passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     held = context.broadcast(bitmap(heads, "bit", MAP_BITS))
     windows = stored(
         flattened(
-            sent, lambda texts, doc, key: window_rows(texts, doc, key, held.value),
-            "doc long, text_key long, start int, window long, twice boolean",
-            ["doc", "text_key", "start", "window", "twice"],
+            sent, lambda texts, doc, row: window_rows(texts, doc, row, held.value),
+            "doc long, row long, start int, window long, twice boolean",
+            ["doc", "row", "start", "window", "twice"],
         ),
         "windows",
     )
@@ -138,14 +138,21 @@ def passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
         windows.groupBy("window")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         .where("low <> high")
+        # Another form of the key: both sides are dealt out for the join, and hot windows split.
+        .select(F.bitwise_not("window").alias("key"), "low", "high")
     )
     other = F.when(F.col("low") != F.col("doc"), F.col("low")).otherwise(F.col("high"))
     found = (
-        windows.join(shared, "window", "left")
+        windows.withColumn("key", F.bitwise_not("window"))
+        .drop("window")
+        .join(shared, "key", "left")
         .where("twice or low is not null")
-        .groupBy("doc", "text_key")
-        .agg(F.array_sort(F.collect_set(F.struct("start", other.alias("other")))).alias("at"))
+        .select("row", "start", other.alias("other"))
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_list(F.struct("start", "other"))).alias("at"))
     )
+    # The windows are written, so a row keeps its number; its id joins when little is left.
+    ids = windows.groupBy("row").agg(F.min("doc").alias("doc"))
 
     def joined(at):
         """Windows that overlap or touch are one passage."""
@@ -166,7 +173,7 @@ def passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
             ),
         )
 
-    spans = found.select("doc", F.explode(let(F.col("at"), joined)).alias("span"))
+    spans = found.select("row", F.explode(let(F.col("at"), joined)).alias("span")).join(ids, "row")
 
     def real(column):
         return F.when(column != NO_ID, column)
@@ -177,4 +184,4 @@ def passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
         F.col("span.end").cast("long").alias("end_word"),
         (F.col("span.end") - F.col("span.start")).cast("long").alias("n_words"),
         real(F.col("span.other")).alias("other_doc_id"),
-    )
+    ).distinct()
