@@ -186,10 +186,12 @@ def candidates(texts: DataFrame) -> DataFrame:
         rows.groupBy("band")
         .agg(F.min("node").alias("b"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("band", "b")
+        # Another form of the key: both sides are dealt out for the join, and hot bands split.
+        .select(F.bitwise_not("band").alias("key"), "b")
     )
     return (
-        rows.join(hubs, "band")
+        rows.withColumn("key", F.bitwise_not("band"))
+        .join(hubs, "key")
         .where("node <> b")
         .groupBy(F.col("node").alias("a"), "b")
         .agg(F.count("*").alias("n"))
@@ -272,7 +274,9 @@ def classes(
         F.min("low").alias("class_id"),
         F.min_by("node", F.struct(F.col("low").isNull(), "low", "node")).alias("keeper"),
     )
-    names = of_text.join(of_class, "root").select("node", "class_id", "keeper")
+    of_class = of_class.select(F.hex("root").alias("key"), "class_id", "keeper")
+    names = of_text.withColumn("key", F.hex("root")).join(of_class, "key")
+    names = names.select("node", "class_id", "keeper")
     return ids.join(names, "node").select("doc_id", "node", "class_id", "keeper")
 
 
