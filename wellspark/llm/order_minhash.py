@@ -4,10 +4,13 @@ Words are lower-cased runs of letters and digits. A text's k-mers are its shingl
 (all its words, if fewer), each labelled with its occurrence in the text. For each of TABLES hash
 functions the few k-mers of least hash are taken and put back into the order in which they stand
 in the text; the hash of that sequence is a band. Texts that share a band are candidates: each is
-compared with the band's least text only, so a band of n texts gives n - 1 pairs, and taking two
-numbers of k-mers for each hash function keeps a passage that very many texts share from being
-the only thing that they are grouped by. A pair is a link if its banded alignment on words needs
-at most (1 - SIMILARITY) * (words of the longer) edits. Links are followed to classes.
+compared with the band's least text first, so a band of n texts gives n - 1 pairs. Where that
+leaves a band in several classes, every two of its texts from different classes are compared too:
+in blocks, by counts of their words, which bound the alignment from below, and those that the
+bound lets pass by the alignment. Taking two numbers of k-mers for each hash function keeps a
+passage that very many texts share from being the only thing that they are grouped by. A pair is
+a link if its banded alignment on words needs at most (1 - SIMILARITY) * (words of the longer)
+edits. Links are followed to classes.
 
 Copies are not compared at all: texts are keyed by their md5, each distinct text is handled once,
 and its copies join its class by key. Pairs that earlier links have already put into one class
@@ -40,6 +43,10 @@ TABLES = 16
 KEPT = (2, 4)
 #: Bits that tell texts with candidates from others before their words are read again.
 FILTER_BITS = 1 << 23
+#: Texts of a band that are compared with each other, or with as many others, in one task.
+BLOCK = 1024
+#: Counts of words by hash that a text is first compared by; they stop at 255.
+BINS = 128
 
 SIGNATURE = T.StructType([T.StructField("bands", T.ArrayType(T.LongType()))])
 
@@ -177,8 +184,8 @@ def alike(a: bytes, b: bytes, similarity: float) -> bool:
     return edits(x, y, limit) <= limit
 
 
-def candidates(texts: DataFrame) -> DataFrame:
-    """(a, b, n): a text, the least text of bands that both have, and how many those are."""
+def shared_bands(texts: DataFrame) -> DataFrame:
+    """(band, node, b): the texts of each band that several have, and the least of them."""
     signed = with_result(texts, "s", SIGNATURE, bands, keep=["node"])
     each = signed.groupBy("node").agg(F.first("s.bands").alias("bands"))
     rows = stored(each.select("node", F.explode("bands").alias("band")), "bands")
@@ -190,11 +197,14 @@ def candidates(texts: DataFrame) -> DataFrame:
         .select(F.bitwise_not("band").alias("key"), "b")
     )
     return (
-        rows.withColumn("key", F.bitwise_not("band"))
-        .join(hubs, "key")
-        .where("node <> b")
-        .groupBy(F.col("node").alias("a"), "b")
-        .agg(F.count("*").alias("n"))
+        rows.withColumn("key", F.bitwise_not("band")).join(hubs, "key").select("band", "node", "b")
+    )
+
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """(a, b, n): a text, the least text of bands that both have, and how many those are."""
+    return (
+        shared.where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
     )
 
 
@@ -236,9 +246,107 @@ def links(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(verified, "a binary, b binary")
 
 
+def word_bins(words: bytes) -> bytes:
+    """How many of the packed words fall into each of BINS, up to 255."""
+    hashed = np.frombuffer(words, dtype=np.uint32)
+    return np.minimum(np.bincount(hashed % BINS, minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def may_be_alike(n: np.ndarray, bins: np.ndarray, i: int, js: np.ndarray, similarity: float) -> np.ndarray:
+    """Those of ``js`` that counts of words do not prove to be unlike text ``i``.
+
+    An edit takes at most one word out of a bin and puts at most one into another, so there are
+    at least as many edits as there are words too many, or words too few.
+    """
+    limit = ((1 - similarity) * np.maximum(n[js], n[i]) + 1e-9).astype(np.int64)
+    more = (np.maximum(bins[js], bins[i]) - bins[i]).sum(axis=1, dtype=np.int64)
+    less = (np.maximum(bins[js], bins[i]) - bins[js]).sum(axis=1, dtype=np.int64)
+    return js[(np.maximum(more, less) <= limit) & (np.abs(n[js] - n[i]) <= limit)]
+
+
+def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): texts of one band and of different classes that may be alike, every such pair.
+
+    A band's classes are dealt out to blocks, a large class to blocks of its own, and each two
+    blocks meet in a row of their own, but for those of one large class.
+    """
+    root = F.coalesce("root", "node")
+    members = stored(shared.join(roots, "node", "left").select("band", "node", root.alias("root")), "members")
+    sizes = members.groupBy("band", "root").agg(F.count("*").alias("m"))
+    small = F.sum(F.when(F.col("m") <= BLOCK, F.col("m")).otherwise(0))
+    open_bands = sizes.groupBy("band").agg(F.count("*").alias("c"), small.alias("small")).where("c > 1")
+    large = F.col("m") > BLOCK
+    parts = sizes.join(open_bands, "band").select(
+        F.bitwise_not("band").alias("key"),
+        F.hex("root").alias("root_key"),
+        F.ceil(F.when(large, F.col("m")).otherwise(F.col("small")) / BLOCK).alias("parts"),
+        F.when(large, F.col("root")).alias("alone"),
+    )
+    within = F.pmod(F.xxhash64("node"), F.col("parts"))
+    block = F.when(F.col("alone").isNull(), F.pmod(F.xxhash64("root"), F.col("parts")))
+    placed = (
+        members.withColumn("key", F.bitwise_not("band"))
+        .withColumn("root_key", F.hex("root"))
+        .join(parts, ["key", "root_key"])
+        .select("band", "node", "root", "alone", F.coalesce(block, F.xxhash64("root", within)).alias("block"))
+    )
+    placed = stored(placed, "placed")
+    said = placed.select("node").distinct().join(words, "node").select("node", "words")
+
+    def binned(batches):
+        for batch in batches:
+            packed = batch.column(1).to_pylist()
+            n = pa.array([len(w) // 4 for w in packed], pa.int64())
+            bins = pa.array([word_bins(w) for w in packed], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, bins], ["node", "n", "bins"])
+
+    bins = said.mapInArrow(binned, "node binary, n long, bins binary")
+    each = placed.groupBy("band", "block").agg(F.first("alone").alias("alone"))
+    one = each.select("band", F.col("block").alias("i"), F.col("alone").alias("alone_i"))
+    two = each.select("band", F.col("block").alias("j"), F.col("alone").alias("alone_j"))
+    meet = one.join(two, "band").where("i <= j and (alone_i = alone_j) is not true").select("band", "i", "j")
+    ends = F.array_distinct(F.array("i", "j"))
+    meet = meet.select("band", "i", "j", F.explode(ends).alias("block"))
+    both = (
+        placed.join(bins, "node")
+        .join(meet, ["band", "block"])
+        .groupBy("band", "i", "j")
+        .agg(F.collect_list(F.struct("block", "node", "root", "n", "bins")).alias("texts"))
+        .select("i", "j", "texts")
+    )
+
+    def passing(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                texts = batch.column(2)[row].values
+                block = texts.field("block").to_numpy()
+                node, root = texts.field("node"), texts.field("root").to_pylist()
+                n = texts.field("n").to_numpy()
+                bins = np.frombuffer(b"".join(texts.field("bins").to_pylist()), dtype=np.uint8)
+                bins = bins.reshape(-1, BINS)
+                known: dict[bytes, int] = {}
+                root = np.array([known.setdefault(r, len(known)) for r in root])
+                i, j = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+                a, b = [], []
+                for x in left.tolist():
+                    js = right[right > x] if i == j else right
+                    js = may_be_alike(n, bins, x, js[root[js] != root[x]], similarity)
+                    a.append(np.full(len(js), x))
+                    b.append(js)
+                a, b = np.concatenate(a or [left]), np.concatenate(b or [left])
+                for k in range(0, len(a), BLOCK * 16):
+                    some = slice(k, k + BLOCK * 16)
+                    yield pa.RecordBatch.from_arrays([node.take(pa.array(a[some])), node.take(pa.array(b[some]))], ["a", "b"])
+
+    found = both.mapInArrow(passing, "a binary, b binary")
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def rooted(texts: DataFrame, similarity: float) -> DataFrame:
     """(node, root) of the texts that are like another text, but for the roots themselves."""
-    pairs = stored(candidates(texts), "pairs")
+    shared = stored(shared_bands(texts), "shared")
+    pairs = stored(candidates(shared), "pairs")
     words = stored(words_of(texts, pairs), "words")
     # First the pairs that share most bands, one for each text; then those still apart.
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
@@ -252,8 +360,10 @@ def rooted(texts: DataFrame, similarity: float) -> DataFrame:
         .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
         .join(best, ["a", "b"], "left_anti")
     )
-    more = stored(links(apart, words, similarity), "links")
-    return components(sure.unionByName(more))
+    more = sure.unionByName(stored(links(apart, words, similarity), "links"))
+    roots = components(more)
+    rest = stored(links(across(shared, roots, words, similarity), words, similarity), "links")
+    return roots if rest.isEmpty() else components(more.unionByName(rest))
 
 
 def classes(
