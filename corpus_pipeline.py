@@ -24,8 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that too many documents of their source have."""
-    return boilerplate.without_boilerplate(docs, host="source")
+    """Documents without the lines that too many distinct texts of their source have.
+
+    Copies are still there: counted one by one, a large group would lose all of its lines.
+    """
+    return boilerplate.without_boilerplate(docs, host="source", once=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

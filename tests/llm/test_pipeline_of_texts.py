@@ -51,6 +51,21 @@ def test_each_stage_takes_effect(spark, sf):
     assert docs.where("not round_trip").count() == 0
 
 
+def test_copies_of_a_text_are_no_boilerplate(spark, sf):
+    rng = random.Random(23)
+    line = "a line of many texts"
+    copied = f"{prose(rng, 40)}\n{line}\n{prose(rng, 30)}"
+    rows = [(i, copied, "en", "s", 1) for i in range(40)]
+    rows += [(100 + i, f"{prose(rng, 50)}\n{line}", "en", "s", 1) for i in range(20)]
+    rows += [(200, None, "en", "s", 1), (201, copied, "en", None, 1)]
+    out = corpus_pipeline.lines(spark, documents(spark, rows), sf)
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert len(texts) == len(rows)
+    assert {texts[i] for i in range(40)} == {copied.replace(f"\n{line}\n", "\n")}
+    assert all(texts[100 + i] == rows[40 + i][1].split(f"\n{line}")[0] for i in range(20))
+    assert texts[200] is None and texts[201] == copied
+
+
 def test_run_is_the_stages(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     docs = spark.read.parquet(f"{sf}/documents.parquet")

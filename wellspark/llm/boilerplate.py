@@ -7,7 +7,8 @@ splits the hot hosts' pages, whichever its sizes call for.
 
 Defined results: lines are compared without blanks, tabs and carriage returns at their ends;
 blank lines are never counted and never dropped. A page without a host, or without text, stays
-as it is. Repeated rows are pages of their own. Dropping leaves the other lines, and their order,
+as it is. Repeated rows are pages of their own, unless ``once`` is set: then equal texts of a host
+count as one page, in a line's number of pages and in the host's alike. Dropping leaves the other lines, and their order,
 as they were; a page that is boilerplate throughout stays as an empty text. An empty table gives
 no rows. Other columns pass through; one named like the count columns asked for is replaced.
 """
@@ -54,8 +55,17 @@ def _keys(host: Column, lines: Column) -> Column:
     return F.transform(lines, lambda x: F.when(_bare(x) != "", F.xxhash64(host, _bare(x))))
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least_pages: int) -> DataFrame:
+def boilerplate(
+    pages: DataFrame, host: str, text: str, ratio: float, least_pages: int, once: bool = False
+) -> DataFrame:
     """For each host with boilerplate the hashes of those lines."""
+    if once:
+        # Null texts stay, as one page: they have no lines, but count among the host's pages.
+        pages = (
+            pages.groupBy(named(host), F.md5(named(text).cast("binary")).alias("__md5"))
+            .agg(F.first(named(text)).alias(text))
+            .select(named(host), named(text))
+        )
     site = pages.where(named(host).isNotNull() & named(text).isNotNull()).select(
         named(host).alias("__host"), F.split(named(text), "\n").alias("lines")
     )
@@ -87,13 +97,15 @@ def without_boilerplate(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     counts: tuple[str, str] | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """``pages`` with ``text`` reduced to the lines that are no boilerplate of their host.
 
+    With ``once`` copies of a text count as one page of their host; lines go from all of them.
     ``counts`` names two columns for the numbers of lines (that are not blank) and of those dropped.
     """
     # Written first, so that Spark knows its size and need not shuffle pages for a small one.
-    sites = stored(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
+    sites = stored(boilerplate(pages, host, text, ratio, least_pages, once), "boilerplate")
     lines = F.split(named(text), "\n")
     keys = _keys(named(host), lines)
     dropped = F.array_intersect(keys, F.col("__keys"))
