@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import LETTERS, SPACED, awkward, documents, lower, prose
@@ -71,6 +72,17 @@ def test_verdicts_keep_good_and_reject_bad(graded):
         assert not (r.base_failed and r.kept)
 
 
+def test_threshold_heeds_bad_labels():
+    bins, good = np.arange(10), np.array([300, 300, 200, 150, 35, 5, 4, 3, 2, 1])
+    bad = np.array([0, 0, 0, 0, 1, 40, 9, 0, 0, 0])
+    # 99.5 % of the good rows would let 50 of the 50 bad ones pass.
+    assert isolation.threshold(bins, good, bad) == (5 / isolation.BINS, 985, 49)
+    # Never below the floor, however many bad rows lie there.
+    assert isolation.threshold(bins, good, bad[::-1])[1] >= isolation.LEAST_GOOD * good.sum()
+    assert isolation.threshold(bins, good, 0 * bad) == (8 / isolation.BINS, 997, 0)
+    assert isolation.threshold(bins, 0 * good, bad) == (2.0, 0, 0)
+
+
 def test_no_labels_no_rows_and_clashing_columns(graded):
     docs, labels = graded
     plain = isolation.judged(docs, labels.limit(0), into="r").select("r.base_failed", "r.kept")

@@ -3,18 +3,20 @@
 Every whole text gives a row of rule statistics (lengths, symbols, repeated lines and words,
 capitals, marks). A forest of random splits, grown on a bounded sample of labelled rows, gives
 each document a path length; short paths mean unusual statistics. The threshold on the score
-comes from all labelled rows: it is the lowest that keeps a stated share of the good ones. As in
-any isolation forest, what is to be found must be the lesser part of the rows it is grown on.
+comes from all labelled rows, good and bad: it is the one of least balanced error among those
+that keep a stated share of the good ones. As in any isolation forest, what is to be found must be the lesser part of the rows it is grown on.
 
 Defined results: a null text is the empty text, has no words and fails the base rules. Rows are
 judged one by one, so repeated rows get equal verdicts and null ids do no harm; a null id has no
 label. Several labels of one id count as their lowest. Without labelled rows of good quality
-there is nothing to calibrate on, and only the base rules reject. An empty table gives no rows.
+there is nothing to calibrate on, and only the base rules reject; with good ones alone the
+threshold is the lowest that keeps another stated share of them. An empty table gives no rows.
 A column named like the result is replaced.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,12 +28,16 @@ from pyspark.sql import types as T
 from wellspark.llm import words as W
 from wellspark.llm.rows import named, with_result
 
+log = logging.getLogger(__name__)
+
 #: Labelled rows the forest may be grown on; those with the lowest hash of their id are taken.
 FIT_ROWS = 8192
-TREES = 100
+TREES = 300
 TREE_ROWS = 256
-#: The share of good labelled rows, among those the base rules pass, that the threshold keeps.
+#: The share of good labelled rows, among those the base rules pass, that the threshold keeps
+#: where no bad ones are labelled, and the least share that it keeps where some are.
 KEEP_GOOD = 0.995
+LEAST_GOOD = 0.98
 #: Bins of the score, which lies between 0 and 1, when the threshold is looked for.
 BINS = 4000
 
@@ -202,6 +208,25 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, text: str, doc_id: s
     return found.join(quality, "doc_id").select("doc_id", "quality", "found.*")
 
 
+def threshold(bins: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float, int, int]:
+    """The score from which on rows are rejected, the good rows kept and the bad ones rejected.
+
+    ``good`` and ``bad`` count the rows of each of the ascending ``bins``. Of thresholds with
+    equal error the one that keeps most is taken.
+    """
+    n_good, n_bad = int(good.sum()), int(bad.sum())
+    if not n_good:
+        return 2.0, 0, 0
+    kept, passed = np.cumsum(good), np.cumsum(bad)
+    if n_bad:
+        error = (1 - kept / n_good) + passed / n_bad
+        error[kept < LEAST_GOOD * n_good] = np.inf
+        last = len(error) - 1 - int(np.argmin(error[::-1]))
+    else:
+        last = min(int(np.searchsorted(kept / n_good, KEEP_GOOD)), len(bins) - 1)
+    return float((bins[last] + 1) / BINS), int(kept[last]), n_bad - int(passed[last])
+
+
 def fitted(docs: DataFrame, labels: DataFrame, text: str, doc_id: str) -> tuple[Forest | None, float]:
     """The forest and the score from which on documents are rejected."""
     from wellspark.llm.rows import stored
@@ -230,20 +255,23 @@ def fitted(docs: DataFrame, labels: DataFrame, text: str, doc_id: str) -> tuple[
     passed = seen.where(
         (F.col("n_words") >= MIN_WORDS)
         & (100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("n_words"))
-        & (F.col("quality") > 0)
     )
     bins = (
         passed.mapInArrow(scored, "quality long, score double")
         .groupBy(F.floor(F.col("score") * BINS).cast("int").alias("bin"))
-        .count()
+        .agg(
+            F.count(F.when(F.col("quality") > 0, 1)).alias("good"),
+            F.count(F.when(F.col("quality") <= 0, 1)).alias("bad"),
+        )
         .orderBy("bin")
         .toPandas()
     )
-    if bins.empty:
-        return forest, 2.0
-    within = np.cumsum(bins["count"].to_numpy()) / bins["count"].sum()
-    last = int(np.searchsorted(within, KEEP_GOOD))
-    return forest, float((bins["bin"].iloc[min(last, len(bins) - 1)] + 1) / BINS)
+    limit, kept, rejected = threshold(*(bins[c].to_numpy() for c in ("bin", "good", "bad")))
+    log.info(
+        "the forest keeps %d of %d good labelled rows and rejects %d of %d bad ones",
+        kept, bins["good"].sum(), rejected, bins["bad"].sum(),
+    )
+    return forest, limit
 
 
 def judged(
