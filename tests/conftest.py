@@ -1,11 +1,10 @@
 """One local session for all tests; the shared folder is a fresh temporary one."""
 
 import sys
-from pathlib import Path
 
 import pytest
+from support import ROOT
 
-ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 from wellspark.session import build_session  # noqa: E402
@@ -33,13 +32,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df, *columns):
-    """Collected rows as a sorted list of tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

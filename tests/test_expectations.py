@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from support import plan_of, rows
 from wellspark.operators import expectations as x
 from wellspark.plans import quality
 from wellspark.plans.quality import standing_checks

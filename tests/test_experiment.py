@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from wellspark.functions import distributions as dist
 from wellspark.operators import experiment as ab
 from wellspark.operators.aggregates import arm_stats, variant_summary

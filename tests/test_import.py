@@ -1,7 +1,7 @@
 import subprocess
 import sys
 
-from conftest import ROOT
+from support import ROOT
 
 
 def test_entry_imports_without_a_session():

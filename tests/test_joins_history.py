@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from conftest import plan_of, rows
+from support import plan_of, rows
 from wellspark.operators import history, joins, reshape
 from wellspark.operators import expectations as x
 from wellspark.plans import marts

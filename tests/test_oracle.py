@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import plan_of
+from support import plan_of
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from support import plan_of, rows
 from wellspark.plans import marts, pipeline
 from wellspark.sources import bindings, storage
 

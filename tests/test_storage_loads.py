@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from support import plan_of, rows
 from wellspark.operators import loads, reshape
 from wellspark.operators.aggregates import high_water
 from wellspark.sources import bindings, storage

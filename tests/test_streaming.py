@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from wellspark.sources.schemas import RECORD
 from wellspark.streaming import events as ev
 from wellspark.streaming import sinks

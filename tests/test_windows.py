@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from conftest import plan_of, rows
+from support import plan_of, rows
 from wellspark.operators import metrics, windows
 from wellspark.plans import health_score
 
