@@ -5,7 +5,7 @@ import pytest
 
 from wellspark.llm import queries
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)
@@ -24,6 +24,12 @@ def test_query_equals_sql(spark, sf_dir, name):
 @pytest.mark.parametrize("name", [q for q in queries.QUERIES if q not in queries.ORACLE])
 def test_every_document_has_its_row(spark, sf_dir, name):
     out = queries.QUERIES[name](spark, sf_dir)
+    if name.startswith(("op11_", "op12_")):
+        ids = {r[0] for r in out.select(out.columns[0]).distinct().collect()}
+        step = 100 if name.startswith("op12_") else 1
+        given = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(f"vec_id % {step} = 0")
+        assert ids == {r.vec_id for r in given.collect()}
+        return
     if name.startswith("op1_"):
         assert out.count() == spark.read.parquet(f"{sf_dir}/conversations.parquet").count()
         return

@@ -13,11 +13,14 @@ from wellspark.llm import (
     decontamination,
     isolation,
     order_minhash,
+    projection_forest,
     quotations,
     secret_scan,
     sparse_suffixes,
     splitters,
     unigram,
+    whitening,
+    zone_clusters,
 )
 from wellspark.llm.rows import stored, table
 
@@ -147,6 +150,28 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).select(
+        "vec_id",
+        "component",
+        "n",
+        # Null beyond a long; the operator's decimal is exact there too.
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
+def op12_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return projection_forest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_clusters.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -160,10 +185,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_assignment_lexer,
         op9_sparse_suffix_arrays,
         op10_order_minhash,
+        op11_cholesky_whitening,
+        op12_projection_forest,
+        op13_zone_clusters,
     )
 }
 
+def _clusters_sql() -> str:
+    """k-means in SQL: a table of nearest centroids and one of centroids for each round."""
+    nearest = """
+        select v.r, arg_min(c.c, (list_sum(list_transform(list_zip(v.x, c.x),
+            lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.c)) as c
+        from v, {centroids} as c group by v.r"""
+    moved = """
+        select before.c, coalesce(after.x, before.x) as x
+        from {centroids} as before left join (
+            select c, list((s - ((s % n) + n) % n) // n order by i) as x from (
+                select a.c, i, sum(v.x[i])::hugeint as s, count(*)::hugeint as n
+                from {assigned} as a join v using (r), range(1, {width} + 1) as places(i)
+                group by a.c, i
+            ) group by c
+        ) as after using (c)"""
+    steps = []
+    for k in range(zone_clusters.ROUNDS + 1):
+        steps.append(f"a{k} as materialized ({nearest.format(centroids=f'c{k}')})")
+        if k < zone_clusters.ROUNDS:
+            made = moved.format(centroids=f"c{k}", assigned=f"a{k}", width=zone_clusters.WIDTH)
+            steps.append(f"c{k + 1} as materialized ({made})")
+    last = zone_clusters.ROUNDS
+    return f"""
+        with v as materialized (
+            select row_number() over () as r, vec_id,
+                list_transform(embedding, lambda c: floor({zone_clusters.SCALE} * c::double)::bigint) as x
+            from embeddings
+            where len(embedding) = {zone_clusters.WIDTH} and len(list_filter(embedding,
+                lambda c: c is not null and abs(c::double) < {zone_clusters.BELOW})) = {zone_clusters.WIDTH}
+        ), c0 as materialized (
+            select row_number() over (order by h nulls last, x) - 1 as c, x from (
+                select sha256('{zone_clusters.SEED}' || vec_id) as h, x from v
+            ) order by h nulls last, x limit {zone_clusters.CENTROIDS}
+        ), {", ".join(steps)}, found as (
+            select v.vec_id, a.c, c.x as middle, list_sum(list_transform(list_zip(v.x, c.x),
+                lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as distance
+            from a{last} as a join v using (r) join c{last} as c on a.c = c.c
+        )
+        select vec_id, c::int as cluster, distance,
+            (sum(distance) over (partition by c))::bigint as cluster_inertia,
+            (sum(distance) over ())::bigint as inertia,
+            sha256(array_to_string(middle, ',')) as centroid_sha256
+        from found
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op13_zone_clusters": _clusters_sql(),
     "op2_site_line_frequency": rf"""
         with shown as (
             select row_number() over () as row, page_id,
