@@ -1,6 +1,11 @@
 import datetime as dt
+import os
 import random
+import re
 
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
 from support import plan_of, rows
 from wellspark.operators import history, joins, reshape
 from wellspark.operators import expectations as x
@@ -47,18 +52,20 @@ def test_as_of_join_keeps_unmatched_facts(spark):
          (1, D(2024, 3, 1), "next"), (9, D(2024, 3, 1), "stranger"), (1, None, "undated")],
         "user_id int, day date, note string",
     )
-    joined = joins.as_of_join(facts, versions, "day")
-    assert rows(joined, "note", "membership_tier") == [
-        ("early", None),
-        ("first", "free"),
-        ("last", "free"),
-        ("next", "pro"),
-        ("stranger", None),
-        ("undated", None),
-    ]
+    for width in (None, 1, 366):
+        joined = joins.as_of_join(facts, versions, "day", width=width)
+        assert rows(joined, "note", "membership_tier") == [
+            ("early", None),
+            ("first", "free"),
+            ("last", "free"),
+            ("next", "pro"),
+            ("stranger", None),
+            ("undated", None),
+        ]
 
 
-def test_as_of_join_equals_range_join_under_skew(spark):
+@pytest.mark.parametrize("width", [None, 1, 7, 366])
+def test_as_of_join_equals_range_join_under_skew(spark, width):
     """One user holds most facts; bounded versions leave gaps; the answer is the range join's."""
     rng = random.Random(4)
     day = lambda n: D(2024, 1, 1) + dt.timedelta(n)
@@ -72,19 +79,32 @@ def test_as_of_join_equals_range_join_under_skew(spark):
             start += length + rng.randrange(0, 5)
     fact = spark.createDataFrame(facts, "user_id int, day date, id int")
     dim = spark.createDataFrame(versions, "user_id int, tier string, valid_from date, valid_to date")
-    got = rows(joins.as_of_join(fact, dim, "day"), "id", "tier")
+    got = rows(joins.as_of_join(fact, dim, "day", width=width), "id", "tier")
     expected = [
         (i, next((t for u, t, a, b in versions if u == user and a <= at <= b), None)) for user, at, i in facts
     ]
     assert got == sorted(expected, key=repr)
 
 
-def test_as_of_join_does_not_pair_facts_with_all_versions(spark, sf_dir):
-    from wellspark.sources import bindings
-
-    versions = history.scd2_from_spans(bindings.user_attr_history(spark, sf_dir))
-    plan = plan_of(joins.as_of_join(bindings.shipments(spark, sf_dir), versions, "ship_date"))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+def test_as_of_join_reads_each_side_once(spark, tmp_path):
+    """One scan of the facts and one of the versions, and a long version is one row."""
+    facts = [(u, D(2020, 1, 1) + dt.timedelta(97 * i), i) for u in range(3) for i in range(40)]
+    held = [(0, "ever", D(1900, 1, 1), OPEN), (1, "old", D(2020, 5, 1), D(2024, 5, 1)), (1, "new", D(2025, 1, 1), OPEN)]
+    spark.createDataFrame(facts, "user_id int, day date, id int").write.parquet(f"{tmp_path}/f")
+    spark.createDataFrame(held, "user_id int, tier string, valid_from date, valid_to date").write.parquet(f"{tmp_path}/v")
+    fact, dim = spark.read.parquet(f"{tmp_path}/f"), spark.read.parquet(f"{tmp_path}/v")
+    wanted = [
+        (u, i, next((t for k, t, a, b in held if k == u and a <= day <= b), None)) for u, day, i in facts
+    ]
+    for width in (None, 30):
+        joined = joins.as_of_join(fact, dim, "day", width=width)
+        assert rows(joined, "user_id", "id", "tier") == sorted(wanted, key=repr)
+        final = plan_of(joined.collect() and joined).split("Initial Plan")[0]
+        assert len(re.findall("FileScan", final)) == 2
+        assert "Generate" not in final and "NestedLoop" not in final and "Cartesian" not in final
+        # What is dealt out are facts and versions, a row each.
+        plan = joined._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "explode" not in plan and "sequence" not in plan
 
 
 SNAP = "user_id int, membership_tier string, company string"
@@ -163,27 +183,92 @@ def test_hours_to_long_and_back(spark):
     assert (summary["min_hr"], summary["avg_hr"], summary["max_hr"], summary["peak_hour"]) == (60, 80.0, 90, 7)
 
 
-def test_stored_snapshot_equals_merging_all_versions(spark, tmp_path):
-    """Runs add what they close; a repeated run and one that broke off change nothing."""
+VERSION = ("k", "v", "valid_from", "valid_to")
+
+
+def snapshot_run(spark, path, state, day, **options):
+    current = spark.createDataFrame(state, "k int, v string")
+    history.apply_snapshot(spark, path, current, "k", ["v"], dt.date(2024, 1, day), **options)
+
+
+def version_rows(path):
+    """Rows in the files of all runs of a snapshot, finished or not."""
+    files = [f"{d}/{n}" for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")]
+    return sum(pq.read_metadata(f).num_rows for f in files)
+
+
+@pytest.mark.parametrize("compact_after", [0, 1, 16])
+def test_stored_snapshot_equals_merging_all_versions(spark, tmp_path, compact_after):
+    """Runs add what they change; repeated runs change nothing."""
     states = [
         [(1, "a"), (2, "b"), (3, None)],
         [(1, "a"), (2, "c"), (4, "d")],
         [(1, "x"), (3, "y"), (4, "d")],
         [(1, "a"), (2, "c")],
+        [(1, "b")],
     ]
-    merged = None
+    merged, path = None, f"{tmp_path}/s"
     for i, state in enumerate(states):
-        day = dt.date(2024, 1, 1 + i)
         current = spark.createDataFrame(state, "k int, v string")
-        merged = history.scd2_merge(merged, current, "k", ["v"], day)
-        if i == 2:
-            half = spark.createDataFrame([(9, "lost", day, day, day)], "k int, v string, valid_from date, valid_to date, run date")
-            half.write.partitionBy("run").mode("append").parquet(f"{tmp_path}/s/closed")
-            assert rows(history.snapshot(spark, f"{tmp_path}/s").where("k = 9")) == []
-        for _ in range(1 + (i == 1)):
-            history.apply_snapshot(spark, f"{tmp_path}/s", current, "k", ["v"], day)
-        columns = ("k", "v", "valid_from", "valid_to")
-        assert rows(history.snapshot(spark, f"{tmp_path}/s"), *columns) == rows(merged, *columns)
+        merged = history.scd2_merge(merged, current, "k", ["v"], dt.date(2024, 1, 1 + i))
+        for _ in range(1 + (i in (1, 3))):
+            snapshot_run(spark, path, state, 1 + i, compact_after=compact_after)
+            assert rows(history.snapshot(spark, path), *VERSION) == rows(merged, *VERSION)
+    history.tidy_snapshot(spark, path)
+    assert rows(history.snapshot(spark, path), *VERSION) == rows(merged, *VERSION)
+    with pytest.raises(ValueError, match="already"):
+        snapshot_run(spark, path, states[0], 2)
+
+
+def test_snapshot_run_without_changes_writes_no_versions(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    state = [(i, f"v{i}") for i in range(50)]
+    snapshot_run(spark, path, state, 1)
+    assert version_rows(path) == 50
+    for day in (2, 3):
+        snapshot_run(spark, path, state[:40], day)  # vanished keys stay open
+        assert version_rows(path) == 50
+    snapshot_run(spark, path, [(0, "new"), *state[1:], (99, "v99")], 4)
+    assert version_rows(path) == 53  # one closed, two opened
+    assert not [n for n in os.listdir(path) if "stage" in n]
+
+
+def test_snapshot_survives_a_crash_at_every_step(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/s"
+    states = [[(1, "a"), (2, "b")], [(1, "x"), (2, "b"), (3, "c")]]
+    snapshot_run(spark, path, states[0], 1)
+    before = rows(history.snapshot(spark, path))
+
+    def crash(*_):
+        raise OSError("lost")
+
+    # While changes are compared and written.
+    broken = spark.createDataFrame(states[1], "k int, v string").withColumn(
+        "v", F.when(F.col("k") == 3, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("v"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        history.apply_snapshot(spark, path, broken, "k", ["v"], dt.date(2024, 1, 2))
+    assert rows(history.snapshot(spark, path)) == before
+    # After the changes, where a new base is made; then before the log names the run.
+    real, calls = history._open_versions, []
+
+    def second_fails(*args):
+        calls.append(args)
+        return real(*args) if len(calls) == 1 else crash()
+
+    for module, name, fake in ((history, "_open_versions", second_fails), (history.versions, "commit", crash)):
+        with monkeypatch.context() as patched:
+            patched.setattr(module, name, fake)
+            with pytest.raises(OSError, match="lost"):
+                snapshot_run(spark, path, states[1], 2, compact_after=0 if module is history else 16)
+        assert rows(history.snapshot(spark, path)) == before
+    snapshot_run(spark, path, states[1], 2)
+    current = [spark.createDataFrame(s, "k int, v string") for s in states]
+    merged = history.scd2_merge(None, current[0], "k", ["v"], dt.date(2024, 1, 1))
+    merged = history.scd2_merge(merged, current[1], "k", ["v"], dt.date(2024, 1, 2))
+    assert rows(history.snapshot(spark, path), *VERSION) == rows(merged, *VERSION)
+    assert len(history.tidy_snapshot(spark, path)) >= 2
+    assert rows(history.snapshot(spark, path), *VERSION) == rows(merged, *VERSION)
 
 
 def test_as_of_join_settles_ties_by_the_other_columns(spark):

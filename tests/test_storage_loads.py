@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from support import plan_of, rows
 from wellspark.operators import loads, reshape
 from wellspark.operators.aggregates import high_water
-from wellspark.sources import bindings, storage
+from wellspark.sources import bindings, storage, versions
 from wellspark.sources.schemas import DATE_SEED, RAW_SCHEMAS, RAW_TABLES
 
 D = dt.date
@@ -70,9 +70,28 @@ def test_sample_users(spark):
 
 def test_table_load_replaces(spark, tmp_path):
     df = fact(spark, (1, 1, 0), (2, 1, 0))
+    spark.sql("drop table if exists loaded_fact")
     for _ in range(2):
-        storage.table_load(df, "loaded_fact", str(tmp_path / "t"))
-    assert rows(spark.table("loaded_fact")) == rows(df)
+        loads.table_load(df, "loaded_fact", str(tmp_path / "t"))
+        assert rows(spark.table("loaded_fact")) == rows(df)
+    loads.table_load(df.where("user_id = 2"), "loaded_fact", str(tmp_path / "t"))
+    assert rows(spark.table("loaded_fact"), "user_id") == [(2,)]
+    with pytest.raises(ValueError, match="other columns"):
+        loads.table_load(df.drop("v"), "loaded_fact", str(tmp_path / "t"))
+    broken = df.withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        loads.table_load(broken, "loaded_fact", str(tmp_path / "t"))
+    assert rows(spark.table("loaded_fact"), "user_id") == [(2,)]
+    spark.sql("drop table loaded_fact")
+
+
+def test_table_load_may_read_the_table_it_replaces(spark):
+    spark.sql("drop table if exists counted_up")
+    loads.table_load(spark.range(3).select(F.col("id").cast("int").alias("v")), "counted_up")
+    for _ in range(2):
+        loads.table_load(spark.table("counted_up").select((F.col("v") + 1).alias("v")), "counted_up")
+    assert rows(spark.table("counted_up")) == [(2,), (3,), (4,)]
+    spark.sql("drop table counted_up")
 
 
 def test_load_audit(spark):
@@ -166,7 +185,7 @@ def test_overwrite_partitions_and_interval(spark, tmp_path):
         loads.run_interval(source, path, "day", "day", D(2024, 1, 2), D(2024, 1, 3))
     assert rows(spark.read.parquet(path), "user_id", "v") == [(1, 4), (1, 4), (5, 9)]
     loads.full_refresh(lambda: source, path, "day")
-    assert rows(spark.read.parquet(path), "v") == [(4,), (4,), (4,)]
+    assert rows(versions.read(spark, path), "v") == [(4,), (4,), (4,)]
 
 
 def test_publish_version_switches_the_view(spark):
@@ -184,7 +203,7 @@ def test_incremental_runs(spark, tmp_path, strategy):
     path, keys = f"{tmp_path}/t", ["user_id", "day"]
     early = fact(spark, (1, 1, 1), (2, 1, 1), (1, 2, 1))
     late = fact(spark, (1, 1, 1), (2, 1, 1), (1, 2, 5), (9, 2, 5), (1, 3, 5))
-    stored = lambda: rows(spark.read.parquet(path), "user_id", "day", "v")
+    stored = lambda: rows(versions.read(spark, path), "user_id", "day", "v")
     loads.load_incremental(spark, early, path, "day", keys, strategy)
     assert stored() == rows(early)
     for _ in range(2):
@@ -204,9 +223,10 @@ def test_incremental_run_recovers_from_a_broken_one(spark, tmp_path):
     source = fact(spark, (1, 1, 1), (1, 2, 2), (1, 3, 3), (1, 4, 4), (2, 4, 4))
     for strategy in ("append", "delete_insert", "insert_overwrite"):
         loads.load_incremental(spark, first, f"{path}-{strategy}", "day", keys, full=True)
-        storage.write_fact(fact(spark, (1, 4, 4)), f"{path}-{strategy}", "day", mode="append")
+        folder = versions.location(f"{path}-{strategy}", versions.live(spark, f"{path}-{strategy}").folder)
+        storage.write_fact(fact(spark, (1, 4, 4)), folder, "day", mode="append")
         loads.load_incremental(spark, source, f"{path}-{strategy}", "day", keys, strategy)
-        assert rows(spark.read.parquet(f"{path}-{strategy}"), "user_id", "day", "v") == rows(source)
+        assert rows(versions.read(spark, f"{path}-{strategy}"), "user_id", "day", "v") == rows(source)
 
 
 def test_incremental_run_on_a_table_without_record(spark, tmp_path):
@@ -260,13 +280,45 @@ def test_rows_without_a_date_or_key_are_replaced_like_others(spark, tmp_path):
     assert rows(stored, "user_id", "v") == sorted([(1, 1), (2, 7), (9, 9), (1, 3), (None, 8)], key=repr)
 
 
-def test_refresh_that_fails_leaves_the_table(spark, tmp_path):
+def test_refresh_that_breaks_off_leaves_the_table(spark, tmp_path, monkeypatch):
+    """In the build, in the middle of the write, or between the write and the switch."""
+    path = f"{tmp_path}/t"
     days = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "user_id int, day date")
-    loads.full_refresh(lambda: days, f"{tmp_path}/t", "day")
-    broken = days.withColumn("user_id", F.raise_error(F.lit("lost")).cast("int"))
-    with pytest.raises(Exception, match="lost"):
-        loads.full_refresh(lambda: broken, f"{tmp_path}/t", "day")
-    assert rows(spark.read.parquet(f"{tmp_path}/t"), "user_id") == [(1,)]
+    loads.full_refresh(lambda: days, path, "day")
+    two = spark.createDataFrame([(5, dt.date(2024, 1, 2)), (6, dt.date(2024, 1, 3))], days.schema)
+    lost = F.when(F.col("user_id") == 6, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("user_id"))
+
+    def crash(*_):
+        raise OSError("lost")
+
+    for load in (
+        lambda build: loads.full_refresh(build, path, "day"),
+        lambda build: loads.load_incremental(spark, build(), path, "day", ["user_id"], full=True),
+    ):
+        for build in (lambda: two.withColumn("user_id", lost), crash):
+            with pytest.raises(Exception, match="lost"):
+                load(build)
+            assert rows(versions.read(spark, path), "user_id") == [(1,)]
+        with monkeypatch.context() as patched:
+            patched.setattr(versions, "commit", crash)
+            with pytest.raises(OSError, match="lost"):
+                load(lambda: two)
+        assert rows(versions.read(spark, path), "user_id") == [(1,)]
+    loads.full_refresh(lambda: versions.read(spark, path).unionByName(two), path, "day")
+    assert rows(versions.read(spark, path), "user_id") == [(1,), (5,), (6,)]
+    now = versions.live(spark, path)
+    assert now.version == 2 and len(versions.tidy(spark, path, [now.folder])) >= 3
+    assert rows(versions.read(spark, path), "user_id") == [(1,), (5,), (6,)]
+
+
+def test_log_of_versions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert versions.live(spark, path) is None
+    os.makedirs(f"{path}-log/_temporary/0")  # a first line that never arrived
+    assert versions.live(spark, path) is None
+    for i in range(12):
+        assert versions.commit(spark, path, f"v-{i}", str(i)).version == i + 1
+    assert versions.live(spark, path) == versions.Version(12, "v-11", "11")
 
 
 def test_many_copies_are_written_in_steps(spark, monkeypatch):

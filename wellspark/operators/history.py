@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,7 +13,12 @@ from pyspark.sql import types as T
 
 from wellspark.functions.scalars import OPEN_END, surrogate_key
 from wellspark.operators.windows import neighbour
-from wellspark.sources.storage import read_if_there
+from wellspark.sources import versions
+
+#: The column that tells opened from closed versions in a stored run.
+CHANGE = "change"
+#: Runs whose changes are looked through before the open versions are written together.
+COMPACT_AFTER = 16
 
 
 def scd2_from_spans(history: DataFrame) -> DataFrame:
@@ -38,53 +43,96 @@ def scd2_from_spans(history: DataFrame) -> DataFrame:
     )
 
 
-def scd2_merge(
-    prev: DataFrame | None,
+def _paired(
+    open_versions: DataFrame,
     current: DataFrame,
     key: str,
     check_cols: Sequence[str],
     run_at: dt.datetime | dt.date,
-) -> DataFrame:
-    """The snapshot after comparing ``current`` (one row per key) with its open versions.
+) -> tuple[DataFrame, Column, Column, Column]:
+    """Open versions next to the current rows, whether a row changed, and both its versions.
 
-    A changed key closes its version at ``run_at`` and opens another, a new key opens one,
-    an unchanged or vanished key keeps its version open. Open versions have a null valid_to.
-    One full outer join on a unique key; every joined row yields the rows to keep.
+    One full outer join on a unique key.
     """
     at = F.lit(run_at)
-    opened = F.struct(
-        *[F.col(f"cur.{c}").alias(c) for c in check_cols],
-        at.alias("valid_from"),
-        F.lit(None).cast("timestamp" if isinstance(run_at, dt.datetime) else "date").alias("valid_to"),
-    )
-    cur = F.struct(F.lit(True).alias("seen"), *check_cols).alias("cur")
-    if prev is None:
-        return current.select(key, cur).select(key, opened.alias("v")).select(key, "v.*")
-    columns = [key, *check_cols, "valid_from", "valid_to"]
-    prev = prev.select(*columns)
     old = F.struct(*check_cols, "valid_from", "valid_to").alias("old")
-    paired = (
-        prev.where(F.col("valid_to").isNull())
-        .select(key, old)
-        .join(current.select(key, cur), key, "full_outer")
-    )
+    cur = F.struct(F.lit(True).alias("seen"), *check_cols).alias("cur")
+    paired = open_versions.select(key, old).join(current.select(key, cur), key, "full_outer")
     same = reduce(
         lambda a, b: a & b, [F.col(f"old.{c}").eqNullSafe(F.col(f"cur.{c}")) for c in check_cols]
     )
-    both = F.col("old").isNotNull() & F.col("cur").isNotNull()
+    changed = F.col("cur").isNotNull() & (F.col("old").isNull() | ~same)
     kept = F.struct(
         *[F.col(f"old.{c}").alias(c) for c in check_cols],
         F.col("old.valid_from").alias("valid_from"),
-        F.when(both & ~same, at).alias("valid_to"),
+        F.when(changed, at).alias("valid_to"),
+    )
+    opened = F.struct(
+        *[F.col(f"cur.{c}").alias(c) for c in check_cols],
+        at.alias("valid_from"),
+        F.lit(None).cast(_time_type(run_at)).alias("valid_to"),
     )
-    versions = F.array_compact(
+    return paired, changed, kept, opened
+
+
+def _time_type(run_at: dt.datetime | dt.date) -> str:
+    return "timestamp" if isinstance(run_at, dt.datetime) else "date"
+
+
+def _nothing_open(current: DataFrame, key: str, check_cols: Sequence[str], run_at) -> DataFrame:
+    none = F.lit(None).cast(_time_type(run_at))
+    return current.select(key, *check_cols, none.alias("valid_from"), none.alias("valid_to")).limit(0)
+
+
+def scd2_merge(
+    prev: DataFrame | None,
+    current: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    run_at: dt.datetime | dt.date,
+) -> DataFrame:
+    """The snapshot after comparing ``current`` (one row per key) with its open versions.
+
+    A changed key closes its version at ``run_at`` and opens another, a new key opens one,
+    an unchanged or vanished key keeps its version open. Open versions have a null valid_to.
+    Every joined row yields the rows to keep.
+    """
+    columns = [key, *check_cols, "valid_from", "valid_to"]
+    if prev is None:
+        prev = _nothing_open(current, key, check_cols, run_at)
+    prev = prev.select(*columns)
+    still_open = prev.where(F.col("valid_to").isNull())
+    paired, changed, kept, opened = _paired(still_open, current, key, check_cols, run_at)
+    versions_of = F.array_compact(F.array(F.when(F.col("old").isNotNull(), kept), F.when(changed, opened)))
+    merged = paired.select(key, F.explode(versions_of).alias("v")).select(key, "v.*")
+    return prev.where(F.col("valid_to").isNotNull()).unionByName(merged)
+
+
+def scd2_changes(
+    open_versions: DataFrame | None,
+    current: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    run_at: dt.datetime | dt.date,
+) -> DataFrame:
+    """What a run changes: versions ``closed`` at ``run_at`` and versions ``opened`` by it.
+
+    Unchanged and vanished keys give no row.
+    """
+    if open_versions is None:
+        open_versions = _nothing_open(current, key, check_cols, run_at)
+    paired, changed, kept, opened = _paired(open_versions, current, key, check_cols, run_at)
+    lines = F.array_compact(
         F.array(
-            F.when(F.col("old").isNotNull(), kept),
-            F.when(F.col("cur").isNotNull() & (F.col("old").isNull() | ~same), opened),
+            F.when(F.col("old").isNotNull(), F.struct(F.lit("closed").alias(CHANGE), kept.alias("v"))),
+            F.struct(F.lit("opened").alias(CHANGE), opened.alias("v")),
         )
     )
-    merged = paired.select(key, F.explode(versions).alias("v")).select(key, "v.*")
-    return prev.where(F.col("valid_to").isNotNull()).unionByName(merged)
+    return (
+        paired.where(changed)
+        .select(key, F.explode(lines).alias("line"))
+        .select(key, "line.v.*", f"line.{CHANGE}")
+    )
 
 
 def apply_snapshot(
@@ -94,43 +142,87 @@ def apply_snapshot(
     key: str,
     check_cols: Sequence[str],
     run_at: dt.datetime | dt.date,
+    compact_after: int = COMPACT_AFTER,
 ) -> None:
-    """One run of a stored snapshot: closed versions are added, only the open ones rewritten.
-
-    Each run has its own folder of versions that it closed and of versions open after it. The
-    open ones are written last and make the run count, so a run that broke off, or is repeated,
-    starts from the run before it and replaces its own folders.
+    """One run of a stored snapshot, which writes what has changed and nothing else.
+
+    The snapshot is a log of changes over a base of open versions. A run compares ``current``
+    with the versions open before it, writes the closed and opened ones to a folder of its own,
+    and counts once the log names that folder; a run that breaks off earlier has not happened. A
+    repetition of the last run starts from the run before it. After ``compact_after`` folders of
+    changes the open versions are written as a new base; closed ones are written once and
+    never again. Runs come in order of time: an earlier one than the last is refused.
     """
-    first = scd2_merge(None, current, key, check_cols, run_at).withColumn("run", F.lit(run_at))
-    held = _open_before(spark, path, F.col("run") < F.lit(run_at), first.schema)
-    stage = f"{path}/stage-{uuid.uuid4().hex}"
-    scd2_merge(held, current, key, check_cols, run_at).withColumn("run", F.lit(run_at)).write.parquet(stage)
-    merged = spark.read.schema(first.schema).parquet(stage)
-    for part, rows in (("closed", F.col("valid_to").isNotNull()), ("open", F.col("valid_to").isNull())):
-        (
-            merged.where(rows)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run")
-            .parquet(f"{path}/{part}")
-        )
+    now = versions.live(spark, path)
+    state = json.loads(now.state) if now else None
+    when = run_at.isoformat()
+    if state is not None and when < state["run"]:
+        raise ValueError(f"the snapshot already has the run of {state['run']}")
+    if state is not None and when == state["run"]:
+        state = state["before"]
+    held = None if state is None else _open_versions(spark, path, state)
+    changes = scd2_changes(held, current, key, check_cols, run_at)
+    folder = versions.new_folder()
+    written = _write_changes(changes, path, folder)
+    after = {"base": [], "opened": [], "closed": [], "settled": [], **(state or {})}
+    # What the run before this one left is enough to repeat this one.
+    after["before"] = None if state is None else {**state, "before": None}
+    after |= {"run": when, "key": key, "schema": changes.drop(CHANGE).schema.json()}
+    for change in ("opened", "closed"):
+        if change in written:
+            after[change] = [*after[change], f"{folder}/{CHANGE}={change}"]
+    if max(len(after["opened"]), len(after["closed"])) > compact_after:
+        base = versions.new_folder()
+        whole = _open_versions(spark, path, after).withColumn(CHANGE, F.lit("opened"))
+        written = _write_changes(whole, path, base)
+        after["settled"] = after["settled"] + after["closed"]
+        after |= {"base": [f"{base}/{CHANGE}=opened"] if written else [], "opened": [], "closed": []}
+    versions.commit(spark, path, folder, json.dumps(after))
+
+
+def _write_changes(changes: DataFrame, path: str, folder: str) -> set[str]:
+    """Write versions by kind of change, and return the kinds that there are."""
+    where = versions.location(path, folder)
+    changes.write.partitionBy(CHANGE).parquet(where)
+    stored = changes.sparkSession.read.schema(changes.schema).parquet(where)
+    return {r[0] for r in stored.select(CHANGE).distinct().collect()}
 
 
 def snapshot(spark: SparkSession, path: str) -> DataFrame:
     """All versions of a stored snapshot as of its last finished run."""
-    stored = spark.read.parquet(f"{path}/open")
-    last = stored.agg(F.max("run")).scalar()
-    # A run that closes nothing leaves a folder without a file to take the schema from.
-    closed = spark.read.schema(stored.schema).parquet(f"{path}/closed").where(F.col("run") <= last)
-    return closed.unionByName(stored.where(F.col("run") == last)).drop("run")
-
-
-def _open_before(
-    spark: SparkSession, path: str, runs: Column, schema: T.StructType
-) -> DataFrame | None:
-    """The versions open after the last of the runs, or None if there was none."""
-    opened = read_if_there(spark, f"{path}/open", schema)
-    if opened is None:
-        return None
-    last = opened.where(runs).agg(F.max("run")).first()[0]
-    return None if last is None else opened.where(F.col("run") == F.lit(last)).drop("run")
+    now = versions.live(spark, path)
+    if now is None:
+        raise ValueError(f"no finished run in {path}")
+    state = json.loads(now.state)
+    closed = _lines(spark, path, state, [*state["settled"], *state["closed"]])
+    return closed.unionByName(_open_versions(spark, path, state))
+
+
+def tidy_snapshot(spark: SparkSession, path: str) -> list[str]:
+    """Delete folders of runs that broke off or were repeated, and of bases made anew."""
+    now = versions.live(spark, path)
+    state = json.loads(now.state) if now else None
+    kept = {
+        folder.split("/")[0]
+        for known in (state, state and state["before"])
+        if known
+        for part in ("base", "opened", "closed", "settled")
+        for folder in known[part]
+    }
+    return versions.tidy(spark, path, kept)
+
+
+def _lines(spark: SparkSession, path: str, state: dict, folders: Sequence[str]) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(state["schema"]))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[versions.location(path, f) for f in folders])
+
+
+def _open_versions(spark: SparkSession, path: str, state: dict) -> DataFrame:
+    """Versions in the base or opened since, and not closed again."""
+    opened = _lines(spark, path, state, [*state["base"], *state["opened"]])
+    if not state["closed"]:
+        return opened
+    closed = _lines(spark, path, state, state["closed"]).select(state["key"], "valid_from")
+    return opened.join(closed, [state["key"], "valid_from"], "left_anti")

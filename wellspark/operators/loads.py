@@ -10,8 +10,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.functions.scalars import EPOCH_START
 from wellspark.operators.aggregates import high_water
+from wellspark.sources import versions
 from wellspark.sources.storage import read_if_there, shared_dir, write_fact, write_partitioned
 
 
@@ -74,13 +74,37 @@ def overwrite_partitions(batch: DataFrame, path: str, part: str, cluster: str =
 def full_refresh(build: Callable[[], DataFrame], path: str, part: str, cluster: str = "user_id") -> None:
     """Rebuild a table from its source, dropping what was stored.
 
-    The new table is finished in a folder of its own before the stored one is touched, so a
-    build that fails leaves the old table as it was.
+    The new table is a new version: until it is complete and takes over in one step, readers
+    (:func:`wellspark.sources.versions.read`) have the old one, and keep it if the build fails or
+    the write breaks off. The build may read the old version.
     """
     built = build()
-    stage = shared_dir(built.sparkSession, "full-refresh")
-    built.write.parquet(stage)
-    write_partitioned(built.sparkSession.read.schema(built.schema).parquet(stage), path, part, cluster)
+    folder = versions.new_folder()
+    write_partitioned(built, versions.location(path, folder), part, cluster)
+    versions.commit(built.sparkSession, path, folder)
+
+
+def table_load(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Replace the rows of a catalog table with those of ``df``; with ``path``, stored below it.
+
+    The rows are written to a new folder first. Pointing the table there is one change of the
+    catalog, so a load that breaks off leaves the old rows in place. The columns stay as they
+    are: a load with others is refused.
+    """
+    spark = df.sparkSession
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}-versions"
+    there = spark.catalog.tableExists(table)
+    if there:
+        held = spark.table(table).schema
+        if [(f.name, f.dataType) for f in held] != [(f.name, f.dataType) for f in df.schema]:
+            raise ValueError(f"{table} has other columns: {held.simpleString()}")
+    folder = versions.location(base, versions.new_folder())
+    df.write.parquet(folder)
+    if there:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
 
 
 def run_interval(
@@ -111,49 +135,46 @@ def load_incremental(
     (``insert_overwrite``). The newest date is looked up first, a single value, so that it
     prunes the source scan and the target is not read while being written.
 
-    The date is kept beside the table and moved on after a run has finished. A run that broke
-    off while folders were being put in place is therefore repeated in full, and as every
-    strategy replaces what it finds for its days or keys, the repetition adds nothing twice.
+    The date is kept in the table's log of versions and moved on after a run has finished, in one
+    step. A run that broke off while folders were being put in place is therefore repeated in
+    full, and as every strategy replaces what it finds for its days or keys, the repetition adds
+    nothing twice. A ``full`` run builds a new version; the old one stays until that is complete.
+    Read the table with :func:`wellspark.sources.versions.read`.
     """
     if strategy not in ("append", "delete_insert", "insert_overwrite"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "append" and lookback_days:
         raise ValueError("appending days that are already loaded would duplicate their rows")
-    mark = None if full else _newest_loaded(spark, path, date)
-    batch = src
-    if mark is not None:
-        batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
-    newest = high_water(batch, date).first()["high_water"]
+    now = versions.live(spark, path)
+    mark = None if full else _newest_loaded(spark, path, date, now)
     if mark is None:
-        _set_newest_loaded(spark, path, EPOCH_START)
-        write_fact(src, path, date)
-    else:
-        if strategy == "delete_insert":
-            apply_delete_insert(spark, path, batch, keys, date)
-        else:  # days after the newest loaded one are new folders, so appending replaces none
-            overwrite_partitions(batch, path, date)
-    # A batch's newest date is the table's; an empty batch leaves the mark where it is.
-    _set_newest_loaded(spark, path, max(newest, mark or EPOCH_START))
-
-
-def _marks(path: str) -> str:
-    return path.rstrip("/") + "-loaded"
-
-
-def _newest_loaded(spark: SparkSession, path: str, date: str) -> dt.date | None:
+        folder = versions.new_folder()
+        newest = high_water(src, date).first()["high_water"]
+        write_fact(src, versions.location(path, folder), date)
+        versions.commit(spark, path, folder, newest.isoformat())
+        return
+    batch = src.where(F.col(date) > F.lit(mark - dt.timedelta(days=lookback_days)))
+    newest = high_water(batch, date).first()["high_water"]
+    folder = now.folder if now else ""
+    if strategy == "delete_insert":
+        apply_delete_insert(spark, versions.location(path, folder), batch, keys, date)
+    else:  # days after the newest loaded one are new folders, so appending replaces none
+        overwrite_partitions(batch, versions.location(path, folder), date)
+    # An empty batch leaves the mark where it is, and the log as it is.
+    if now is None or newest > mark:
+        versions.commit(spark, path, folder, max(newest, mark).isoformat())
+
+
+def _newest_loaded(
+    spark: SparkSession, path: str, date: str, now: versions.Version | None
+) -> dt.date | None:
     """The newest date of the last finished run, of the table if none is recorded, or None."""
-    marks = read_if_there(spark, _marks(path))
-    if marks is not None:
-        return marks.first()["high_water"]
-    target = read_if_there(spark, path)
+    if now is not None and now.state is not None:
+        return dt.date.fromisoformat(now.state)
+    target = read_if_there(spark, versions.location(path, now.folder if now else ""))
     return None if target is None else high_water(target, date).first()["high_water"]
 
 
-def _set_newest_loaded(spark: SparkSession, path: str, day: dt.date) -> None:
-    mark = spark.range(1).select(F.lit(day).alias("high_water"))
-    mark.write.mode("overwrite").parquet(_marks(path))
-
-
 def publish(spark: SparkSession, view: str, path: str) -> None:
     """Point a view at the parquet table in ``path``: the switch to a new version.
 

@@ -22,7 +22,7 @@ from wellspark.operators import history as h
 from wellspark.operators import joins, loads, metrics, reshape, windows
 from wellspark.plans import health_score, marts, pipeline, quality
 from wellspark.sources import bindings as b
-from wellspark.sources import storage
+from wellspark.sources import storage, versions
 from wellspark.sources.schemas import (
     BIGINT,
     DATE_SEED,
@@ -176,7 +176,7 @@ def load_warehouse_truncate(spark, sf):
     path = storage.shared_dir(spark, "warehouse")
     table = "wellspark_intraday_" + path.rsplit("-", 1)[-1]
     for _ in range(2):  # a second load replaces the first
-        storage.table_load(b.intraday_hr(spark, sf), table, path)
+        loads.table_load(b.intraday_hr(spark, sf), table, path)
     return spark.table(table)
 
 
@@ -396,9 +396,10 @@ def join_asof_scd2(spark, sf):
     versions = h.scd2_from_spans(spans(spark, sf)).select(
         "user_id", "membership_tier", "company", "valid_from", "valid_to"
     )
+    lines = b.shipments(spark, sf).select("user_id", "ship_date", "price")
     # Line numbers repeat within an order; counting equal rows keeps every one of them.
     return (
-        joins.as_of_join(b.shipments(spark, sf), versions, "ship_date")
+        joins.as_of_join(lines, versions, "ship_date", width=windows.YEAR)
         .groupBy("user_id", "ship_date", "membership_tier", "company", "valid_from", "valid_to")
         .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("price").alias("price"))
     )
@@ -707,7 +708,7 @@ def incremental_append(spark, sf):
     path = storage.shared_dir(spark, "append")
     for known in (source.where(F.col("activity_date") <= F.lit(LOADED_TO)), source, source):
         loads.load_incremental(spark, known, path, "activity_date", DAILY[:2], "append")
-    return spark.read.parquet(path).select(*DAILY)
+    return versions.read(spark, path).select(*DAILY)
 
 
 @query
@@ -755,9 +756,10 @@ def incremental_late_upsert(spark, sf):
 
 @query
 def full_refresh(spark, sf):
-    path = _loaded(spark, sf, "refresh")
-    loads.full_refresh(lambda: _daily_totals(spark, sf), path, "activity_date")
-    return spark.read.parquet(path).select(*DAILY)
+    path = storage.shared_dir(spark, "refresh")
+    for early in (True, False):  # the second refresh replaces the first
+        loads.full_refresh(lambda: _daily_totals(spark, sf, early), path, "activity_date")
+    return versions.read(spark, path).select(*DAILY)
 
 
 @query

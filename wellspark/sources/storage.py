@@ -121,12 +121,6 @@ def jdbc_load(
     )
 
 
-def table_load(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Replace a catalog table with the rows of ``df``; with ``path``, stored there."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
-
-
 def load_audit(tables: Mapping[str, DataFrame], loaded: Iterable[str] = ()) -> DataFrame:
     """(table_name, n_rows, mode) per table and a TOTAL line; one count job over all tables.
 
