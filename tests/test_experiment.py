@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from support import rows
+from support import plan_of, rows
 from wellspark.functions import distributions as dist
 from wellspark.operators import experiment as ab
 from wellspark.operators.aggregates import arm_stats, variant_summary
@@ -154,9 +154,47 @@ def test_assignment_is_stable_and_balanced(spark):
     assert ab.assign(users, "exp", 1.0).where("variant = 'A'").isEmpty()
 
 
+OPTIONS = "option_id int, weight double, grp string"
+
+
 def test_weighted_assignment_follows_weights(spark):
-    users = spark.range(20_000).withColumnRenamed("id", "user_id")
-    counts = dict(rows(ab.weighted_assign(users, [(4, 0.5), (7, 0.2), (9, 0.1)], "d").groupBy("option_id").count()))
-    for option, weight in ((4, 0.5), (7, 0.2), (9, 0.1)):
-        assert abs(counts[option] / 20_000 - weight / 0.8) < 0.015
-    assert sum(counts.values()) == 20_000
+    """Options from a table, by eligible set; a set without weight or options gives none."""
+    users = spark.range(20_000).selectExpr("id as user_id", "element_at(array('a', 'b', 'c', 'd'), cast(id % 4 as int) + 1) as grp")
+    options = spark.createDataFrame(
+        [(4, 0.5, "a"), (7, 0.2, "a"), (9, 0.1, "a"), (4, 3.0, "b"), (5, 0.0, "b"), (6, 1.0, "b"), (1, 0.0, "c"), (None, 1.0, "c")],
+        OPTIONS,
+    )
+    given = ab.weighted_assign(users, options, "d", within=["grp"]).join(users, "user_id")
+    counts = {(r.grp, r.option_id): r["count"] for r in given.groupBy("grp", "option_id").count().collect()}
+    wanted = {("a", 4): 5 / 8, ("a", 7): 2 / 8, ("a", 9): 1 / 8, ("b", 4): 3 / 4, ("b", 6): 1 / 4, ("c", None): 1, ("d", None): 1}
+    assert counts.keys() == wanted.keys()
+    for (group, option), share in wanted.items():
+        assert abs(counts[group, option] / 5000 - share) < 0.02
+    one_set = ab.weighted_assign(users, options.where("grp = 'a'"), "d", out="choice")
+    assert one_set.where("choice is null").isEmpty() and one_set.count() == 20_000
+
+
+def test_option_parts_meet_exactly(spark):
+    rng = random.Random(6)
+    weights = [(i, rng.choice([1.0, 1e-6, 3.5, 1e5, 0.333333]), f"g{i % 3}") for i in range(4000)]
+    parts = ab.option_ranges(spark.createDataFrame(weights, OPTIONS), "option_id", "weight", ["grp"]).collect()
+    for group in ("g0", "g1", "g2"):
+        ranges = sorted((r.low, r.high) for r in parts if r.grp == group)
+        assert ranges[0][0] == 0 and ranges[-1][1] == ab.DRAWS
+        assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_weighted_lookup_is_an_equi_join(spark, tmp_path):
+    """Many options, no broadcast: each user meets the options of one cell."""
+    weights = [(i, 1.0 + i % 5, "a") for i in range(3000)]
+    spark.createDataFrame(weights, OPTIONS).write.parquet(f"{tmp_path}/o")
+    users = spark.range(3000).withColumnRenamed("id", "user_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        given = ab.weighted_assign(users, spark.read.parquet(f"{tmp_path}/o"), "d")
+        plan = plan_of(given)
+        assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+        assert plan.count("FileScan") == 1
+        assert given.where("option_id is null").isEmpty() and given.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

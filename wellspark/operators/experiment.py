@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.distributions import (
@@ -24,6 +24,8 @@ from wellspark.operators.aggregates import arm_stats, variant_summary
 # Fixed values.
 ALPHA, POWER, MDE = 0.05, 0.80, 0.03
 ERROR_BAR_Z = 1.96
+#: Numbers that a weighted draw may give, and cells that they are looked up by.
+DRAWS, CELLS = 1_000_000, 1_000
 
 
 def _bernoulli(p: Column) -> Column:
@@ -181,21 +183,62 @@ def assign(users: DataFrame, experiment: str, split: float, key: str = "user_id"
     )
 
 
+def option_ranges(
+    options: DataFrame, option: str, weight: str, within: Sequence[str] = ()
+) -> DataFrame:
+    """Options with the part [low, high) of 0..DRAWS that their share of the weights takes.
+
+    Prefix sums of the weights of each eligible set, in the order of the option. The sums are
+    exact (weights count to six decimals), so the parts of a set meet without gap or overlap;
+    options without weight have none.
+    """
+    parts = Window.partitionBy(*within)
+    before = parts.orderBy(option).rowsBetween(Window.unboundedPreceding, -1)
+    whole = F.round(F.col(weight).cast("decimal(18,6)") * 1_000_000).cast("decimal(24,0)")
+    summed = (
+        options.where(F.col(option).isNotNull() & (F.col(weight) > 0))
+        .withColumn("_w", whole)
+        .withColumn("_before", F.coalesce(F.sum("_w").over(before), F.lit(0)).cast("decimal(34,0)"))
+        .withColumn("_all", F.sum("_w").over(parts).cast("decimal(34,0)"))
+    )
+    return summed.select(
+        *within,
+        option,
+        F.expr(f"cast(_before * {DRAWS} as decimal(38,0)) div _all").alias("low"),
+        F.expr(f"cast((_before + _w) * {DRAWS} as decimal(38,0)) div _all").alias("high"),
+    ).where(F.col("low") < F.col("high"))
+
+
 def weighted_assign(
     users: DataFrame,
-    options: Sequence[tuple[int, float]],
+    options: DataFrame,
     salt: str,
     key: str = "user_id",
-    out: str = "option_id",
+    option: str = "option_id",
+    weight: str = "weight",
+    within: Sequence[str] = (),
+    out: str | None = None,
 ) -> DataFrame:
     """One of the options per key, with probability proportional to its weight.
 
-    ``options`` are the eligible (id, weight) pairs, a handful of settings; they become one
-    CASE expression on a hash of the key, so nothing is joined.
+    ``options`` is a table of the eligible options; with ``within`` a user may have those of
+    the same values in these columns. A hash of the key draws a number, and the option is the one
+    whose part of the set it falls into: an inverse lookup, made an equi join by listing each
+    part under the cells of a fixed grid that it reaches. A set of n options has at most
+    n + CELLS lines, and users spread evenly over them. Without an eligible option a user has
+    null.
     """
-    total = sum(weight for _, weight in options)
-    bucket, reached, choice = hash_bucket(salt, key, 1_000_000), 0.0, []
-    for option, weight in options:
-        reached += weight
-        choice.append(F.when(bucket < round(reached / total * 1_000_000), F.lit(option)))
-    return users.select(key, F.coalesce(*choice).cast("int").alias(out))
+    cell = lambda draw: F.floor(draw / (DRAWS // CELLS)).cast("int")
+    ranges = option_ranges(options, option, weight, within)
+    listed = ranges.select(
+        *[F.col(c).alias(f"_{c}") for c in within],
+        F.col(option).alias("_option"),
+        "low",
+        "high",
+        F.explode(F.sequence(cell(F.col("low")), cell(F.col("high") - 1))).alias("_in"),
+    )
+    drawn = users.withColumn("_draw", hash_bucket(salt, key, DRAWS)).withColumn("_cell", cell(F.col("_draw")))
+    hit = (F.col("_cell") == F.col("_in")) & (F.col("_draw") >= F.col("low")) & (F.col("_draw") < F.col("high"))
+    for c in within:
+        hit = hit & (F.col(c) == F.col(f"_{c}"))
+    return drawn.join(listed, hit, "left").select(key, F.col("_option").alias(out or option))

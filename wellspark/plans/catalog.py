@@ -21,6 +21,7 @@ from wellspark.operators import experiment as ab
 from wellspark.operators import history as h
 from wellspark.operators import joins, loads, metrics, reshape, windows
 from wellspark.plans import health_score, marts, pipeline, quality
+from wellspark.plans import late as late_scores
 from wellspark.sources import bindings as b
 from wellspark.sources import storage, versions
 from wellspark.sources.schemas import (
@@ -683,6 +684,7 @@ def fct_nutrition(spark, sf):
 
 
 DAILY = ("user_id", "activity_date", "n", "amount")
+SCORE = ("user_id", "activity_date", "daily_score")
 
 
 def _daily_totals(spark, sf, early: bool = False):
@@ -754,6 +756,19 @@ def incremental_late_upsert(spark, sf):
     return loads.delete_insert(target, batch, ["user_id", "activity_date"])
 
 
+@query
+def late_rows_to_scores(spark, sf):
+    """Some users' days arrive after the scores were stored, and reach seven rows on."""
+    path, days = storage.shared_dir(spark, "late-scores"), activity(spark, sf)
+    late = (F.col("user_id") % 5 == 2) & F.col("activity_date").between(F.lit(REPLACED_FROM), F.lit(REPLACED_TO))
+    known = days.where(~late)
+    storage.write_fact(known, f"{path}/facts", "activity_date")
+    stored = windows.rolling_score(metrics.daily_subscore(known).select(*SCORE), 7)
+    storage.write_fact(stored, f"{path}/scores", "activity_date")
+    late_scores.apply_late(spark, f"{path}/facts", f"{path}/scores", days.where(late), 7)
+    return spark.read.parquet(f"{path}/scores").select(*stored.columns)
+
+
 @query
 def full_refresh(spark, sf):
     path = storage.shared_dir(spark, "refresh")
@@ -1026,13 +1041,32 @@ def ab_assign(spark, sf):
     return ab.assign(users(spark, sf), "template_test", 0.5)
 
 
-# Weights of the devices that a user may have; others are not eligible.
-DEVICE_WEIGHTS = [(1, 5), (2, 3), (3, 2)]
+def _device_options(spark, sf):
+    """Devices with the number of customers of their region as weight; scales are not worn."""
+    customer, nation = storage.scan(spark, sf, "customer"), storage.scan(spark, sf, "nation")
+    popular = (
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+        .groupBy((F.col("n_regionkey") + 1).alias("device_id"))
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+    worn = b.dim_device(spark, sf).where(F.col("category") == "wearable")
+    return worn.select("device_id").join(popular, "device_id")
 
 
 @query
 def weighted_assign(spark, sf):
-    return ab.weighted_assign(users(spark, sf), DEVICE_WEIGHTS, "primary_device", out="device_id")
+    return ab.weighted_assign(
+        users(spark, sf), _device_options(spark, sf), "primary_device", option="device_id"
+    )
+
+
+@query
+def weighted_assign_within(spark, sf):
+    """Women choose among all but the first device; men have no options, and so no device."""
+    options = _device_options(spark, sf).where(F.col("device_id") != 1).withColumn("sex", F.lit("F"))
+    return ab.weighted_assign(
+        users(spark, sf), options, "primary_device", option="device_id", within=["sex"]
+    )
 
 
 # Streaming. Each query runs a stream over the event table to its end.

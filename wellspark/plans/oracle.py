@@ -620,6 +620,7 @@ batch as (select d.* from day_late d, mark where d.activity_date > mark.m - 7),
 kept as (select t.* from day_early t where t.activity_date <= date '2024-01-20' and not exists
          (select 1 from batch x where x.user_id = t.user_id and x.activity_date = t.activity_date))
 select * replace (cast(amount as double) as amount) from (select * from kept union all select * from batch)"""
+SQL["late_rows_to_scores"] = SQL["rolling_7d_score"]
 SQL["scd2_snapshot"] = """
 with runs as (select unnest([date '1997-01-01', date '1999-01-01', date '2001-12-31']) as run_at),
 states as (select s.user_id, r.run_at, s.membership_tier, s.company
@@ -948,11 +949,24 @@ select user_id, 'template_test' as experiment_name,
        case when ('0x' || substr(md5('template_test:' || user_id), 1, 8))::bigint % 10000 < 5000
             then 'B' else 'A' end as variant
 from users"""
-SQL["weighted_assign"] = """
-select user_id, case when bucket < 500000 then 1
-                     when bucket < 800000 then 2 else 3 end as device_id
-from (select user_id, ('0x' || substr(md5('primary_device:' || user_id), 1, 8))::bigint % 1000000 as bucket
-      from users)"""
+DRAWN = """
+select user_id, sex, ('0x' || substr(md5('primary_device:' || user_id), 1, 8))::bigint % 1000000 as draw
+from users"""
+OPTIONS = """
+select device_id, count(*) as weight from raw_device, customer, nation
+where category = 'wearable' and c_nationkey = n_nationkey and n_regionkey + 1 = device_id
+group by device_id"""
+PARTS = """
+select device_id, (coalesce(sum(weight) over (order by device_id rows between unbounded preceding and 1 preceding), 0)
+                   * 1000000 // sum(weight) over ())::bigint as low,
+       (sum(weight) over (order by device_id rows unbounded preceding) * 1000000 // sum(weight) over ())::bigint as high"""
+SQL["weighted_assign"] = f"""
+select user_id, device_id
+from ({DRAWN}) d left join ({PARTS} from ({OPTIONS})) o on d.draw >= o.low and d.draw < o.high"""
+SQL["weighted_assign_within"] = f"""
+select user_id, device_id
+from ({DRAWN}) d left join ({PARTS} from ({OPTIONS}) where device_id <> 1) o
+     on d.draw >= o.low and d.draw < o.high and d.sex = 'F'"""
 
 # Streaming.
 
