@@ -1,12 +1,14 @@
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from support import rows
+from support import plan_of, rows
 from wellspark.sources.schemas import RECORD
 from wellspark.streaming import events as ev
-from wellspark.streaming import sinks
+from wellspark.streaming import offsets, sinks
 
 
 def record(event_id, partition=0, offset=None, **changes):
@@ -154,6 +156,51 @@ def test_offset_gaps(spark, width):
     assert rows(ev.offset_gaps(df, width=width)) == [(0, 1, 5, 3, 1)]
 
 
+def plain_gaps(data):
+    seen = Counter((p, o) for p, o in data if o is not None)
+    out = []
+    for p in {p for p, _ in seen}:
+        last = None
+        for o in sorted(o for q, o in seen if q == p):
+            missing, repeats = (0 if last is None else o - last - 1), seen[p, o] - 1
+            if missing or repeats:
+                out.append((p, last, o, missing, repeats))
+            last = o
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("width, held", [(7, 50), (64, 10**6), (32_768, 300)])
+def test_offset_gaps_equal_brute_force(spark, monkeypatch, width, held):
+    """A full partition, a sparse one, many tiny ones, repeats within and over tasks, no partition."""
+    monkeypatch.setattr(offsets, "HELD", held)
+    rng = random.Random(width)
+    data = [("full", o) for o in range(-40, 900) if o not in (5, 6, 500)]
+    data += [("sparse", rng.randrange(10**9)) for _ in range(60)] + [("far", 2**62), ("far", -(2**61))]
+    data += [(f"p{rng.randrange(200)}", rng.randrange(7)) for _ in range(500)]
+    data += [(None, rng.randrange(30)) for _ in range(40)] + [("full", None), (None, None)]
+    data += [rng.choice(data) for _ in range(200)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "owner string, at bigint").repartition(5)
+    assert rows(ev.offset_gaps(df, "owner", "at", width)) == plain_gaps(data)
+    assert ev.offset_gaps(df.limit(0), "owner", "at", width).isEmpty()
+
+
+def test_offset_gaps_read_once_and_deal_out_no_offsets(spark, tmp_path):
+    spark.range(200_000).selectExpr("cast(id % 3 as int) as partition", "id div 3 as offset").write.parquet(f"{tmp_path}/o")
+    stored = spark.read.parquet(f"{tmp_path}/o")
+    found = ev.offset_gaps(stored)
+    assert found.isEmpty()
+    plan = plan_of(found)
+    assert plan.count("FileScan") == 1
+    assert "hashpartitioning(partition" in plan and "offset" not in " ".join(
+        line for line in plan.splitlines() if "hashpartitioning" in line
+    )
+    # A bitmap of 4 KB for a stretch and task: 200,000 rows become some tens.
+    summed = offsets.summaries(stored, "partition", "offset", offsets.STRETCH)
+    assert summed.count() <= 3 * 3 * stored.rdd.getNumPartitions()
+    assert summed.where("bits is not null").count() > 0
+
+
 def test_crash_after_storing_repeats_the_batch_without_duplicates(topic, monkeypatch):
     """The batch is stored but not recorded as done; the restarted run stores it again."""
     topic.send(*[record(i) for i in range(6)], ("k", "{", 0, 50))

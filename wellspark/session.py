@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # No master, memory or partition count: those belong to the cluster. AQE sizes the
@@ -21,3 +25,25 @@ def build_session(app_name: str = "wellspark", **conf: str) -> SparkSession:
     for name, value in {**CONF, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for a Spark context.
+
+    Functions that run there import their modules by name. Where the package is installed on all
+    machines, or given to spark-submit with --py-files, this changes nothing.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_wellspark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # The driver's own file; Spark copies it to the executors.
+    archive = os.path.join(tempfile.mkdtemp(prefix="wellspark-"), "wellspark.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._wellspark_shipped = True

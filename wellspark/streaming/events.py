@@ -6,13 +6,13 @@ back over stored records.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspark.functions.scalars import hash_bucket
-from wellspark.operators.windows import neighbour
 from wellspark.sources.schemas import EVENT, RECORD
+from wellspark.streaming import offsets
 
 PARTITIONS = 3
 FILES_PER_BATCH = "1000"
@@ -152,26 +152,27 @@ def offset_gaps(
     stored: DataFrame,
     partition: str = "partition",
     offset: str = "offset",
-    width: int = 1_000_000,
+    width: int = offsets.STRETCH,
 ) -> DataFrame:
     """Places where the offsets of a partition skip or repeat.
 
     ``missing`` offsets lie between ``after_offset`` and ``at_offset``, or ``repeats`` extra
-    rows carry ``at_offset``. Offsets are counted first and then compared with their
-    predecessor in stretches of ``width``, so a few huge partitions use the whole cluster. The
-    ends of the stretches come from the counted offsets, whose shuffle serves both.
+    rows carry ``at_offset``. Rows are read once, and what is dealt out is no list of them but a
+    bitmap for each stretch of ``width`` offsets that a task has seen, with the offsets it
+    has seen again. Joined stretches are compared with the one before by their ends, a row for
+    each. Rows without an offset have no place and are left out.
     """
-    stored = stored.select(partition, offset)
-    counted = stored.groupBy(partition, offset).agg(F.count(F.lit(1)).alias("_n"))
-    compared = neighbour(counted, [partition], offset, "after_offset", False, width)
-    missing = F.coalesce(F.col(offset) - F.col("after_offset") - 1, F.lit(0)).cast("bigint")
-    return (
-        compared.select(
-            F.col(partition).alias("partition"),
-            F.col("after_offset").cast("bigint"),
-            F.col(offset).cast("bigint").alias("at_offset"),
-            missing.alias("missing"),
-            (F.col("_n") - 1).alias("repeats"),
-        )
-        .where((F.col("missing") > 0) | (F.col("repeats") > 0))
+    joined = offsets.joined(offsets.summaries(stored, partition, offset, width), width)
+    order = Window.partitionBy("partition").orderBy("stretch")
+    before = F.lag("last").over(order)
+    skipped = F.coalesce(F.col("first") - F.col("_before") - 1, F.lit(0).cast("bigint"))
+    entry = F.struct(
+        F.col("_before").alias("after_offset"),
+        F.col("first").alias("at_offset"),
+        skipped.alias("missing"),
+        F.col("first_repeats").alias("repeats"),
+    )
+    found = joined.withColumn("_before", before).select(
+        "partition", F.explode(F.concat("places", F.array(entry))).alias("place")
     )
+    return found.select("partition", "place.*").where((F.col("missing") > 0) | (F.col("repeats") > 0))
