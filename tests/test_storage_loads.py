@@ -103,6 +103,48 @@ def test_load_audit(spark):
     ]
 
 
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    first = {"a": spark.range(30), "b": spark.range(20, numPartitions=4)}
+    lines = [("TOTAL", 50, "-"), ("a", 30, "replace"), ("b", 20, "replace")]
+    assert rows(storage.load_all(spark, first, str(tmp_path)), "table_name", "n_rows", "mode") == lines
+    more = storage.load_all(spark, {"a": spark.range(5), "b": spark.range(0)}, str(tmp_path), loaded=["a"])
+    assert rows(more, "table_name", "n_rows", "mode") == [("TOTAL", 5, "-"), ("a", 5, "append"), ("b", 0, "replace")]
+    assert [spark.read.parquet(f"{tmp_path}/{n}.parquet").count() for n in "ab"] == [35, 0]
+    # Every row is made once: the count comes from the write.
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    assert storage.write_observed(spark.range(70).mapInArrow(count, "id long"), f"{tmp_path}/c") == 70
+    assert made.value == 70
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, tmp_path):
+    day = "date_add(date'2024-01-01', cast(id % 40 as int))"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    names = ["bucketed_meals", "bucketed_days"]
+    try:
+        for name, n in zip(names, (3000, 2000)):
+            df = spark.range(n).selectExpr("id % 50 as user_id", f"{day} as day", f"id as {name}")
+            storage.write_bucketed(df, name, f"{tmp_path}/{name}", ["user_id", "day"], 8)
+            files = [f for f in os.listdir(f"{tmp_path}/{name}") if f.endswith(".parquet")]
+            assert len(files) == 8
+        one, two = (spark.table(n) for n in names)
+        both = one.join(two, ["user_id", "day"], "left")
+        plan = plan_of(both)
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert "Exchange" not in plan_of(one.groupBy("user_id", "day").count())
+        plain = [spark.read.parquet(f"{tmp_path}/{n}") for n in names]
+        assert rows(both) == rows(plain[0].join(plain[1], ["user_id", "day"], "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"drop table if exists {name}")
+
+
 def test_preview_is_a_top_n(spark):
     top = storage.preview(spark.range(100), 15, F.col("id").desc())
     assert rows(top) == sorted([(i, 100) for i in range(85, 100)], key=repr)

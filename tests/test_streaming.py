@@ -85,6 +85,24 @@ def test_only_reached_spans_are_compared(spark, tmp_path):
     assert spans == set(range(0, 100, 10))
 
 
+def test_random_ids_meet_only_their_buckets(spark, tmp_path):
+    """A batch of few ids prunes the table's buckets at run time, whatever the ids are."""
+    path, rng = f"{tmp_path}/t", random.Random(3)
+    ids = [rng.randrange(-(2**62), 2**62) for _ in range(400)]
+    send = lambda some: ev.decode(spark.createDataFrame([record(i, 0, 1) for i in some], RECORD))
+    sinks.upsert_ignore(send(ids[:300]), path, buckets=64)
+    for _ in range(2):
+        sinks.upsert_ignore(send(ids[200:] + ids[:3]), path, buckets=64)
+        assert rows(spark.read.parquet(path), "event_id") == sorted(((i,) for i in ids), key=repr)
+    few = send([ids[0], ids[1], 17])
+    held = sinks.held_keys(spark.read.parquet(path), few, ["event_id"], sinks.bucket_of(["event_id"], 64))
+    assert rows(held, "event_id") == sorted([(ids[0],), (ids[1],)], key=repr)
+    plan = plan_of(held)
+    assert "dynamicpruning" in plan and "ReadSchema: struct<event_id:bigint>" in plan
+    scans = held._jdf.queryExecution().executedPlan().toString()
+    assert scans.count("FileScan") == 1
+
+
 def test_many_copies_of_one_event(spark, tmp_path):
     copies = spark.range(5000).select(
         F.lit("1").alias("key"),

@@ -183,6 +183,15 @@ def reconcile(src: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_count(src: DataFrame, loaded_rows: int) -> DataFrame:
+    """As :func:`reconcile`, with the rows that the load itself has counted while writing."""
+    return (
+        src.agg(F.count(F.lit(1)).alias("source_rows"))
+        .withColumn("loaded_rows", F.lit(loaded_rows).cast("bigint"))
+        .where(F.col("source_rows") != F.col("loaded_rows"))
+    )
+
+
 # Named checks and their report.
 
 

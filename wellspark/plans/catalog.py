@@ -186,6 +186,14 @@ def load_audit(spark, sf):
     return storage.load_audit(b.raw_tables(spark, sf), loaded=["dim_user"])
 
 
+@query
+def load_audit_observed(spark, sf):
+    """The same lines, from the rows counted while the tables are written."""
+    return storage.load_all(
+        spark, b.raw_tables(spark, sf), storage.shared_dir(spark, "loaded"), loaded=["dim_user"]
+    )
+
+
 @query
 def write_partitioned_year(spark, sf):
     path = storage.shared_dir(spark, "scores")
@@ -363,6 +371,25 @@ def join_left_two_key(spark, sf):
     return nutrition_fact(spark, sf).select("user_id", "log_date", "meals_logged", "calories_burned")
 
 
+@query
+def join_bucketed_facts(spark, sf):
+    """Intake next to the calories burned, from facts stored in buckets of user and day."""
+    run = storage.shared_dir(spark, "bucketed")
+    facts = {
+        "meals": (agg.nutrition_daily(meals(spark, sf)), ["user_id", "log_date"]),
+        "days": (activity(spark, sf).withColumnRenamed("activity_date", "log_date"), ["user_id", "log_date"]),
+    }
+    tables = {}
+    for name, (df, keys) in facts.items():
+        table = f"wellspark_{name}_" + run.rsplit("-", 1)[-1]
+        storage.write_bucketed(df, table, f"{run}/{name}", keys, 16)
+        tables[name] = spark.table(table)
+    burned = tables["days"].withColumnRenamed("log_date", "activity_date")
+    return marts.fct_nutrition(tables["meals"], burned).select(
+        "user_id", "log_date", "meals_logged", "calories_burned"
+    )
+
+
 @query
 def join_left_latest(spark, sf):
     return current_users(spark, sf).select("user_id", "membership_tier", "company")
@@ -949,6 +976,19 @@ def check_reconcile_load(spark, sf):
     )
 
 
+@query
+def check_reconcile_observed(spark, sf):
+    """Rows counted while an incomplete load is written, against the rows of its source."""
+    path = storage.shared_dir(spark, "reconcile")
+    source, late = _daily_totals(spark, sf), _daily_totals(spark, sf, early=True)
+    written = {"same": source, "incomplete": late}
+    counts = {name: storage.write_observed(df, f"{path}/{name}") for name, df in written.items()}
+    stored = spark.read.parquet(f"{path}/same")
+    return reshape.union_all(
+        *[x.reconcile_count(stored, n).withColumn("load", F.lit(name)) for name, n in counts.items()]
+    )
+
+
 @query
 def dq_report(spark, sf):
     """Checks with findings; the derived tables are stored first, as in the pipeline."""
@@ -1139,6 +1179,22 @@ def stream_upsert_ignore(spark, sf):
     return _stored(spark, path)
 
 
+@query
+def stream_random_ids(spark, sf):
+    """Two sendings of events with random ids, the second of all events again and of more."""
+    scrambled = b.wearable_events(spark, sf).withColumn("event_id", F.xxhash64("event_id"))
+    records = ev.place(ev.to_records(scrambled, "event_id"), "event_id").drop("event_id")
+    path = storage.shared_dir(spark, "random")
+    for part in (F.col("offset") % 3 != 0, F.lit(True)):
+        records.where(part).write.mode("append").parquet(f"{path}/in")
+        sinks.run_available(
+            ev.read_files(spark, f"{path}/in"), f"{path}/events", f"{path}/checkpoint", buckets=32
+        )
+    return _stored(spark, path).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("heart_rate").alias("heart_rate")
+    )
+
+
 @query
 def stream_at_least_once(spark, sf):
     """A full replay with a new checkpoint adds nothing."""

@@ -303,6 +303,7 @@ SQL["load_audit"] = (
     )
     + ") select * from counts union all select 'TOTAL', cast(sum(n_rows) as bigint), '-' from counts"
 )
+SQL["load_audit_observed"] = SQL["load_audit"]
 SQL["write_formats"] = """
 select f.format, user_id, scan_date, weight_kg, bmi
 from raw_scan cross join (select unnest(['parquet', 'csv']) as format) f"""
@@ -405,6 +406,7 @@ select user_id, log_date, """ + _doubles("protein_kcal", "carbs_kcal", "fat_kcal
 SQL["join_broadcast_left"] = """
 select s.*, u.sex, u.age, u.country from scored s left join users u on s.user_id = u.user_id"""
 SQL["join_left_two_key"] = "select user_id, log_date, meals_logged, calories_burned from nutrition_fact"
+SQL["join_bucketed_facts"] = SQL["join_left_two_key"]
 SQL["join_left_latest"] = "select user_id, membership_tier, company from current_users"
 SQL["join_lookup_map"] = """
 select a.user_id, a.activity_date, u.primary_device_id as device_id
@@ -878,6 +880,7 @@ SQL["check_reconcile_load"] = """
 select s.n as source_rows, e.n as loaded_rows, 'incomplete' as load
 from (select count(*) as n from day_late) s cross join (select count(*) as n from day_early) e
 where s.n <> e.n"""
+SQL["check_reconcile_observed"] = SQL["check_reconcile_load"]
 
 # Experiment statistics.
 
@@ -978,6 +981,8 @@ SQL["stream_upsert_ignore"] = SQL["stream_decode"]
 SQL["stream_at_least_once"] = """
 select "partition", count(*) as events, cast(sum(heart_rate) as bigint) as heart_rate
 from readings group by "partition\""""
+SQL["stream_random_ids"] = """
+select user_id, count(*) as events, cast(sum(heart_rate) as bigint) as heart_rate from readings group by user_id"""
 SQL["stream_bounded_run"] = """
 select user_id, count(*) as events, 'bounded' as run from readings where user_id % 2 = 0 group by user_id
 union all

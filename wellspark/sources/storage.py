@@ -5,10 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -130,11 +130,17 @@ def load_audit(tables: Mapping[str, DataFrame], loaded: Iterable[str] = ()) -> D
     counts = None
     for name, df in tables.items():
         one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"),
-            "n_rows",
-            F.lit("append" if name in seen else "replace").alias("mode"),
+            F.lit(name).alias("table_name"), "n_rows", F.lit(_mode(name, seen)).alias("mode")
         )
         counts = one if counts is None else counts.unionByName(one)
+    return _with_total(counts)
+
+
+def _mode(name: str, seen: set[str]) -> str:
+    return "append" if name in seen else "replace"
+
+
+def _with_total(counts: DataFrame) -> DataFrame:
     # Grouping sets: the lines and their total from a single pass over the counts.
     return (
         counts.rollup(F.struct("table_name", "mode").alias("line"))
@@ -147,6 +153,43 @@ def load_audit(tables: Mapping[str, DataFrame], loaded: Iterable[str] = ()) -> D
     )
 
 
+def write_observed(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
+    """Write parquet and return the number of rows written, counted by the writing tasks."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode).parquet(path)
+    return seen.get["n_rows"]
+
+
+def load_all(
+    spark: SparkSession, tables: Mapping[str, DataFrame], path: str, loaded: Iterable[str] = ()
+) -> DataFrame:
+    """Write every table to ``path/<name>.parquet``, added to those ``loaded`` before, and return
+    the lines of :func:`load_audit` for what was written. Nothing is read again to be counted."""
+    seen, lines = set(loaded), []
+    for name, df in tables.items():
+        mode = _mode(name, seen)
+        n = write_observed(df, f"{path}/{name}.parquet", "append" if mode == "append" else "overwrite")
+        lines.append((name, n, mode))
+    return _with_total(spark.createDataFrame(lines, "table_name string, n_rows bigint, mode string"))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalog table in ``buckets`` files by a hash of the keys, each sorted by them.
+
+    Tables in the same number of buckets of their join or grouping keys are joined and grouped
+    without a shuffle. The rows are dealt out by the same hash before they are written, so each
+    bucket is one file of one task.
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
 def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """First n rows by ``order`` together with the row count of the whole table.
 
