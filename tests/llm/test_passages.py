@@ -66,6 +66,57 @@ def test_passages_equal_brute_force(spark):
     assert sparse_suffixes.passages(docs.limit(0)).count() == 0
 
 
+def test_neighbours_on_two_sides_of_a_border_and_on_two_sides_of_a_phrase(spark):
+    """A suffix whose longest matches to the right and to the left are with different documents,
+    and many more ranges than suffixes: nothing is lost."""
+    rng = random.Random(77)
+    left, right = [prose(rng, 45, 10**6).split() for _ in range(2)]
+    rows = [(1, " ".join([*left, *right]), "en", "a", 1)]
+    for cut in range(0, 45, 4):
+        rows.append((100 + cut, " ".join([*prose(rng, 9, 10**6).split(), *left[cut:], *right[: cut + 8], "x"]), "en", "a", 1))
+        rows.append((200 + cut, " ".join([*right[cut:], *prose(rng, 40, 10**6).split()]), "en", "a", 1))
+    rows += [(300 + i, " ".join(right) + f" {i} " + prose(rng, 30, 10**6), "en", "a", 1) for i in range(30)]
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sparse_suffixes.passages(documents(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(((r.doc_id, r.start_word, r.end_word) for r in found), key=repr) == passages(rows)
+
+
+def test_copies_are_told_by_their_neighbours(spark, monkeypatch):
+    """No window of a large group of copies has to be looked up."""
+    asked = []
+    real = sparse_suffixes.looked_up
+
+    def counted(sent, windows, repeated):
+        asked.append(windows.count())
+        return real(sent, windows, repeated)
+
+    monkeypatch.setattr(sparse_suffixes, "looked_up", counted)
+    rng = random.Random(5)
+    copied, shared = prose(rng, 400), prose(rng, 30)
+    rows = [(i, copied, "en", "a", 1) for i in range(300)]
+    rows += [(1000 + i, f"{prose(rng, 60)} {shared} {prose(rng, 60)}", "en", "a", 1) for i in range(5)]
+    found = sparse_suffixes.passages(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in found) == [(i, 0, 400) for i in range(300)]
+    assert all(r.other_doc_id != r.doc_id for r in found)
+    # At most the ends of the ranges, and the windows around the short passage.
+    assert asked[0] <= 4 * 2 * 39 + 5 * 2 * 39
+
+
+def test_passages_of_ids_that_are_no_numbers(spark):
+    rng = random.Random(6)
+    shared = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 20)} {shared}", "en", "a", 1) for i in range(3)] + [(None, shared, "en", "a", 1)]
+    docs = documents(spark, rows).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    found = sparse_suffixes.passages(docs).collect()
+    assert {r.doc_id for r in found} == {"d0", "d1", "d2", None}
+    assert all(r.other_doc_id != r.doc_id for r in found if r.doc_id)
+
+
 def test_sliding_least():
     values = np.random.default_rng(1).integers(0, 100, 200)
     for width in (1, 2, 3, 31, 32, 39, 41):
