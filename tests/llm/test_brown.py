@@ -43,9 +43,9 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("limits", [(65_000, 1 << 19, 1 << 22), (200, 400, 800)])
+@pytest.mark.parametrize("limits", [(65_000, 4, 1 << 22), (20, 3, 800), (0, 1, 1)])
 def test_counts_and_base_score(spark, rows, limits, monkeypatch):
-    for name, value in zip(("EXCHANGED", "PLACED", "SENT"), limits):
+    for name, value in zip(("EXCHANGED", "LEAST", "SENT"), limits):
         monkeypatch.setattr(brown, name, value)
     docs = documents(spark, rows).withColumn("row", F.lit("x")).withColumn("h", F.lit(1))
     out = brown.scored(docs).collect()
@@ -53,7 +53,7 @@ def test_counts_and_base_score(spark, rows, limits, monkeypatch):
     assert sorted(found, key=repr) == sorted(base(rows), key=repr)
     later = [r for r in out if r.held_out and r.doc_id is not None and r.doc_id >= 1000]
     assert len(later) > 10
-    assert sum(r.score for r in later) > sum(r.base_score for r in later) + 10
+    assert sum(r.score for r in later) > sum(r.base_score for r in later) + {65_000: 1000, 20: 10, 0: -2000}[limits[0]]
     assert all(r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens)) for r in out)
 
 
@@ -63,15 +63,16 @@ def test_probabilities_add_up(spark, rows):
     context = spark.sparkContext
     model = brown.fitted(training, counts, context)
     assert np.allclose((10.0**model.transition).sum(axis=1), 1)
-    inside = np.bincount(model.words.classes, weights=10.0**model.emission, minlength=brown.ALL)
-    unknown = brown.ADDED / model.rare_total
-    used = np.unique(model.words.classes)
+    of_word = model.words.classes_of(model.words.hashes)[2]
+    inside = np.bincount(of_word, weights=10.0**model.emission, minlength=brown.ALL)
+    unknown = brown.ADDED / model.mass[brown.RARE]
+    used = np.unique(of_word)
     assert np.allclose(inside[[c for c in used if c != brown.RARE]], 1)
     assert inside[brown.RARE] + unknown == pytest.approx(1)
     # All words are frequent here, so a text's score needs no rare counts.
     said = "A01 b12 a01"
     hashed, _ = brown.tokens(__import__("pyarrow").array([said]))
-    at, known, classes = brown._classes_of(model.words, hashed)
+    at, known, classes = model.words.classes_of(hashed)
     path = [brown.END, *classes]
     by_hand = sum(model.transition[a, b] for a, b in zip(path, path[1:]))
     by_hand += sum(model.emission[a] if k else math.log10(unknown) for a, k in zip(at, known))
@@ -87,6 +88,54 @@ def test_probabilities_add_up(spark, rows):
     assert sum(r.score or 0 for r in part) + rest == pytest.approx(by_hand)
 
 
+def spoken(rng, n, words, name):
+    """Texts in which words of two parts of speech alternate, with hapax legomena in between."""
+    out = []
+    for i in range(n):
+        said = [f"{name}{j % 2}x{rng.randrange(words)}" for j in range(40)]
+        out.append((i, " ".join([*said, f"{name}once{i}", *said[::-1]]), "en", "a", 1))
+    return out
+
+
+@pytest.mark.parametrize("exchanged", [65_000, 150])
+def test_a_word_is_treated_alike_in_a_small_and_in_a_large_corpus(spark, monkeypatch, exchanged):
+    """Every word that occurs LEAST times has a class, whatever else the corpus holds, and words
+    of the same use still share one."""
+    monkeypatch.setattr(brown, "EXCHANGED", exchanged)
+    rng = random.Random(41)
+    small = spoken(rng, 60, 40, "s")
+    large = small + spoken(rng, 900, 300, "t")
+    counts = Counter(w for r in small for w in r[1].split())
+    often = sorted(w for w, n in counts.items() if n >= brown.LEAST)
+    hashed = brown.tokens(__import__("pyarrow").array(often))[0][::2]
+    once = brown.tokens(__import__("pyarrow").array([w for w, n in counts.items() if n < brown.LEAST]))[0][::2]
+    assert len(often) > 60 and len(once) == 60
+    for corpus in (small, large):
+        training = documents(spark, corpus).select("text")
+        model = brown.fitted(training, brown.word_counts(training), spark.sparkContext)
+        classes = model.words.classes_of(hashed)[2]
+        assert (classes < brown.CLASSES).all()
+        assert (model.words.classes_of(once)[2] == brown.RARE).all()
+        # A class holds words of one part of speech, nearly always.
+        parts = [{c: 0 for c in range(brown.CLASSES)} for _ in range(2)]
+        for word, c in zip(often, classes.tolist()):
+            parts[int(word[1])][c] += 1
+        assert sum(min(parts[0][c], parts[1][c]) for c in range(brown.CLASSES)) <= len(often) // 10
+        all_counts = Counter(w for r in corpus for w in r[1].split())
+        share = sum(n for n in all_counts.values() if n >= brown.LEAST) / sum(all_counts.values())
+        assert model.classed == pytest.approx(share)
+        told = [x for x, _ in model.rounds]
+        assert len(told) >= 2 and told[-1] > told[0]
+
+
+def test_ids_of_any_type(spark, rows):
+    docs = documents(spark, rows[:60])
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    out = brown.scored(named)
+    assert dict(out.dtypes)["doc_id"] == "string"
+    assert sorted(r.doc_id or "" for r in out.collect()) == sorted("" if r[0] is None else f"d{r[0]}" for r in rows[:60])
+
+
 def test_best_class_is_the_likeliest():
     rng = np.random.default_rng(18)
     n_words = 12

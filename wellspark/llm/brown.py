@@ -3,23 +3,31 @@
 Words are put into CLASSES classes so that the classes of neighbouring words tell as much of each
 other as they can. Each round counts, for every word, the classes before and after it, and moves
 half of the words to the class where the likelihood of the class bigrams is highest, the others
-being fixed. The next less frequent words are then placed once by the same rule; all others share
-the class of rare words. A text's probability is the product of class transitions, smoothed
-towards the class frequencies, and of word emissions, smoothed by adding 0.1 to each count, with
-0.1 for unknown words in the class of rare words.
+being fixed. A text's probability is the product of class transitions, smoothed towards the class
+frequencies, and of word emissions, smoothed by adding 0.1 to each count, with 0.1 for unknown
+words in the class of rare words.
 
-What is counted covers all training texts. What tasks share is bounded by shares of the tokens:
-at most EXCHANGED words have a share of 1 / EXCHANGED, and so on, whatever the size. Counts of
-rarer words are never gathered: their occurrences in texts join the table of counts.
+Every word that occurs LEAST times has a class of its own choice, in a small corpus and in a large
+one; rarer words share the class of rare words. The EXCHANGED most frequent ones are moved in each
+round, the others are placed by the same rule once these have settled. What tasks share of the
+others has a fixed size: a map of which words (by MEMBER_BITS of their hash) occur LEAST times,
+and the class of each of SLOTS slots; words of one slot are placed together. In a corpus of a
+million such words one in seventeen shares its slot with another.
+
+What is counted covers all training texts. Counts are sent to tasks for words of a share of one in
+SENT, of which there are SENT at most; occurrences of the others join the table of counts. That is
+a choice of transport, results do not depend on it.
 
 Defined results: a null text is the empty text, one end token. A null id reads as the empty text,
-whose remainder is 0, so it is held out. Rows are scored one by one, repeated ones alike; in
-training each counts. Without training texts, or with an empty table, there is no model to speak
-of: every word is unknown, and rows get the probabilities of an empty training set.
+whose remainder is 0, so it is held out. Ids may have any type. Rows are scored one by one,
+repeated ones alike; in training each counts. Without training texts, or with an empty table,
+there is no model to speak of: every word is unknown, and rows get the probabilities of an empty
+training set.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,16 +35,23 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellspark.llm import words as W
-from wellspark.llm.rows import named, pieces, stored
+from wellspark.llm.rows import bitmap, in_bitmap, named, pieces, stored
+
+log = logging.getLogger(__name__)
 
 CLASSES = 24
 ROUNDS = 8
-#: Words of at least this share of the tokens (one in ...) are exchanged between classes, placed
-#: once, and have their counts sent to all tasks. There can be no more of them than that.
+#: Occurrences from which a word is put into a class.
+LEAST = 4
+#: Words that are exchanged between classes in each round, the most frequent ones.
 EXCHANGED = 65_000
-PLACED = 1 << 19
+#: Slots that the other words are placed by, and bits of the map of words that are placed.
+SLOTS = 1 << 24
+MEMBER_BITS = 27
+#: Words of at least this share of the tokens (one in ...) have their counts sent to all tasks.
 SENT = 1 << 22
 HELD_OUT_ONE_IN = 10
 ADDED = 0.1
@@ -135,12 +150,14 @@ def word_counts(training: DataFrame) -> DataFrame:
 @dataclass
 class Words:
     """The more frequent words, sorted by hash: counts, classes, and places among those
-    exchanged (OTHER_ID for others)."""
+    exchanged (OTHER_ID for others); and the classes of the words that are placed."""
 
     hashes: np.ndarray
     counts: np.ndarray
     classes: np.ndarray
     ids: np.ndarray
+    member: bytes
+    slots: np.ndarray
 
     def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each hash, and whether it is there."""
@@ -149,23 +166,57 @@ class Words:
         at = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
         return at, self.hashes[at] == hashed
 
+    def placed(self, hashed: np.ndarray) -> np.ndarray:
+        """The class of each word that is not exchanged."""
+        there = in_bitmap(self.member, (hashed >> np.uint64(64 - MEMBER_BITS)).astype(np.int64))
+        return np.where(there, self.slots[slot_of(hashed)], RARE)
+
+    def classes_of(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each token, whether it is there, and its class."""
+        at, known = self.find(hashed)
+        classes = self.placed(hashed)
+        if len(self.hashes):
+            exchanged = known & (self.ids[at] < END_ID)
+            classes = np.where(exchanged, self.classes[at], classes)
+        return at, known, np.where(hashed == END_HASH, END, classes).astype(np.int64)
+
+
+def slot_of(hashed: np.ndarray) -> np.ndarray:
+    return (hashed % np.uint64(SLOTS)).astype(np.int64)
+
+
+def least_exchanged(counts: DataFrame) -> int:
+    """The number of occurrences that at most EXCHANGED words reach, LEAST or more.
+
+    Looked up on a fixed scale of steps of a sixteenth, in one pass.
+    """
+    scale = [LEAST]
+    while scale[-1] < 1 << 50:
+        scale.append(max(scale[-1] + 1, scale[-1] * 17 // 16))
+    reach = counts.agg(*[F.count_if(F.col("n") >= x).alias(str(x)) for x in scale]).first()
+    # The end token is counted too.
+    return next(x for x, words in zip(scale, reach) if words <= EXCHANGED)
+
 
 def frequent(counts: DataFrame, total: int) -> Words:
-    """Words with a share of one in SENT; the most frequent of them get ids by rank."""
-    rows = counts.where(F.col("n") * SENT >= total).toArrow()
+    """Words that are exchanged or have a share of one in SENT."""
+    least = least_exchanged(counts)
+    rows = counts.where((F.col("n") * SENT >= total) | (F.col("n") >= least)).toArrow()
     hashes = rows["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes, n = hashes[order], rows["n"].to_numpy()[order]
     ids = np.full(len(n), OTHER_ID, dtype=np.uint16)
     rank = np.lexsort((hashes, -n))
-    rank = rank[(n[rank] * EXCHANGED >= total) & (hashes[rank] != END_HASH)]
+    rank = rank[(n[rank] >= least) & (hashes[rank] != END_HASH)]
     ids[rank] = np.arange(len(rank))
     classes = np.full(len(n), RARE, dtype=np.int8)
     # At first words go round the classes in order of their frequency.
     classes[rank] = np.arange(len(rank)) % CLASSES
     ids[hashes == END_HASH] = END_ID
     classes[hashes == END_HASH] = END
-    return Words(hashes, n, classes, ids)
+    place_of = F.shiftrightunsigned("h", 64 - MEMBER_BITS).alias("place")
+    member = bitmap(counts.where(F.col("n") >= LEAST).select(place_of), "place", 1 << MEMBER_BITS)
+    return Words(hashes, n, classes, ids, member, np.full(SLOTS, RARE, dtype=np.int8))
 
 
 def sequences(training: DataFrame, sent) -> DataFrame:
@@ -199,7 +250,8 @@ def neighbour_counts(rows: DataFrame, classes: np.ndarray, context) -> DataFrame
                 after += np.bincount(ids[:-1] * ALL + of[ids[1:]], minlength=len(after))
         whole = np.zeros((ALL, ALL), dtype=np.int64)
         np.add.at(whole, of, before.reshape(-1, ALL))
-        parts = [(whole.ravel(), 0, True)]
+        # Rows are the classes before, as in class_bigrams.
+        parts = [(whole.T.ravel(), 0, True)]
         parts += [(before[: END_ID * ALL], 0, False), (after[: END_ID * ALL], ALL, False)]
         for values, shift, summed in parts:
             at = np.flatnonzero(values)
@@ -247,8 +299,8 @@ def best_class(near: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np.nda
     return gain.argmax(axis=1)
 
 
-def moved(near: DataFrame, own: np.ndarray | None, bigrams: np.ndarray, context) -> tuple:
-    """Words and their best classes; ``near`` has rows (w, key, n)."""
+def best_classes(near: DataFrame, own: np.ndarray | None, bigrams: np.ndarray, context) -> DataFrame:
+    """(w, class): words and their best classes; ``near`` has rows (w, key, n)."""
     held = context.broadcast((own, bigrams))
 
     def run(batches):
@@ -268,34 +320,60 @@ def moved(near: DataFrame, own: np.ndarray | None, bigrams: np.ndarray, context)
                     [pa.array(some), pa.array(classes.astype(np.int32))], ["w", "class"]
                 )
 
-    found = (
-        near.groupBy("w")
-        .agg(F.collect_list(F.struct("key", "n")).alias("near"))
-        .mapInArrow(run, "w int, class int")
-        .toArrow()
-    )
+    # A word has a row for each class before or after it, so the lists are short.
+    lists = near.groupBy("w").agg(F.collect_list(F.struct("key", "n")).alias("near"))
+    return lists.mapInArrow(run, "w int, class int")
+
+
+def moved(near: DataFrame, own: np.ndarray, bigrams: np.ndarray, context) -> tuple[np.ndarray, np.ndarray]:
+    """Exchanged words, of which there are EXCHANGED at most, and their best classes."""
+    found = best_classes(near, own, bigrams, context).toArrow()
     return found["w"].to_numpy(), found["class"].to_numpy()
 
 
-def exchange(rows: DataFrame, words: Words, context) -> None:
-    """Moves words between classes, half of them in each round, until few move or ROUNDS are over."""
+def likelihood(bigrams: np.ndarray) -> float:
+    """What the classes of neighbours tell of each other: natural log, for each pair of tokens."""
+    told = _xlogx(bigrams).sum() - _xlogx(bigrams.sum(axis=0)).sum() - _xlogx(bigrams.sum(axis=1)).sum()
+    pairs = bigrams.sum()
+    return float((told + _xlogx(pairs)) / max(1, pairs))
+
+
+def exchange(rows: DataFrame, words: Words, context) -> list[tuple[float, int]]:
+    """Moves words between classes, some of them at a time, until few move or ROUNDS are over.
+
+    Words that move together do not see each other's moves, so a round may lose: then its moves
+    are undone, and a quarter as many words are looked at from there on. The classes with the
+    highest likelihood stay. Returns for each round the likelihood that it started from and the
+    number of words that it moved, and at last the likelihood that was reached.
+    """
     n_ids = int((words.ids < END_ID).sum())
     if not n_ids:
-        return
+        return []
     classes = np.full(1 << 16, RARE, dtype=np.int8)
     classes[END_ID] = END
     classes[words.ids[words.ids < END_ID]] = words.classes[words.ids < END_ID]
-    for step in range(ROUNDS):
+    told: list[tuple[float, int]] = []
+    one_in, best, kept = 2, -np.inf, None
+    for step in range(ROUNDS + 1):
         near = stored(neighbour_counts(rows, classes, context), "neighbours")
         bigrams = _matrix(near.where("w = -1"))
-        half = near.where((F.col("w") >= 0) & (F.col("w") % 2 == step % 2))
-        who, best = moved(half, classes.astype(np.int64), bigrams, context)
-        changed = int((classes[who] != best).sum())
-        classes[who] = best
-        if step and changed * 1000 < n_ids:
+        value = likelihood(bigrams)
+        if value >= best:
+            best, kept = value, (classes.copy(), near, bigrams)
+        else:
+            one_in *= 4
+        classes, near, bigrams = kept[0].copy(), kept[1], kept[2]
+        few = told and told[-1][1] * 1000 < n_ids
+        if step == ROUNDS or few:
+            told.append((best, 0))
             break
+        turn = F.pmod(F.xxhash64("w", F.lit(step)), F.lit(one_in)) == 0
+        who, choice = moved(near.where((F.col("w") >= 0) & turn), classes.astype(np.int64), bigrams, context)
+        told.append((best, int((classes[who] != choice).sum())))
+        classes[who] = choice
     exchanged = words.ids < END_ID
     words.classes[exchanged] = classes[words.ids[exchanged]]
+    return told
 
 
 def _matrix(rows: DataFrame) -> np.ndarray:
@@ -305,22 +383,13 @@ def _matrix(rows: DataFrame) -> np.ndarray:
     return out.reshape(ALL, ALL)
 
 
-def _classes_of(words: Words, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    at, known = words.find(hashed)
-    classes = np.where(known, words.classes[at], RARE) if len(words.classes) else np.full(len(at), RARE)
-    return at, known, np.where(hashed == END_HASH, END, classes).astype(np.int64)
-
-
-def place(training: DataFrame, words: Words, total: int, context) -> None:
-    """Puts the words that are too rare to be exchanged, but not rarer than one in PLACED, into
-    the classes where their neighbours fit best."""
-    chosen = (words.ids == OTHER_ID) & (words.counts * PLACED >= total)
-    if not chosen.any():
-        return
-    held = context.broadcast((words, chosen))
+def place(training: DataFrame, words: Words, context) -> None:
+    """Puts the words that occur LEAST times and are not exchanged into the classes where their
+    neighbours fit best, by slots; what comes back are bits of SLOTS slots."""
+    held = context.broadcast(words)
 
     def run(batches):
-        words, chosen = held.value
+        words = held.value
         seen = Counter()
 
         def made(keys, n):
@@ -335,21 +404,30 @@ def place(training: DataFrame, words: Words, total: int, context) -> None:
 
         for _, texts in _texts(batches):
             hashed, _ = tokens(texts)
-            at, known, classes = _classes_of(words, hashed)
-            at = np.where(known & chosen[at], at, -1)
-            # The token before the first one of a piece is an end.
+            at, known, classes = words.classes_of(hashed)
+            there = in_bitmap(words.member, (hashed >> np.uint64(64 - MEMBER_BITS)).astype(np.int64))
+            if len(words.ids):
+                there &= ~(known & (words.ids[at] != OTHER_ID))
+            # The token before the first one of a piece is an end, and so is the last one of a text.
             previous = np.concatenate([[END], classes[:-1]])
-            own = np.flatnonzero(at >= 0)
-            seen.add(at[own] * 2 * ALL + previous[own])
-            seen.add(at[own] * 2 * ALL + ALL + classes[own + 1])
+            own = np.flatnonzero(there & (hashed != END_HASH))
+            slot = slot_of(hashed[own])
+            seen.add(slot * 2 * ALL + previous[own])
+            seen.add(slot * 2 * ALL + ALL + classes[own + 1])
             if seen.full():
                 yield from seen.batches(made)
         yield from seen.batches(made)
 
     near = training.mapInArrow(run, "w int, key int, n long").groupBy("w", "key").agg(F.sum("n").alias("n"))
     bigrams = class_bigrams(training, words, context)
-    who, best = moved(near, None, bigrams, context)
-    words.classes[who] = best
+    best = stored(best_classes(near, None, bigrams, context), "placed")
+    slots = np.full(SLOTS, 0, dtype=np.int8)
+    numbers = np.arange(SLOTS)
+    taken = in_bitmap(bitmap(best.select("w"), "w", SLOTS), numbers)
+    for bit in range(CLASSES.bit_length()):
+        some = best.where(F.col("class").bitwiseAND(F.lit(1 << bit)) != 0).select("w")
+        slots |= in_bitmap(bitmap(some, "w", SLOTS), numbers).astype(np.int8) << bit
+    words.slots = np.where(taken, slots, RARE).astype(np.int8)
 
 
 def class_bigrams(training: DataFrame, words: Words, context) -> np.ndarray:
@@ -359,7 +437,7 @@ def class_bigrams(training: DataFrame, words: Words, context) -> np.ndarray:
     def run(batches):
         out = np.zeros(ALL * ALL, dtype=np.int64)
         for _, texts in _texts(batches):
-            classes = _classes_of(held.value, tokens(texts)[0])[2]
+            classes = held.value.classes_of(tokens(texts)[0])[2]
             previous = np.concatenate([[END], classes[:-1]])
             out += np.bincount(previous * ALL + classes, minlength=len(out))
         at = np.flatnonzero(out)
@@ -378,71 +456,103 @@ class Model:
     transition: np.ndarray
     total: int
     distinct: int
-    rare_total: float
+    #: Counts with what is added to them, by class.
+    mass: np.ndarray
+    #: Likelihood and words moved, round by round, and the share of the tokens (but ends) with
+    #: a class of their own choice.
+    rounds: list[tuple[float, int]]
+    classed: float
 
     @property
     def base_total(self) -> float:
         return self.total + ADDED * (self.distinct + 1)
 
 
+def class_sizes(counts: DataFrame, words: Words, context) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences and words of each class, over all words of the training texts."""
+    held = context.broadcast(words)
+
+    def run(batches):
+        n, v = np.zeros(ALL, dtype=np.int64), np.zeros(ALL, dtype=np.int64)
+        for batch in batches:
+            hashed, times = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            classes = held.value.classes_of(hashed)[2]
+            np.add.at(n, classes, times)
+            v += np.bincount(classes, minlength=ALL)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ALL), pa.int32()), pa.array(n), pa.array(v)], ["c", "n", "v"])
+
+    parts = counts.select("h", "n").mapInArrow(run, "c int, n long, v long")
+    n, v = np.zeros(ALL), np.zeros(ALL)
+    for r in parts.groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        n[r.c], v[r.c] = r.n, r.v
+    return n, v
+
+
 def fitted(training: DataFrame, counts: DataFrame, context) -> Model:
     """The model of the training texts."""
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     words = frequent(counts, total)
     rows = stored(sequences(training, context.broadcast(words)), "sequences")
-    exchange(rows, words, context)
-    place(training, words, total, context)
+    rounds = exchange(rows, words, context)
+    place(training, words, context)
     bigrams = class_bigrams(training, words, context)
 
-    n = np.bincount(words.classes, weights=words.counts, minlength=ALL)
-    v = np.bincount(words.classes, minlength=ALL).astype(np.float64)
-    n[RARE] += total - words.counts.sum()
-    v[RARE] += distinct - len(words.counts) + 1
+    n, v = class_sizes(counts, words, context)
+    # Unknown words.
+    v[RARE] += 1
     mass = n + ADDED * v
-    emission = np.log10((words.counts + ADDED) / mass[words.classes])
-    emission[words.classes == END] = 0.0
+    classes = words.classes_of(words.hashes)[2]
+    emission = np.log10((words.counts + ADDED) / mass[classes])
+    emission[classes == END] = 0.0
     usual = (n + 1) / (n.sum() + ALL)
     transition = np.log10((bigrams + ALL * usual) / (bigrams.sum(axis=1, keepdims=True) + ALL))
-    model = Model(words, emission, words.counts, transition, total, distinct, float(mass[RARE]))
+    classed = float(n[:CLASSES].sum() / max(1.0, total - n[END]))
+    model = Model(words, emission, words.counts, transition, total, distinct, mass, rounds, classed)
     model.unigram = np.log10((words.counts + ADDED) / model.base_total)
+    told = ", ".join(f"{x:.4f} ({changed} moved)" for x, changed in rounds)
+    log.info("log-likelihood per pair, round by round: %s; %.1f %% of the tokens classed", told, 100 * classed)
     return model
 
 
-SCORED = "row long, doc_id long, held_out boolean, h long, n long, known long, base double, score double"
-
-
 def partly_scored(docs: DataFrame, model: Model, context) -> DataFrame:
     """For each text a row (h is null) with what the sent words give, and a row for each other
-    word of it, with its number of occurrences in ``n``."""
+    word of it, with its class, and its number of occurrences in ``n``."""
     held = context.broadcast(model)
+    schema = T.StructType(
+        [
+            T.StructField("row", T.LongType()),
+            T.StructField("doc_id", docs.schema["doc_id"].dataType),
+            T.StructField("held_out", T.BooleanType()),
+            *[T.StructField(c, T.LongType()) for c in ("h", "c", "n", "known")],
+            *[T.StructField(c, T.DoubleType()) for c in ("base", "score")],
+        ]
+    )
+    names = schema.names
 
     def run(batches):
         model = held.value
         for batch, texts in _texts(batches):
             hashed, first = tokens(texts)
-            at, known, classes = _classes_of(model.words, hashed)
+            at, known, classes = model.words.classes_of(hashed)
             text = W.row_of(first)
             previous = np.concatenate([[END], classes[:-1]])
-            step = model.transition[previous, classes]
-            # The end is known by its place; without training texts it has no count.
-            counted_here = known
-            said = step.copy()
+            said = model.transition[previous, classes]
             base = np.zeros(len(hashed))
-            said[counted_here] += model.emission[at[counted_here]]
-            base[counted_here] = model.unigram[at[counted_here]]
+            said[known] += model.emission[at[known]]
+            base[known] = model.unigram[at[known]]
             n = len(texts)
-            rows = {c: batch.column(i) for i, c in enumerate(["text", "row", "doc_id", "held_out"])}
-            del rows["text"]
+            row, doc_id, held_out = (batch.column(i) for i in (1, 2, 3))
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows["row"], rows["doc_id"], rows["held_out"],
+                    row, doc_id, held_out,
+                    pa.nulls(n, pa.int64()),
                     pa.nulls(n, pa.int64()),
                     pa.array(np.diff(first)),
                     pa.array(np.bincount(text[known], minlength=n)),
                     pa.array(np.bincount(text, weights=base, minlength=n)),
                     pa.array(np.bincount(text, weights=said, minlength=n)),
                 ],
-                NAMES,
+                names,
             )
             rest = np.flatnonzero(~known)
             if not len(rest):
@@ -450,25 +560,22 @@ def partly_scored(docs: DataFrame, model: Model, context) -> DataFrame:
             key = W.mixed(hashed[rest] ^ W.mixed(text[rest].astype(np.uint64)))
             _, sample, times = np.unique(key, return_index=True, return_counts=True)
             sample = rest[sample]
-            took = pa.array(text[sample])
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows["row"].take(took),
-                    pa.nulls(len(sample), pa.int64()),
+                    row.take(pa.array(text[sample])),
+                    pa.nulls(len(sample), doc_id.type),
                     pa.nulls(len(sample), pa.bool_()),
                     pa.array(hashed[sample].view(np.int64)),
+                    pa.array(classes[sample]),
                     pa.array(times.astype(np.int64)),
                     pa.nulls(len(sample), pa.int64()),
                     pa.nulls(len(sample), pa.float64()),
                     pa.nulls(len(sample), pa.float64()),
                 ],
-                NAMES,
+                names,
             )
 
-    return docs.mapInArrow(run, SCORED)
-
-
-NAMES = ["row", "doc_id", "held_out", "h", "n", "known", "base", "score"]
+    return docs.mapInArrow(run, schema)
 
 
 def scored(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -483,22 +590,26 @@ def scored(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
     sent = docs.select(
         named(text).cast("string").alias("text"),
         F.monotonically_increasing_id().alias("row"),
-        named(doc_id).cast("long").alias("doc_id"),
+        named(doc_id).alias("doc_id"),
         held_out.alias("held_out"),
     )
     # Written once, so a row keeps its number.
     part = stored(partly_scored(sent, model, context), "scored")
     whole = part.where("h is null")
-    count = F.coalesce(F.col("c"), F.lit(0).cast("long"))
+    count = F.coalesce(F.col("count"), F.lit(0).cast("long"))
+    mass = F.get(F.array(*[F.lit(float(m)) for m in model.mass]), F.col("c"))
+    # An unknown word is one of the class of rare words, also where its hash looks like another's.
+    # The end is known by its place, not sent only where there are no training texts.
+    mass = F.when(count > 0, mass).otherwise(F.lit(float(model.mass[RARE])))
     rare = (
         part.where("h is not null")
-        .select("row", "h", F.col("n").alias("times"))
-        .join(counts.select("h", F.col("n").alias("c")), "h", "left")
+        .select("row", "h", F.col("c").cast("int").alias("c"), F.col("n").alias("times"))
+        .join(counts.select("h", F.col("n").alias("count")), "h", "left")
         .groupBy("row")
         .agg(
             F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
             F.sum(F.col("times") * F.log10((count + ADDED) / F.lit(model.base_total))).alias("rare_base"),
-            F.sum(F.col("times") * F.log10((count + ADDED) / F.lit(model.rare_total))).alias("rare_score"),
+            F.sum(F.col("times") * F.log10((count + ADDED) / mass)).alias("rare_score"),
         )
     )
     score = F.col("score") + F.coalesce("rare_score", F.lit(0.0))
