@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from wellspark.llm import (
     zone_clusters,
 )
 from wellspark.llm.rows import stored, table
+from wellspark.session import ship_package
 
 
 def mails(conversations: DataFrame) -> DataFrame:
@@ -127,15 +129,16 @@ def op8_assignment_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, sf_dir, "documents"), into="r", keep=["doc_id"])
     spans = F.col("r.findings")
     base = secret_scan.of_kinds(spans, *secret_scan.BASE_KINDS)
-    counts = [
-        F.size(secret_scan.of_kinds(spans, kind)).cast("long").alias(f"n_{kind}")
+    counts = {
+        kind: F.size(secret_scan.of_kinds(spans, kind)).cast("long").alias(f"n_{kind}")
         for kind in secret_scan.KINDS
-    ]
+    }
     return found.select(
         "doc_id",
-        *counts,
+        *[counts[kind] for kind in secret_scan.BASE_KINDS],
         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
         secret_scan.listed(spans).alias("spans"),
+        counts["literal"],
     )
 
 
@@ -172,8 +175,22 @@ def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_clusters.clustered(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def shipped(query: Query) -> Query:
+    """The query, after sending the package to executors that may not have it."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: shipped(f)
     for f in (
         op1_quotation_linking,
         op2_site_line_frequency,

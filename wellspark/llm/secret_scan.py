@@ -1,12 +1,17 @@
 """Secret scans: an assignment-aware lexer over source and configuration syntax.
 
 Three base patterns (named assignment, access key, hexadecimal run) are matched over the whole
-text. Beside them every line with ``=`` or ``:`` is lexed into names, literals and operators and
-read as assignments: ``name = "literal"``, ``"key": "literal"``, ``key: bare value``,
-``f(key="literal")``, ``cfg["key"] = ...``. Literals joined with ``+`` are one value, and a name
-that was given a literal earlier in the text stands for it, so the constant itself is reported
-when it reaches a sensitive name. A value counts as a secret when the sensitivity of its target
-name times the strength of the value is at least ``LIMIT``.
+text. Beside them everything from a line with ``=`` or ``:`` to the end of the statement is lexed
+into names, literals and operators and read as assignments: ``name = "literal"``,
+``"key": "literal"``, ``key: bare value``, ``f(key="literal")``, ``cfg["key"] = ...``. A statement
+goes on in the next line after an operator or a backslash, before a line that begins with an
+operator, within brackets opened by the value, and within a string in triple quotes or backticks;
+a blank line ends it. A key alone on its line takes the indented block, or the one value, below it.
+
+Literals joined with ``+``, or standing side by side, are one value, and a name that was given a
+literal earlier in the text stands for it, so the constant itself is reported when it reaches a
+sensitive name. A value counts as a secret when the sensitivity of its target name times the
+strength of the value is at least ``LIMIT``. The word ``key`` alone says nothing.
 
 Defined results: a null or empty text has no findings; bytes that are not UTF-8 read as U+FFFD;
 positions are code points, the end exclusive. Rows are scanned one by one, so null ids and
@@ -57,6 +62,7 @@ SENSITIVE = {
     "private key": 1.0,
     "signing key": 1.0,
     "encryption key": 1.0,
+    "master key": 1.0,
     "client key": 0.8,
     "auth": 0.7,
     "bearer": 0.7,
@@ -64,7 +70,6 @@ SENSITIVE = {
     "cookie": 0.6,
     "session": 0.6,
     "salt": 0.6,
-    "key": 0.55,
 }
 #: Values that stand for a secret without being one.
 PLACEHOLDER = re.compile(
@@ -76,7 +81,8 @@ STRONG_BITS = 36.0
 LEAST_LENGTH = 8
 
 LEX = re.compile(
-    r"""(?P<string>"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|`[^`\n]*`)
+    r"""(?P<open>\"{3}|'{3}|`)
+    |(?P<string>"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*')
     |(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)
     |(?P<number>\d[\w.]*)
     |(?P<other>==|!=|<=|>=|=~)
@@ -90,6 +96,12 @@ CONFIG = re.compile(
     r"^[\t\x20]*(?:(?:export|set|ENV|-|\#|//)[\t\x20]+)*(?P<name>[A-Za-z_][\w.-]*)[\t\x20]*[:=][\t\x20]*"
     r"(?P<value>[^\s\"'`#;,(){}\[\]][^\s\"'`;,(){}\[\]]*)[\t\x20]*(?:[#;].*)?$"
 )
+#: A key with nothing but, perhaps, the sign of a block after it; and a single value in a line.
+KEY_ALONE = re.compile(
+    r"^(?P<indent>[\t\x20]*)(?:-\x20)?[\"']?(?P<name>[A-Za-z_][\w.-]*)[\"']?[\t\x20]*:[\t\x20]*"
+    r"(?P<block>[|>][+-]?\d*)?[\t\x20]*$"
+)
+VALUE_ALONE = re.compile(r"^[\t\x20]+(?P<value>[^\s\"'`#;,(){}\[\]-][^\s\"'`;,(){}\[\]]*)[\t\x20]*$")
 NAME_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 FINDING = T.StructType(
@@ -129,7 +141,8 @@ def sensitivity(name: str) -> float:
 
 def strength(value: str) -> float:
     """0 for short values, placeholders and prose, 1 for values that are hard to guess."""
-    if len(value) < LEAST_LENGTH or PLACEHOLDER.match(value) or " " in value.strip():
+    value = value.strip()
+    if len(value) < LEAST_LENGTH or PLACEHOLDER.match(value) or re.search(r"\s", value):
         return 0.0
     counts = Counter(value).values()
     bits = -sum(c * math.log2(c / len(value)) for c in counts)
@@ -154,22 +167,60 @@ class Reader:
                 if end > start and score > self.findings.get((start, end), (0,) * 5)[4]:
                     self.findings[start, end] = ("literal", start, end, name, score)
 
-    def line(self, line: str, at: int) -> None:
+    def lines(self, text: str, first: int) -> int:
+        """Reads the statement whose line begins at ``first``; returns where the next line does."""
+        last = _line_end(text, first)
+        line = text[first:last]
+        key = KEY_ALONE.match(line)
+        if key:
+            after = self.below(text, last + 1, key)
+            quoted = text[last + 1 : _line_end(text, last + 1)].lstrip()[:1] in ("\"", "'", "`", "(")
+            if after or key["block"] or not quoted:
+                return after or last + 1
         config = CONFIG.match(line)
-        if config:
+        if config and config["value"] != "\\":
             value = config["value"]
-            known = self.values.get(value)
             start, end = config.span("value")
-            self.assign(config["name"], known or [(at + start, at + end, value)])
-            return
-        tokens = [(m.lastgroup, m.group(), m.start(), m.end()) for m in LEX.finditer(line)]
+            self.assign(config["name"], self.values.get(value) or [(first + start, first + end, value)])
+            return last + 1
+        tokens, end = statement(text, first)
+        self.read(tokens)
+        return end + 1
+
+    def below(self, text: str, first: int, key: re.Match) -> int:
+        """Reads what stands below a key, indented; 0 if that is no block and no single value."""
+        indent, parts, at = len(key["indent"]), [], first
+        while at < len(text):
+            last = _line_end(text, at)
+            line = text[at:last]
+            bare = line.strip()
+            inside = len(line) - len(line.lstrip()) > indent
+            if bare and not inside or not bare and not key["block"]:
+                break
+            if not key["block"]:
+                value = VALUE_ALONE.match(line)
+                if not value or value["value"].endswith(":"):
+                    return 0
+                start, end = value.span("value")
+                self.assign(key["name"], [(at + start, at + end, value["value"])])
+                return last + 1
+            if bare:
+                start = at + line.index(bare)
+                parts.append((start, start + len(bare), bare))
+            at = last + 1
+        if not parts:
+            return 0
+        self.assign(key["name"], parts)
+        return at
+
+    def read(self, tokens: list[tuple]) -> None:
+        """Reads all assignments among the tokens of a statement."""
         i = 0
         while i < len(tokens):
-            kind, said, _, _ = tokens[i]
+            kind, said = tokens[i][:2]
             if kind not in ("name", "string"):
                 i += 1
                 continue
-            name = said[1:-1] if kind == "string" else said
             j = i + 1
             while j < len(tokens) and tokens[j][1] == "]":
                 j += 1
@@ -182,53 +233,102 @@ class Reader:
             if j >= len(tokens) or tokens[j][0] != "assign":
                 i += 1
                 continue
-            parts, after = self.value(tokens, j + 1, at)
+            parts, after = self.value(tokens, j + 1)
             if parts:
-                self.assign(name, parts, more=tokens[j][1] == "+=")
+                self.assign(said, parts, more=tokens[j][1] == "+=")
                 i = after
             else:
-                self.values.pop(name, None)
+                self.values.pop(said, None)
                 i = j + 1
 
-    def value(self, tokens: list[tuple], i: int, at: int) -> tuple[list, int]:
-        """Literals and known names joined with ``+``; nothing where anything else takes part."""
+    def value(self, tokens: list[tuple], i: int) -> tuple[list, int]:
+        """Literals and known names, joined or side by side; nothing where anything else takes part."""
         parts: list[tuple[int, int, str]] = []
+        opened = 0
+        while i < len(tokens) and tokens[i][1] == "(":
+            opened, i = opened + 1, i + 1
         while i < len(tokens):
-            kind, said, start, end = tokens[i]
-            following = tokens[i + 1][1] if i + 1 < len(tokens) else ""
-            if kind == "name" and len(said) <= 2 and i + 1 < len(tokens) and (
-                tokens[i + 1][0] == "string" and tokens[i + 1][2] == end
-            ):
+            kind, said, start, end, _ = tokens[i]
+            following = tokens[i + 1] if i + 1 < len(tokens) else ("", "", -1, -1, -1)
+            if kind == "name" and len(said) <= 2 and following[0] == "string" and following[4] == end:
                 i += 1  # a string prefix
                 continue
             if kind == "string":
-                parts.append((at + start + 1, at + end - 1, said[1:-1]))
-            elif kind == "name" and said in self.values and following not in ("(", "["):
+                parts.append((start, end, said))
+            elif kind == "name" and said in self.values and following[1] not in ("(", "["):
                 parts += self.values[said]
             else:
                 return [], i
             i += 1
-            if i >= len(tokens) or tokens[i][0] != "join":
+            while i < len(tokens) and opened and tokens[i][1] == ")":
+                opened, i = opened - 1, i + 1
+            if i < len(tokens) and tokens[i][0] == "join":
+                i += 1
+            elif not (kind == "string" and i < len(tokens) and tokens[i][0] == "string") or (
+                i + 1 < len(tokens) and tokens[i + 1][0] == "assign"
+            ):
                 break
-            i += 1
         return parts, i
 
 
+def _line_end(text: str, at: int) -> int:
+    end = text.find("\n", at)
+    return len(text) if end < 0 else end
+
+
+def statement(text: str, first: int) -> tuple[list[tuple], int]:
+    """The tokens (kind, said, start, end, outer start) of the statement that begins at ``first``,
+    and the end of its last line. A string's start and end are those of what it says."""
+    tokens: list[tuple] = []
+    at, stop = first, _line_end(text, first)
+    depth, assigned = 0, False
+    closed: dict[str, int] = {}
+    while True:
+        while at < stop and (m := LEX.search(text, at, stop)):
+            kind, said = m.lastgroup, m.group()
+            at = m.end()
+            if kind == "open":
+                # Where a sign does not close any more is looked for once.
+                end = -1 if closed.get(said) == -1 else text.find(said, at)
+                closed[said] = end
+                if end < 0 or "\n\n" in text[at:end]:
+                    tokens.append(("mark", said, m.start(), at, m.start()))
+                    continue
+                tokens.append(("string", text[at:end], at, end, m.start()))
+                at = end + len(said)
+                stop = max(stop, _line_end(text, at))
+            elif kind == "string":
+                tokens.append((kind, said[1:-1], m.start() + 1, at - 1, m.start()))
+            elif kind == "mark" and said == "\\" and at == stop:
+                break
+            else:
+                assigned |= kind == "assign"
+                if assigned and kind == "mark":
+                    depth += (said in "([{") - (said in ")]}")
+                tokens.append((kind, said, m.start(), at, m.start()))
+        following = text[stop + 1 : _line_end(text, stop + 1)].strip() if stop < len(text) else ""
+        goes_on = (
+            depth > 0
+            or bool(tokens) and tokens[-1][0] in ("assign", "join")
+            or text[stop - 1 : stop] == "\\"
+            or following[:1] == "+" and following[:2] != "+="
+            or following[:2] == ".."
+        )
+        if not following or not goes_on:
+            return tokens, stop
+        at, stop = stop + 1, _line_end(text, stop + 1)
+
+
 def literal_spans(text: str) -> list[tuple]:
     """Literals that reach a sensitive name."""
     reader = Reader()
     start = 0
-    size = len(text)
-    while start < size:
+    while start < len(text):
         equals, colon = text.find("=", start), text.find(":", start)
         mark = min((x for x in (equals, colon) if x >= 0), default=-1)
         if mark < 0:
             break
-        first = text.rfind("\n", start, mark) + 1 or start
-        last = text.find("\n", mark)
-        last = size if last < 0 else last
-        reader.line(text[first:last], first)
-        start = last + 1
+        start = reader.lines(text, text.rfind("\n", start, mark) + 1 or start)
     return list(reader.findings.values())
 
 
