@@ -129,8 +129,13 @@ def test_contamination_equals_brute_force(spark, tested, monkeypatch):
     rows, items = tested
     docs = documents(spark, rows)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    for block_words in (1 << 20, 60):
-        monkeypatch.setattr(decontamination, "BLOCK_WORDS", block_words)
+    sizes, real = [], decontamination.block_of
+    monkeypatch.setattr(
+        decontamination, "block_of", lambda names, texts: sizes.append(len(names)) or real(names, texts)
+    )
+    results = []
+    for block_bytes in (1 << 20, 1200):
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)
         out = decontamination.decontaminated(docs, benchmark, into="r").select("text", "r.*").collect()
         assert len(out) == len(rows)
         for r in out:
@@ -142,6 +147,10 @@ def test_contamination_equals_brute_force(spark, tested, monkeypatch):
                 a, b, n = r.longest_item_word, r.longest_doc_word, r.longest_words
                 assert own[a : a + n] == words[b : b + n] and n >= min(13, len(own))
                 assert a + n == len(own) or b + n == len(words) or own[a + n] != words[b + n]
+        results.append(sorted(map(repr, out)))
+    # One block with all items, then several, each with some of them; the same to the last field.
+    assert results[0] == results[1]
+    assert len(sizes) >= 4 and max(sizes[1:]) < sizes[0] == sum(sizes[1:])
     kept = decontamination.clean(docs.withColumn("contamination", F.lit(1)), benchmark)
     assert kept.count() == sum(not contamination(r[1], items)[4] for r in rows)
     assert decontamination.clean(docs, benchmark.limit(0)).count() == len(rows)
