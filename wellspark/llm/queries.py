@@ -254,7 +254,95 @@ def _clusters_sql() -> str:
     """
 
 
+def _quotations_sql() -> str:
+    """Quotes parsed by lines, runs as islands of lines of one level, threads by recursion."""
+    answered = "case when {t} % 5 = 4 then {t} - 3 else {t} - 1 end"
+    normal = r"trim(regexp_replace(lower({x}), '\s+', ' ', 'g'))"
+    units = r"""
+        select distinct {keys}, u as unit from (
+            select {keys}, unnest(list_concat([text], string_split_regex(text, '\n[ \t\r]*\n'),
+                string_split(text, chr(10)))) as raw from {table}
+        ), lateral (select {normal} as u) where u <> ''"""
+    return rf"""
+        with recursive said as (
+            select conv_id, turn, min(role) as q_role, min(text) as q_text from conversations
+            where conv_id is not null and turn is not null group by conv_id, turn
+        ), mails as (
+            select distinct c.conv_id, c.turn, c.role, coalesce('On turn ' || u.turn || ' ' || u.q_role
+                || ' wrote:' || chr(10) || '> ' || replace(u.q_text, chr(10), chr(10) || '> ')
+                || coalesce(chr(10) || '>> ' || split_part(o.q_text, chr(10), 1), '') || chr(10), '')
+                || c.text as raw
+            from conversations as c
+            left join said as u on u.conv_id = c.conv_id and u.turn = {answered.format(t='c.turn')}
+            left join said as o on o.conv_id = u.conv_id and o.turn = {answered.format(t='u.turn')}
+        ), messages as materialized (
+            select row_number() over () as m, * from mails
+        ), lines as (
+            select m, unnest(string_split(raw, chr(10))) as line,
+                generate_subscripts(string_split(raw, chr(10)), 1) as i
+            from messages
+        ), deep as (
+            select *, length(regexp_replace(regexp_extract(line, '{quotations.MARKS}', 0), '[^>]', '', 'g')) as depth
+            from lines
+        ), levels as (
+            select m, i, case when depth = 0 then line
+                    else regexp_replace(line, '{quotations.MARKS} ?', '') end as said,
+                case when depth = 0 and coalesce(lead(depth) over (partition by m order by i), 0) > 0
+                    and regexp_matches(line, '{quotations.HEADER}') then -1 else depth end as level
+            from deep
+        ), marked as (
+            select *, level is distinct from lag(level) over (partition by m order by i) as fresh from levels
+        ), islands as (
+            select *, sum(fresh::int) over (partition by m order by i) as run from marked
+        ), runs as (
+            select m, run, any_value(level) as level, string_agg(said, chr(10) order by i) as text
+            from islands group by m, run
+        ), own as materialized (
+            select messages.m, conv_id, turn, role, raw, case when raw is not null then
+                regexp_replace(regexp_replace(coalesce(said, ''), '^(?:[ 	]*
+)+', ''), '\s+$', '') end as text
+            from messages left join (
+                select m, string_agg(text, chr(10) order by run) as said from runs where level = 0 group by m
+            ) using (m)
+        ), passages as materialized (
+            select m, conv_id, turn, level, runs.text, row_number() over (partition by m order by run) - 1 as place
+            from runs join own using (m) where level > 0 and {normal.format(x='runs.text')} <> ''
+        ), firsts as (
+            select conv_id, unit, min(turn) as original from ({units.format(
+                keys='conv_id, turn', table='own', normal=normal.format(x='raw'))})
+            where conv_id is not null and turn is not null group by conv_id, unit
+        ), linked as (
+            select m, place, level, arg_max(original, (length(unit), -original)) as original
+            from ({units.format(keys='m, conv_id, turn, place, level', table='passages', normal=normal.format(x='raw'))})
+            join firsts using (conv_id, unit)
+            where original < turn group by m, place, level
+        ), links as materialized (
+            select m, count(*) as n_linked, arg_min(original, (level, place)) as parent_turn from linked group by m
+        ), replies as materialized (
+            select conv_id, turn, min(parent_turn) as up from links join own using (m) group by conv_id, turn
+        ), climbed as (
+            select conv_id, turn, up from replies
+            union all
+            select climbed.conv_id, climbed.turn, replies.up from climbed
+            join replies on replies.conv_id = climbed.conv_id and replies.turn = climbed.up
+        ), threads as (
+            select conv_id, turn, min(up) as thread_turn from climbed group by conv_id, turn
+        ), known as (
+            select own.*, coalesce(n_quotes, 0) as n_quotes, coalesce(n_linked, 0) as n_linked, parent_turn,
+                case when own.conv_id is not null then coalesce(thread_turn, own.turn) end as thread_turn
+            from own left join (select m, count(*)::int as n_quotes from passages group by m) using (m)
+            left join links using (m)
+            left join threads on threads.conv_id = own.conv_id and threads.turn = own.turn
+        )
+        select conv_id, turn, role, text, n_quotes, n_linked, parent_turn, thread_turn,
+            case when conv_id is not null and turn is not null then row_number() over (partition by conv_id
+                order by turn is null, thread_turn, turn, role nulls first, text nulls first, raw) - 1 end as position
+        from known
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op1_quotation_linking": _quotations_sql(),
     "op13_zone_clusters": _clusters_sql(),
     "op2_site_line_frequency": rf"""
         with shown as (
