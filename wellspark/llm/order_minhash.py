@@ -5,12 +5,16 @@ Words are lower-cased runs of letters and digits. A text's k-mers are its shingl
 functions the few k-mers of least hash are taken and put back into the order in which they stand
 in the text; the hash of that sequence is a band. Texts that share a band are candidates: each is
 compared with the band's least text first, so a band of n texts gives n - 1 pairs. Where that
-leaves a band in several classes, every two of its texts from different classes are compared too:
-in blocks, by counts of their words, which bound the alignment from below, and those that the
-bound lets pass by the alignment. Taking two numbers of k-mers for each hash function keeps a
-passage that very many texts share from being the only thing that they are grouped by. A pair is
-a link if its banded alignment on words needs at most (1 - SIMILARITY) * (words of the longer)
-edits. Links are followed to classes.
+leaves a band of up to CROWD texts in several classes, every two of its texts from different
+classes are compared too: in blocks, by their words as bags, which bound the alignment from
+below, and those that the bound lets pass by the alignment. So a text meets CROWD others of a
+band at most, and work grows with the number of texts. Texts of an open band larger than that get
+finer bands of more k-mers by other hash functions (FINER), which part texts that share a passage
+and keep together those alike, and the same is done with these. What is larger even in the finest
+bands, and still open, is compared in full.
+
+A pair is a link if its banded alignment on words needs at most (1 - SIMILARITY) * (words of the
+longer) edits. Links are followed to classes.
 
 Copies are not compared at all: texts are keyed by their md5, each distinct text is handled once,
 and its copies join its class by key. Pairs that earlier links have already put into one class
@@ -23,6 +27,8 @@ id of the class, null if it has none. An empty table gives no rows. Other column
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -43,10 +49,17 @@ TABLES = 16
 KEPT = (2, 4)
 #: Bits that tell texts with candidates from others before their words are read again.
 FILTER_BITS = 1 << 23
+#: Hash functions and k-mers of the finer bands, level by level: pairs of similarity 0.8 share
+#: none of a level 1 to 14 times in 100,000.
+FINER = ((16, 3), (24, 5), (48, 8))
 #: Texts of a band that are compared with each other, or with as many others, in one task.
 BLOCK = 1024
+#: Texts of a band of which all are compared that are not in one class yet.
+CROWD = 2048
 #: Counts of words by hash that a text is first compared by; they stop at 255.
 BINS = 128
+#: Words of a text of which all are compared before the alignment; longer texts have counts only.
+BAG_WORDS = 4096
 
 SIGNATURE = T.StructType([T.StructField("bands", T.ArrayType(T.LongType()))])
 
@@ -81,18 +94,24 @@ def kmers(hashed: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return shingles, W.mixed(shingles + occurrence * W.STEP), begin
 
 
-def bands(texts: pa.Array) -> list[pa.Array]:
-    """For each text one band for each hash function and number of k-mers; none without words."""
+def bands(
+    texts: pa.Array, tables: int = TABLES, keeps: tuple[int, ...] = KEPT, level: int = 0
+) -> list[pa.Array]:
+    """For each text one band for each hash function and number of k-mers; none without words.
+
+    Every level has hash functions of its own.
+    """
     hashed, first = word_hashes(texts)
     shingles, labelled, begin = kmers(hashed, first)
     filled = np.flatnonzero(np.diff(begin))
     starts, sizes = begin[:-1][filled], np.diff(begin)[filled]
-    found = np.zeros((len(filled), TABLES * len(KEPT)), dtype=np.uint64)
+    found = np.zeros((len(filled), tables * len(keeps)), dtype=np.uint64)
     none = np.iinfo(np.uint64).max
-    for table in range(TABLES if len(filled) else 0):
-        rank = W.mixed(labelled ^ W.mixed(np.full(1, table + 1, dtype=np.uint64)))
-        picked = np.full((len(filled), max(KEPT)), len(rank), dtype=np.int64)
-        for i in range(max(KEPT)):
+    for table in range(tables if len(filled) else 0):
+        name = 1000 * level + table + 1
+        rank = W.mixed(labelled ^ W.mixed(np.full(1, name, dtype=np.uint64)))
+        picked = np.full((len(filled), max(keeps)), len(rank), dtype=np.int64)
+        for i in range(max(keeps)):
             least = np.minimum.reduceat(rank, starts)
             hit = np.flatnonzero(rank == np.repeat(least, sizes))
             text = np.searchsorted(starts, hit, "right") - 1
@@ -102,13 +121,13 @@ def bands(texts: pa.Array) -> list[pa.Array]:
             picked[text, i] = hit
             rank[hit] = none
         said = np.append(shingles, np.uint64(0))
-        for k, kept in enumerate(KEPT):
+        for k, kept in enumerate(keeps):
             inorder = np.sort(picked[:, :kept], axis=1)
-            band = np.full(len(filled), table * len(KEPT) + k + 1, dtype=np.uint64)
+            band = np.full(len(filled), name * len(keeps) + k - len(keeps) + 1, dtype=np.uint64)
             for i in range(kept):
                 band = W.mixed(band * W.STEP + said[inorder[:, i]])
-            found[:, table * len(KEPT) + k] = band
-    width = TABLES * len(KEPT)
+            found[:, table * len(keeps) + k] = band
+    width = tables * len(keeps)
     borders = np.zeros(len(texts) + 1, dtype=np.int32)
     borders[filled + 1] = width
     values = pa.array(found.ravel().view(np.int64))
@@ -186,9 +205,22 @@ def alike(a: bytes, b: bytes, similarity: float) -> bool:
 
 def shared_bands(texts: DataFrame) -> DataFrame:
     """(band, node, b): the texts of each band that several have, and the least of them."""
-    signed = with_result(texts, "s", SIGNATURE, bands, keep=["node"])
-    each = signed.groupBy("node").agg(F.first("s.bands").alias("bands"))
-    rows = stored(each.select("node", F.explode("bands").alias("band")), "bands")
+    each = with_result(texts, "s", SIGNATURE, bands, keep=["node"])
+    return _shared(each.groupBy("node").agg(F.first("s.bands").alias("bands")))
+
+
+def finer_bands(texts: DataFrame, nodes: DataFrame, tables: int, kept: int, level: int) -> DataFrame:
+    """As ``shared_bands``, for the texts in ``nodes`` and the bands of a level of FINER."""
+
+    def signed(some: pa.Array) -> pa.Array:
+        return bands(some, tables, (kept,), level)[0]
+
+    each = made_of(texts, nodes, signed, "array<bigint>", "bands")
+    return _shared(each.join(nodes, "node", "left_semi"))
+
+
+def _shared(signed: DataFrame) -> DataFrame:
+    rows = stored(signed.select("node", F.explode("bands").alias("band")), "bands")
     hubs = (
         rows.groupBy("band")
         .agg(F.min("node").alias("b"), F.count("*").alias("n"))
@@ -208,27 +240,33 @@ def candidates(shared: DataFrame) -> DataFrame:
     )
 
 
-def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, words) of the texts in ``pairs``, each once.
+def made_of(
+    texts: DataFrame, nodes: DataFrame, make: Callable[[pa.Array], pa.Array], kind: str, column: str
+) -> DataFrame:
+    """(node, column): what ``make`` gives for the texts in ``nodes``, each text once.
 
-    A bitmap of fixed size keeps most other texts from being sent; it may let some pass.
+    A bitmap of fixed size keeps most other texts from being read; it may let some pass.
     """
-    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    context = texts.sparkSession.sparkContext
-    sent = context.broadcast(bitmap(ends.select(bit.alias("bit")), "bit", FILTER_BITS))
+    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).alias("bit")
+    sent = texts.sparkSession.sparkContext.broadcast(bitmap(nodes.select(bit), "bit", FILTER_BITS))
 
     def some(batches):
         for batch in batches:
             batch = batch.filter(pa.array(in_bitmap(sent.value, batch.column(2).to_numpy())))
             said = pa.compute.fill_null(batch.column(1), "")
             for first, last in pieces(said):
-                packed = packed_words(said.slice(first, last - first))
+                made = make(said.slice(first, last - first))
                 node = batch.column(0).slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([node, pa.array(packed, pa.binary())], ["node", "words"])
+                yield pa.RecordBatch.from_arrays([node, made], ["node", column])
+
+    made = texts.select("node", "text", bit).mapInArrow(some, f"node binary, {column} {kind}")
+    return made.groupBy("node").agg(F.first(column).alias(column))
 
-    packed = texts.select("node", "text", bit.alias("bit")).mapInArrow(some, "node binary, words binary")
-    return packed.groupBy("node").agg(F.first("words").alias("words"))
+
+def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, words) of the texts in ``pairs``, each once."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    return made_of(texts, ends, lambda said: pa.array(packed_words(said), pa.binary()), "binary", "words")
 
 
 def links(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
@@ -252,26 +290,64 @@ def word_bins(words: bytes) -> bytes:
     return np.minimum(np.bincount(hashed % BINS, minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
-def may_be_alike(n: np.ndarray, bins: np.ndarray, i: int, js: np.ndarray, similarity: float) -> np.ndarray:
-    """Those of ``js`` that counts of words do not prove to be unlike text ``i``.
-
-    An edit takes at most one word out of a bin and puts at most one into another, so there are
-    at least as many edits as there are words too many, or words too few.
-    """
-    limit = ((1 - similarity) * np.maximum(n[js], n[i]) + 1e-9).astype(np.int64)
-    more = (np.maximum(bins[js], bins[i]) - bins[i]).sum(axis=1, dtype=np.int64)
-    less = (np.maximum(bins[js], bins[i]) - bins[js]).sum(axis=1, dtype=np.int64)
-    return js[(np.maximum(more, less) <= limit) & (np.abs(n[js] - n[i]) <= limit)]
+def word_bag(words: bytes) -> bytes:
+    """The packed words as 16-bit numbers, each with its occurrence in the text mixed in, so that
+    equal words are told apart; empty for more than BAG_WORDS."""
+    hashed = np.frombuffer(words, dtype=np.uint32)
+    if len(hashed) > BAG_WORDS:
+        return b""
+    order = np.argsort(hashed, kind="stable")
+    ranked = hashed[order]
+    since = np.arange(len(ranked))
+    fresh = np.ones(len(ranked), dtype=bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    occurrence = since - np.maximum.accumulate(np.where(fresh, since, 0))
+    labelled = W.mixed(ranked.astype(np.uint64) + occurrence.astype(np.uint64) * W.STEP)
+    return (labelled >> np.uint64(48)).astype(np.uint16).tobytes()
+
+
+class Texts:
+    """What a block of texts is compared by before any alignment."""
+
+    def __init__(self, n: np.ndarray, bins: list[bytes], bags: list[bytes]):
+        self.n = n
+        self.bins = np.frombuffer(b"".join(bins), dtype=np.uint8).reshape(-1, BINS)
+        self.bags = [np.frombuffer(b, dtype=np.uint16) for b in bags]
+        self.held = np.zeros(1 << 16, dtype=bool)
+
+    def may_be_alike(self, i: int, js: np.ndarray, similarity: float) -> np.ndarray:
+        """Those of ``js`` that their words do not prove to be unlike text ``i``.
+
+        There are at least as many edits as there are words too many, or words too few.
+        """
+        n, bins = self.n, self.bins
+        limit = ((1 - similarity) * np.maximum(n[js], n[i]) + 1e-9).astype(np.int64)
+        close = np.abs(n[js] - n[i]) <= limit
+        js, limit = js[close], limit[close]
+        # Counts by bins call for fewer edits than the bags do, and are looked at first.
+        most = np.maximum(bins[js], bins[i])
+        more = (most - bins[i]).sum(axis=1, dtype=np.int64)
+        less = (most - bins[js]).sum(axis=1, dtype=np.int64)
+        close = np.maximum(more, less) <= limit
+        js, limit = js[close], limit[close]
+        if not len(js) or not len(self.bags[i]):
+            return js
+        self.held[self.bags[i]] = True
+        common = np.array([np.count_nonzero(self.held[self.bags[j]]) for j in js.tolist()])
+        self.held[self.bags[i]] = False
+        # Words of j that i has; more of them by chance, as numbers have 16 bits, only let pass.
+        full = np.array([len(self.bags[j]) > 0 for j in js.tolist()])
+        return js[~full | (np.maximum(self.n[js], self.n[i]) - common <= limit)]
 
 
 def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """(a, b): texts of one band and of different classes that may be alike, every such pair.
 
     A band's classes are dealt out to blocks, a large class to blocks of its own, and each two
-    blocks meet in a row of their own, but for those of one large class.
+    blocks meet in a row of their own, but for those of one large class. A pair is made in the
+    least of the bands that both texts are in.
     """
-    root = F.coalesce("root", "node")
-    members = stored(shared.join(roots, "node", "left").select("band", "node", root.alias("root")), "members")
+    members = with_roots(shared, roots)
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("m"))
     small = F.sum(F.when(F.col("m") <= BLOCK, F.col("m")).otherwise(0))
     open_bands = sizes.groupBy("band").agg(F.count("*").alias("c"), small.alias("small")).where("c > 1")
@@ -291,47 +367,58 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
         .select("band", "node", "root", "alone", F.coalesce(block, F.xxhash64("root", within)).alias("block"))
     )
     placed = stored(placed, "placed")
-    said = placed.select("node").distinct().join(words, "node").select("node", "words")
+    # A text has as many bands as there are hash functions and numbers of k-mers, at most.
+    own = placed.groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bands"))
+    said = own.join(words, "node").select("node", "words", "bands")
 
-    def binned(batches):
+    def bagged(batches):
         for batch in batches:
             packed = batch.column(1).to_pylist()
             n = pa.array([len(w) // 4 for w in packed], pa.int64())
             bins = pa.array([word_bins(w) for w in packed], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, bins], ["node", "n", "bins"])
+            bags = pa.array([word_bag(w) for w in packed], pa.binary())
+            columns = [batch.column(0), batch.column(2), n, bins, bags]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "bands", "n", "bins", "bag"])
 
-    bins = said.mapInArrow(binned, "node binary, n long, bins binary")
+    bags = said.mapInArrow(bagged, "node binary, bands array<bigint>, n long, bins binary, bag binary")
     each = placed.groupBy("band", "block").agg(F.first("alone").alias("alone"))
     one = each.select("band", F.col("block").alias("i"), F.col("alone").alias("alone_i"))
     two = each.select("band", F.col("block").alias("j"), F.col("alone").alias("alone_j"))
     meet = one.join(two, "band").where("i <= j and (alone_i = alone_j) is not true").select("band", "i", "j")
     ends = F.array_distinct(F.array("i", "j"))
     meet = meet.select("band", "i", "j", F.explode(ends).alias("block"))
+    # First who meets where, then once the words.
     both = (
-        placed.join(bins, "node")
-        .join(meet, ["band", "block"])
+        placed.join(meet, ["band", "block"])
+        .select("band", "i", "j", "block", "node", "root")
+        .join(bags, "node")
         .groupBy("band", "i", "j")
-        .agg(F.collect_list(F.struct("block", "node", "root", "n", "bins")).alias("texts"))
-        .select("i", "j", "texts")
+        .agg(F.collect_list(F.struct("block", "node", "root", "bands", "n", "bins", "bag")).alias("texts"))
+        .select("i", "j", "texts", "band")
     )
 
     def passing(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                texts = batch.column(2)[row].values
-                block = texts.field("block").to_numpy()
-                node, root = texts.field("node"), texts.field("root").to_pylist()
-                n = texts.field("n").to_numpy()
-                bins = np.frombuffer(b"".join(texts.field("bins").to_pylist()), dtype=np.uint8)
-                bins = bins.reshape(-1, BINS)
+                given = batch.column(2)[row].values
+                block = given.field("block").to_numpy()
+                node, root = given.field("node"), given.field("root").to_pylist()
+                texts = Texts(
+                    given.field("n").to_numpy(), given.field("bins").to_pylist(), given.field("bag").to_pylist()
+                )
                 known: dict[bytes, int] = {}
                 root = np.array([known.setdefault(r, len(known)) for r in root])
+                bands = given.field("bands").to_pylist()
+                band = batch.column(3)[row].as_py()
                 i, j = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
                 a, b = [], []
                 for x in left.tolist():
                     js = right[right > x] if i == j else right
-                    js = may_be_alike(n, bins, x, js[root[js] != root[x]], similarity)
+                    js = texts.may_be_alike(x, js[root[js] != root[x]], similarity)
+                    # In the bands before this one, either text is without the other.
+                    before = {other for other in bands[x] if other < band}
+                    js = np.array([y for y in js.tolist() if before.isdisjoint(bands[y])], dtype=np.int64)
                     a.append(np.full(len(js), x))
                     b.append(js)
                 a, b = np.concatenate(a or [left]), np.concatenate(b or [left])
@@ -343,38 +430,74 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
     return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def rooted(texts: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of the texts that are like another text, but for the roots themselves."""
-    shared = stored(shared_bands(texts), "shared")
-    pairs = stored(candidates(shared), "pairs")
-    words = stored(words_of(texts, pairs), "words")
-    # First the pairs that share most bands, one for each text; then those still apart.
-    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-    sure = stored(links(best, words, similarity), "links")
-    roots = components(sure)
+def with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, node, root): the texts of the bands and the classes that they are in so far."""
+    root = F.coalesce("root", "node")
+    return stored(shared.join(roots, "node", "left").select("band", "node", root.alias("root")), "members")
+
+
+def by_size(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The open bands of up to CROWD texts, and the larger ones (both as ``shared``)."""
+    members = with_roots(shared, roots)
+    # The number of texts, and whether they are of one class: no list of either.
+    size = (
+        members.groupBy("band")
+        .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low <> high")
+        .select(F.bitwise_not("band").alias("key"), "n")
+    )
+    sized = stored(
+        shared.withColumn("key", F.bitwise_not("band")).join(size, "key").select("band", "node", "b", "n"), "open"
+    )
+    few = F.col("n") <= CROWD
+    return sized.where(few).drop("n"), sized.where(~few).drop("n")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different classes so far."""
     of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = (
+    return (
         pairs.join(of_a, "a", "left")
         .join(of_b, "b", "left")
         .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        .join(best, ["a", "b"], "left_anti")
+        .select("a", "b", "n")
     )
-    more = sure.unionByName(stored(links(apart, words, similarity), "links"))
-    roots = components(more)
-    rest = stored(links(across(shared, roots, words, similarity), words, similarity), "links")
-    return roots if rest.isEmpty() else components(more.unionByName(rest))
 
 
-def classes(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
-) -> DataFrame:
-    """One row for each document: doc_id, node (its text's key), class_id (the lowest doc_id of
-    its class) and keeper (the key of that document's text)."""
+def rooted(texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of the texts that are like another text, but for the roots themselves."""
+    shared = stored(shared_bands(texts), "shared")
+    pairs = stored(candidates(shared), "pairs")
+    words = stored(words_of(texts, pairs), "words")
+    # First the pairs that share most bands, one for each text; then those still apart.
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    found = stored(links(best, words, similarity), "links")
+    roots = components(found)
+    apart = _apart(pairs, roots).join(best, ["a", "b"], "left_anti")
+    found = found.unionByName(stored(links(apart, words, similarity), "links"))
+    for level, (tables, kept) in enumerate((*FINER, (0, 0)), start=1):
+        roots = components(found)
+        few, crowds = by_size(shared, roots)
+        if not kept:
+            few = few.unionByName(crowds)
+        rest = stored(links(across(few, roots, words, similarity), words, similarity), "links")
+        found = found.unionByName(rest)
+        if not kept or crowds.isEmpty():
+            return components(found)
+        # Only texts of crowds go on, in finer bands, where each meets the least text again.
+        crowded = stored(crowds.select("node").distinct(), "crowded")
+        shared = stored(finer_bands(texts, crowded, tables, kept, level), "shared")
+        apart = _apart(candidates(shared), components(found))
+        found = found.unionByName(stored(links(apart, words, similarity), "links"))
+    raise AssertionError("the last level returns")
+
+
+def _text_classes(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
+    """(node, class_id, keeper) of each different text, however many copies it has."""
     texts = docs.select(node_of(named(text)).alias("node"), named(text).cast("string").alias("text"))
     roots = rooted(texts, similarity)
     ids = docs.select(named(doc_id).alias("doc_id"), node_of(named(text)).alias("node"))
-    # One row for each distinct text, however many copies it has.
     least = ids.groupBy("node").agg(F.min("doc_id").alias("low"))
     of_text = stored(
         least.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root")),
@@ -386,7 +509,23 @@ def classes(
     )
     of_class = of_class.select(F.hex("root").alias("key"), "class_id", "keeper")
     names = of_text.withColumn("key", F.hex("root")).join(of_class, "key")
-    names = names.select("node", "class_id", "keeper")
+    return names.select("node", "class_id", "keeper")
+
+
+def keepers(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+) -> DataFrame:
+    """(node, keeper) for each different text: its key, and that of the text its class keeps."""
+    return stored(_text_classes(docs, doc_id, text, similarity).select("node", "keeper"), "keepers")
+
+
+def classes(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+) -> DataFrame:
+    """One row for each document: doc_id, node (its text's key), class_id (the lowest doc_id of
+    its class) and keeper (the key of that document's text)."""
+    names = _text_classes(docs, doc_id, text, similarity)
+    ids = docs.select(named(doc_id).alias("doc_id"), node_of(named(text)).alias("node"))
     return ids.join(names, "node").select("doc_id", "node", "class_id", "keeper")
 
 
@@ -398,13 +537,18 @@ def one_of_each(
     kept = (
         found.where(F.col("node") == F.col("keeper"))
         .where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-        .groupBy(F.col("doc_id").alias("__doc_id"), F.col("node").alias("__node"))
-        .agg(F.lit(1).alias("__one"))
+        .groupBy(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"))
+        .agg(F.lit(1).alias("one"))
+    )
+    # The whole row as one column, so that no name of its columns can be taken.
+    whole = docs.select(
+        F.struct(*[named(c) for c in docs.columns]).alias("row"),
+        named(doc_id).alias("row_id"),
+        node_of(named(text)).alias("row_node"),
     )
-    same = named(doc_id).eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__node"))
+    same = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_node") == F.col("kept_node"))
     return (
-        docs.withColumn("__key", node_of(named(text)))
-        .join(kept, same)
-        .dropDuplicates(["__doc_id", "__node"])
-        .select(*[named(c) for c in docs.columns])
+        whole.join(kept, same)
+        .dropDuplicates(["kept_id", "kept_node"])
+        .select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
     )
