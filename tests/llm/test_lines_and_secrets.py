@@ -50,6 +50,18 @@ def test_lines_equal_brute_force(spark):
     assert boilerplate.without_boilerplate(docs.limit(0)).count() == 0
 
 
+def test_lines_where_columns_have_any_names(spark):
+    rng = random.Random(5)
+    docs = documents(spark, awkward(rng))
+    names = ["__host", "__keys", "keys", "site", "row", "said", "at", "dropped", "page", "node", "keeper", "n", "pages"]
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    out = boilerplate.without_boilerplate(docs, host="source", counts=("n", "n_dropped"))
+    assert out.columns == [*docs.columns, "n_dropped"]
+    assert out.count() == docs.count()
+    assert all(r[name] == name for r in out.collect() for name in names if name != "n")
+
+
 def test_hosts_and_html(spark):
     rows = [
         ("https://u:p@WWW.Example.com:80/a?b", "<p>a<b>b</b> c</p><script>x\n</script><!-- n --><div>1 &lt; 2</div>"),
@@ -77,7 +89,32 @@ LITERALS = [
     ("note: this is prose about a key", []),
     ("const PART='Ab3$dE6&'; const token = PART + \"gh9(jK\";", ["Ab3$dE6&", "gh9(jK"]),
     ('a = "Ab3$dE6&xx"\na = 5\nsecret = a\n', []),
-    ('key = b"\\x00\\x8f\\x31zz"', ["\\x00\\x8f\\x31zz"]),
+    ('signing_key = b"\\x00\\x8f\\x31zz"', ["\\x00\\x8f\\x31zz"]),
+    # Over several lines.
+    ('password = (\n    "hunter2-"\n    "Zq81x9!k"\n)\nuser = "bob-the-builder"', ["hunter2-", "Zq81x9!k"]),
+    ('password = \\\n    "hunter2-Zq81"\n', ["hunter2-Zq81"]),
+    ('const token = "Zx81-Yy72"\n  + "-Qw63-Rt54";\n', ["Zx81-Yy72", "-Qw63-Rt54"]),
+    ('token = "Zx81-Yy72" +\n  "-Qw63"\nother = "+"', ["Zx81-Yy72", "-Qw63"]),
+    ('password = """S3cr3tV4lueXyz9"""', ["S3cr3tV4lueXyz9"]),
+    ("secret = '''\nS3cr3tV4lueXyz9\n'''\n", ["\nS3cr3tV4lueXyz9\n"]),
+    ("let apiKey = `ab12cd34\nef56gh78`;", []),
+    ("let apiKey = `ab12cd34-ef56gh78`;", ["ab12cd34-ef56gh78"]),
+    ("db:\n  password:\n    hunter2-Zq81xx\n  port: 5432\n", ["hunter2-Zq81xx"]),
+    ('db:\n  password:\n    "hunter2-Zq81xx"\n', ["hunter2-Zq81xx"]),
+    ("private_key: |\n  MIIEvQIBADANBgkq\n  hkiG9w0BAQEFAASC\nname: x\n", ["MIIEvQIBADANBgkq", "hkiG9w0BAQEFAASC"]),
+    ('{\n  "user": "bob-the-builder",\n  "apiKey":\n    "ab12cd34ef56gh78",\n  "n": 1\n}', ["ab12cd34ef56gh78"]),
+    ('connect(\n  host="example.org",\n  passwd="S3cr3t!pw9",\n)', ["S3cr3t!pw9"]),
+    ('A = (\n "Ab3$dE6&"\n)\nsecret = A + "gh9(jK"\n', ["Ab3$dE6&", "gh9(jK"]),
+    # A blank line ends what is open; names and prose that are none of these.
+    ('note: (see\n\npassword = "hunter2-Zq81xx"\n', ["hunter2-Zq81xx"]),
+    ('primary_key = "customer_id_number"', []),
+    ("sort_key: created_at_descending", []),
+    ('keyboard = "qwertz-uiop-1234"', []),
+    ("tokens:\n  the words that a text is cut into\n", []),
+    ("password:\n\n  not-its-value-1234\n", []),
+    ('password = get(\n  "hunter2-Zq81xx"\n)', []),
+    ('description = """a password is kept\nelsewhere"""', []),
+    ("key:\n  other:\n    abcdef-123456\n", []),
 ]
 
 
@@ -87,6 +124,34 @@ def test_literals_that_reach_sensitive_names():
         assert [s for _, s in spans] == expected, text
 
 
+def test_precision_on_a_labelled_list():
+    """Of the values in LITERALS those that are secrets are found, and no other."""
+    found = missed = wrong = 0
+    for text, expected in LITERALS:
+        spans = [text[f[1] : f[2]] for f in secret_scan.literal_spans(text)]
+        found += len([s for s in spans if s in expected])
+        wrong += len([s for s in spans if s not in expected])
+        missed += len([s for s in expected if s not in spans])
+    assert found >= 30 and wrong == 0 and missed == 0
+
+
+def test_long_open_statements_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for text in (
+        "x = (" + "a = b\n" * 40_000,
+        'x: """' + '"a": 1\n' * 40_000,
+        "`" * 80_000 + "=",
+        "key:\n" * 60_000,
+        ("a = " + "'" * 3) * 20_000,
+        "x = `a\n" * 20_000 + "\n\n",
+        "k: |\n" + "  x: |\n" * 30_000,
+    ):
+        secret_scan.findings(text)
+    assert time.perf_counter() - start < 30
+
+
 def base(text):
     kinds = [
         ("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),

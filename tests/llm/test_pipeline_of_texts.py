@@ -66,6 +66,28 @@ def test_copies_of_a_text_are_no_boilerplate(spark, sf):
     assert texts[200] is None and texts[201] == copied
 
 
+def test_a_family_of_near_copies_keeps_its_lines(spark, sf):
+    """60 texts of ten lines, one line changed in each, among 300 others of one source, and a
+    line that the others share: only that one goes, and one text of the family stays whole."""
+    rng = random.Random(29)
+    shared = [prose(rng, 20).replace("\n", " ") for _ in range(10)]
+    rows = []
+    for i in range(60):
+        own = list(shared)
+        own[i % 10] = prose(rng, 20).replace("\n", " ")
+        rows.append((i, "\n".join(own), "en", "s", 1))
+    line = "a line of many texts"
+    rows += [(1000 + i, f"{prose(rng, 70)}\n{line}\n{prose(rng, 9)}", "en", "s", 1) for i in range(300)]
+    docs = stored(corpus_pipeline.lines(spark, documents(spark, rows), sf), "stage")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all(texts[i] == rows[i][1] for i in range(60))
+    assert not any(line in texts[1000 + i] for i in range(300))
+    kept = {r.doc_id: r.text for r in corpus_pipeline.near_copies(spark, docs, sf).collect()}
+    assert [i for i in kept if i < 1000] == [0] and kept[0] == rows[0][1]
+    held = {said for text in kept.values() for said in text.split("\n")}
+    assert set(shared[1:]) <= held and len(kept) == 301
+
+
 def test_run_is_the_stages(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -86,6 +108,6 @@ def test_empty_documents(spark, sf, tmp_path):
 
 def test_queries_are_named_by_operator():
     numbers = [int(q[2:].split("_")[0]) for q in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     words = LETTERS.findall(lower("A b"))
     assert order_minhash.SHINGLE == 5 and order_minhash.SIMILARITY == 0.8 and words == ["a", "b"]

@@ -7,10 +7,11 @@ splits the hot hosts' pages, whichever its sizes call for.
 
 Defined results: lines are compared without blanks, tabs and carriage returns at their ends;
 blank lines are never counted and never dropped. A page without a host, or without text, stays
-as it is. Repeated rows are pages of their own, unless ``once`` is set: then equal texts of a host
-count as one page, in a line's number of pages and in the host's alike. Dropping leaves the other lines, and their order,
-as they were; a page that is boilerplate throughout stays as an empty text. An empty table gives
-no rows. Other columns pass through; one named like the count columns asked for is replaced.
+as it is. Repeated rows are pages of their own, unless ``alike`` groups texts: then the texts of a
+group count as one page of their host, in a line's number of pages and in the host's alike.
+Dropping leaves the other lines, and their order, as they were; a page that is boilerplate
+throughout stays as an empty text. An empty table gives no rows. Other columns pass through,
+whatever their names; one named like the count columns asked for is replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wellspark.llm.order_minhash import node_of
 from wellspark.llm.rows import named, stored
 
 #: A line is boilerplate on more than this share of the host's pages, and on this many at least.
@@ -56,36 +58,34 @@ def _keys(host: Column, lines: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, host: str, text: str, ratio: float, least_pages: int, once: bool = False
+    pages: DataFrame,
+    host: str,
+    text: str,
+    ratio: float,
+    least_pages: int,
+    alike: DataFrame | None = None,
 ) -> DataFrame:
-    """For each host with boilerplate the hashes of those lines."""
-    if once:
-        # Null texts stay, as one page: they have no lines, but count among the host's pages.
-        pages = (
-            pages.groupBy(named(host), F.md5(named(text).cast("binary")).alias("__md5"))
-            .agg(F.first(named(text)).alias(text))
-            .select(named(host), named(text))
-        )
-    site = pages.where(named(host).isNotNull() & named(text).isNotNull()).select(
-        named(host).alias("__host"), F.split(named(text), "\n").alias("lines")
-    )
-    totals = (
-        pages.where(named(host).isNotNull())
-        .groupBy(named(host).alias("__host"))
-        .agg(F.count("*").alias("pages"))
-    )
-    counted = (
-        site.select("__host", F.explode(F.array_distinct(_keys(F.col("__host"), F.col("lines")))).alias("key"))
-        .where(F.col("key").isNotNull())
-        .groupBy("__host", "key")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= least_pages)
-    )
+    """(site, keys): for each host with boilerplate the hashes of those lines."""
+    here = named(host).isNotNull()
+    keys = F.array_distinct(_keys(named(host), F.split(named(text), "\n"))).alias("keys")
+    if alike is None:
+        held = pages.where(here & named(text).isNotNull()).select(named(host).alias("site"), keys)
+        lines = held.select("site", F.explode("keys").alias("key")).where(F.col("key").isNotNull())
+        totals = pages.where(here).select(named(host).alias("site"))
+    else:
+        # Hashes travel, not texts: first once for each text of a host, then with its group.
+        held = pages.where(here).select(named(host).alias("site"), node_of(named(text)).alias("node"), keys)
+        held = held.groupBy("site", "node").agg(F.first("keys").alias("keys")).join(alike, "node")
+        held = stored(held.select("site", F.col("keeper").alias("page"), "keys"), "lines")
+        lines = held.select("site", "page", F.explode("keys").alias("key"))
+        lines = lines.where(F.col("key").isNotNull()).distinct()
+        totals = held.select("site", "page").distinct()
+    counted = lines.groupBy("site", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     return (
-        counted.join(totals, "__host")
+        counted.join(totals.groupBy("site").agg(F.count("*").alias("pages")), "site")
         .where(F.col("n") > ratio * F.col("pages"))
-        .groupBy("__host")
-        .agg(F.collect_list("key").alias("__keys"))
+        .groupBy("site")
+        .agg(F.collect_list("key").alias("keys"))
     )
 
 
@@ -97,33 +97,38 @@ def without_boilerplate(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     counts: tuple[str, str] | None = None,
-    once: bool = False,
+    alike: DataFrame | None = None,
 ) -> DataFrame:
     """``pages`` with ``text`` reduced to the lines that are no boilerplate of their host.
 
-    With ``once`` copies of a text count as one page of their host; lines go from all of them.
+    ``alike`` (``order_minhash.keepers``: node, keeper) has the group of each text; the texts of a
+    group count as one page of their host, and lines go from all of them.
     ``counts`` names two columns for the numbers of lines (that are not blank) and of those dropped.
     """
     # Written first, so that Spark knows its size and need not shuffle pages for a small one.
-    sites = stored(boilerplate(pages, host, text, ratio, least_pages, once), "boilerplate")
-    lines = F.split(named(text), "\n")
-    keys = _keys(named(host), lines)
-    dropped = F.array_intersect(keys, F.col("__keys"))
-    joined = pages.join(sites, named(host) == F.col("__host"), "left").withColumn(
-        "__dropped", F.when(named(host).isNotNull() & F.col("__keys").isNotNull(), dropped)
-    )
-    known = F.col("__dropped").isNotNull() & (F.size("__dropped") > 0)
+    sites = stored(boilerplate(pages, host, text, ratio, least_pages, alike), "boilerplate")
+    # The row as one column, so that its columns may have any names.
+    row = F.struct(*[named(c) for c in pages.columns]).alias("row")
+    page = pages.select(row, named(host).alias("at"), named(text).alias("said"))
+    lines = F.split("said", "\n")
+    dropped = F.when(F.col("keys").isNotNull(), F.array_intersect(_keys(F.col("at"), lines), F.col("keys")))
+    joined = page.join(sites, F.col("at") == F.col("site"), "left").withColumn("dropped", dropped)
+    known = F.col("dropped").isNotNull() & (F.size("dropped") > 0)
 
     def stays(line: Column) -> Column:
-        key = F.xxhash64(named(host), _bare(line))
-        return (_bare(line) == "") | ~F.array_contains("__dropped", key)
+        key = F.xxhash64(F.col("at"), _bare(line))
+        return (_bare(line) == "") | ~F.array_contains("dropped", key)
 
     kept = F.filter(lines, stays)
-    out = {c: named(c) for c in pages.columns}
-    out[text] = F.when(known, F.array_join(kept, "\n")).otherwise(named(text))
+    made = [F.when(known, F.array_join(kept, "\n")).otherwise(F.col("said")).alias("said")]
     if counts:
         n_lines = F.coalesce(F.size(F.filter(lines, lambda x: _bare(x) != "")), F.lit(0))
         n_kept = F.coalesce(F.size(F.filter(kept, lambda x: _bare(x) != "")), F.lit(0))
-        out[counts[0]] = F.when(named(text).isNotNull(), n_lines).otherwise(0).cast("long")
-        out[counts[1]] = F.when(known, n_lines - n_kept).otherwise(0).cast("long")
-    return joined.select(*[c.alias(name) for name, c in out.items()])
+        made.append(F.when(F.col("said").isNotNull(), n_lines).otherwise(0).cast("long").alias("n"))
+        made.append(F.when(known, n_lines - n_kept).otherwise(0).cast("long").alias("gone"))
+    out = {c: F.col("row").getField(c) for c in pages.columns}
+    out[text] = F.col("made.said")
+    if counts:
+        out[counts[0]], out[counts[1]] = F.col("made.n"), F.col("made.gone")
+    found = joined.select("row", F.struct(*made).alias("made"))
+    return found.select(*[c.alias(name) for name, c in out.items()])
