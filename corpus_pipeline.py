@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wellspark.llm import boilerplate, decontamination, isolation, order_minhash, unigram
 from wellspark.llm.rows import named, stored, table
+from wellspark.session import ship_package
 
 #: Isolation forests, suffix arrays and piece lattices have no SQL form.
 ORACLE_SQL = None
@@ -24,11 +25,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that too many distinct texts of their source have.
+    """Documents without the lines that too many texts of their source have.
 
-    Copies are still there: counted one by one, a large group would lose all of its lines.
+    Copies and near copies are still there: counted one by one, a large group would lose all the
+    lines that it shares. So a group counts as one text of its source.
     """
-    return boilerplate.without_boilerplate(docs, host="source", once=True)
+    alike = order_minhash.keepers(docs)
+    return boilerplate.without_boilerplate(docs, host="source", alike=alike)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +67,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage keeps is written before the next reads it."""
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
