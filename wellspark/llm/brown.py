@@ -12,7 +12,7 @@ one; rarer words share the class of rare words. The EXCHANGED most frequent ones
 round, the others are placed by the same rule once these have settled. What tasks share of the
 others has a fixed size: a map of which words (by MEMBER_BITS of their hash) occur LEAST times,
 and the class of each of SLOTS slots; words of one slot are placed together. In a corpus of a
-million such words one in seventeen shares its slot with another.
+million such words one in nine shares its slot with another.
 
 What is counted covers all training texts. Counts are sent to tasks for words of a share of one in
 SENT, of which there are SENT at most; occurrences of the others join the table of counts. That is
@@ -28,12 +28,12 @@ training set.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,8 @@ LEAST = 4
 #: Words that are exchanged between classes in each round, the most frequent ones.
 EXCHANGED = 65_000
 #: Slots that the other words are placed by, and bits of the map of words that are placed.
-SLOTS = 1 << 24
-MEMBER_BITS = 27
+SLOTS = 1 << 23
+MEMBER_BITS = 26
 #: Words of at least this share of the tokens (one in ...) have their counts sent to all tasks.
 SENT = 1 << 22
 HELD_OUT_ONE_IN = 10
@@ -168,6 +168,8 @@ class Words:
 
     def placed(self, hashed: np.ndarray) -> np.ndarray:
         """The class of each word that is not exchanged."""
+        if not len(self.slots):
+            return np.full(len(hashed), RARE)
         there = in_bitmap(self.member, (hashed >> np.uint64(64 - MEMBER_BITS)).astype(np.int64))
         return np.where(there, self.slots[slot_of(hashed)], RARE)
 
@@ -185,29 +187,37 @@ def slot_of(hashed: np.ndarray) -> np.ndarray:
     return (hashed % np.uint64(SLOTS)).astype(np.int64)
 
 
-def least_exchanged(counts: DataFrame) -> int:
-    """The number of occurrences that at most EXCHANGED words reach, LEAST or more.
+def size_class(n: Column) -> Column:
+    """Numbers of occurrences in steps of an eighth of a doubling."""
+    return F.floor(F.log2(n) * 8).cast("int")
 
-    Looked up on a fixed scale of steps of a sixteenth, in one pass.
-    """
-    scale = [LEAST]
-    while scale[-1] < 1 << 50:
-        scale.append(max(scale[-1] + 1, scale[-1] * 17 // 16))
-    reach = counts.agg(*[F.count_if(F.col("n") >= x).alias(str(x)) for x in scale]).first()
-    # The end token is counted too.
-    return next(x for x, words in zip(scale, reach) if words <= EXCHANGED)
+
+def least_exchanged(counts: DataFrame) -> int:
+    """The size class from which on there are at most EXCHANGED words."""
+    often = counts.where(F.col("n") >= LEAST).groupBy(size_class(F.col("n")).alias("size")).agg(F.count("*").alias("v"))
+    left, least = EXCHANGED, 1 << 20
+    # A few hundred rows, whatever the counts.
+    for size, words in sorted(often.collect(), reverse=True):
+        left -= words
+        if left < 0:
+            break
+        least = size
+    return least
 
 
 def frequent(counts: DataFrame, total: int) -> Words:
     """Words that are exchanged or have a share of one in SENT."""
     least = least_exchanged(counts)
-    rows = counts.where((F.col("n") * SENT >= total) | (F.col("n") >= least)).toArrow()
+    exchanged = (F.col("n") >= LEAST) & (size_class(F.col("n")) >= least)
+    some = counts.select("h", "n", exchanged.alias("exchanged"))
+    rows = some.where((F.col("n") * SENT >= total) | F.col("exchanged")).toArrow()
     hashes = rows["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes, n = hashes[order], rows["n"].to_numpy()[order]
     ids = np.full(len(n), OTHER_ID, dtype=np.uint16)
     rank = np.lexsort((hashes, -n))
-    rank = rank[(n[rank] >= least) & (hashes[rank] != END_HASH)]
+    chosen = rows["exchanged"].to_numpy(zero_copy_only=False)[order]
+    rank = rank[chosen[rank] & (hashes[rank] != END_HASH)]
     ids[rank] = np.arange(len(rank))
     classes = np.full(len(n), RARE, dtype=np.int8)
     # At first words go round the classes in order of their frequency.
@@ -216,7 +226,7 @@ def frequent(counts: DataFrame, total: int) -> Words:
     classes[hashes == END_HASH] = END
     place_of = F.shiftrightunsigned("h", 64 - MEMBER_BITS).alias("place")
     member = bitmap(counts.where(F.col("n") >= LEAST).select(place_of), "place", 1 << MEMBER_BITS)
-    return Words(hashes, n, classes, ids, member, np.full(SLOTS, RARE, dtype=np.int8))
+    return Words(hashes, n, classes, ids, member, np.zeros(0, dtype=np.int8))
 
 
 def sequences(training: DataFrame, sent) -> DataFrame:
@@ -419,7 +429,7 @@ def place(training: DataFrame, words: Words, context) -> None:
         yield from seen.batches(made)
 
     near = training.mapInArrow(run, "w int, key int, n long").groupBy("w", "key").agg(F.sum("n").alias("n"))
-    bigrams = class_bigrams(training, words, context)
+    bigrams = class_bigrams(training, held)
     best = stored(best_classes(near, None, bigrams, context), "placed")
     slots = np.full(SLOTS, 0, dtype=np.int8)
     numbers = np.arange(SLOTS)
@@ -428,11 +438,12 @@ def place(training: DataFrame, words: Words, context) -> None:
         some = best.where(F.col("class").bitwiseAND(F.lit(1 << bit)) != 0).select("w")
         slots |= in_bitmap(bitmap(some, "w", SLOTS), numbers).astype(np.int8) << bit
     words.slots = np.where(taken, slots, RARE).astype(np.int8)
+    held.destroy()
 
 
-def class_bigrams(training: DataFrame, words: Words, context) -> np.ndarray:
-    """Counts of class pairs over the training texts; each text begins after an end."""
-    held = context.broadcast(words)
+def class_bigrams(training: DataFrame, held) -> np.ndarray:
+    """Counts of class pairs over the training texts, with the words that have been sent; each
+    text begins after an end."""
 
     def run(batches):
         out = np.zeros(ALL * ALL, dtype=np.int64)
@@ -468,9 +479,8 @@ class Model:
         return self.total + ADDED * (self.distinct + 1)
 
 
-def class_sizes(counts: DataFrame, words: Words, context) -> tuple[np.ndarray, np.ndarray]:
+def class_sizes(counts: DataFrame, held) -> tuple[np.ndarray, np.ndarray]:
     """Occurrences and words of each class, over all words of the training texts."""
-    held = context.broadcast(words)
 
     def run(batches):
         n, v = np.zeros(ALL, dtype=np.int64), np.zeros(ALL, dtype=np.int64)
@@ -492,12 +502,15 @@ def fitted(training: DataFrame, counts: DataFrame, context) -> Model:
     """The model of the training texts."""
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     words = frequent(counts, total)
-    rows = stored(sequences(training, context.broadcast(words)), "sequences")
+    sent = context.broadcast(replace(words, member=b""))
+    rows = stored(sequences(training, sent), "sequences")
+    sent.destroy()
     rounds = exchange(rows, words, context)
     place(training, words, context)
-    bigrams = class_bigrams(training, words, context)
-
-    n, v = class_sizes(counts, words, context)
+    held = context.broadcast(words)
+    bigrams = class_bigrams(training, held)
+    n, v = class_sizes(counts, held)
+    held.destroy()
     # Unknown words.
     v[RARE] += 1
     mass = n + ADDED * v
