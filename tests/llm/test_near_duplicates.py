@@ -239,3 +239,42 @@ def test_components(spark):
             parent[b] = a
     assert found == {x: root(x) for x in parent if root(x) != x}
     assert len(out) == len(found)
+
+
+def test_links_of_a_crowd_that_share_no_finer_band(spark, monkeypatch):
+    """Every third word that a text has of its own is another one in its partner, so they share no
+    run of five words but those of the passage that the whole crowd has."""
+    monkeypatch.setattr(order_minhash, "CROWD", 20)
+    rng = random.Random(41)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(40):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        other = [f"n{rng.randrange(10**6)}" if k % 3 == 0 else w for k, w in enumerate(own)]
+        rows.append((2 * i, " ".join([*passage, *own]), "en", "a", 1))
+        rows.append((2 * i + 1, " ".join([*passage, *other]), "en", "a", 1))
+    found = {r.doc_id: r.class_id for r in order_minhash.classes(documents(spark, rows)).collect()}
+    assert found == {i: i - i % 2 for i in range(80)}
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.6])
+def test_linked_texts_have_a_rare_run_in_common(similarity):
+    rng, linked = random.Random(42), 0
+    for _ in range(600):
+        few = rng.choice([3, 50, 10_000])
+        a = [rng.randrange(few) for _ in range(rng.randint(1, 60))]
+        b = list(a)
+        for _ in range(rng.randint(0, 14)):
+            b.insert(rng.randint(0, len(b)), rng.randrange(few))
+            b.pop(rng.randrange(len(b))) if rng.random() < 0.6 else None
+        a, b = np.array(a, np.uint32), np.array(b, np.uint32)
+        if not order_minhash.alike(a.tobytes(), b.tobytes(), similarity):
+            continue
+        linked += 1
+        counts = np.array([rng.randrange(9) for _ in range(64)] * (order_minhash.RUN_SLOTS // 32))
+        one, sought = order_minhash.rare_runs(a, counts, similarity)
+        two, wanted = order_minhash.rare_runs(b, counts, similarity)
+        assert set(one[sought].tolist()) & set(two.tolist())
+        assert set(two[wanted].tolist()) & set(one.tolist())
+        assert not order_minhash.unlike_bags(a.tobytes(), b.tobytes(), similarity)
+    assert linked > 50

@@ -7,11 +7,12 @@ in the text; the hash of that sequence is a band. Texts that share a band are ca
 compared with the band's least text first, so a band of n texts gives n - 1 pairs. Where that
 leaves a band of up to CROWD texts in several classes, every two of its texts from different
 classes are compared too: in blocks, by their words as bags, which bound the alignment from
-below, and those that the bound lets pass by the alignment. So a text meets CROWD others of a
-band at most, and work grows with the number of texts. Texts of an open band larger than that get
-finer bands of more k-mers by other hash functions (FINER), which part texts that share a passage
-and keep together those alike, and the same is done with these. What is larger even in the finest
-bands, and still open, is compared in full.
+below, and those that the bound lets pass by the alignment. Texts of an open band larger than that
+first get finer bands of more k-mers by other hash functions (FINER), which part texts that share a
+passage and keep together those alike, and the same is done with these. Those of the first bands
+that are open even then are compared exactly, by rare runs of words: so few edits leave a number
+of common runs that is known, so two texts alike have one of their rarest runs in common. Every
+two texts of crowds and of different classes that have one are compared: no link of a band is lost.
 
 A pair is a link if its banded alignment on words needs at most (1 - SIMILARITY) * (words of the
 longer) edits. Links are followed to classes.
@@ -54,8 +55,13 @@ FILTER_BITS = 1 << 23
 FINER = ((16, 3), (24, 5), (48, 8))
 #: Texts of a band that are compared with each other, or with as many others, in one task.
 BLOCK = 1024
-#: Texts of a band of which all are compared that are not in one class yet.
+#: Texts of a band of which all are compared in blocks that are not in one class yet.
 CROWD = 2048
+#: Words in the runs that texts of larger bands are compared by: each text takes the kind that
+#: promises fewer others. Two words are rarer than one, unless a passage fills most of a text.
+RUNS = (1, 2)
+#: Slots that occurrences of runs are counted by, to tell which are rare.
+RUN_SLOTS = 1 << 18
 #: Counts of words by hash that a text is first compared by; they stop at 255.
 BINS = 128
 #: Words of a text of which all are compared before the alignment; longer texts have counts only.
@@ -82,16 +88,20 @@ def kmers(hashed: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
         within = j < n_words[rows]
         shingles = shingles * W.STEP + np.where(within, padded[at + j], np.uint64(0))
     shingles = W.mixed(shingles)
-    # The occurrence of each shingle in its text, counted from 0.
-    own = shingles ^ W.mixed(rows.astype(np.uint64))
-    order = np.lexsort((at, own))
-    ranked = own[order]
+    occurrence = occurrences(shingles ^ W.mixed(rows.astype(np.uint64)))
+    return shingles, W.mixed(shingles + occurrence * W.STEP), begin
+
+
+def occurrences(keys: np.ndarray) -> np.ndarray:
+    """How many equal keys stand before each one."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
     fresh = np.ones(len(ranked), dtype=bool)
     fresh[1:] = ranked[1:] != ranked[:-1]
     since = np.arange(len(ranked))
-    occurrence = np.zeros(len(ranked), dtype=np.uint64)
-    occurrence[order] = since - np.maximum.accumulate(np.where(fresh, since, 0))
-    return shingles, W.mixed(shingles + occurrence * W.STEP), begin
+    out = np.zeros(len(ranked), dtype=np.uint64)
+    out[order] = since - np.maximum.accumulate(np.where(fresh, since, 0))
+    return out
 
 
 def bands(
@@ -269,8 +279,9 @@ def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return made_of(texts, ends, lambda said: pa.array(packed_words(said), pa.binary()), "binary", "words")
 
 
-def links(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose alignment is similar enough."""
+def links(pairs: DataFrame, words: DataFrame, similarity: float, bags: bool = False) -> DataFrame:
+    """The pairs (a, b) whose alignment is similar enough; with ``bags`` for pairs of which most
+    are not, compared as bags of words first."""
     left = words.select(F.col("node").alias("a"), F.col("words").alias("x"))
     right = words.select(F.col("node").alias("b"), F.col("words").alias("y"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -278,12 +289,129 @@ def links(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     def verified(batches):
         for batch in batches:
             x, y = batch.column(2), batch.column(3)
-            good = [alike(x[i].as_py(), y[i].as_py(), similarity) for i in range(batch.num_rows)]
+            each = ((x[i].as_py(), y[i].as_py()) for i in range(batch.num_rows))
+            good = [
+                not (bags and unlike_bags(one, two, similarity)) and alike(one, two, similarity)
+                for one, two in each
+            ]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(verified, "a binary, b binary")
 
 
+def unlike_bags(a: bytes, b: bytes, similarity: float) -> bool:
+    """Whether the packed words of two texts, in any order, prove that they are unlike."""
+    x, y = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
+    longer = max(len(x), len(y))
+    both = np.sort(np.concatenate([runs_of(x, 1)[1], runs_of(y, 1)[1]]))
+    return longer - np.count_nonzero(both[1:] == both[:-1]) > int((1 - similarity) * longer + 1e-9)
+
+
+def runs_of(hashed: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a text's runs of ``size`` words, and the same with their occurrence mixed in."""
+    n = max(0, len(hashed) - size + 1)
+    made = np.full(n, size, dtype=np.uint64)
+    for j in range(size):
+        made = W.mixed(made * W.STEP + hashed[j : j + n].astype(np.uint64))
+    return made, W.mixed(made + occurrences(made) * W.STEP)
+
+
+def shared_runs(n: int, size: int, similarity: float) -> int:
+    """How many runs of ``size`` words a text of ``n`` words shares with any text it is linked to,
+    at least: an edit changes ``size`` runs of the longer text at most."""
+    longer = np.arange(n, int(n / similarity) + 2)
+    limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+    return int((longer - size + 1 - size * limit).min())
+
+
+def rare_runs(
+    words: np.ndarray, counts: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Runs one of which a text has in common with each text it is linked to, and which of them
+    it looks for: those of one size, as the other texts have those of every size.
+
+    Texts that share t of their g runs share one of the g - t + 1 that come first in any order;
+    here by ``counts``.
+    """
+    keys, costs, sizes = [], [], []
+    for place, size in enumerate(RUNS):
+        made, labelled = runs_of(words, size)
+        least = shared_runs(len(words), size, similarity)
+        often = counts[place * RUN_SLOTS + (made % np.uint64(RUN_SLOTS)).astype(np.int64)]
+        first = np.lexsort((labelled, often))[: max(0, len(made) - max(1, least) + 1)]
+        keys.append(labelled[first])
+        costs.append(often[first].sum() if least > 0 else np.inf)
+        sizes.append(np.full(len(first), size))
+    return np.concatenate(keys), np.concatenate(sizes) == RUNS[int(np.argmin(costs))]
+
+
+def run_counts(words: DataFrame) -> np.ndarray:
+    """How often runs occur, by size and slot; of fixed size, whatever the number of texts."""
+
+    def run(batches):
+        seen = np.zeros(len(RUNS) * RUN_SLOTS, dtype=np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                hashed = np.frombuffer(value.as_buffer(), dtype=np.uint32)
+                for place, size in enumerate(RUNS):
+                    slot = runs_of(hashed, size)[0] % np.uint64(RUN_SLOTS)
+                    np.add.at(seen, place * RUN_SLOTS + slot.astype(np.int64), 1)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["slot", "n"])
+
+    parts = words.select("words").mapInArrow(run, "slot int, n long")
+    found = parts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(RUNS) * RUN_SLOTS, dtype=np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def by_runs(nodes: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): every two of ``nodes`` from different classes that may be alike, by their rare runs."""
+    root = F.coalesce("root", "node").alias("root")
+    said = nodes.join(roots, "node", "left").select("node", root).join(words, "node")
+    said = stored(said.select("node", "root", "words"), "said")
+    context = said.sparkSession.sparkContext
+    sent = context.broadcast(run_counts(said))
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                hashed = np.frombuffer(batch.column(2)[row].as_buffer(), dtype=np.uint32)
+                keys, sought = rare_runs(hashed, sent.value, similarity)
+                which = pa.array(np.full(len(keys), row))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys.view(np.int64)),
+                        pa.array(sought),
+                        pa.array(np.full(len(keys), len(hashed), dtype=np.int32)),
+                        batch.column(0).take(which),
+                        batch.column(1).take(which),
+                    ],
+                    ["key", "sought", "n", "node", "root"],
+                )
+
+    runs = stored(said.mapInArrow(run, "key long, sought boolean, n int, node binary, root binary"), "runs")
+    # Runs of one class alone, and those that nobody looks for, link nothing.
+    several = (
+        runs.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("sought").alias("any"))
+        .where("low <> high and any")
+        .select(F.bitwise_not("key").alias("other"))
+    )
+    runs = runs.withColumn("other", F.bitwise_not("key")).join(several, "other").drop("other")
+    runs = stored(runs, "several")
+    one = runs.where("sought").select("key", *[F.col(c).alias(f"{c}_a") for c in ("n", "node", "root")])
+    two = runs.select("key", *[F.col(c).alias(f"{c}_b") for c in ("n", "node", "root")])
+    longer = F.greatest("n_a", "n_b")
+    limit = F.floor(F.lit(1 - similarity) * longer + F.lit(1e-9))
+    pairs = one.join(two, "key").where(
+        (F.col("root_a") != F.col("root_b")) & (longer - F.least("n_a", "n_b") <= limit)
+    )
+    pairs = pairs.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
+    return stored(pairs.distinct(), "rare")
+
+
 def word_bins(words: bytes) -> bytes:
     """How many of the packed words fall into each of BINS, up to 255."""
     hashed = np.frombuffer(words, dtype=np.uint32)
@@ -296,13 +424,7 @@ def word_bag(words: bytes) -> bytes:
     hashed = np.frombuffer(words, dtype=np.uint32)
     if len(hashed) > BAG_WORDS:
         return b""
-    order = np.argsort(hashed, kind="stable")
-    ranked = hashed[order]
-    since = np.arange(len(ranked))
-    fresh = np.ones(len(ranked), dtype=bool)
-    fresh[1:] = ranked[1:] != ranked[:-1]
-    occurrence = since - np.maximum.accumulate(np.where(fresh, since, 0))
-    labelled = W.mixed(ranked.astype(np.uint64) + occurrence.astype(np.uint64) * W.STEP)
+    labelled = W.mixed(hashed.astype(np.uint64) + occurrences(hashed) * W.STEP)
     return (labelled >> np.uint64(48)).astype(np.uint16).tobytes()
 
 
@@ -476,21 +598,29 @@ def rooted(texts: DataFrame, similarity: float) -> DataFrame:
     roots = components(found)
     apart = _apart(pairs, roots).join(best, ["a", "b"], "left_anti")
     found = found.unionByName(stored(links(apart, words, similarity), "links"))
-    for level, (tables, kept) in enumerate((*FINER, (0, 0)), start=1):
+    first = None
+    for level in range(len(FINER) + 1):
         roots = components(found)
         few, crowds = by_size(shared, roots)
-        if not kept:
-            few = few.unionByName(crowds)
         rest = stored(links(across(few, roots, words, similarity), words, similarity), "links")
         found = found.unionByName(rest)
-        if not kept or crowds.isEmpty():
-            return components(found)
+        if level == 0:
+            first = crowds
+        if level == len(FINER) or crowds.isEmpty():
+            break
         # Only texts of crowds go on, in finer bands, where each meets the least text again.
         crowded = stored(crowds.select("node").distinct(), "crowded")
-        shared = stored(finer_bands(texts, crowded, tables, kept, level), "shared")
+        shared = stored(finer_bands(texts, crowded, *FINER[level], level + 1), "shared")
         apart = _apart(candidates(shared), components(found))
         found = found.unionByName(stored(links(apart, words, similarity), "links"))
-    raise AssertionError("the last level returns")
+    # What finer bands have parted may be alike all the same.
+    roots = components(found)
+    if first.isEmpty():
+        return roots
+    _, still = by_size(first, roots)
+    rest = by_runs(still.select("node").distinct(), roots, words, similarity)
+    found = found.unionByName(stored(links(rest, words, similarity, bags=True), "links"))
+    return components(found)
 
 
 def _text_classes(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
