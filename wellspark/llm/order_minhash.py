@@ -594,16 +594,14 @@ def rooted(texts: DataFrame, similarity: float) -> DataFrame:
     words = stored(words_of(texts, pairs), "words")
     # First the pairs that share most bands, one for each text; then those still apart.
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-    found = stored(links(best, words, similarity), "links")
-    roots = components(found)
+    roots = stored(components(stored(links(best, words, similarity), "links")), "roots")
     apart = _apart(pairs, roots).join(best, ["a", "b"], "left_anti")
-    found = found.unionByName(stored(links(apart, words, similarity), "links"))
+    roots = joined(roots, stored(links(apart, words, similarity), "links"))
     first = None
     for level in range(len(FINER) + 1):
-        roots = components(found)
         few, crowds = by_size(shared, roots)
-        rest = stored(links(across(few, roots, words, similarity), words, similarity), "links")
-        found = found.unionByName(rest)
+        rest = links(across(few, roots, words, similarity), words, similarity)
+        roots = joined(roots, stored(rest, "links"))
         if level == 0:
             first = crowds
         if level == len(FINER) or crowds.isEmpty():
@@ -611,16 +609,23 @@ def rooted(texts: DataFrame, similarity: float) -> DataFrame:
         # Only texts of crowds go on, in finer bands, where each meets the least text again.
         crowded = stored(crowds.select("node").distinct(), "crowded")
         shared = stored(finer_bands(texts, crowded, *FINER[level], level + 1), "shared")
-        apart = _apart(candidates(shared), components(found))
-        found = found.unionByName(stored(links(apart, words, similarity), "links"))
-    # What finer bands have parted may be alike all the same.
-    roots = components(found)
+        apart = _apart(candidates(shared), roots)
+        roots = joined(roots, stored(links(apart, words, similarity), "links"))
     if first.isEmpty():
         return roots
+    # What finer bands have parted may be alike all the same.
     _, still = by_size(first, roots)
     rest = by_runs(still.select("node").distinct(), roots, words, similarity)
-    found = found.unionByName(stored(links(rest, words, similarity, bags=True), "links"))
-    return components(found)
+    return joined(roots, stored(links(rest, words, similarity, bags=True), "links"))
+
+
+def joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """The classes ``roots`` with further links, which start from what is known of them."""
+    if found.isEmpty():
+        return roots
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    # Written, as a plan over a checkpoint keeps what is known of its columns, more each time.
+    return stored(components(known.unionByName(found)), "roots")
 
 
 def _text_classes(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
