@@ -278,3 +278,30 @@ def test_linked_texts_have_a_rare_run_in_common(similarity):
         assert set(two[wanted].tolist()) & set(one.tolist())
         assert not order_minhash.unlike_bags(a.tobytes(), b.tobytes(), similarity)
     assert linked > 50
+
+
+def test_few_rows_are_worked_on_in_few_tasks(spark):
+    """With many partitions that nothing joins together, small steps do not become tasks by the
+    hundred each: it is the rows that decide."""
+    rng = random.Random(51)
+    rows = []
+    for i in range(60):
+        text = prose(rng, 80, 5000)
+        rows += [(2 * i, text, "en", "a", 1), (2 * i + 1, edited(rng, text, 4), "en", "a", 1)]
+    docs = documents(spark, rows)
+    partitions, joined = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {name: spark.conf.get(name) for name in (partitions, joined)}
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("few rows", "")
+    try:
+        spark.conf.set(partitions, "100")
+        spark.conf.set(joined, "false")
+        roots = order_minhash.rooted(docs.select(order_minhash.node_of(F.col("text")).alias("node"), "text"), 0.8)
+        assert roots.count() == 60
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    stages = {s for j in tracker.getJobIdsForGroup("few rows") for s in tracker.getJobInfo(j).stageIds}
+    done = [tracker.getStageInfo(s) for s in stages]
+    assert sum(s.numCompletedTasks for s in done if s) < 1000

@@ -14,11 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.llm.rows import checkpoint_folder
+from wellspark.llm.rows import LEAST_TASKS, checkpoint_folder, in_tasks
 
 #: Links that a task works on.
 LINKS_PER_TASK = 50_000
-LEAST_TASKS = 4
 
 
 def _tasks(links: int) -> int:
@@ -29,16 +28,18 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (columns a and b) but the roots themselves.
 
     ``root`` is the smallest node of the component. Links from a node to itself, null ends and
-    repeated links are ignored; no links give no rows.
+    repeated links are ignored; no links give no rows. ``links`` are counted first, so they are
+    best a stored table.
     """
     checkpoint_folder(links.sparkSession)
+    given = links.count()
     # b is the smaller end from here on.
     links = (
         links.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
-        .checkpoint()
     )
+    links = in_tasks(links, given, LINKS_PER_TASK).checkpoint()
     last, tasks = None, _tasks(links.count())
     links = links.coalesce(tasks)
     while True:

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from wellspark.llm import words as W
 from wellspark.llm.components import components
 from wellspark.llm.decontamination import word_hashes
-from wellspark.llm.rows import bitmap, in_bitmap, named, pieces, stored, with_result
+from wellspark.llm.rows import bitmap, in_bitmap, in_tasks, named, pieces, stored, with_result
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -64,6 +64,10 @@ RUNS = (1, 2)
 RUN_SLOTS = 1 << 18
 #: Counts of words by hash that a text is first compared by; they stop at 255.
 BINS = 128
+#: Rows of keys, texts, and pairs to be aligned that a task works on.
+ROWS_PER_TASK = 50_000
+TEXTS_PER_TASK = 5_000
+PAIRS_PER_TASK = 1_000
 #: Words of a text of which all are compared before the alignment; longer texts have counts only.
 BAG_WORDS = 4096
 
@@ -231,6 +235,7 @@ def finer_bands(texts: DataFrame, nodes: DataFrame, tables: int, kept: int, leve
 
 def _shared(signed: DataFrame) -> DataFrame:
     rows = stored(signed.select("node", F.explode("bands").alias("band")), "bands")
+    n = rows.count()
     hubs = (
         rows.groupBy("band")
         .agg(F.min("node").alias("b"), F.count("*").alias("n"))
@@ -238,16 +243,14 @@ def _shared(signed: DataFrame) -> DataFrame:
         # Another form of the key: both sides are dealt out for the join, and hot bands split.
         .select(F.bitwise_not("band").alias("key"), "b")
     )
-    return (
-        rows.withColumn("key", F.bitwise_not("band")).join(hubs, "key").select("band", "node", "b")
-    )
+    both = rows.withColumn("key", F.bitwise_not("band")).join(in_tasks(hubs, n, ROWS_PER_TASK), "key")
+    return in_tasks(both, n, ROWS_PER_TASK).select("band", "node", "b")
 
 
 def candidates(shared: DataFrame) -> DataFrame:
     """(a, b, n): a text, the least text of bands that both have, and how many those are."""
-    return (
-        shared.where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
-    )
+    found = shared.where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
+    return in_tasks(found, shared.count(), ROWS_PER_TASK)
 
 
 def made_of(
@@ -270,7 +273,8 @@ def made_of(
                 yield pa.RecordBatch.from_arrays([node, made], ["node", column])
 
     made = texts.select("node", "text", bit).mapInArrow(some, f"node binary, {column} {kind}")
-    return made.groupBy("node").agg(F.first(column).alias(column))
+    made = made.groupBy("node").agg(F.first(column).alias(column))
+    return in_tasks(made, nodes.count(), TEXTS_PER_TASK)
 
 
 def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -282,9 +286,14 @@ def words_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 def links(pairs: DataFrame, words: DataFrame, similarity: float, bags: bool = False) -> DataFrame:
     """The pairs (a, b) whose alignment is similar enough; with ``bags`` for pairs of which most
     are not, compared as bags of words first."""
+    pairs = stored(pairs.select("a", "b"), "meeting")
+    n = pairs.count()
+    if not n:
+        return pairs
     left = words.select(F.col("node").alias("a"), F.col("words").alias("x"))
     right = words.select(F.col("node").alias("b"), F.col("words").alias("y"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    half = in_tasks(pairs.join(left, "a"), n, PAIRS_PER_TASK)
+    both = in_tasks(half.join(right, "b"), n, PAIRS_PER_TASK).select("a", "b", "x", "y")
 
     def verified(batches):
         for batch in batches:
@@ -369,7 +378,10 @@ def run_counts(words: DataFrame) -> np.ndarray:
 def by_runs(nodes: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """(a, b): every two of ``nodes`` from different classes that may be alike, by their rare runs."""
     root = F.coalesce("root", "node").alias("root")
-    said = nodes.join(roots, "node", "left").select("node", root).join(words, "node")
+    nodes = stored(nodes, "crowd")
+    n = nodes.count()
+    said = in_tasks(nodes.join(roots, "node", "left"), n, TEXTS_PER_TASK).select("node", root)
+    said = in_tasks(said.join(words, "node"), n, TEXTS_PER_TASK)
     said = stored(said.select("node", "root", "words"), "said")
     context = said.sparkSession.sparkContext
     sent = context.broadcast(run_counts(said))
@@ -392,6 +404,7 @@ def by_runs(nodes: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
                 )
 
     runs = stored(said.mapInArrow(run, "key long, sought boolean, n int, node binary, root binary"), "runs")
+    rows = runs.count()
     # Runs of one class alone, and those that nobody looks for, link nothing.
     several = (
         runs.groupBy("key")
@@ -399,8 +412,9 @@ def by_runs(nodes: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
         .where("low <> high and any")
         .select(F.bitwise_not("key").alias("other"))
     )
+    several = in_tasks(several, rows, ROWS_PER_TASK)
     runs = runs.withColumn("other", F.bitwise_not("key")).join(several, "other").drop("other")
-    runs = stored(runs, "several")
+    runs = stored(in_tasks(runs, rows, ROWS_PER_TASK), "several")
     one = runs.where("sought").select("key", *[F.col(c).alias(f"{c}_a") for c in ("n", "node", "root")])
     two = runs.select("key", *[F.col(c).alias(f"{c}_b") for c in ("n", "node", "root")])
     longer = F.greatest("n_a", "n_b")
@@ -409,7 +423,7 @@ def by_runs(nodes: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
         (F.col("root_a") != F.col("root_b")) & (longer - F.least("n_a", "n_b") <= limit)
     )
     pairs = pairs.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
-    return stored(pairs.distinct(), "rare")
+    return pairs.distinct()
 
 
 def word_bins(words: bytes) -> bytes:
@@ -470,11 +484,14 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
     least of the bands that both texts are in.
     """
     members = with_roots(shared, roots)
+    rows = members.count()
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("m"))
+    sizes = in_tasks(sizes, rows, ROWS_PER_TASK)
     small = F.sum(F.when(F.col("m") <= BLOCK, F.col("m")).otherwise(0))
     open_bands = sizes.groupBy("band").agg(F.count("*").alias("c"), small.alias("small")).where("c > 1")
+    open_bands = in_tasks(open_bands, rows, ROWS_PER_TASK)
     large = F.col("m") > BLOCK
-    parts = sizes.join(open_bands, "band").select(
+    parts = in_tasks(sizes.join(open_bands, "band"), rows, ROWS_PER_TASK).select(
         F.bitwise_not("band").alias("key"),
         F.hex("root").alias("root_key"),
         F.ceil(F.when(large, F.col("m")).otherwise(F.col("small")) / BLOCK).alias("parts"),
@@ -488,10 +505,14 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
         .join(parts, ["key", "root_key"])
         .select("band", "node", "root", "alone", F.coalesce(block, F.xxhash64("root", within)).alias("block"))
     )
-    placed = stored(placed, "placed")
+    placed = stored(in_tasks(placed, rows, ROWS_PER_TASK), "placed")
+    left = placed.count()
+    if not left:
+        return placed.select(F.col("node").alias("a"), F.col("node").alias("b"))
     # A text has as many bands as there are hash functions and numbers of k-mers, at most.
     own = placed.groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bands"))
-    said = own.join(words, "node").select("node", "words", "bands")
+    own = in_tasks(own, left, TEXTS_PER_TASK)
+    said = in_tasks(own.join(words, "node"), left, TEXTS_PER_TASK).select("node", "words", "bands")
 
     def bagged(batches):
         for batch in batches:
@@ -504,20 +525,19 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
 
     bags = said.mapInArrow(bagged, "node binary, bands array<bigint>, n long, bins binary, bag binary")
     each = placed.groupBy("band", "block").agg(F.first("alone").alias("alone"))
+    each = in_tasks(each, left, ROWS_PER_TASK)
     one = each.select("band", F.col("block").alias("i"), F.col("alone").alias("alone_i"))
     two = each.select("band", F.col("block").alias("j"), F.col("alone").alias("alone_j"))
     meet = one.join(two, "band").where("i <= j and (alone_i = alone_j) is not true").select("band", "i", "j")
     ends = F.array_distinct(F.array("i", "j"))
-    meet = meet.select("band", "i", "j", F.explode(ends).alias("block"))
+    meet = in_tasks(meet.select("band", "i", "j", F.explode(ends).alias("block")), left, ROWS_PER_TASK)
     # First who meets where, then once the words.
-    both = (
-        placed.join(meet, ["band", "block"])
-        .select("band", "i", "j", "block", "node", "root")
-        .join(bags, "node")
-        .groupBy("band", "i", "j")
-        .agg(F.collect_list(F.struct("block", "node", "root", "bands", "n", "bins", "bag")).alias("texts"))
-        .select("i", "j", "texts", "band")
-    )
+    met = placed.join(meet, ["band", "block"]).select("band", "i", "j", "block", "node", "root")
+    met = stored(in_tasks(met, left, ROWS_PER_TASK), "met")
+    n = met.count()
+    both = in_tasks(met.join(bags, "node"), n, TEXTS_PER_TASK).groupBy("band", "i", "j")
+    both = both.agg(F.collect_list(F.struct("block", "node", "root", "bands", "n", "bins", "bag")).alias("texts"))
+    both = in_tasks(both, n, TEXTS_PER_TASK).select("i", "j", "texts", "band")
 
     def passing(batches):
         for batch in batches:
@@ -555,12 +575,14 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
 def with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """(band, node, root): the texts of the bands and the classes that they are in so far."""
     root = F.coalesce("root", "node")
-    return stored(shared.join(roots, "node", "left").select("band", "node", root.alias("root")), "members")
+    members = in_tasks(shared.join(roots, "node", "left"), shared.count(), ROWS_PER_TASK)
+    return stored(members.select("band", "node", root.alias("root")), "members")
 
 
 def by_size(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The open bands of up to CROWD texts, and the larger ones (both as ``shared``)."""
     members = with_roots(shared, roots)
+    rows = members.count()
     # The number of texts, and whether they are of one class: no list of either.
     size = (
         members.groupBy("band")
@@ -568,23 +590,21 @@ def by_size(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("low <> high")
         .select(F.bitwise_not("band").alias("key"), "n")
     )
-    sized = stored(
-        shared.withColumn("key", F.bitwise_not("band")).join(size, "key").select("band", "node", "b", "n"), "open"
-    )
+    size = in_tasks(size, rows, ROWS_PER_TASK)
+    sized = shared.withColumn("key", F.bitwise_not("band")).join(size, "key")
+    sized = stored(in_tasks(sized, rows, ROWS_PER_TASK).select("band", "node", "b", "n"), "open")
     few = F.col("n") <= CROWD
     return sized.where(few).drop("n"), sized.where(~few).drop("n")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different classes so far."""
+    """The pairs, a stored table, whose ends are in different classes so far."""
+    n = pairs.count()
     of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return (
-        pairs.join(of_a, "a", "left")
-        .join(of_b, "b", "left")
-        .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        .select("a", "b", "n")
-    )
+    known = in_tasks(pairs.join(of_a, "a", "left"), n, ROWS_PER_TASK)
+    known = in_tasks(known.join(of_b, "b", "left"), n, ROWS_PER_TASK)
+    return known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "n")
 
 
 def rooted(texts: DataFrame, similarity: float) -> DataFrame:
@@ -594,6 +614,7 @@ def rooted(texts: DataFrame, similarity: float) -> DataFrame:
     words = stored(words_of(texts, pairs), "words")
     # First the pairs that share most bands, one for each text; then those still apart.
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    best = stored(in_tasks(best, pairs.count(), ROWS_PER_TASK), "best")
     roots = stored(components(stored(links(best, words, similarity), "links")), "roots")
     apart = _apart(pairs, roots).join(best, ["a", "b"], "left_anti")
     roots = joined(roots, stored(links(apart, words, similarity), "links"))
@@ -609,7 +630,7 @@ def rooted(texts: DataFrame, similarity: float) -> DataFrame:
         # Only texts of crowds go on, in finer bands, where each meets the least text again.
         crowded = stored(crowds.select("node").distinct(), "crowded")
         shared = stored(finer_bands(texts, crowded, *FINER[level], level + 1), "shared")
-        apart = _apart(candidates(shared), roots)
+        apart = _apart(stored(candidates(shared), "pairs"), roots)
         roots = joined(roots, stored(links(apart, words, similarity), "links"))
     if first.isEmpty():
         return roots

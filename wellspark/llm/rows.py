@@ -21,6 +21,8 @@ from wellspark.sources.storage import shared_dir
 #: Bytes of text that one call of a row function gets, unless a single text is longer.
 PIECE_BYTES = 1 << 20
 SENT = "__text"
+#: Tasks that a table of few rows is worked on in, at least.
+LEAST_TASKS = 4
 
 
 def named(column: str) -> Column:
@@ -45,6 +47,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_tasks(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """``df`` in one task for ``each`` of its ``rows`` rows, if it has more tasks than that.
+
+    So a shuffle of few rows does not become very many tasks and files, however many partitions
+    the session deals out to. ``rows`` may be an upper bound.
+    """
+    return df.coalesce(max(LEAST_TASKS, -(-rows // each)))
+
+
 def checkpoint_folder(spark: SparkSession) -> None:
     """Lets ``checkpoint()`` use the shared folder where the session has not been told yet."""
     if spark.sparkContext.getCheckpointDir() is None:
