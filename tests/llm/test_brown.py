@@ -181,3 +181,60 @@ def test_hash_of_the_end_is_no_word():
     assert hashed[[0, 2, 5]].tolist() == [int(brown.END_HASH)] * 3
     assert hashed[1] == hashed[3] != hashed[4]
     assert W.row_of(first).tolist() == [0, 1, 1, 2, 2, 2]
+
+
+def test_counts_of_neighbours_are_one_row_for_each_word(spark, rows):
+    """What the rounds shuffle and sum are blocks of words, not a row for each pair of word and class."""
+    context = spark.sparkContext
+    training = documents(spark, rows).select("text").repartition(3)
+    counts = brown.word_counts(training)
+    words = brown.frequent(counts, counts.agg(F.sum("n")).first()[0])
+    classes, sent = words.of_ids, context.broadcast(words)
+    seq = brown.stored(brown.sequences(training, sent), "sequences")
+    near, bigrams = Counter(), Counter()
+    for text in [r.text for r in training.collect()]:
+        hashed, _ = brown.tokens(__import__("pyarrow").array([text or ""]))
+        at, known = words.find(hashed)
+        ids = [brown.END_ID, *np.where(hashed == brown.END_HASH, brown.END_ID, words.ids[at]).tolist()]
+        for a, b in zip(ids, ids[1:]):
+            bigrams[classes[a], classes[b]] += 1
+            near[b, classes[a]] += 1
+            near[a, brown.ALL + classes[b]] += 1
+    found = brown.neighbour_counts(seq, classes, context).collect()
+    assert len(found) == len({r.w for r in found}) == (words.ids < brown.END_ID).sum() + 1 > 50
+    by_word = {r.w: np.frombuffer(r.near, dtype=np.int64) for r in found}
+    whole = by_word.pop(-1).reshape(brown.ALL, brown.ALL)
+    assert {(a, b): whole[a, b] for a, b in zip(*np.nonzero(whole))} == bigrams
+    assert {(w, k): n[k] for w, n in by_word.items() for k in np.flatnonzero(n)} == {
+        k: n for k, n in near.items() if k[0] < brown.END_ID
+    }
+    assert (brown.class_bigrams(seq, words, context) == whole).all()
+
+
+def test_sequences_are_joined_at_their_ends(monkeypatch):
+    made = [[brown.END_ID, 1, brown.OTHER_ID, brown.END_ID], [brown.END_ID, brown.END_ID], [brown.END_ID, 2, brown.END_ID]]
+    slots = [[7], [], []]
+    pack = lambda x, kind: np.array(x, dtype=kind).tobytes()
+    batch = __import__("pyarrow").RecordBatch.from_arrays(
+        [[pack(x, np.uint16) for x in made], [pack(x, np.int32) for x in slots]], ["ids", "slots"]
+    )
+    for together in (1, 5, 100):
+        monkeypatch.setattr(brown, "TOGETHER", together)
+        out = list(brown._sequences([batch, batch]))
+        pairs = Counter(p for ids, _ in out for p in zip(ids.tolist(), ids[1:].tolist()))
+        assert pairs == Counter(p for x in made * 2 for p in zip(x, x[1:]))
+        assert all((ids == brown.OTHER_ID).sum() == len(some) for ids, some in out)
+
+
+def test_words_are_found_by_their_first_bits():
+    rng = np.random.default_rng(52)
+    for n in (1, 2, 3, 1000):
+        hashes = np.sort(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)))
+        if n == 1000:
+            hashes = np.unique(np.append(hashes, [np.uint64(0), *(np.uint64(2**64 - 1 - k) for k in range(40))]))
+        words = brown.Words(hashes, hashes, hashes, hashes, b"", np.zeros(0))
+        sought = np.concatenate([hashes, hashes + np.uint64(1), rng.integers(0, 1 << 62, 500, dtype=np.uint64)])
+        at, known = words.find(sought)
+        assert known.tolist() == np.isin(sought, hashes).tolist()
+        assert (hashes[at[known]] == sought[known]).all()
+        assert "begins" not in words.__getstate__()

@@ -14,6 +14,11 @@ others has a fixed size: a map of which words (by MEMBER_BITS of their hash) occ
 and the class of each of SLOTS slots; words of one slot are placed together. In a corpus of a
 million such words one in nine shares its slot with another.
 
+Texts are read three times: to count words, to be written as ids of exchanged words and slots of
+the others, which the rounds, the placement and the transitions are counted from, and to be
+scored. Counts of neighbours travel by blocks of words, in a row for each block and task, and are
+summed as arrays.
+
 What is counted covers all training texts. Counts are sent to tasks for words of a share of one in
 SENT, of which there are SENT at most; occurrences of the others join the table of counts. That is
 a choice of transport, results do not depend on it.
@@ -28,7 +33,8 @@ training set.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +71,11 @@ END_HASH = np.uint64(0x656E64206F662074)
 #: Rows in an Arrow batch of counts, and distinct words a task holds before it sends them.
 BATCH = 1 << 16
 HELD = 1 << 20
+#: Tokens that are counted together, blocks that the exchanged words are dealt out to, and slots
+#: in a block of slots.
+TOGETHER = 1 << 20
+BLOCKS = 256
+BLOCK_SLOTS = 1 << 14
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +123,13 @@ class Counter:
         return self.held > HELD // 2 and len(self.keys) == 1
 
     def batches(self, make):
-        """Record batches that ``make`` builds of keys and counts; nothing is held afterwards."""
+        """Record batches that ``make`` builds of sorted keys and counts; nothing is held
+        afterwards."""
         self.merge()
         if self.keys:
             keys, n = self.keys[0], self.n[0]
             self.keys, self.n, self.held = [], [], 0
-            for a in range(0, len(keys), BATCH):
-                yield make(keys[a : a + BATCH], n[a : a + BATCH])
+            yield from make(keys, n)
 
 
 def _texts(batches):
@@ -136,7 +147,9 @@ def word_counts(training: DataFrame) -> DataFrame:
         seen = Counter()
 
         def made(keys, n):
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["h", "n"])
+            for a in range(0, len(keys), BATCH):
+                some = keys[a : a + BATCH].view(np.int64), n[a : a + BATCH]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in some], ["h", "n"])
 
         for _, texts in _texts(batches):
             seen.add(tokens(texts)[0])
@@ -159,13 +172,41 @@ class Words:
     member: bytes
     slots: np.ndarray
 
+    @cached_property
+    def begins(self) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+        """The hashes with the largest number behind them, where those of the same first bits
+        begin, and by how much a hash is shifted to get these."""
+        bits = max(1, len(self.hashes).bit_length())
+        shift = np.uint64(64 - bits)
+        first = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << shift)
+        return np.append(self.hashes, np.uint64(2**64 - 1)), first, shift
+
+    def __getstate__(self) -> dict:
+        # Not sent along: built where it is needed.
+        return {k: v for k, v in self.__dict__.items() if k != "begins"}
+
     def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each hash, and whether it is there."""
         if not len(self.hashes):
             return np.zeros(len(hashed), dtype=np.int64), np.zeros(len(hashed), dtype=bool)
-        at = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
+        # Few have the same first bits, so the next ones are looked at in turn.
+        there, first, shift = self.begins
+        at = first[hashed >> shift]
+        later = np.flatnonzero(there[at] < hashed)
+        while len(later):
+            at[later] += 1
+            later = later[there[at[later]] < hashed[later]]
+        at = np.minimum(at, len(self.hashes) - 1)
         return at, self.hashes[at] == hashed
 
+    @property
+    def of_ids(self) -> np.ndarray:
+        """The class of each id; words that are not exchanged are rare until they are placed."""
+        classes = np.full(1 << 16, RARE, dtype=np.int8)
+        classes[END_ID] = END
+        classes[self.ids[self.ids < END_ID]] = self.classes[self.ids < END_ID]
+        return classes
+
     def placed(self, hashed: np.ndarray) -> np.ndarray:
         """The class of each word that is not exchanged."""
         if not len(self.slots):
@@ -230,7 +271,8 @@ def frequent(counts: DataFrame, total: int) -> Words:
 
 
 def sequences(training: DataFrame, sent) -> DataFrame:
-    """The training texts as 16-bit ids of exchanged words, many texts in a row of bytes."""
+    """The training texts as 16-bit ids of exchanged words, many texts in a row of bytes, and the
+    slot of each other word, or -1 for one that is not placed."""
 
     def run(batches):
         words = sent.value
@@ -238,47 +280,103 @@ def sequences(training: DataFrame, sent) -> DataFrame:
             hashed, _ = tokens(texts)
             at, known = words.find(hashed)
             ids = np.where(known, words.ids[at], OTHER_ID) if len(words.ids) else np.full(len(at), OTHER_ID)
+            ids[hashed == END_HASH] = END_ID
+            other = hashed[ids == OTHER_ID]
+            there = in_bitmap(words.member, (other >> np.uint64(64 - MEMBER_BITS)).astype(np.int64))
+            slots = np.where(there, slot_of(other), -1).astype(np.int32)
             ids = np.concatenate([[END_ID], ids]).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids.tobytes()], pa.binary()), pa.array([slots.tobytes()], pa.binary())], ["ids", "slots"]
+            )
+
+    return training.mapInArrow(run, "ids binary, slots binary")
 
-    return training.mapInArrow(run, "ids binary")
+
+def _sequences(batches):
+    """Ids, and slots where they are given, of about TOGETHER tokens at a time. Each sequence
+    begins and ends with an end, so two of them in a row are one with an end between, once that
+    of the second is left out."""
+    ids, slots, held = [], [], 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            some = np.frombuffer(batch.column(0)[row].as_buffer(), dtype=np.uint16)
+            ids.append(some[1:] if held else some)
+            held += len(ids[-1])
+            if batch.num_columns > 1:
+                slots.append(np.frombuffer(batch.column(1)[row].as_buffer(), dtype=np.int32))
+            if held >= TOGETHER:
+                yield np.concatenate(ids), np.concatenate(slots) if slots else None
+                ids, slots, held = [], [], 0
+    if held:
+        yield np.concatenate(ids), np.concatenate(slots) if slots else None
 
 
 def neighbour_counts(rows: DataFrame, classes: np.ndarray, context) -> DataFrame:
-    """(w, key, n): for each exchanged word, and for -1, which is the sum by the word's class,
-    the counts of the class before (key = class) and after (key = ALL + class)."""
+    """(w, near): for each exchanged word the counts of the classes before it and after it, as
+    numbers of 64 bits; and for -1 the class bigrams."""
     held = context.broadcast(classes)
 
     def run(batches):
         of = held.value.astype(np.int64)
         before = np.zeros((1 << 16) * ALL, dtype=np.int64)
         after = np.zeros((1 << 16) * ALL, dtype=np.int64)
-        for batch in batches:
-            for value in batch.column(0):
-                ids = np.frombuffer(value.as_buffer(), dtype=np.uint16).astype(np.int64)
-                before += np.bincount(ids[1:] * ALL + of[ids[:-1]], minlength=len(before))
-                after += np.bincount(ids[:-1] * ALL + of[ids[1:]], minlength=len(after))
+        for ids, _ in _sequences(batches):
+            place, own = ids.astype(np.int64) * ALL, of[ids]
+            before += np.bincount(place[1:] + own[:-1], minlength=len(before))
+            after += np.bincount(place[:-1] + own[1:], minlength=len(after))
+        before, after = before.reshape(-1, ALL), after.reshape(-1, ALL)
         whole = np.zeros((ALL, ALL), dtype=np.int64)
-        np.add.at(whole, of, before.reshape(-1, ALL))
+        np.add.at(whole, of, before)
+        before[END_ID:], after[END_ID:] = 0, 0
         # Rows are the classes before, as in class_bigrams.
-        parts = [(whole.T.ravel(), 0, True)]
-        parts += [(before[: END_ID * ALL], 0, False), (after[: END_ID * ALL], ALL, False)]
-        for values, shift, summed in parts:
-            at = np.flatnonzero(values)
-            for a in range(0, len(at), BATCH):
-                some = at[a : a + BATCH]
-                word = np.full(len(some), -1) if summed else some // ALL
-                key = some if summed else some % ALL + shift
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word.astype(np.int32)), pa.array(key.astype(np.int32)), pa.array(values[some])],
-                    ["w", "key", "n"],
-                )
-
-    return (
-        rows.mapInArrow(run, "w int, key int, n long").groupBy("w", "key").agg(F.sum("n").alias("n"))
+        yield _packed(-1, whole.T.ravel())
+        for block in range(BLOCKS):
+            near = np.concatenate([before[block::BLOCKS], after[block::BLOCKS]], axis=1)
+            if near.any():
+                yield _packed(block, near.ravel())
+
+    def summed(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, at, n in _unpacked(batch):
+                if block not in sums:
+                    sums[block] = np.zeros(ALL * ALL if block < 0 else (1 << 16) // BLOCKS * 2 * ALL, dtype=np.int64)
+                sums[block][at] += n
+        for block, near in sums.items():
+            near = near.reshape(1, -1) if block < 0 else near.reshape(-1, 2 * ALL)
+            there = np.flatnonzero(near.any(axis=1)) if block >= 0 else np.zeros(1, dtype=np.int64)
+            w = block + there * BLOCKS
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w.astype(np.int32)), pa.array([x.tobytes() for x in near[there]], pa.binary())], ["w", "near"]
+            )
+
+    # As many rows as blocks for each task, and sums of fixed size, whatever the number of tasks.
+    parts = rows.select("ids").mapInArrow(run, PACKED)
+    return parts.repartition("block").mapInArrow(summed, "w int, near binary")
+
+
+PACKED = "block int, at binary, n binary"
+
+
+def _packed(block: int, values: np.ndarray) -> pa.RecordBatch:
+    """A row of the counts that are not zero."""
+    at = np.flatnonzero(values)
+    return _row(block, at, values[at])
+
+
+def _row(block: int, at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [[at.astype(np.int32).tobytes()], [n.astype(np.int64).tobytes()]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["block", "at", "n"]
     )
 
 
+def _unpacked(batch: pa.RecordBatch):
+    for row in range(batch.num_rows):
+        at, n = (batch.column(c)[row].as_buffer() for c in (1, 2))
+        yield batch.column(0)[row].as_py(), np.frombuffer(at, dtype=np.int32), np.frombuffer(n, dtype=np.int64)
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -289,55 +387,49 @@ def best_class(near: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np.nda
     ``near`` has the counts of classes before and after each word, ``own`` its class or -1, and
     ``bigrams`` the class bigrams, where the word counts in its own class.
     """
-    n_words = len(near)
     before, after = near[:, :ALL].astype(np.float64), near[:, ALL:].astype(np.float64)
     into, out_of = bigrams.sum(axis=0), bigrams.sum(axis=1)
-    gain = np.zeros((n_words, CLASSES))
-    for c in range(CLASSES):
-        # A word is taken out of its own class before that class is looked at.
-        here = (own == c)[:, None].astype(np.float64)
-        column = np.maximum(bigrams[:, c][None, :] - here * before, 0)
-        row = np.maximum(bigrams[c, :][None, :] - here * after, 0)
-        left = np.maximum(out_of[c] - here[:, 0] * after.sum(axis=1), 0)
-        right = np.maximum(into[c] - here[:, 0] * before.sum(axis=1), 0)
-        gain[:, c] = (
+    gain = np.zeros((len(near), CLASSES))
+
+    def gained(before, after, column, row, left, right):
+        return (
             (_xlogx(column + before) - _xlogx(column)).sum(axis=1)
             + (_xlogx(row + after) - _xlogx(row)).sum(axis=1)
             - (_xlogx(left + after.sum(axis=1)) - _xlogx(left))
             - (_xlogx(right + before.sum(axis=1)) - _xlogx(right))
         )
+
+    for c in range(CLASSES):
+        column, row = bigrams[:, c], bigrams[c, :]
+        gain[:, c] = gained(before, after, column, row, out_of[c], into[c])
+        # A word is taken out of its own class before that class is looked at.
+        mine = np.flatnonzero(own == c)
+        b, a = before[mine], after[mine]
+        left, right = np.maximum(out_of[c] - a.sum(axis=1), 0), np.maximum(into[c] - b.sum(axis=1), 0)
+        gain[mine, c] = gained(b, a, np.maximum(column - b, 0), np.maximum(row - a, 0), left, right)
     return gain.argmax(axis=1)
 
 
-def best_classes(near: DataFrame, own: np.ndarray | None, bigrams: np.ndarray, context) -> DataFrame:
-    """(w, class): words and their best classes; ``near`` has rows (w, key, n)."""
+def best_classes(w: np.ndarray, near: np.ndarray, own: np.ndarray | None, bigrams: np.ndarray):
+    """Record batches of words and their best classes; ``near`` has a row for each word."""
+    for a in range(0, len(w), 4096):
+        some = w[a : a + 4096]
+        classes = best_class(near[a : a + 4096], own[some] if own is not None else np.full(len(some), -1), bigrams)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(classes.astype(np.int32))], ["w", "class"]
+        )
+
+
+def moved(near: DataFrame, own: np.ndarray, bigrams: np.ndarray, context) -> tuple[np.ndarray, np.ndarray]:
+    """Exchanged words, of which there are EXCHANGED at most, and their best classes."""
     held = context.broadcast((own, bigrams))
 
     def run(batches):
-        own, bigrams = held.value
         for batch in batches:
-            w = batch.column(0).to_numpy()
-            lists = batch.column(1)
-            flat = lists.flatten()
-            row = np.repeat(np.arange(len(w)), np.diff(lists.offsets.to_numpy()))
-            for a in range(0, len(w), 4096):
-                part = (row >= a) & (row < a + 4096)
-                dense = np.zeros((min(4096, len(w) - a), 2 * ALL), dtype=np.int64)
-                dense[row[part] - a, flat.field(0).to_numpy()[part]] = flat.field(1).to_numpy()[part]
-                some = w[a : a + 4096]
-                classes = best_class(dense, own[some] if own is not None else np.full(len(some), -1), bigrams)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array(classes.astype(np.int32))], ["w", "class"]
-                )
-
-    # A word has a row for each class before or after it, so the lists are short.
-    lists = near.groupBy("w").agg(F.collect_list(F.struct("key", "n")).alias("near"))
-    return lists.mapInArrow(run, "w int, class int")
-
+            counts = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.int64)
+            yield from best_classes(batch.column(0).to_numpy(), counts.reshape(-1, 2 * ALL), *held.value)
 
-def moved(near: DataFrame, own: np.ndarray, bigrams: np.ndarray, context) -> tuple[np.ndarray, np.ndarray]:
-    """Exchanged words, of which there are EXCHANGED at most, and their best classes."""
-    found = best_classes(near, own, bigrams, context).toArrow()
+    found = near.mapInArrow(run, "w int, class int").toArrow()
     return found["w"].to_numpy(), found["class"].to_numpy()
 
 
@@ -348,25 +440,26 @@ def likelihood(bigrams: np.ndarray) -> float:
     return float((told + _xlogx(pairs)) / max(1, pairs))
 
 
-def exchange(rows: DataFrame, words: Words, context) -> list[tuple[float, int]]:
+def exchange(rows: DataFrame, words: Words, context) -> tuple[list[tuple[float, int]], np.ndarray]:
     """Moves words between classes, some of them at a time, until few move or ROUNDS are over.
 
     Words that move together do not see each other's moves, so a round may lose: then its moves
     are undone, and a quarter as many words are looked at from there on. The classes with the
     highest likelihood stay. Returns for each round the likelihood that it started from and the
-    number of words that it moved, and at last the likelihood that was reached.
+    number of words that it moved, and at last the likelihood that was reached; and the class
+    bigrams of the classes that stay.
     """
     n_ids = int((words.ids < END_ID).sum())
+    classes = words.of_ids
     if not n_ids:
-        return []
-    classes = np.full(1 << 16, RARE, dtype=np.int8)
-    classes[END_ID] = END
-    classes[words.ids[words.ids < END_ID]] = words.classes[words.ids < END_ID]
+        return [], class_bigrams(rows, words, context)
     told: list[tuple[float, int]] = []
     one_in, best, kept = 2, -np.inf, None
     for step in range(ROUNDS + 1):
         near = stored(neighbour_counts(rows, classes, context), "neighbours")
-        bigrams = _matrix(near.where("w = -1"))
+        bigrams = np.zeros((ALL, ALL))
+        for r in near.where("w = -1").collect():
+            bigrams += np.frombuffer(r.near, dtype=np.int64).reshape(ALL, ALL)
         value = likelihood(bigrams)
         if value >= best:
             best, kept = value, (classes.copy(), near, bigrams)
@@ -383,54 +476,61 @@ def exchange(rows: DataFrame, words: Words, context) -> list[tuple[float, int]]:
         classes[who] = choice
     exchanged = words.ids < END_ID
     words.classes[exchanged] = classes[words.ids[exchanged]]
-    return told
+    return told, bigrams
 
 
-def _matrix(rows: DataFrame) -> np.ndarray:
-    out = np.zeros(ALL * ALL)
-    found = rows.select("key", "n").toArrow()
-    out[found["key"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(ALL, ALL)
-
-
-def place(training: DataFrame, words: Words, context) -> None:
+def place(rows: DataFrame, words: Words, bigrams: np.ndarray, context) -> None:
     """Puts the words that occur LEAST times and are not exchanged into the classes where their
     neighbours fit best, by slots; what comes back are bits of SLOTS slots."""
-    held = context.broadcast(words)
+    held = context.broadcast((words.of_ids, bigrams))
+    width = BLOCK_SLOTS * 2 * ALL
 
     def run(batches):
-        words = held.value
+        of = held.value[0]
         seen = Counter()
 
         def made(keys, n):
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array((keys // (2 * ALL)).astype(np.int32)),
-                    pa.array((keys % (2 * ALL)).astype(np.int32)),
-                    pa.array(n),
-                ],
-                ["w", "key", "n"],
-            )
-
-        for _, texts in _texts(batches):
-            hashed, _ = tokens(texts)
-            at, known, classes = words.classes_of(hashed)
-            there = in_bitmap(words.member, (hashed >> np.uint64(64 - MEMBER_BITS)).astype(np.int64))
-            if len(words.ids):
-                there &= ~(known & (words.ids[at] != OTHER_ID))
-            # The token before the first one of a piece is an end, and so is the last one of a text.
-            previous = np.concatenate([[END], classes[:-1]])
-            own = np.flatnonzero(there & (hashed != END_HASH))
-            slot = slot_of(hashed[own])
-            seen.add(slot * 2 * ALL + previous[own])
+            # Keys are sorted: those of each block of slots stand together.
+            blocks = np.unique(keys // width)
+            borders = [*np.searchsorted(keys, blocks * width).tolist(), len(keys)]
+            for block, a, b in zip(blocks.tolist(), borders, borders[1:]):
+                yield _row(block, keys[a:b] - block * width, n[a:b])
+
+        for ids, slots in _sequences(batches):
+            classes = of[ids].astype(np.int64)
+            other = np.flatnonzero(ids == OTHER_ID)
+            own, slot = other[slots >= 0], slots[slots >= 0].astype(np.int64)
+            # An end stands before the first word of a sequence, and after the last one.
+            seen.add(slot * 2 * ALL + classes[own - 1])
             seen.add(slot * 2 * ALL + ALL + classes[own + 1])
             if seen.full():
                 yield from seen.batches(made)
         yield from seen.batches(made)
 
-    near = training.mapInArrow(run, "w int, key int, n long").groupBy("w", "key").agg(F.sum("n").alias("n"))
-    bigrams = class_bigrams(training, held)
-    best = stored(best_classes(near, None, bigrams, context), "placed")
+    def best(batches):
+        bigrams = held.value[1]
+        now, near = None, np.zeros(width, dtype=np.int64)
+
+        def done():
+            counts = near.reshape(-1, 2 * ALL)
+            there = np.flatnonzero(counts.any(axis=1))
+            return best_classes(now * BLOCK_SLOTS + there, counts[there], None, bigrams)
+
+        for batch in batches:
+            for block, at, n in _unpacked(batch):
+                if block != now:
+                    if now is not None:
+                        yield from done()
+                    now = block
+                    near[:] = 0
+                near[at] += n
+        if now is not None:
+            yield from done()
+
+    # Blocks follow each other, so a task holds the sums of one block, of fixed size.
+    parts = rows.select("ids", "slots").mapInArrow(run, PACKED)
+    found = parts.repartition("block").sortWithinPartitions("block").mapInArrow(best, "w int, class int")
+    best = stored(found, "placed")
     slots = np.full(SLOTS, 0, dtype=np.int8)
     numbers = np.arange(SLOTS)
     taken = in_bitmap(bitmap(best.select("w"), "w", SLOTS), numbers)
@@ -441,20 +541,28 @@ def place(training: DataFrame, words: Words, context) -> None:
     held.destroy()
 
 
-def class_bigrams(training: DataFrame, held) -> np.ndarray:
-    """Counts of class pairs over the training texts, with the words that have been sent; each
-    text begins after an end."""
+def class_bigrams(rows: DataFrame, words: Words, context) -> np.ndarray:
+    """Counts of class pairs over the training texts, with the words placed so far; each text
+    begins after an end."""
+    held = context.broadcast((words.of_ids, words.slots))
 
     def run(batches):
+        of, of_slots = held.value
         out = np.zeros(ALL * ALL, dtype=np.int64)
-        for _, texts in _texts(batches):
-            classes = held.value.classes_of(tokens(texts)[0])[2]
-            previous = np.concatenate([[END], classes[:-1]])
-            out += np.bincount(previous * ALL + classes, minlength=len(out))
+        for ids, slots in _sequences(batches):
+            classes = of[ids].astype(np.int64)
+            if len(of_slots):
+                classes[ids == OTHER_ID] = np.where(slots >= 0, of_slots[slots], RARE)
+            out += np.bincount(classes[:-1] * ALL + classes[1:], minlength=len(out))
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], ["key", "n"])
 
-    return _matrix(training.mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    parts = rows.select("ids", "slots").mapInArrow(run, "key int, n long")
+    found = parts.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    held.destroy()
+    out = np.zeros(ALL * ALL)
+    out[found["key"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(ALL, ALL)
 
 
 @dataclass
@@ -502,13 +610,13 @@ def fitted(training: DataFrame, counts: DataFrame, context) -> Model:
     """The model of the training texts."""
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     words = frequent(counts, total)
-    sent = context.broadcast(replace(words, member=b""))
+    sent = context.broadcast(words)
     rows = stored(sequences(training, sent), "sequences")
     sent.destroy()
-    rounds = exchange(rows, words, context)
-    place(training, words, context)
+    rounds, bigrams = exchange(rows, words, context)
+    place(rows, words, bigrams, context)
+    bigrams = class_bigrams(rows, words, context)
     held = context.broadcast(words)
-    bigrams = class_bigrams(training, held)
     n, v = class_sizes(counts, held)
     held.destroy()
     # Unknown words.
