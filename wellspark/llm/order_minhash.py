@@ -290,6 +290,8 @@ def links(pairs: DataFrame, words: DataFrame, similarity: float, bags: bool = Fa
     n = pairs.count()
     if not n:
         return pairs
+    # Few pairs may still meet many words.
+    n = max(n, words.count() * PAIRS_PER_TASK // TEXTS_PER_TASK)
     left = words.select(F.col("node").alias("a"), F.col("words").alias("x"))
     right = words.select(F.col("node").alias("b"), F.col("words").alias("y"))
     half = in_tasks(pairs.join(left, "a"), n, PAIRS_PER_TASK)
@@ -379,9 +381,8 @@ def by_runs(nodes: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
     """(a, b): every two of ``nodes`` from different classes that may be alike, by their rare runs."""
     root = F.coalesce("root", "node").alias("root")
     nodes = stored(nodes, "crowd")
-    n = nodes.count()
-    said = in_tasks(nodes.join(roots, "node", "left"), n, TEXTS_PER_TASK).select("node", root)
-    said = in_tasks(said.join(words, "node"), n, TEXTS_PER_TASK)
+    said = in_tasks(nodes.join(roots, "node", "left"), max(nodes.count(), roots.count()), ROWS_PER_TASK)
+    said = in_tasks(said.select("node", root).join(words, "node"), words.count(), TEXTS_PER_TASK)
     said = stored(said.select("node", "root", "words"), "said")
     context = said.sparkSession.sparkContext
     sent = context.broadcast(run_counts(said))
@@ -512,7 +513,8 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
     # A text has as many bands as there are hash functions and numbers of k-mers, at most.
     own = placed.groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bands"))
     own = in_tasks(own, left, TEXTS_PER_TASK)
-    said = in_tasks(own.join(words, "node"), left, TEXTS_PER_TASK).select("node", "words", "bands")
+    said = in_tasks(own.join(words, "node"), max(left, words.count()), TEXTS_PER_TASK)
+    said = said.select("node", "words", "bands")
 
     def bagged(batches):
         for batch in batches:
@@ -575,7 +577,8 @@ def across(shared: DataFrame, roots: DataFrame, words: DataFrame, similarity: fl
 def with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """(band, node, root): the texts of the bands and the classes that they are in so far."""
     root = F.coalesce("root", "node")
-    members = in_tasks(shared.join(roots, "node", "left"), shared.count(), ROWS_PER_TASK)
+    rows = max(shared.count(), roots.count())
+    members = in_tasks(shared.join(roots, "node", "left"), rows, ROWS_PER_TASK)
     return stored(members.select("band", "node", root.alias("root")), "members")
 
 
@@ -599,7 +602,7 @@ def by_size(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs, a stored table, whose ends are in different classes so far."""
-    n = pairs.count()
+    n = max(pairs.count(), roots.count())
     of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
     known = in_tasks(pairs.join(of_a, "a", "left"), n, ROWS_PER_TASK)

@@ -51,7 +51,8 @@ def in_tasks(df: DataFrame, rows: int, each: int) -> DataFrame:
     """``df`` in one task for ``each`` of its ``rows`` rows, if it has more tasks than that.
 
     So a shuffle of few rows does not become very many tasks and files, however many partitions
-    the session deals out to. ``rows`` may be an upper bound.
+    the session deals out to. ``rows`` may be an upper bound; of a join, they are those of the
+    larger side.
     """
     return df.coalesce(max(LEAST_TASKS, -(-rows // each)))
 
